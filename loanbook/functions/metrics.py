@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ZERO = F.lit(0)
-
 
 def sum_if(test: Column, value: Column, name: str) -> Column:
     """Sum of `value` where `test` holds, counting 0 for all other rows."""

@@ -16,24 +16,28 @@ def cluster_map(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("candidate_id").agg(F.max("clst_id").alias("clst_id"))
 
 
-def attach_cluster(
-    rows: DataFrame, clusters: DataFrame, spread: str, keys_like: DataFrame | None = None
-) -> DataFrame:
+def _by_consumer(clusters: DataFrame) -> DataFrame:
+    return clusters.select(F.col("candidate_id").alias("consumer_key"), "clst_id")
+
+
+def attach_cluster(rows: DataFrame, clusters: DataFrame, keys_like: DataFrame | None = None) -> DataFrame:
     """Cluster of each row's consumer; consumers without one stand for themselves."""
-    lookup = clusters.select(F.col("candidate_id").alias("consumer_key"), "clst_id")
-    joined = skew_join(rows, lookup, ["consumer_key"], "left", spread, keys_like)
+    joined = skew_join(rows, _by_consumer(clusters), ["consumer_key"], "left", "account_key", keys_like)
     return joined.withColumn("clst_id", F.coalesce("clst_id", "consumer_key"))
 
 
+def attach_inner(rows: DataFrame, clusters: DataFrame, keys_like: DataFrame | None = None) -> DataFrame:
+    """Rows whose consumer has a cluster, with that cluster."""
+    return skew_join(rows, _by_consumer(clusters), ["consumer_key"], "inner", "account_key", keys_like)
+
+
 def same_cluster_universe(base: DataFrame, clusters: DataFrame, accounts: DataFrame) -> DataFrame:
     """All account rows of every member of any cluster that a base consumer belongs to."""
     touched = clusters.join(
         base.select(F.col("consumer_key").alias("candidate_id")).distinct(), "candidate_id", "left_semi"
     ).select("clst_id").distinct()
-    members = clusters.join(touched, "clst_id", "left_semi").select(
-        F.col("candidate_id").alias("consumer_key"), "clst_id"
-    )
-    return skew_join(accounts, members, ["consumer_key"], "inner", "account_key")
+    members = clusters.join(touched, "clst_id", "left_semi")
+    return attach_inner(accounts, members, keys_like=accounts)
 
 
 def latest_consumer(consumer: DataFrame) -> DataFrame:
@@ -49,7 +53,7 @@ def unique_account_row(party: DataFrame, geo_fill: DataFrame) -> DataFrame:
     """
     parts = ["state", "district", "pin_code"]
     fill = geo_fill.select("consumer_key", *[F.col(c).alias(f"fill_{c}") for c in parts])
-    filled = skew_join(party, fill, ["consumer_key"], "left", "account_key").select(
+    filled = party.join(fill, "consumer_key", "left").select(
         *[c for c in party.columns if c not in parts],
         *[F.coalesce(c, f"fill_{c}").alias(c) for c in parts],
     )
@@ -110,7 +114,7 @@ def _survivor_aggs() -> list[Column]:
 def golden_address(members: DataFrame) -> DataFrame:
     """Every member row with the best address of its cluster and the cluster's commercial flag."""
     best = members.groupBy("clst_id").agg(*_golden_aggs(members)).select("clst_id", "address.*", "is_commercial")
-    return skew_join(members.select(*MEMBER_KEYS), best, ["clst_id"], "left", "account_key")
+    return skew_join(members.select(*MEMBER_KEYS), best, ["clst_id"], "left", "account_key", keys_like=members)
 
 
 def survivorship(members: DataFrame) -> DataFrame:
@@ -122,7 +126,7 @@ def one_view(members: DataFrame) -> DataFrame:
     """Member rows with best address, commercial flag and surviving attributes: one aggregate, one join."""
     best = members.groupBy("clst_id").agg(*_golden_aggs(members), *_survivor_aggs())
     best = best.select("clst_id", "address.*", "is_commercial", *SURVIVING)
-    return skew_join(members.select(*MEMBER_KEYS), best, ["clst_id"], "left", "account_key")
+    return skew_join(members.select(*MEMBER_KEYS), best, ["clst_id"], "left", "account_key", keys_like=members)
 
 
 def market_entry(rows: DataFrame) -> DataFrame:
@@ -145,10 +149,7 @@ def cluster_min_disbursal(snapshot: DataFrame, clusters: DataFrame) -> DataFrame
     )
     linked = clusters.join(per_consumer, "candidate_id")
     first = linked.groupBy("clst_id").agg(F.min("first_dt").alias("min_disb_dt"))
-    return skew_join(
-        linked.select("clst_id", F.col("candidate_id").alias("consumer_key")), first, ["clst_id"], "inner",
-        "consumer_key",
-    )
+    return linked.select("clst_id", F.col("candidate_id").alias("consumer_key")).join(first, "clst_id")
 
 
 def income_extra_cols(consumers: DataFrame, clusters: DataFrame, accounts: DataFrame) -> DataFrame:
@@ -161,7 +162,3 @@ def income_extra_cols(consumers: DataFrame, clusters: DataFrame, accounts: DataF
     )
     return left.join(right, ["account_key", "nbr"]).drop("nbr")
 
-
-def attach_inner(consumers: DataFrame, clusters: DataFrame) -> DataFrame:
-    lookup = clusters.select(F.col("candidate_id").alias("consumer_key"), "clst_id")
-    return skew_join(consumers, lookup, ["consumer_key"], "inner", "account_key")

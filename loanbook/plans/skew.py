@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -42,18 +40,21 @@ def hot_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def skew_join(
-    rows: DataFrame, lookup: DataFrame, keys: list[str], how: str, spread: str, keys_like: DataFrame | None = None
+    rows: DataFrame, lookup: DataFrame, keys: list[str], how: str, spread: str, keys_like: DataFrame | None
 ) -> DataFrame:
     """Join many `rows` to a `lookup` with few rows per key.
 
-    Rows of hot keys are salted by a hash of `spread`, and the lookup rows of
-    those keys are copied once per salt; all other keys join as usual.
-    `keys_like` may name a cheaper frame with the same key distribution, used
-    only for finding hot keys.
+    `keys_like` is a frame with the same key distribution that is cheap to
+    read, such as the stored table the rows come from. Rows of its hot keys are
+    salted by a hash of `spread`, and the lookup rows of those keys are copied
+    once per salt. Without it the join is left to adaptive execution, which
+    splits oversized partitions of the rows at run time.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"cannot salt a {how} join")
-    hot = F.broadcast(hot_keys((keys_like or rows).select(*keys), keys).withColumn("is_hot", F.lit(True)))
+    if keys_like is None:
+        return rows.join(lookup, keys, how)
+    hot = F.broadcast(hot_keys(keys_like.select(*keys), keys).withColumn("is_hot", F.lit(True)))
     salted_rows = rows.join(hot, keys, "left").withColumn(
         "salt", F.when(F.col("is_hot"), F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
     )
@@ -63,58 +64,35 @@ def skew_join(
     return joined.drop("salt")
 
 
-def row_number_by_date(
-    df: DataFrame, keys: list[str], dates: list[str], rest: list[Column], name: str
-) -> DataFrame:
-    """row_number() over (partition by keys order by dates desc, rest), in two levels.
-
-    Rows are numbered inside (keys, dates) and shifted by the number of rows of
-    later dates, so no task ever holds all rows of a key: the offset window
-    runs over one counted row per date.
-    """
-    same = lambda c: F.col(f"o_{c}").eqNullSafe(F.col(c))
-    counted = df.groupBy(*keys, *dates).agg(F.count(F.lit(1)).alias("n"))
-    later = Window.partitionBy(*keys).orderBy(*[F.col(d).desc_nulls_last() for d in dates])
-    offsets = counted.select(
-        *[F.col(c).alias(f"o_{c}") for c in [*keys, *dates]],
-        (F.sum("n").over(later.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n")).alias("offset"),
-    )
-    inside = Window.partitionBy(*keys, *dates).orderBy(*rest)
-    numbered = df.withColumn("local_rn", F.row_number().over(inside))
-    on = reduce(lambda a, b: a & b, [same(c) for c in [*keys, *dates]])
-    return (
-        numbered.join(offsets, on)
-        .withColumn(name, (F.col("offset") + F.col("local_rn")).cast("int"))
-        .drop("offset", "local_rn", *[f"o_{c}" for c in [*keys, *dates]])
-    )
-
-
-def percentile_exact(df: DataFrame, group: str, value: str, percent: int, name: str) -> DataFrame:
-    """Smallest value of each group at or above `percent` of its rows, exactly.
+def percentile_exact(df: DataFrame, group: str, values: dict[str, str], percent: int) -> DataFrame:
+    """Smallest value of each group at or above `percent` of its rows, exactly, per measure.
 
     Two counting passes replace a per-group sort: a histogram over bins of a
     64th of an octave (at most a few thousand per group) finds the bin holding
-    the wanted rank, then distinct values of that bin alone are ranked.
+    the wanted rank, then distinct values of that bin alone are ranked. All
+    measures are counted together, as (measure, value) rows.
     """
-    rows = df.where(F.col(value).isNotNull()).select(group, value)
-    octaves = F.log2(F.greatest(F.abs(F.col(value)).cast("double"), F.lit(0.01))) + 7
-    rows = rows.withColumn("bin", (F.signum(F.col(value)) * F.floor(octaves * 64)).cast("int"))
-    histogram = rows.groupBy(group, "bin").agg(F.count(F.lit(1)).alias("n"))
-    upward = Window.partitionBy(group).orderBy("bin")
+    stacked = F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).alias("v")) for m in values]))
+    rows = df.select(group, stacked.alias("x")).select(group, "x.measure", "x.v").where("v is not null")
+    rows = rows.withColumn(
+        "bin", F.expr("cast(signum(v) * floor((log2(greatest(cast(abs(v) as double), 0.01D)) + 7) * 64) as int)")
+    )
+    histogram = rows.groupBy(group, "measure", "bin").agg(F.count(F.lit(1)).alias("n"))
+    upward = Window.partitionBy(group, "measure").orderBy("bin")
     cumulative = histogram.select(
-        group, "bin", "n",
+        "*",
         F.sum("n").over(upward.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("upto"),
-        F.sum("n").over(Window.partitionBy(group)).alias("total"),
-    )
-    wanted = F.floor((F.col("total") * percent + 99) / 100)
-    target = cumulative.where((F.col("upto") >= wanted) & (F.col("upto") - F.col("n") < wanted)).select(
-        group, "bin", (wanted - F.col("upto") + F.col("n")).alias("rank_in_bin")
+        F.sum("n").over(Window.partitionBy(group, "measure")).alias("total"),
+    ).withColumn("wanted", F.floor((F.col("total") * percent + 99) / 100))
+    target = cumulative.where("upto >= wanted and upto - n < wanted").selectExpr(
+        group, "measure", "bin", "wanted - upto + n as rank_in_bin"
     )
-    values = rows.join(target, [group, "bin"]).groupBy(group, "rank_in_bin", value).agg(F.count(F.lit(1)).alias("n"))
-    ranked = values.withColumn(
-        "upto",
-        F.sum("n").over(
-            Window.partitionBy(group).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        ),
+    inside = rows.join(target, [group, "measure", "bin"])
+    distinct = inside.groupBy(group, "measure", "rank_in_bin", "v").agg(F.count(F.lit(1)).alias("n"))
+    by_value = Window.partitionBy(group, "measure").orderBy("v")
+    ranked = distinct.withColumn(
+        "upto", F.sum("n").over(by_value.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ).where("upto >= rank_in_bin")
+    return ranked.groupBy(group).agg(
+        *[F.min(F.when(F.col("measure") == m, F.col("v"))).alias(name) for m, name in values.items()]
     )
-    return ranked.where(F.col("upto") >= F.col("rank_in_bin")).groupBy(group).agg(F.min(value).alias(name))

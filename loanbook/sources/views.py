@@ -2,218 +2,227 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
+from functools import cache, cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanbook.operators.entity import attach_cluster, cluster_map
-from loanbook.plans.skew import percentile_exact, skew_join
+from loanbook.operators.entity import cluster_map
+from loanbook.plans.skew import percentile_exact
 from loanbook.sources.dims import ACCOUNT_TYPES, LENDERS
 
 MONEY = "decimal(18,2)"
 
 
-def choose(index: Column, values) -> Column:
-    """The value at position `index` of a fixed list."""
-    arms = None
-    for n, value in enumerate(values):
-        if value is None:
-            continue
-        arms = F.when(index == n, F.lit(value)) if arms is None else arms.when(index == n, F.lit(value))
-    return arms
+def choose(index: str, values) -> str:
+    """SQL for the value at position `index` of a fixed list."""
+    items = ", ".join("null" if v is None else f"'{v}'" for v in values)
+    return f"element_at(array({items}), cast({index} as int) + 1)"
 
 
-def times(amount: Column, factor: Column | str) -> Column:
-    factor = factor if isinstance(factor, Column) else F.lit(Decimal(factor))
-    return (amount * factor).cast(MONEY)
+def times(amount: str, factor: str) -> str:
+    return f"cast({amount} * {factor} as {MONEY})"
+
+
+# fixed values: text fields of the test book, by key
+INSTAL_FREQS = ("1", "F02", "f03", None, "9", "ZZ", "F04", "F04")
+CATEGORIES = ("T01", "T02", "T03", "T03")
+CYCLES = ("0", "1", "002", "3", "04", "5", "006", "7", "08", "009", "10", " 12 ", None)
+PURPOSES = ("AGRI", "BUSINESS", "SCHOOL", "HOME", "VEHICLE", "LAND", "OTHER", None)
+PURPOSE_NAMES = {
+    "AGRI": "Income", "BUSINESS": "INCOME", "SCHOOL": "Education", "HOME": "Housing", "VEHICLE": "Automobile",
+    "LAND": "Real Estate", "OTHER": "misc",
+}
+OCCUPATION_NAMES = {
+    "AUTOMOBILE": "Employed", "BUILDING": "Self Employed", "FURNITURE": "Agriculture and Allied",
+    "HOUSEHOLD": "Contract Employee", "MACHINERY": "Others",
+}
+CREDIT_TYPES = ("9002", "4000", "0200", "0420", "0310", "7777")
+COMMERCIAL_CLASSES = ("L01", "0001", "002", "0003", "005", "0010", "011", "0012", "013", None, None, None, None, None)
+ADDRESS_PARTS = (
+    "if(c_custkey % 10 <> 0, r_name, null) as state",
+    "if(c_custkey % 7 <> 0, n_name, null) as district",
+    "if(c_custkey % 6 <> 0, cast(100000 + c_nationkey as string), null) as pin_code",
+)
 
 
 class Book:
-    """Named views over the tables of one folder; each call builds a lazy frame."""
+    """Named views over the tables of one folder; each is a lazy frame, built once."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self.table = cache(self.table)
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     # --- account level ---------------------------------------------------------
+    @cached_property
     def _orders(self) -> DataFrame:
-        k = F.col("account_key")
-        status, urgent = F.col("o_orderstatus"), F.col("o_orderpriority") == "1-URGENT"
-        base = self.table("orders").select(
-            F.col("o_orderkey").alias("account_key"),
-            F.col("o_custkey").alias("consumer_key"),
-            F.col("o_orderdate").cast("date").alias("disbursed_dt"),
-            F.col("o_totalprice").cast(MONEY).alias("disbursed_amount"),
-            F.when(status == "O", "S04").when(status == "P", "S05").when(urgent, "S06").otherwise("S07").alias("das"),
+        base = self.table("orders").selectExpr(
+            "o_orderkey as account_key", "o_custkey as consumer_key", "cast(o_orderdate as date) as disbursed_dt",
+            f"cast(o_totalprice as {MONEY}) as disbursed_amount",
+            "case when o_orderstatus = 'O' then 'S04' when o_orderstatus = 'P' then 'S05' "
+            "when o_orderpriority = '1-URGENT' then 'S06' else 'S07' end as das",
         )
-        return base.select(
+        return base.selectExpr(
             "*",
-            choose(k % 12, LENDERS).alias("lender_id"),
-            choose(k % 7, ("A01", "A06", "A07", "A12", "A13", "A15", "A22")).alias("account_type"),
-            F.concat(F.lit("AC"), k.cast("string")).alias("account_nbr"),
-            F.when(F.col("das").isin("S06", "S07"), F.date_add("disbursed_dt", 400)).alias("closed_dt"),
-            choose(k % 8, ("1", "F02", "f03", None, "9", "ZZ", "F04", "F04")).alias("instal_freq"),
-            (k % 49).cast("int").alias("num_installment"),
-            F.when(k % 50 == 0, "Y").alias("suppress_indicator"),
-            choose(k % 4, ("T01", "T02", "T03", "T03")).alias("loan_category"),
-            choose(
-                k % 13, ("0", "1", "002", "3", "04", "5", "006", "7", "08", "009", "10", " 12 ", None)
-            ).alias("loan_cycle_id"),
-            choose(
-                k % 8, ("AGRI", "BUSINESS", "SCHOOL", "HOME", "VEHICLE", "LAND", "OTHER", None)
-            ).alias("loan_purpose"),
-            F.concat(F.lit("C"), (k % 23).cast("string")).alias("centre_id"),
-            F.concat(F.lit("G"), (k % 211).cast("string")).alias("group_id"),
-            F.lit(1).alias("active"),
+            f"{choose('account_key % 12', LENDERS)} as lender_id",
+            f"{choose('account_key % 7', ACCOUNT_TYPES)} as account_type",
+            "concat('AC', cast(account_key as string)) as account_nbr",
+            "if(das in ('S06', 'S07'), date_add(disbursed_dt, 400), null) as closed_dt",
+            f"{choose('account_key % 8', INSTAL_FREQS)} as instal_freq",
+            "cast(account_key % 49 as int) as num_installment",
+            "if(account_key % 50 = 0, 'Y', null) as suppress_indicator",
+            f"{choose('account_key % 4', CATEGORIES)} as loan_category",
+            f"{choose('account_key % 13', CYCLES)} as loan_cycle_id",
+            f"{choose('account_key % 8', PURPOSES)} as loan_purpose",
+            "concat('C', cast(account_key % 23 as string)) as centre_id",
+            "concat('G', cast(account_key % 211 as string)) as group_id",
+            "1 as active",
         )
 
-    def account(self) -> DataFrame:
-        """Current state of every account."""
-        k, amount = F.col("account_key"), F.col("disbursed_amount")
-        share = choose(k % 4, [Decimal(x) for x in ("0.15", "0.60", "-0.35", "1.10")])
-        return self._orders().select(
+    @cached_property
+    def _account(self) -> DataFrame:
+        reported = "last_day(date_add(disbursed_dt, 365))"
+        share = "element_at(array(0.15, 0.60, -0.35, 1.10), cast(account_key % 4 as int) + 1)"
+        return self._orders.selectExpr(
             "*",
-            F.when(k % 11 == 0, F.lit(None))
-            .when(k % 11 == 1, "").when(k % 11 == 2, "XXX")
-            .when(k % 11 == 3, F.concat(F.lit("DPD "), (k % 400).cast("string")))
-            .otherwise((k % 400).cast("string")).alias("days_past_due"),
-            choose(k % 9, ("L01", "L02", "L03", "L04", "L05", " L02 ")).alias("asset_class"),
-            F.when(k % 3 != 0, amount).alias("high_credit"),
-            F.when(k % 5 == 0, amount).alias("credit_limit"),
-            times(amount, share).alias("current_balance"),
-            F.when(k % 6 == 0, times(amount, "0.05")).otherwise(F.lit(0).cast(MONEY)).alias("amount_overdue_total"),
-            F.when(F.col("das") == "S06", amount).alias("chargeoff_amt"),
-            F.when(k % 8 != 7, times(amount, "0.05")).alias("min_amount_due"),
-            F.last_day(F.date_add("disbursed_dt", 365)).alias("act_reported_dt"),
-            F.last_day(F.date_add("disbursed_dt", 365)).alias("reported_dt"),
-            F.date_add(F.last_day(F.date_add("disbursed_dt", 365)), (k % 40).cast("int")).alias("act_insert_dt"),
-            F.col("das").alias("account_status"),
+            "case account_key % 11 when 0 then null when 1 then '' when 2 then 'XXX' "
+            "when 3 then concat('DPD ', cast(account_key % 400 as string)) "
+            "else cast(account_key % 400 as string) end as days_past_due",
+            f"{choose('account_key % 9', ('L01', 'L02', 'L03', 'L04', 'L05', ' L02 ', None, None, None))} as asset_class",
+            "if(account_key % 3 <> 0, disbursed_amount, null) as high_credit",
+            "if(account_key % 5 = 0, disbursed_amount, null) as credit_limit",
+            f"{times('disbursed_amount', share)} as current_balance",
+            f"if(account_key % 6 = 0, {times('disbursed_amount', '0.05')}, cast(0 as {MONEY})) as amount_overdue_total",
+            "if(das = 'S06', disbursed_amount, null) as chargeoff_amt",
+            f"if(account_key % 8 <> 7, {times('disbursed_amount', '0.05')}, null) as min_amount_due",
+            f"{reported} as act_reported_dt", f"{reported} as reported_dt",
+            f"date_add({reported}, cast(account_key % 40 as int)) as act_insert_dt",
+            "das as account_status",
         )
 
-    def _monthly(self, measures: dict[str, str]) -> DataFrame:
-        """Line items as month-end rows of their order, shipped on or after the order date.
+    def account(self) -> DataFrame:
+        """Current state of every account."""
+        return self._account
+
+    @cached_property
+    def _trend(self) -> DataFrame:
+        """Line items shipped on or after their order date, reduced to month ends of the order.
 
         They are reduced per shipping date first, so an order with very many
         line items reaches the join as one row per date.
         """
-        per_day = self.table("lineitem").groupBy("l_orderkey", F.col("l_shipdate").cast("date").alias("shipped")).agg(
-            *[F.max(F.expr(source)).alias(name) for name, source in measures.items()]
+        per_day = self.table("lineitem").groupBy(
+            "l_orderkey", F.col("l_shipdate").cast("date").alias("shipped")
+        ).agg(
+            F.expr(f"max(cast(l_extendedprice as {MONEY})) as balance"),
+            F.expr("max(cast(l_quantity as int)) as qty"),
+            F.expr("max(l_returnflag) as rf"), F.expr("max(l_linestatus) as ls"),
         )
-        orders = self.table("orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("ordered"))
-        joined = per_day.join(
-            orders, (per_day.l_orderkey == orders.o_orderkey) & (per_day.shipped >= orders.ordered)
+        orders = self._orders.selectExpr(
+            "account_key as l_orderkey", "disbursed_dt", "lender_id", "account_type", "closed_dt"
+        )
+        rows = per_day.join(orders, "l_orderkey").where("shipped >= disbursed_dt").groupBy(
+            F.col("l_orderkey").alias("account_key"), F.last_day("shipped").alias("act_reported_dt"),
+            "lender_id", "account_type", "closed_dt",
+        ).agg(F.max("balance").alias("current_balance"), F.max("qty").alias("qty"), F.max("rf").alias("rf"),
+              F.max("ls").alias("ls"))
+        due = times("current_balance", "0.05")
+        return rows.selectExpr(
+            "account_key", "lender_id", "account_type", "act_reported_dt", "act_reported_dt as reported_dt",
+            "current_balance", "cast(qty * 8 as string) as days_past_due",
+            "case rf when 'A' then 'L01' when 'R' then 'L02' end as asset_class",
+            "if(ls = 'F', 'S05', 'S04') as das", "if(ls = 'F', 'S05', 'S04') as account_status", "closed_dt",
+            f"if(account_key % 6 = 0, {due}, cast(0 as {MONEY})) as amount_overdue_total",
+            "if(account_key % 17 = 0 and ls = 'F', current_balance, null) as chargeoff_amt",
+            f"{due} as min_amount_due",
         )
-        return joined.groupBy(
-            F.col("l_orderkey").alias("account_key"), F.last_day("shipped").alias("act_reported_dt")
-        ).agg(*[F.max(name).alias(name) for name in measures])
 
     def account_trend(self) -> DataFrame:
         """Month-end history: unique on (account_key, act_reported_dt)."""
-        rows = self._monthly(
-            {"balance": f"cast(l_extendedprice as {MONEY})", "qty": "cast(l_quantity as int)",
-             "rf": "l_returnflag", "ls": "l_linestatus"},
-        )
-        static = self._orders().select("account_key", "lender_id", "account_type", "closed_dt")
-        k, balance = F.col("account_key"), F.col("balance")
-        das = F.when(F.col("ls") == "F", "S05").otherwise("S04")
-        return rows.join(static, "account_key").select(
-            "account_key", "lender_id", "account_type", "act_reported_dt",
-            F.col("act_reported_dt").alias("reported_dt"),
-            balance.alias("current_balance"),
-            (F.col("qty") * 8).cast("string").alias("days_past_due"),
-            F.when(F.col("rf") == "A", "L01").when(F.col("rf") == "R", "L02").alias("asset_class"),
-            das.alias("das"), das.alias("account_status"), "closed_dt",
-            F.when(k % 6 == 0, times(balance, "0.05")).otherwise(F.lit(0).cast(MONEY)).alias("amount_overdue_total"),
-            F.when((k % 17 == 0) & (das == "S05"), balance).alias("chargeoff_amt"),
-            times(balance, "0.05").alias("min_amount_due"),
-        )
+        return self._trend
 
     def account_update(self) -> DataFrame:
         """Restatements of static attributes by month end."""
-        rows = self.table("lineitem").where(F.col("l_linenumber") <= 2).groupBy(
+        rows = self.table("lineitem").where("l_linenumber <= 2").groupBy(
             F.col("l_orderkey").alias("account_key"),
             F.last_day(F.col("l_shipdate").cast("date")).alias("act_reported_dt"),
         ).agg(
-            F.max(F.col("l_extendedprice").cast(MONEY)).alias("amount"),
-            F.max(F.col("l_quantity").cast("int")).alias("qty"),
+            F.expr(f"max(cast(l_extendedprice as {MONEY})) as disbursed_amount"),
+            F.expr("max(cast(l_quantity as int)) as num_installment"),
         )
-        static = self._orders().select(
+        static = self._orders.select(
             "account_key", "account_nbr", "disbursed_dt", "instal_freq", "loan_category", "loan_cycle_id",
             "loan_purpose", "suppress_indicator", "active",
         )
-        return rows.join(static, "account_key").select(
-            "account_key", "act_reported_dt", F.col("amount").alias("disbursed_amount"),
-            F.col("qty").alias("num_installment"), "account_nbr", "disbursed_dt", "instal_freq", "loan_category",
-            "loan_cycle_id", "loan_purpose", "suppress_indicator", "active",
-        )
+        return rows.join(static, "account_key")
 
     # --- people --------------------------------------------------------------------
-    def consumer(self) -> DataFrame:
-        c = F.col("c_custkey")
-        places = self.table("nation").join(
-            self.table("region"), F.col("n_regionkey") == F.col("r_regionkey")
-        )
-        rows = self.table("customer").join(places, F.col("c_nationkey") == F.col("n_nationkey"))
-        days = lambda start, n: F.date_add(F.lit(start).cast("date"), n.cast("int"))
-        return rows.select(
-            c.alias("consumer_key"),
-            days("1996-01-01", c % 1500).alias("insert_dt"),
-            F.when(c % 10 != 0, F.col("r_name")).alias("state"),
-            F.when(c % 7 != 0, F.col("n_name")).alias("district"),
-            F.when(c % 6 != 0, (F.lit(100000) + F.col("c_nationkey")).cast("string")).alias("pin_code"),
-            F.when(c % 8 != 0, F.concat("n_name", F.lit("_C"), (c % 10).cast("string"))).alias("city"),
-            F.when(c % 9 != 0, F.concat(F.lit("LOC"), (c % 20).cast("string"))).alias("locality"),
-            F.when(c % 4 != 0, F.col("c_acctbal").cast(MONEY)).alias("monthly_income"),
-            F.when(c % 3 != 0, (F.col("c_acctbal").cast(MONEY) * 10).cast(MONEY)).alias("annual_income"),
-            F.when(c % 5 != 0, days("1950-01-01", (c * 37) % 18000)).alias("birth_dt"),
-            choose(c % 3, ("M", "F")).alias("gender"),
-            F.col("c_mktsegment").alias("occupation"),
-            choose(c % 5, ("O01", "O02", "O04")).alias("ownership_ind"),
-            (c % 13 == 0).alias("is_commercial"),
-            F.when(c % 2 == 0, (c % 50 + 18).cast("int")).alias("age"),
-            F.when(c % 4 != 2, days("1999-01-01", c % 300)).alias("age_as_on_dt"),
+    @cached_property
+    def _customers(self) -> DataFrame:
+        places = self.table("nation").join(self.table("region"), F.expr("n_regionkey = r_regionkey"))
+        return self.table("customer").join(places, F.expr("c_nationkey = n_nationkey"))
+
+    @cached_property
+    def _consumer(self) -> DataFrame:
+        return self._customers.selectExpr(
+            "c_custkey as consumer_key",
+            "date_add(date'1996-01-01', cast(c_custkey % 1500 as int)) as insert_dt",
+            *ADDRESS_PARTS,
+            "if(c_custkey % 8 <> 0, concat(n_name, '_C', cast(c_custkey % 10 as string)), null) as city",
+            "if(c_custkey % 9 <> 0, concat('LOC', cast(c_custkey % 20 as string)), null) as locality",
+            f"if(c_custkey % 4 <> 0, cast(c_acctbal as {MONEY}), null) as monthly_income",
+            f"if(c_custkey % 3 <> 0, cast(cast(c_acctbal as {MONEY}) * 10 as {MONEY}), null) as annual_income",
+            "if(c_custkey % 5 <> 0, date_add(date'1950-01-01', cast((c_custkey * 37) % 18000 as int)), null) as birth_dt",
+            f"{choose('c_custkey % 3', ('M', 'F', None))} as gender", "c_mktsegment as occupation",
+            f"{choose('c_custkey % 5', ('O01', 'O02', 'O04', None, None))} as ownership_ind",
+            "c_custkey % 13 = 0 as is_commercial",
+            "if(c_custkey % 2 = 0, cast(c_custkey % 50 + 18 as int), null) as age",
+            "if(c_custkey % 4 <> 2, date_add(date'1999-01-01', cast(c_custkey % 300 as int)), null) as age_as_on_dt",
         )
 
+    def consumer(self) -> DataFrame:
+        return self._consumer
+
     def geo_fill(self) -> DataFrame:
         """Fallback addresses, known for even consumers."""
-        c = F.col("c_custkey")
-        places = self.table("nation").join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        return self.table("customer").where(c % 2 == 0).join(
-            places, F.col("c_nationkey") == F.col("n_nationkey")
-        ).select(
-            c.alias("consumer_key"), F.col("r_name").alias("state"), F.col("n_name").alias("district"),
-            (F.lit(100000) + F.col("c_nationkey")).cast("string").alias("pin_code"),
+        return self._customers.where("c_custkey % 2 = 0").selectExpr(
+            "c_custkey as consumer_key", "r_name as state", "n_name as district",
+            "cast(100000 + c_nationkey as string) as pin_code",
         )
 
-    def account_party(self) -> DataFrame:
-        """Consumers of each account: its holder and, for every fourth one, a co-borrower."""
-        k, c = F.col("account_key"), F.col("consumer_key")
-        links = self._orders().select(
+    @cached_property
+    def _party(self) -> DataFrame:
+        links = self._orders.selectExpr(
             "account_key", "lender_id",
-            F.explode(F.when(k % 4 == 0, F.array(c, c + 1)).otherwise(F.array(c))).alias("consumer_key"),
+            "explode(if(account_key % 4 = 0, array(consumer_key, consumer_key + 1), array(consumer_key))) as consumer_key",
         )
-        rows = skew_join(links, self.consumer(), ["consumer_key"], "inner", "account_key")
-        return rows.withColumn("insert_dt", F.date_add("insert_dt", (k % 700).cast("int")))
+        rows = links.join(self._consumer, "consumer_key")
+        return rows.withColumn("insert_dt", F.expr("date_add(insert_dt, cast(account_key % 700 as int))"))
+
+    def account_party(self) -> DataFrame:
+        """Consumers of each account: its holder and, for every fourth one, a co-borrower."""
+        return self._party
 
     def cluster_pair(self) -> DataFrame:
-        c = F.col("c_custkey")
-        found = F.when(c % 5 == 1, F.array(c - c % 3, c - c % 6)).otherwise(F.array(c - c % 3))
-        return self.table("customer").where(c % 5 != 0).select(
-            c.alias("candidate_id"), F.explode(found).alias("clst_id")
+        return self.table("customer").where("c_custkey % 5 <> 0").selectExpr(
+            "c_custkey as candidate_id",
+            "explode(if(c_custkey % 5 = 1, array(c_custkey - c_custkey % 3, c_custkey - c_custkey % 6), "
+            "array(c_custkey - c_custkey % 3))) as clst_id",
         )
 
+    def clusters(self) -> DataFrame:
+        """Cluster of each candidate."""
+        return cluster_map(self.cluster_pair())
+
     def cluster_member(self) -> DataFrame:
         """Party rows with their cluster and the dates of their account."""
-        dates = self._dates()
-        return attach_cluster(self.account_party(), cluster_map(self.cluster_pair()), "account_key").join(
-            dates, "account_key"
-        )
-
-    def _dates(self) -> DataFrame:
-        return self.account().select("account_key", "disbursed_dt", "reported_dt")
+        found = self.clusters().withColumnRenamed("candidate_id", "consumer_key")
+        rows = self._party.join(found, "consumer_key", "left")
+        dates = self._account.select("account_key", "disbursed_dt", "reported_dt")
+        return rows.withColumn("clst_id", F.coalesce("clst_id", "consumer_key")).join(dates, "account_key")
 
     # --- macro tables -----------------------------------------------------------------
     MACRO = (
@@ -226,135 +235,97 @@ class Book:
         "is_commercial",
     )
 
-    def _macro(self, statuses, das_flag: int) -> DataFrame:
-        accounts = self.account().where(F.col("das").isin(*statuses)).select(*self.MACRO)
-        return accounts.join(self.account_party().select(*self.PARTY), "account_key").withColumn(
-            "das_flag", F.lit(das_flag)
-        )
+    @cached_property
+    def _macro(self) -> DataFrame:
+        return self._account.select(*self.MACRO).join(self._party.select(*self.PARTY), "account_key")
 
     def macro_open(self) -> DataFrame:
         """Open accounts flattened with their consumers."""
-        return self._macro(("S04", "S05"), 1)
+        return self._macro.where("das in ('S04', 'S05')").withColumn("das_flag", F.lit(1))
 
     def macro_closed(self) -> DataFrame:
-        return self._macro(("S06", "S07"), 0)
+        return self._macro.where("das in ('S06', 'S07')").withColumn("das_flag", F.lit(0))
 
     def extra_columns(self) -> DataFrame:
         """Suppression, minimum due and income per (account, consumer)."""
-        accounts = self.account().select("account_key", "suppress_indicator", "min_amount_due")
-        return self.account_party().select(
-            "account_key", "consumer_key", "annual_income", "monthly_income"
-        ).join(accounts, "account_key")
+        accounts = self._account.select("account_key", "suppress_indicator", "min_amount_due")
+        return self._party.select("account_key", "consumer_key", "annual_income", "monthly_income").join(
+            accounts, "account_key"
+        )
 
     # --- commercial book --------------------------------------------------------------
-    def _commercial_codes(self, rows: DataFrame) -> DataFrame:
-        j = F.floor(F.col("account_key") / 5)
-        return rows.select(
-            "*",
-            choose(j % 6, ("9002", "4000", "0200", "0420", "0310", "7777")).alias("credit_type"),
-            choose(
-                j % 14, ("L01", "0001", "002", "0003", "005", "0010", "011", "0012", "013")
-            ).alias("asset_class"),
+    J = "cast(floor(account_key / 5) as int)"
+
+    def _commercial(self, rows: DataFrame, *columns: str) -> DataFrame:
+        return rows.where("account_key % 5 = 0").selectExpr(
+            "account_key", "lender_id as contributor_id",
+            f"{choose(f'{self.J} % 14', COMMERCIAL_CLASSES)} as asset_class",
+            "das", "current_balance", "amount_overdue_total", "closed_dt",
+            "if(account_key % 9 = 0, date_add(closed_dt, 30), null) as loan_expiry_dt", "reported_dt", *columns,
         )
 
+    def _commercial_dpd(self, text: str) -> str:
+        return f"case {self.J} % 10 when 0 then 'XXX' when 1 then 'DDD' when 2 then null else {text} end as dpd"
+
     def commercial_account(self) -> DataFrame:
-        k = F.col("account_key")
-        j = F.floor(k / 5)
-        rows = self.account().where(k % 5 == 0).drop("asset_class")
-        return self._commercial_codes(rows).select(
-            "account_key", F.col("lender_id").alias("contributor_id"), F.col("consumer_key").alias("borrower_key"),
-            F.when(k % 10 == 0, F.col("account_nbr")).otherwise(
-                F.concat(F.lit("CM"), k.cast("string"))
-            ).alias("account_number"),
-            "credit_type", F.col("disbursed_dt").alias("sanctioned_dt"), "das", "asset_class",
-            F.when(j % 10 == 0, "XXX").when(j % 10 == 1, "DDD").when(j % 10 == 2, F.lit(None))
-            .otherwise((k % 500).cast("string")).alias("dpd"),
-            F.col("disbursed_amount").alias("sanctioned_amount"), F.col("high_credit").alias("drawing_power"),
-            "current_balance", "amount_overdue_total", "closed_dt",
-            F.when(k % 9 == 0, F.date_add("closed_dt", 30)).alias("loan_expiry_dt"), "reported_dt",
+        return self._commercial(
+            self._account,
+            "consumer_key as borrower_key",
+            "if(account_key % 10 = 0, account_nbr, concat('CM', cast(account_key as string))) as account_number",
+            f"{choose(f'{self.J} % 6', CREDIT_TYPES)} as credit_type", "disbursed_dt as sanctioned_dt",
+            self._commercial_dpd("cast(account_key % 500 as string)"),
+            "disbursed_amount as sanctioned_amount", "high_credit as drawing_power",
         )
 
     def commercial_trend(self) -> DataFrame:
-        k = F.col("account_key")
-        j = F.floor(k / 5)
-        rows = self.account_trend().where(k % 5 == 0).drop("asset_class")
-        return self._commercial_codes(rows).select(
-            "account_key", F.col("lender_id").alias("contributor_id"), "asset_class", "das",
-            F.when(j % 10 == 0, "XXX").when(j % 10 == 1, "DDD").when(j % 10 == 2, F.lit(None))
-            .otherwise(F.col("days_past_due")).alias("dpd"),
-            F.when(k % 3 != 0, F.col("current_balance")).alias("sanctioned_amount"),
-            F.when(k % 2 == 0, F.col("current_balance")).alias("drawing_power"),
-            "current_balance", "amount_overdue_total", "closed_dt",
-            F.when(k % 9 == 0, F.date_add("closed_dt", 30)).alias("loan_expiry_dt"), "reported_dt",
+        return self._commercial(
+            self._trend,
+            self._commercial_dpd("days_past_due"),
+            "if(account_key % 3 <> 0, current_balance, null) as sanctioned_amount",
+            "if(account_key % 2 = 0, current_balance, null) as drawing_power",
         )
 
     # --- data-driven dimensions ----------------------------------------------------------
     def geo_dim(self) -> DataFrame:
         """Distinct (state, district, pin) with a key computed from its parts."""
-        c = F.col("c_custkey")
-        places = self.table("nation").join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        rows = self.table("customer").join(places, F.col("c_nationkey") == F.col("n_nationkey")).select(
-            F.when(c % 10 != 0, F.col("r_name")).alias("state"),
-            F.when(c % 7 != 0, F.col("n_name")).alias("district"),
-            F.when(c % 6 != 0, (F.lit(100000) + F.col("c_nationkey")).cast("string")).alias("pin_code"),
-            (
-                F.when(c % 10 != 0, (F.col("r_regionkey") + 1) * 10000).otherwise(0)
-                + F.when(c % 7 != 0, (F.col("n_nationkey") + 1) * 100).otherwise(0)
-                + F.when(c % 6 != 0, F.col("n_nationkey") + 1).otherwise(0)
-            ).cast("int").alias("sdp_key"),
+        rows = self._customers.selectExpr(
+            *ADDRESS_PARTS,
+            "cast(if(c_custkey % 10 <> 0, (r_regionkey + 1) * 10000, 0) "
+            "+ if(c_custkey % 7 <> 0, (n_nationkey + 1) * 100, 0) "
+            "+ if(c_custkey % 6 <> 0, n_nationkey + 1, 0) as int) as sdp_key",
         ).distinct()
-        return rows.select(
-            "*", F.col("state").alias("rev_state"), F.col("district").alias("rev_district"), F.lit(1).alias("active")
-        )
+        return rows.selectExpr("*", "state as rev_state", "district as rev_district", "1 as active")
 
     def purpose_dim(self) -> DataFrame:
         """Lender's purpose text -> category; one lender has no mapping."""
-        rows = self._orders().where(
-            F.col("loan_purpose").isNotNull() & (F.col("lender_id") != "ARC008")
-        ).select("lender_id", "loan_purpose").distinct()
-        names = {
-            "AGRI": "Income", "BUSINESS": "INCOME", "SCHOOL": "Education", "HOME": "Housing",
-            "VEHICLE": "Automobile", "LAND": "Real Estate", "OTHER": "misc",
-        }
-        p = F.col("loan_purpose")
-        arms = None
-        for code, name in names.items():
-            arms = F.when(p == code, name) if arms is None else arms.when(p == code, name)
-        return rows.withColumn("purpose_status", arms)
+        names = " ".join(f"when '{code}' then '{name}'" for code, name in PURPOSE_NAMES.items())
+        return self._orders.where("loan_purpose is not null and lender_id <> 'ARC008'").select(
+            "lender_id", "loan_purpose"
+        ).distinct().selectExpr("*", f"case loan_purpose {names} end as purpose_status")
 
     def occupation_dim(self) -> DataFrame:
         """Lender's occupation text -> category; one lender has no mapping."""
-        names = {
-            "AUTOMOBILE": "Employed", "BUILDING": "Self Employed", "FURNITURE": "Agriculture and Allied",
-            "HOUSEHOLD": "Contract Employee", "MACHINERY": "Others",
-        }
-        lenders = self.spark.createDataFrame(
-            [(x, o, c) for x in LENDERS if x != "CCC009" for o, c in names.items()],
+        return self.spark.createDataFrame(
+            [(x, o, c) for x in LENDERS if x != "CCC009" for o, c in OCCUPATION_NAMES.items()],
             "lender_id string, occupation string, occupation_category string",
         )
-        return lenders
 
     def threshold(self) -> DataFrame:
         """Caps per account type: 99th percentile of balance and of amount."""
-        rows = self.account().select(
-            "account_type", F.abs("current_balance").alias("balance"),
-            F.abs("disbursed_amount").alias("amount"),
+        rows = self._account.selectExpr(
+            "account_type", "abs(current_balance) as balance", "abs(disbursed_amount) as amount"
         )
-        balance = percentile_exact(rows, "account_type", "balance", 99, "balance_cap")
-        amount = percentile_exact(rows, "account_type", "amount", 99, "amount_cap")
-        return balance.join(amount, "account_type").withColumn("active", F.lit(1))
+        caps = percentile_exact(rows, "account_type", {"balance": "balance_cap", "amount": "amount_cap"}, 99)
+        return caps.withColumn("active", F.lit(1))
 
     def overall_threshold(self) -> DataFrame:
         """One row of caps over all accounts."""
-        rows = self.account().select(
-            F.lit(1).alias("all_types"), F.abs("current_balance").alias("balance"),
-            F.abs("disbursed_amount").alias("amount"), F.abs("min_amount_due").alias("due"),
+        rows = self._account.selectExpr(
+            "1 as all_types", "abs(current_balance) as balance", "abs(disbursed_amount) as amount",
+            "abs(min_amount_due) as due",
         )
-        caps = None
-        for value, name in (("balance", "balance_cap"), ("amount", "amount_cap"), ("due", "min_due_cap")):
-            cap = percentile_exact(rows, "all_types", value, 99, name)
-            caps = cap if caps is None else caps.join(cap, "all_types")
-        return caps.drop("all_types")
+        names = {"balance": "balance_cap", "amount": "amount_cap", "due": "min_due_cap"}
+        return percentile_exact(rows, "all_types", names, 99).drop("all_types")
 
 
 __all__ = ["ACCOUNT_TYPES", "Book"]

@@ -83,7 +83,7 @@ SELECT o_orderkey AS account_key, o_custkey AS consumer_key, {ORDERED} AS disbur
   {REPORTED} AS act_reported_dt
 FROM orders""",
     "account": """
-SELECT *, account_key AS k,
+SELECT *,
   CASE account_key % 11 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'XXX'
     WHEN 3 THEN 'DPD ' || CAST(account_key % 400 AS VARCHAR) ELSE CAST(account_key % 400 AS VARCHAR) END AS days_past_due,
   CASE account_key % 9 WHEN 0 THEN 'L01' WHEN 1 THEN 'L02' WHEN 2 THEN 'L03' WHEN 3 THEN 'L04' WHEN 4 THEN 'L05'
