@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from loanbook import params as P
 from loanbook.functions import buckets as B
 from loanbook.functions import rules as R
-from loanbook.operators import clusters, dashboard, entity, snapshot
+from loanbook.operators import clusters, dashboard, entity, par, snapshot, vintage
 from loanbook.sources import dims
 from loanbook.sources.views import Book, choose, times
 
@@ -496,3 +496,70 @@ def dti_table(book: Book, p: P.RunParams) -> DataFrame:
 @query
 def dti_dashboard(book: Book, p: P.RunParams) -> DataFrame:
     return dashboard.dti_dashboard(dashboard.dti_table(income_backfill(book, p)))
+
+
+# --- reports ----------------------------------------------------------------------
+def _macro_rows(book: Book, p: P.RunParams) -> DataFrame:
+    return snapshot.open_closed_union(book.macro_open(), book.macro_closed(), p.as_of, p.report_cut)
+
+
+@query
+def par_report(book: Book, p: P.RunParams) -> DataFrame:
+    return par.par_report(_macro_rows(book, p), dims.lender_dim(book.spark), p.as_of)
+
+
+@query
+def par_report_one_lender(book: Book, p: P.RunParams) -> DataFrame:
+    rows = open_closed_union_uncapped(book, p)
+    return par.par_report_one_lender(
+        rows, dims.lender_dim(book.spark), p.as_of, "PRB001", ("A13", "A07", "A12", "A15", "A06")
+    )
+
+
+def _report_runs(book: Book) -> DataFrame:
+    """History rows as one run and current rows as a second, both with the account's amounts."""
+    shared = ["account_key", "account_type", "lender_id", "reported_dt", "closed_dt", "das", "current_balance",
+              "amount_overdue_total", "chargeoff_amt", "days_past_due", "asset_class"]
+    amounts = ["high_credit", "disbursed_amount", "credit_limit"]
+    current = book.account()
+    past = book.account_trend().select(*shared).join(current.select("account_key", *amounts), "account_key")
+    return past.withColumn("run", F.lit(1)).unionByName(
+        current.select(*shared, *amounts).withColumn("run", F.lit(2))
+    )
+
+
+@query
+def par_report_by_month(book: Book, p: P.RunParams) -> DataFrame:
+    return par.par_report_by_month(_report_runs(book), dims.lender_dim(book.spark))
+
+
+@query
+def report_dedupe(book: Book, p: P.RunParams) -> DataFrame:
+    return par.report_dedupe(par_report_by_month(book, p), p.as_of)
+
+
+@query
+def month_over_month(book: Book, p: P.RunParams) -> DataFrame:
+    return par.month_over_month(report_dedupe(book, p), p.as_of)
+
+
+@query
+def share_filter(book: Book, p: P.RunParams) -> DataFrame:
+    return par.share_filter(report_dedupe(book, p))
+
+
+@query
+def report_outliers(book: Book, p: P.RunParams) -> DataFrame:
+    report = report_dedupe(book, p)
+    return par.report_outliers(par.month_over_month(report, p.as_of), par.share_filter(report))
+
+
+@query
+def vintage_cube(book: Book, p: P.RunParams) -> DataFrame:
+    prod = entity.cross_bureau_flag(book.account(), book.commercial_account())
+    return vintage.vintage_cube(book.account_trend(), prod, p)
+
+
+@query
+def vintage_cube_commercial(book: Book, p: P.RunParams) -> DataFrame:
+    return vintage.vintage_cube_commercial(book.commercial_trend(), book.commercial_account(), p)
