@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from loanbook import params as P
 from loanbook.functions import buckets as B
 from loanbook.functions import rules as R
-from loanbook.operators import clusters, dashboard, entity, par, snapshot, vintage
+from loanbook.operators import clusters, dashboard, entity, facts, geo, par, snapshot, vintage
 from loanbook.sources import dims
 from loanbook.sources.views import Book, choose, times
 
@@ -563,3 +563,130 @@ def vintage_cube(book: Book, p: P.RunParams) -> DataFrame:
 @query
 def vintage_cube_commercial(book: Book, p: P.RunParams) -> DataFrame:
     return vintage.vintage_cube_commercial(book.commercial_trend(), book.commercial_account(), p)
+
+
+# --- fact table ---------------------------------------------------------------------
+def _step1(book: Book, p: P.RunParams) -> DataFrame:
+    return facts.mfi_step1(as_of_snapshot(book, p), book.clusters(), book.account_party())
+
+
+def _step2(book: Book, p: P.RunParams) -> DataFrame:
+    return facts.mfi_step2(
+        _step1(book, p), dims.lender_dim(book.spark), book.purpose_dim(), book.occupation_dim(), book.geo_dim(), p
+    )
+
+
+def _fact(book: Book, p: P.RunParams) -> DataFrame:
+    return facts.fact_keys(fact_rollup(book, p), dims.bucket_dims(book.spark))
+
+
+def _yyyymm(p: P.RunParams) -> int:
+    return p.as_of.year * 100 + p.as_of.month
+
+
+@query
+def mfi_step1(book: Book, p: P.RunParams) -> DataFrame:
+    return _step1(book, p)
+
+
+@query
+def group_share(book: Book, p: P.RunParams) -> DataFrame:
+    rows = as_of_snapshot(book, p).select(
+        "account_key", "lender_id", "loan_category", "group_id", *facts.SHARED_MONEY
+    )
+    return facts.group_share(rows, p.group_lender, p.group_category)
+
+
+@query
+def geo_key_join(book: Book, p: P.RunParams) -> DataFrame:
+    untidy = F.concat(F.substring("pin_code", 1, 3), F.lit("-"), F.substring("pin_code", 4, 3))
+    people = book.consumer().select("consumer_key", "state", "district", untidy.alias("pin_code"))
+    return facts.geo_key_join(people, book.geo_dim()).select("consumer_key", "sdp_key")
+
+
+@query
+def mfi_step2(book: Book, p: P.RunParams) -> DataFrame:
+    return _step2(book, p).withColumn("age", F.round("age", 4))
+
+
+@query
+def fact_rollup(book: Book, p: P.RunParams) -> DataFrame:
+    return facts.fact_rollup(_step2(book, p), dims.category_dim(book.spark))
+
+
+@query
+def fact_keys(book: Book, p: P.RunParams) -> DataFrame:
+    return _fact(book, p)
+
+
+@query
+def par_report_from_fact(book: Book, p: P.RunParams) -> DataFrame:
+    return facts.par_report_from_fact(
+        _fact(book, p), dims.lender_dim(book.spark), dims.category_dim(book.spark), _yyyymm(p)
+    )
+
+
+# --- geography ----------------------------------------------------------------------
+@query
+def district_active_base(book: Book, p: P.RunParams) -> DataFrame:
+    return geo.district_active_base(_step2(book, p), book.geo_dim()).select(
+        "account_key", "clst_id", "sdp_key", "rev_state", "rev_district", "mfi_das", "cur_bal"
+    )
+
+
+@query
+def district_cluster_profile(book: Book, p: P.RunParams) -> DataFrame:
+    return geo.district_cluster_profile(_step2(book, p), book.geo_dim())
+
+
+@query
+def district_exposure(book: Book, p: P.RunParams) -> DataFrame:
+    return geo.district_exposure(_step2(book, p), book.geo_dim(), p.period_cutoff)
+
+
+@query
+def district_exposure_self(book: Book, p: P.RunParams) -> DataFrame:
+    return geo.district_exposure_self(_step2(book, p), book.geo_dim(), p.period_cutoff, p.self_lender)
+
+
+@query
+def exposure_file(book: Book, p: P.RunParams) -> DataFrame:
+    return geo.exposure_file(district_exposure(book, p), str(_yyyymm(p)))
+
+
+@query
+def exposure_file_self(book: Book, p: P.RunParams) -> DataFrame:
+    return geo.exposure_file(district_exposure_self(book, p), str(_yyyymm(p)))
+
+
+@query
+def active_lender_density(book: Book, p: P.RunParams) -> DataFrame:
+    return geo.active_lender_density(_fact(book, p), book.geo_dim(), _yyyymm(p))
+
+
+def _geo_cube(book: Book, p: P.RunParams, variant: str) -> DataFrame:
+    spark = book.spark
+    return geo.geo_product_cube(
+        _fact(book, p), book.geo_dim(), dims.lender_dim(spark), dims.date_dim(spark), dims.category_dim(spark), p,
+        _yyyymm(p), variant,
+    )
+
+
+@query
+def geo_product_cube_1(book: Book, p: P.RunParams) -> DataFrame:
+    return _geo_cube(book, p, "RPT1")
+
+
+@query
+def geo_product_cube_2(book: Book, p: P.RunParams) -> DataFrame:
+    return _geo_cube(book, p, "RPT2")
+
+
+@query
+def geo_report_1(book: Book, p: P.RunParams) -> DataFrame:
+    return geo.geo_report(geo_product_cube_1(book, p))
+
+
+@query
+def geo_report_2(book: Book, p: P.RunParams) -> DataFrame:
+    return geo.geo_report(geo_product_cube_2(book, p))

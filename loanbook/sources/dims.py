@@ -55,12 +55,18 @@ def bucket_dims(spark: SparkSession) -> dict[str, DataFrame]:
     dims["status"] = spark.createDataFrame(
         [(key, code, 1) for code, key in STATUS_KEYS.items()], "key int, label string, active int"
     )
-    dims["account_type"] = account_type_dim(spark).select(
-        F.col("account_type_key").alias("key"), F.col("account_type").alias("label"), "active"
+    dims["category"] = category_dim(spark).select(
+        F.col("category_key").alias("key"), F.col("loan_category").alias("label"), "active"
     )
     return dims
 
 
+def category_dim(spark: SparkSession) -> DataFrame:
+    """Known loan categories; T04 is left out so that unknown ones occur."""
+    rows = [(1, "T01", "Group loan", 1), (2, "T02", "Individual loan", 1), (3, "T03", "Housing loan", 1)]
+    return spark.createDataFrame(rows, "category_key int, loan_category string, category_name string, active int")
+
+
 def lender_dim(spark: SparkSession) -> DataFrame:
     rows = [(n, lender, f"{lender} {'Bank' if lender[:3] in ('PRB', 'SBI') else 'Finance'}", 1)
             for n, lender in enumerate(LENDERS, start=1)]

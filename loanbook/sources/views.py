@@ -26,7 +26,7 @@ def times(amount: str, factor: str) -> str:
 
 # fixed values: text fields of the test book, by key
 INSTAL_FREQS = ("1", "F02", "f03", None, "9", "ZZ", "F04", "F04")
-CATEGORIES = ("T01", "T02", "T03", "T03")
+CATEGORIES = ("T01", "T02", "T03", "T04")
 CYCLES = ("0", "1", "002", "3", "04", "5", "006", "7", "08", "009", "10", " 12 ", None)
 PURPOSES = ("AGRI", "BUSINESS", "SCHOOL", "HOME", "VEHICLE", "LAND", "OTHER", None)
 PURPOSE_NAMES = {

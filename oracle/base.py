@@ -77,7 +77,7 @@ SELECT o_orderkey AS account_key, o_custkey AS consumer_key, {ORDERED} AS disbur
   CASE WHEN o_orderstatus NOT IN ('O','P') THEN {ORDERED} + 400 END AS closed_dt,
   {pick(f'{K} % 8', FREQS)} AS instal_freq, CAST({K} % 49 AS INTEGER) AS num_installment,
   CASE WHEN {K} % 50 = 0 THEN 'Y' END AS suppress_indicator,
-  {pick(f'{K} % 4', ['T01', 'T02', 'T03', 'T03'])} AS loan_category,
+  {pick(f'{K} % 4', ['T01', 'T02', 'T03', 'T04'])} AS loan_category,
   {pick(f'{K} % 13', CYCLES)} AS loan_cycle_id, {pick(f'{K} % 8', PURPOSES)} AS loan_purpose,
   'C' || CAST({K} % 23 AS VARCHAR) AS centre_id, 'G' || CAST({K} % 211 AS VARCHAR) AS group_id, 1 AS active,
   {REPORTED} AS act_reported_dt
