@@ -64,7 +64,10 @@ class RunParams:
     vintage_reported_from: date = date(1998, 4, 1)
     look_back_months: int = 24
     time_lapse_months: int = 12
-    flow_account_type: str = "A06"
+    flow_account_types: tuple[str, ...] = ("A01", "A06", "A07", "A12", "A13", "A15", "A22")
+    roll_back_months: int = 60
+    low_balance: int = 1000
+    top_cities: int = 50
     period_cutoff: date = date(1998, 4, 30)
     old_disbursal_yyyymm: int = 199603
     old_disbursal_label: str = "UPTO FY 1995-1996"

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from loanbook import params as P
 from loanbook.functions import buckets as B
 from loanbook.functions import rules as R
-from loanbook.operators import clusters, dashboard, entity, facts, geo, par, snapshot, vintage
+from loanbook.operators import cards, clusters, dashboard, entity, facts, flow, geo, par, snapshot, vintage
 from loanbook.sources import dims
 from loanbook.sources.views import Book, choose, times
 
@@ -690,3 +690,92 @@ def geo_report_1(book: Book, p: P.RunParams) -> DataFrame:
 @query
 def geo_report_2(book: Book, p: P.RunParams) -> DataFrame:
     return geo.geo_report(geo_product_cube_2(book, p))
+
+
+# --- cards and flows ----------------------------------------------------------------
+def _cards(book: Book, p: P.RunParams) -> DataFrame:
+    return cards.card_base(
+        book.account_trend(), book.account(), unique_account_row(book, p), book.clusters(), book.threshold(), p
+    )
+
+
+def _spine(book: Book, p: P.RunParams) -> DataFrame:
+    return cards.quarter_spine_agg(_cards(book, p), p.quarter_ends, p.low_balance)
+
+
+@query
+def card_base(book: Book, p: P.RunParams) -> DataFrame:
+    return _cards(book, p)
+
+
+@query
+def quarter_spine_agg(book: Book, p: P.RunParams) -> DataFrame:
+    return _spine(book, p)
+
+
+@query
+def cc_acquisitions_rank(book: Book, p: P.RunParams) -> DataFrame:
+    return cards.cc_acquisitions_rank(_cards(book, p), p)
+
+
+@query
+def cc_early_delinquency(book: Book, p: P.RunParams) -> DataFrame:
+    return cards.cc_early_delinquency(_spine(book, p), dims.date_dim(book.spark), p)
+
+
+@query
+def cc_top_cities(book: Book, p: P.RunParams) -> DataFrame:
+    return cards.cc_top_cities(_spine(book, p), p)
+
+
+@query
+def cc_portfolio(book: Book, p: P.RunParams) -> DataFrame:
+    return cards.cc_portfolio(_spine(book, p), p)
+
+
+@query
+def cc_self_rank(book: Book, p: P.RunParams) -> DataFrame:
+    return cards.cc_self_rank(_spine(book, p), p)
+
+
+@query
+def cc_low_utilisation(book: Book, p: P.RunParams) -> DataFrame:
+    return cards.cc_low_utilisation(_spine(book, p), p)
+
+
+@query
+def cc_delinquency_pct(book: Book, p: P.RunParams) -> DataFrame:
+    return cards.cc_delinquency_pct(_spine(book, p), p)
+
+
+@query
+def roll_rate(book: Book, p: P.RunParams) -> DataFrame:
+    return cards.roll_rate(_cards(book, p), p)
+
+
+@query
+def share_of_wallet(book: Book, p: P.RunParams) -> DataFrame:
+    return cards.share_of_wallet(_cards(book, p), p)
+
+
+def _all_products(book: Book, p: P.RunParams) -> DataFrame:
+    held = book.cluster_member().select("account_key", "clst_id")
+    return cards.all_product_base(book.account_trend(), book.account(), held, _cards(book, p), p)
+
+
+@query
+def all_product_base(book: Book, p: P.RunParams) -> DataFrame:
+    return _all_products(book, p)
+
+
+@query
+def new_vs_known(book: Book, p: P.RunParams) -> DataFrame:
+    return cards.new_vs_known(_all_products(book, p), p)
+
+
+@query
+def flow_rate(book: Book, p: P.RunParams) -> DataFrame:
+    return flow.flow_rate(
+        book.account_trend(), book.account(), unique_account_row(book, p), book.threshold(),
+        dims.account_type_dim(book.spark), dims.date_dim(book.spark), p,
+    )
