@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -12,7 +13,7 @@ from loanbook import params as P
 from loanbook.functions import buckets as B
 from loanbook.functions import rules as R
 from loanbook.operators import cards, clusters, dashboard, entity, facts, flow, geo, par, snapshot, vintage
-from loanbook.sources import dims
+from loanbook.sources import dims, io
 from loanbook.sources.views import Book, choose, times
 
 Query = Callable[[Book, P.RunParams], DataFrame]
@@ -408,6 +409,13 @@ def _profile(book: Book, p: P.RunParams, dates) -> DataFrame:
     return clusters.cluster_profile(_flagged(book, dates), p.self_lender)
 
 
+def _staged(book: Book, label: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A frame that several steps of one run read: written once per book."""
+    if label not in book.staged:
+        book.staged[label] = io.stage(build(), label)
+    return book.staged[label]
+
+
 @query
 def derive_account_rows(book: Book, p: P.RunParams) -> DataFrame:
     rows = _cluster_base(book, p.dashboard_dates)
@@ -471,7 +479,7 @@ def account_count_dashboard(book: Book, p: P.RunParams) -> DataFrame:
 
 @query
 def account_dashboard(book: Book, p: P.RunParams) -> DataFrame:
-    flagged = _flagged(book, p.dashboard_dates)
+    flagged = _staged(book, "flagged", lambda: _flagged(book, p.dashboard_dates))
     return dashboard.account_dashboard(
         clusters.income_row_rank(flagged), clusters.cluster_profile(flagged, p.self_lender), p.self_lender
     )
@@ -479,7 +487,7 @@ def account_dashboard(book: Book, p: P.RunParams) -> DataFrame:
 
 @query
 def income_backfill(book: Book, p: P.RunParams) -> DataFrame:
-    profile = _profile(book, p, (PRIOR_MONTH, *p.dashboard_dates))
+    profile = _staged(book, "profile", lambda: _profile(book, p, (PRIOR_MONTH, *p.dashboard_dates)))
     earlier = F.col("as_of") == F.lit(PRIOR_MONTH)
     return dashboard.income_backfill(profile.where(~earlier), profile.where(earlier))
 
@@ -550,7 +558,7 @@ def share_filter(book: Book, p: P.RunParams) -> DataFrame:
 
 @query
 def report_outliers(book: Book, p: P.RunParams) -> DataFrame:
-    report = report_dedupe(book, p)
+    report = _staged(book, "report", lambda: report_dedupe(book, p))
     return par.report_outliers(par.month_over_month(report, p.as_of), par.share_filter(report))
 
 
@@ -567,12 +575,14 @@ def vintage_cube_commercial(book: Book, p: P.RunParams) -> DataFrame:
 
 # --- fact table ---------------------------------------------------------------------
 def _step1(book: Book, p: P.RunParams) -> DataFrame:
-    return facts.mfi_step1(as_of_snapshot(book, p), book.clusters(), book.account_party())
+    snapshot_rows = _staged(book, "snapshot", lambda: as_of_snapshot(book, p))
+    return facts.mfi_step1(snapshot_rows, book.clusters(), book.account_party())
 
 
 def _step2(book: Book, p: P.RunParams) -> DataFrame:
+    step1 = _staged(book, "step1", lambda: _step1(book, p))
     return facts.mfi_step2(
-        _step1(book, p), dims.lender_dim(book.spark), book.purpose_dim(), book.occupation_dim(), book.geo_dim(), p
+        step1, dims.lender_dim(book.spark), book.purpose_dim(), book.occupation_dim(), book.geo_dim(), p
     )
 
 
@@ -580,6 +590,10 @@ def _fact(book: Book, p: P.RunParams) -> DataFrame:
     return facts.fact_keys(fact_rollup(book, p), dims.bucket_dims(book.spark))
 
 
+def _staged_step2(book: Book, p: P.RunParams) -> DataFrame:
+    return _staged(book, "step2", lambda: _step2(book, p))
+
+
 def _yyyymm(p: P.RunParams) -> int:
     return p.as_of.year * 100 + p.as_of.month
 
@@ -641,12 +655,12 @@ def district_cluster_profile(book: Book, p: P.RunParams) -> DataFrame:
 
 @query
 def district_exposure(book: Book, p: P.RunParams) -> DataFrame:
-    return geo.district_exposure(_step2(book, p), book.geo_dim(), p.period_cutoff)
+    return geo.district_exposure(_staged_step2(book, p), book.geo_dim(), p.period_cutoff)
 
 
 @query
 def district_exposure_self(book: Book, p: P.RunParams) -> DataFrame:
-    return geo.district_exposure_self(_step2(book, p), book.geo_dim(), p.period_cutoff, p.self_lender)
+    return geo.district_exposure_self(_staged_step2(book, p), book.geo_dim(), p.period_cutoff, p.self_lender)
 
 
 @query
@@ -667,7 +681,8 @@ def active_lender_density(book: Book, p: P.RunParams) -> DataFrame:
 def _geo_cube(book: Book, p: P.RunParams, variant: str) -> DataFrame:
     spark = book.spark
     return geo.geo_product_cube(
-        _fact(book, p), book.geo_dim(), dims.lender_dim(spark), dims.date_dim(spark), dims.category_dim(spark), p,
+        _staged(book, "fact", lambda: _fact(book, p)), book.geo_dim(), dims.lender_dim(spark),
+        dims.date_dim(spark), dims.category_dim(spark), p,
         _yyyymm(p), variant,
     )
 
@@ -779,3 +794,64 @@ def flow_rate(book: Book, p: P.RunParams) -> DataFrame:
         book.account_trend(), book.account(), unique_account_row(book, p), book.threshold(),
         dims.account_type_dim(book.spark), dims.date_dim(book.spark), p,
     )
+
+
+# --- input and output ------------------------------------------------------------------
+def _source(book: Book) -> io.FileSource:
+    return io.FileSource(book.folder)
+
+
+@query
+def read_table(book: Book, p: P.RunParams) -> DataFrame:
+    return io.read_table(book.spark, _source(book), "orders", "o_orderstatus = 'F'").select(
+        "o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("o_orderdate")
+    )
+
+
+@query
+def read_split(book: Book, p: P.RunParams) -> DataFrame:
+    rows = io.read_split(book.spark, _source(book), "lineitem", io.Split.by_key("l_orderkey"))
+    return rows.groupBy("l_linestatus", "l_returnflag").agg(
+        F.count(F.lit(1)).alias("line_items"), F.sum(F.col("l_quantity").cast("int")).alias("quantity")
+    )
+
+
+@query
+def load_dims(book: Book, p: P.RunParams) -> DataFrame:
+    """Dimensions refreshed into the shared folder, as one list of names."""
+    target = io.new_table_path(book.spark, "dims")
+    loaded = io.load_dims(book.spark, _source(book), ["region", "nation", "supplier", "part"], target)
+    names = {"region": "r_name", "nation": "n_name", "supplier": "s_name", "part": "p_name"}
+    frames = [loaded[d].select(F.lit(d).alias("dim"), F.col(c).alias("name")) for d, c in names.items()]
+    return functools.reduce(DataFrame.unionByName, frames)
+
+
+@query
+def load_by_period(book: Book, p: P.RunParams) -> DataFrame:
+    """History written under one folder per year, read back for the years up to the as-of date."""
+    path = io.new_table_path(book.spark, "history")
+    rows = book.account_trend().select("account_key", "act_reported_dt", "das", "current_balance")
+    io.load_by_period(rows, path, F.year("act_reported_dt"))
+    return book.spark.read.parquet(path).where(F.col("year") <= p.as_of.year)
+
+
+@query
+def write_period(book: Book, p: P.RunParams) -> DataFrame:
+    """A partitioned table in which the periods of one restatement are replaced."""
+    path = io.new_table_path(book.spark, "periods")
+    rows = book.account_trend().select(
+        "account_key", "das", "current_balance", R.yyyymm(F.col("act_reported_dt")).alias("period")
+    )
+    io.write_period(rows, path, ["period"])
+    late = rows.where((F.col("das") == "S05") & (F.col("period") % 100 == 12))
+    io.write_period(late, path, ["period"])
+    return book.spark.read.parquet(path)
+
+
+@query
+def export_single_csv(book: Book, p: P.RunParams) -> DataFrame:
+    """The risk report as one named file, read back."""
+    report = as_output(par_report(book, p))
+    folder = io.new_table_path(book.spark, "export")
+    path = io.export_single_csv(report, folder, f"par_{p.as_of:%Y%m}.csv", ["lender_id", "account_type"])
+    return book.spark.read.schema(report.schema).option("header", True).option("sep", "|").csv(path)

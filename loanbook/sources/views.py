@@ -52,6 +52,7 @@ class Book:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
         self.table = cache(self.table)
+        self.staged: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")

@@ -59,6 +59,22 @@ FROM account_trend WHERE das = 'S05' AND month(act_reported_dt) = 12""",
 SELECT * FROM macro_open UNION ALL
 SELECT * FROM macro_closed WHERE (closed_dt IS NULL OR closed_dt <= DATE '2000-06-30')
   AND reported_dt <= DATE '2000-08-08' AND act_insert_dt <= DATE '2000-08-08'""",
+    "read_table": """
+SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders WHERE o_orderstatus = 'F'""",
+    "read_split": """
+SELECT l_linestatus, l_returnflag, count(*) AS line_items, CAST(sum(CAST(l_quantity AS INTEGER)) AS BIGINT) AS quantity
+FROM lineitem GROUP BY 1, 2""",
+    "load_dims": """
+SELECT 'region' AS dim, r_name AS name FROM region UNION ALL SELECT 'nation', n_name FROM nation
+UNION ALL SELECT 'supplier', s_name FROM supplier UNION ALL SELECT 'part', p_name FROM part""",
+    "load_by_period": """
+SELECT account_key, act_reported_dt, das, current_balance, CAST(year(act_reported_dt) AS INTEGER) AS year
+FROM account_trend WHERE year(act_reported_dt) <= 2000""",
+    "write_period": """
+SELECT account_key, das, current_balance, CAST(year(act_reported_dt)*100 + month(act_reported_dt) AS INTEGER) AS period
+FROM account_trend WHERE das = 'S05' OR month(act_reported_dt) <> 12 OR act_reported_dt NOT IN (
+  SELECT act_reported_dt FROM account_trend WHERE das = 'S05')""",
+    "export_single_csv": "SELECT * FROM par_report",
     "open_closed_union_uncapped": """
 SELECT * FROM macro_open UNION ALL
 SELECT * FROM macro_closed WHERE reported_dt <= DATE '2000-08-08'
@@ -74,4 +90,7 @@ MONEY = {
     "partition_upsert": ["current_balance", "amount_overdue_total", "chargeoff_amt", "min_amount_due"],
     "open_closed_union": _BOOK_MONEY + ["credit_limit"],
     "open_closed_union_uncapped": _BOOK_MONEY + ["credit_limit"],
+    "load_by_period": ["current_balance"], "write_period": ["current_balance"],
+    "export_single_csv": ["total_disb_amount", "active_disb_amount", "active_outstanding", "total_written_off_amount"]
+    + [f"par_{b}" for b in ("0", "1_30", "31_60", "61_90", "91_180", "181_360", "360_plus")],
 }
