@@ -167,14 +167,24 @@ def _part(segment: str, measure: str) -> str:
     return f"case when in_{segment} then {measure} when is_kept = 1 then 0 end"
 
 
+def _top_incomes(flagged: DataFrame) -> DataFrame:
+    """Newest rows with a known annual and monthly income per cluster, as structs."""
+    narrow = flagged.where(F.col("annual_income").isNotNull() | F.col("monthly_income").isNotNull())
+    return narrow.groupBy(*KEYS).agg(
+        _top("annual_income").alias("top_annual"), _top("monthly_income").alias("top_monthly")
+    )
+
+
 def cluster_profile(rows: DataFrame, self_lender: str) -> DataFrame:
     """106 metrics per cluster over the rows under all thresholds.
 
     Step 1 reduces rows to one per (cluster, account); step 2 sums the matrix
     {measure} x {segment} per cluster. Distinct counts are sums of per-account
     flags, so nothing is expanded per metric and large clusters combine on the
-    map side. Lender mix, incomes and minimum due come out of the same pass.
-    An account_key identifies one account of one lender and type.
+    map side. Lender mix comes out of the same pass. Incomes and minimum due
+    need whole rows and are picked in a narrow aggregate of their own, so the
+    wide one stays a hash aggregate over numbers. `rows` is read twice: pass a
+    stored table. An account_key identifies one account of one lender and type.
     """
     flagged = rows.withColumn(
         "kept", (F.col("threshold_flag_overall") == 1) & (F.col("threshold_acnt_type") == 1)
@@ -187,12 +197,10 @@ def cluster_profile(rows: DataFrame, self_lender: str) -> DataFrame:
         F.sum(F.when(live, F.col("current_balance")).when(kept, 0)).alias("outstanding"),
         F.sum(F.when(kept, loan_amount())).alias("disb"),
         F.sum(F.when(live, loan_amount()).when(kept, 0)).alias("act_disb"),
-        _top("annual_income").alias("top_annual"), _top("monthly_income").alias("top_monthly"),
     )
     tests = _segment_tests(self_lender)
     per_account = per_account.withColumns({f"in_{name}": test for name, test in tests.items()})
-    aggs = ["count(1) as all_loans", "count_if(in_self) as all_loans_self", "max(top_annual) as top_annual",
-            "max(top_monthly) as top_monthly"]
+    aggs = ["count(1) as all_loans", "count_if(in_self) as all_loans_self"]
     for seg in SEGMENTS:
         aggs += [
             f"sum(if(in_{seg}, is_kept, 0)) as loans_{seg}",
@@ -206,10 +214,10 @@ def cluster_profile(rows: DataFrame, self_lender: str) -> DataFrame:
             f"min(if(in_{seg}, min_disb, null)) as min_disb_{seg}",
             f"max(if(in_{seg}, max_dpd, null)) as max_dpd_{seg}",
         ]
-    aggs = [F.expr(a) for a in aggs]
-    per_cluster = per_account.groupBy(*KEYS).agg(*aggs).where(F.col("loans_all") > 0)
+    per_cluster = per_account.groupBy(*KEYS).agg(*[F.expr(a) for a in aggs]).where(F.col("loans_all") > 0)
     per_cluster = per_cluster.withColumn("clust_ind", mix_label(F.col("all_loans"), F.col("all_loans_self")))
-    return per_cluster.select(*KEYS, "clust_ind", *_profile_columns(self_lender))
+    complete = per_cluster.join(_top_incomes(flagged), KEYS, "left")
+    return complete.select(*KEYS, "clust_ind", *_profile_columns(self_lender))
 
 
 def _mix_in(labels) -> str:

@@ -405,10 +405,6 @@ def _flagged(book: Book, dates) -> DataFrame:
     return clusters.threshold_flags(_cluster_base(book, dates), book.overall_threshold(), book.threshold())
 
 
-def _profile(book: Book, p: P.RunParams, dates) -> DataFrame:
-    return clusters.cluster_profile(_flagged(book, dates), p.self_lender)
-
-
 def _staged(book: Book, label: str, build: Callable[[], DataFrame]) -> DataFrame:
     """A frame that several steps of one run read: written once per book."""
     if label not in book.staged:
@@ -416,6 +412,14 @@ def _staged(book: Book, label: str, build: Callable[[], DataFrame]) -> DataFrame
     return book.staged[label]
 
 
+def _staged_flagged(book: Book, dates) -> DataFrame:
+    return _staged(book, f"flagged-{len(dates)}", lambda: _flagged(book, dates))
+
+
+def _profile(book: Book, p: P.RunParams, dates) -> DataFrame:
+    return clusters.cluster_profile(_staged_flagged(book, dates), p.self_lender)
+
+
 @query
 def derive_account_rows(book: Book, p: P.RunParams) -> DataFrame:
     rows = _cluster_base(book, p.dashboard_dates)
@@ -479,7 +483,7 @@ def account_count_dashboard(book: Book, p: P.RunParams) -> DataFrame:
 
 @query
 def account_dashboard(book: Book, p: P.RunParams) -> DataFrame:
-    flagged = _staged(book, "flagged", lambda: _flagged(book, p.dashboard_dates))
+    flagged = _staged_flagged(book, p.dashboard_dates)
     return dashboard.account_dashboard(
         clusters.income_row_rank(flagged), clusters.cluster_profile(flagged, p.self_lender), p.self_lender
     )
