@@ -126,10 +126,13 @@ def income_row_rank(rows: DataFrame) -> DataFrame:
 
 
 # --- metric matrix ------------------------------------------------------------------
-# Row segments of the matrix. Segments that depend on the lender mix need no
-# aggregate of their own: the mix is one value per cluster, so they are chosen
-# from these after aggregating.
-SEGMENTS = ("all", "self", "other", "banks", "nonbanks", "secured", "unsecured", "other_product", "cl", "noncl")
+# Aggregated segments. Their complements follow by subtraction, and segments
+# that depend on the lender mix (one value per cluster) are chosen afterwards,
+# so neither needs an aggregate of its own.
+SEGMENTS = ("all", "self", "banks", "secured", "unsecured", "cl")
+COMPLEMENTS = {
+    "other": ("self",), "nonbanks": ("banks",), "other_product": ("secured", "unsecured"), "noncl": ("cl",),
+}
 MIXED = {
     "only_self": ((ONLY_SELF,), "self"),
     "with_others": ((SELF_WITH_OTHERS,), "all"),
@@ -144,10 +147,8 @@ def _segment_tests(self_lender: str) -> dict[str, Column]:
     kind, product = R.lender_type(F.col("lender_id")), R.product_class(F.col("account_type"))
     personal = F.col("account_type") == P.CONSUMER_LOAN_TYPE
     return {
-        "all": F.lit(True), "self": F.col("lender_id") == self_lender, "other": F.col("lender_id") != self_lender,
-        "banks": kind == "Banks", "nonbanks": kind == "Non Banks",
-        "secured": product == "Secured", "unsecured": product == "Unsecured", "other_product": product == "Others",
-        "cl": personal, "noncl": ~personal,
+        "all": F.lit(True), "self": F.col("lender_id") == self_lender, "banks": kind == "Banks",
+        "secured": product == "Secured", "unsecured": product == "Unsecured", "cl": personal,
     }
 
 
@@ -167,24 +168,35 @@ def _part(segment: str, measure: str) -> str:
     return f"case when in_{segment} then {measure} when is_kept = 1 then 0 end"
 
 
-def _top_incomes(flagged: DataFrame) -> DataFrame:
-    """Newest rows with a known annual and monthly income per cluster, as structs."""
-    narrow = flagged.where(F.col("annual_income").isNotNull() | F.col("monthly_income").isNotNull())
-    return narrow.groupBy(*KEYS).agg(
-        _top("annual_income").alias("top_annual"), _top("monthly_income").alias("top_monthly")
-    )
+def _complements() -> list[str]:
+    """Metrics of the complement segments.
+
+    Counts subtract. A sum is NULL only if every kept account lies in the
+    complement and none carries the amount; then the total is NULL as well.
+    """
+    out = []
+    for name, parts in COMPLEMENTS.items():
+        for measure in ("loans", "active_loans"):
+            out.append(f"{measure}_all - " + " - ".join(f"{measure}_{s}" for s in parts) + f" as {measure}_{name}")
+        sums = ["outstanding"] + ([] if name == "noncl" else ["disb", "act_disb"])
+        for measure in sums:
+            inside = " + ".join(f"loans_{s}" for s in parts)
+            rest = " - ".join(f"coalesce({measure}_{s}, 0)" for s in parts)
+            out.append(
+                f"if({inside} = 0, {measure}_all, coalesce({measure}_all, 0) - {rest}) as {measure}_{name}"
+            )
+    return out
 
 
 def cluster_profile(rows: DataFrame, self_lender: str) -> DataFrame:
-    """106 metrics per cluster over the rows under all thresholds.
+    """106 metrics per cluster over the rows under all thresholds, in one pass.
 
     Step 1 reduces rows to one per (cluster, account); step 2 sums the matrix
     {measure} x {segment} per cluster. Distinct counts are sums of per-account
-    flags, so nothing is expanded per metric and large clusters combine on the
-    map side. Lender mix comes out of the same pass. Incomes and minimum due
-    need whole rows and are picked in a narrow aggregate of their own, so the
-    wide one stays a hash aggregate over numbers. `rows` is read twice: pass a
-    stored table. An account_key identifies one account of one lender and type.
+    flags, so nothing is expanded per metric, and rows of a large cluster
+    combine on the map side of both steps. Lender mix, incomes and minimum due
+    come out of the same pass. An account_key identifies one account of one
+    lender and type.
     """
     flagged = rows.withColumn(
         "kept", (F.col("threshold_flag_overall") == 1) & (F.col("threshold_acnt_type") == 1)
@@ -197,26 +209,28 @@ def cluster_profile(rows: DataFrame, self_lender: str) -> DataFrame:
         F.sum(F.when(live, F.col("current_balance")).when(kept, 0)).alias("outstanding"),
         F.sum(F.when(kept, loan_amount())).alias("disb"),
         F.sum(F.when(live, loan_amount()).when(kept, 0)).alias("act_disb"),
+        _top("annual_income").alias("top_annual"), _top("monthly_income").alias("top_monthly"),
     )
     tests = _segment_tests(self_lender)
     per_account = per_account.withColumns({f"in_{name}": test for name, test in tests.items()})
-    aggs = ["count(1) as all_loans", "count_if(in_self) as all_loans_self"]
+    aggs = ["count(1) as all_loans", "count_if(in_self) as all_loans_self", "max(top_annual) as top_annual",
+            "max(top_monthly) as top_monthly"]
     for seg in SEGMENTS:
         aggs += [
             f"sum(if(in_{seg}, is_kept, 0)) as loans_{seg}",
             f"sum(if(in_{seg}, is_live, 0)) as active_loans_{seg}",
             f"sum({_part(seg, 'outstanding')}) as outstanding_{seg}",
         ]
-        if seg not in ("cl", "noncl"):
+        if seg != "cl":
             aggs += [f"sum({_part(seg, m)}) as {m}_{seg}" for m in ("disb", "act_disb")]
-    for seg in ("all", "self", "other"):
-        aggs += [
-            f"min(if(in_{seg}, min_disb, null)) as min_disb_{seg}",
-            f"max(if(in_{seg}, max_dpd, null)) as max_dpd_{seg}",
-        ]
+    for seg, test in (("all", "true"), ("self", "in_self"), ("other", "not in_self")):
+        aggs += [f"min(if({test}, min_disb, null)) as min_disb_{seg}",
+                 f"max(if({test}, max_dpd, null)) as max_dpd_{seg}"]
     per_cluster = per_account.groupBy(*KEYS).agg(*[F.expr(a) for a in aggs]).where(F.col("loans_all") > 0)
-    per_cluster = per_cluster.withColumn("clust_ind", mix_label(F.col("all_loans"), F.col("all_loans_self")))
-    complete = per_cluster.join(_top_incomes(flagged), KEYS, "left")
+    complete = per_cluster.select(
+        "*", *[F.expr(e) for e in _complements()],
+        mix_label(F.col("all_loans"), F.col("all_loans_self")).alias("clust_ind"),
+    )
     return complete.select(*KEYS, "clust_ind", *_profile_columns(self_lender))
 
 
