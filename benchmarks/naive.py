@@ -116,6 +116,7 @@ def quarter_spine_agg(book: Book, p: P.RunParams) -> DataFrame:
 
 def roll_rate(book: Book, p: P.RunParams) -> DataFrame:
     """Cumulative bands by UNION ALL over the card pairs, five times on each side."""
+    p = catalog.roll_params(p)
     base = catalog._cards(book, p).where("ind = 'T' and derived_dpd <= 180").where(_live()).withColumn(
         "band", B.bucket(F.col("derived_dpd"), B.DPD_FLOW5)
     )
@@ -125,7 +126,7 @@ def roll_rate(book: Book, p: P.RunParams) -> DataFrame:
         b, F.expr("a.account_key = b.account_key and last_day(add_months(a.act_reported_dt, 12)) = b.act_reported_dt")
     ).where(
         F.col("a.act_reported_dt").between(F.lit(start), F.lit(p.as_of))
-        & F.month("a.act_reported_dt").isin(3, 6, 9, 12)
+        & F.month("a.act_reported_dt").isin(*p.roll_months)
     ).selectExpr(
         "a.account_key", "a.lender_id", "a.act_reported_dt as reported_dt_from", "a.band as dpd_from",
         "b.band as dpd_to", "a.current_balance as b_from", "b.current_balance as b_to",

@@ -28,20 +28,21 @@ def card_base(
     """Card rows from history (T) and current state (P) with rule columns, city and cluster.
 
     Cards of authorised users and of unknown ownership are dropped, as are
-    balances above the cap of the card type. History is unique by account and
+    balances above the cap of their type. History is unique by account and
     month and `unique_rows` by account, so rows stay unique.
     """
-    cards = eligible_accounts(prod).where(F.col("account_type") == P.CARD_TYPE)
+    cards = eligible_accounts(prod).where(F.col("account_type").isin(*p.card_types))
     history = trend.where(F.col("act_reported_dt") <= F.lit(p.as_of))
     rows = retail_rows(with_terms(history, cards), "T").unionByName(retail_rows(cards, "P"))
     owners = attach_cluster(
         unique_rows.where(F.col("ownership_ind") != AUTHORISED_USER).select("account_key", "consumer_key", "city"),
         clusters,
     ).drop("consumer_key")
-    cap = caps.where((F.col("account_type") == P.CARD_TYPE) & (F.col("active") == 1)).select(
-        F.max("balance_cap").alias("cap")
-    ).scalar()
-    return rows.join(owners, "account_key").where(cap.isNull() | (F.col("current_balance") <= cap))
+    limits = caps.where(F.col("active") == 1).select("account_type", F.col("balance_cap").alias("cap"))
+    capped = rows.join(limits, "account_type", "left").where(
+        F.col("cap").isNull() | (F.col("current_balance") <= F.col("cap"))
+    )
+    return capped.drop("cap").join(owners, "account_key")
 
 
 def _live() -> Column:
@@ -245,7 +246,7 @@ def roll_rate(cards: DataFrame, p: P.RunParams) -> DataFrame:
     )
     before = rows.where(
         F.col("act_reported_dt").between(F.lit(start), F.lit(p.as_of))
-        & F.month("act_reported_dt").isin(3, 6, 9, 12)
+        & F.month("act_reported_dt").isin(*p.roll_months)
     ).select(
         "account_key", "lender_id", F.col("act_reported_dt").alias("reported_dt_from"),
         F.last_day(F.add_months("act_reported_dt", 12)).alias("reported_dt_to"), F.col("band").alias("dpd_from"),

@@ -202,13 +202,14 @@ def cluster_profile(rows: DataFrame, self_lender: str) -> DataFrame:
         "kept", (F.col("threshold_flag_overall") == 1) & (F.col("threshold_acnt_type") == 1)
     )
     kept, live = F.col("kept"), F.col("kept") & active()
+    balance, amount = M.cents(F.col("current_balance")), M.cents(loan_amount())
     per_account = flagged.groupBy(*KEYS, "account_key", "lender_id", "account_type").agg(
         M.any_if(kept, "is_kept"), M.any_if(live, "is_live"),
         F.min(F.when(kept, F.col("disbursed_dt"))).alias("min_disb"),
         F.max(F.when(kept, F.col("dpd"))).alias("max_dpd"),
-        F.sum(F.when(live, F.col("current_balance")).when(kept, 0)).alias("outstanding"),
-        F.sum(F.when(kept, loan_amount())).alias("disb"),
-        F.sum(F.when(live, loan_amount()).when(kept, 0)).alias("act_disb"),
+        F.sum(F.when(live, balance).when(kept, 0)).alias("outstanding"),
+        F.sum(F.when(kept, amount)).alias("disb"),
+        F.sum(F.when(live, amount).when(kept, 0)).alias("act_disb"),
         _top("annual_income").alias("top_annual"), _top("monthly_income").alias("top_monthly"),
     )
     tests = _segment_tests(self_lender)
@@ -227,6 +228,8 @@ def cluster_profile(rows: DataFrame, self_lender: str) -> DataFrame:
         aggs += [f"min(if({test}, min_disb, null)) as min_disb_{seg}",
                  f"max(if({test}, max_dpd, null)) as max_dpd_{seg}"]
     per_cluster = per_account.groupBy(*KEYS).agg(*[F.expr(a) for a in aggs]).where(F.col("loans_all") > 0)
+    money = [c for c in per_cluster.columns if c.startswith(("outstanding_", "disb_", "act_disb_"))]
+    per_cluster = per_cluster.withColumns({c: M.from_cents(c) for c in money})
     complete = per_cluster.select(
         "*", *[F.expr(e) for e in _complements()],
         mix_label(F.col("all_loans"), F.col("all_loans_self")).alias("clust_ind"),

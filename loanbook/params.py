@@ -65,7 +65,9 @@ class RunParams:
     look_back_months: int = 24
     time_lapse_months: int = 12
     flow_account_types: tuple[str, ...] = ("A01", "A06", "A07", "A12", "A13", "A15", "A22")
+    card_types: tuple[str, ...] = (CARD_TYPE,)
     roll_back_months: int = 60
+    roll_months: tuple[int, ...] = (3, 6, 9, 12)
     low_balance: int = 1000
     top_cities: int = 50
     period_cutoff: date = date(1998, 4, 30)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import functools
 from collections.abc import Callable
 
@@ -767,9 +768,15 @@ def cc_delinquency_pct(book: Book, p: P.RunParams) -> DataFrame:
     return cards.cc_delinquency_pct(_spine(book, p), p)
 
 
+def roll_params(p: P.RunParams) -> P.RunParams:
+    """All products and months: pairs twelve months apart are rare in the small tables."""
+    return dataclasses.replace(p, card_types=dims.ACCOUNT_TYPES, roll_months=tuple(range(1, 13)))
+
+
 @query
 def roll_rate(book: Book, p: P.RunParams) -> DataFrame:
-    return cards.roll_rate(_cards(book, p), p)
+    wide = roll_params(p)
+    return cards.roll_rate(_cards(book, wide), wide)
 
 
 @query

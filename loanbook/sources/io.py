@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from dataclasses import dataclass, field
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -117,6 +118,11 @@ def write_period(df: DataFrame, path: str, columns: list[str]) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*columns).parquet(path)
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="loanbook-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: the session's checkpoint folder.
 
@@ -127,9 +133,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by the cluster")
-    folder = tempfile.mkdtemp(prefix="loanbook-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    return _local_folder()
 
 
 def new_table_path(spark: SparkSession, label: str) -> str:

@@ -62,19 +62,22 @@ FROM v_wallet a JOIN (SELECT DISTINCT clst_id, reported_dt FROM v_wallet WHERE l
   ON a.clst_id = b.clst_id AND a.reported_dt = b.reported_dt GROUP BY a.reported_dt"""
 
 
-_CARD_COLS = ("ind, account_key, lender_id, account_type, das, closed_dt, derived_dpd, act_reported_dt, current_balance, "
-              "amount_overdue_total, chargeoff_amt, not_closed_ind, sanctioned_amount, disbursed_on, disbursed_dt, mob")
 _FLOW_BAND = f"CASE WHEN {_LIVE} THEN {r.ranges('derived_dpd', r.B_FLOW9, 'No Due')} END"
 
-SQL = {
-    "card_base": f"""
+def _card_base(types: str) -> str:
+    return f"""
 SELECT x.*, u.city, coalesce(m.clst_id, u.consumer_key) AS clst_id
 FROM ({retail_row('T', 'a', 'b')} FROM account_trend a JOIN account b ON a.account_key = b.account_key
-    WHERE b.account_type = 'A15' AND {_ELIGIBLE} AND a.act_reported_dt <= {AS_OF}
-  UNION ALL {retail_row('P', 'b', 'b')} FROM account b WHERE b.account_type = 'A15' AND {_ELIGIBLE}) x
+    WHERE {types} AND {_ELIGIBLE} AND a.act_reported_dt <= {AS_OF}
+  UNION ALL {retail_row('P', 'b', 'b')} FROM account b WHERE {types} AND {_ELIGIBLE}) x
 LEFT JOIN unique_account_row u ON x.account_key = u.account_key LEFT JOIN cluster_map m ON u.consumer_key = m.candidate_id
-CROSS JOIN (SELECT balance_cap FROM threshold WHERE account_type = 'A15' AND active = 1) t
-WHERE u.ownership_ind <> 'O04' AND (t.balance_cap IS NULL OR coalesce(abs(x.current_balance), 0) <= t.balance_cap)""",
+LEFT JOIN threshold t ON t.account_type = x.account_type AND t.active = 1
+WHERE u.ownership_ind <> 'O04' AND (t.balance_cap IS NULL OR coalesce(abs(x.current_balance), 0) <= t.balance_cap)"""
+
+
+SQL = {
+    "card_base": _card_base("b.account_type = 'A15'"),
+    "v_roll_cards": _card_base("b.account_type LIKE 'A%'"),
     "v_quarters": f"""SELECT last_day(CAST(d AS DATE)) AS q FROM (SELECT unnest(generate_series(DATE '1998-06-01', DATE '2000-06-01',
   INTERVAL 3 MONTH)) AS d)""",
     "v_spine_rows": """
@@ -140,9 +143,9 @@ FROM quarter_spine_agg GROUP BY 1, 2""",
 SELECT a.act_reported_dt AS reported_dt_from, a.account_key, a.lender_id,
   {r.ranges('a.derived_dpd', r.B_FLOW5, 'No Due')} AS dpd_from, {r.ranges('b.derived_dpd', r.B_FLOW5, 'No Due')} AS dpd_to,
   a.current_balance AS balance_from, b.current_balance AS balance_to
-FROM card_base a JOIN card_base b ON a.ind = 'T' AND b.ind = 'T' AND a.account_key = b.account_key
+FROM v_roll_cards a JOIN v_roll_cards b ON a.ind = 'T' AND b.ind = 'T' AND a.account_key = b.account_key
   AND last_day(CAST(a.act_reported_dt + INTERVAL 12 MONTH AS DATE)) = b.act_reported_dt
-WHERE a.act_reported_dt BETWEEN {shift(AS_OF, -60)} AND {AS_OF} AND month(a.act_reported_dt) IN (3, 6, 9, 12)
+WHERE a.act_reported_dt BETWEEN {shift(AS_OF, -60)} AND {AS_OF}
   AND a.not_closed_ind = 'Y' AND a.das IN {BOOK} AND b.not_closed_ind = 'Y' AND b.das IN {BOOK}
   AND a.derived_dpd <= 180 AND b.derived_dpd <= 180""",
     "v_roll_from": _tiers("v_roll_base", "dpd_from", "new_dpd_from"),
@@ -219,4 +222,3 @@ MONEY = {
     "share_of_wallet": ["clst_base_cb", "bank_cb", "low_clst_base_cb", "low_bank_cb"],
     "all_product_base": _ROW_MONEY, "flow_rate": ["current_balance_tl", "total_written_off_amount"],
 }
-del _CARD_COLS

@@ -48,8 +48,6 @@ def compare(name: str, spark_df, con, sql: str) -> list[str]:
     if sorted(duck_columns) != sorted(spark_df.columns):
         extra = set(spark_df.columns) ^ set(duck_columns)
         return [f"{name}: columns differ {sorted(extra)}"]
-    kinds = {"NUMBER": ("int", "bigint", "double"), "STRING": ("string",), "Date": ("date",), "bool": ("boolean",)}
-    del kinds
     for c, t in spark_df.dtypes:
         duck_t = duck_types[c].lower()
         same = {
