@@ -64,35 +64,55 @@ def skew_join(
     return joined.drop("salt")
 
 
+SLICES = 4096
+
+
+def _bin_of_rank(rows: DataFrame, keys: list[str], rank: str) -> DataFrame:
+    """The bin of each key that holds the row of the given rank, its value range and the rank inside it.
+
+    `rank` is SQL over the number of rows of the key (`total`) or a column of the keys.
+    """
+    histogram = rows.groupBy(*keys, "bin").agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high")
+    )
+    upward = Window.partitionBy(*keys).orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cumulative = histogram.select(
+        "*", F.sum("n").over(upward).alias("upto"), F.sum("n").over(Window.partitionBy(*keys)).alias("total")
+    ).withColumn("wanted", F.expr(rank))
+    return cumulative.where("upto >= wanted and upto - n < wanted").selectExpr(
+        *[k for k in keys if k != "rank_in_bin"], "bin", "low", "high", "wanted - upto + n as rank_in_bin"
+    )
+
+
 def percentile_exact(df: DataFrame, group: str, values: dict[str, str], percent: int) -> DataFrame:
     """Smallest value of each group at or above `percent` of its rows, exactly, per measure.
 
-    Two counting passes replace a per-group sort: a histogram over bins of a
-    64th of an octave (at most a few thousand per group) finds the bin holding
-    the wanted rank, then distinct values of that bin alone are ranked. All
-    measures are counted together, as (measure, value) rows.
+    Counting passes replace a per-group sort. A histogram over bins of a 64th
+    of an octave (a few thousand per group) finds the bin holding the wanted
+    rank; that bin is cut into equal slices and counted again; only the
+    distinct values of one slice are ranked. All measures are counted together,
+    as (measure, value) rows.
     """
+    keys = [group, "measure"]
     stacked = F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).alias("v")) for m in values]))
     rows = df.select(group, stacked.alias("x")).select(group, "x.measure", "x.v").where("v is not null")
     rows = rows.withColumn(
         "bin", F.expr("cast(signum(v) * floor((log2(greatest(cast(abs(v) as double), 0.01D)) + 7) * 64) as int)")
     )
-    histogram = rows.groupBy(group, "measure", "bin").agg(F.count(F.lit(1)).alias("n"))
-    upward = Window.partitionBy(group, "measure").orderBy("bin")
-    cumulative = histogram.select(
-        "*",
-        F.sum("n").over(upward.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("upto"),
-        F.sum("n").over(Window.partitionBy(group, "measure")).alias("total"),
-    ).withColumn("wanted", F.floor((F.col("total") * percent + 99) / 100))
-    target = cumulative.where("upto >= wanted and upto - n < wanted").selectExpr(
-        group, "measure", "bin", "wanted - upto + n as rank_in_bin"
+    coarse = _bin_of_rank(rows, keys, f"floor((total * {percent} + 99) / 100)")
+    position = f"floor(cast(v - low as double) / cast(high - low as double) * {SLICES - 1})"
+    inside = rows.join(coarse, [*keys, "bin"]).select(
+        *keys, "rank_in_bin", "v", F.expr(f"if(high = low, 0, cast({position} as int))").alias("bin")
+    )
+    fine = _bin_of_rank(inside, [*keys, "rank_in_bin"], "rank_in_bin").selectExpr(
+        *keys, "bin", "rank_in_bin as rank_in_slice"
+    )
+    # the inner rank replaces the outer one, so the slice joins by key and bin alone
+    distinct = inside.drop("rank_in_bin").join(fine, [*keys, "bin"]).groupBy(*keys, "rank_in_slice", "v").agg(
+        F.count(F.lit(1)).alias("n")
     )
-    inside = rows.join(target, [group, "measure", "bin"])
-    distinct = inside.groupBy(group, "measure", "rank_in_bin", "v").agg(F.count(F.lit(1)).alias("n"))
-    by_value = Window.partitionBy(group, "measure").orderBy("v")
-    ranked = distinct.withColumn(
-        "upto", F.sum("n").over(by_value.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ).where("upto >= rank_in_bin")
+    by_value = Window.partitionBy(*keys).orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = distinct.withColumn("upto", F.sum("n").over(by_value)).where("upto >= rank_in_slice")
     return ranked.groupBy(group).agg(
         *[F.min(F.when(F.col("measure") == m, F.col("v"))).alias(name) for m, name in values.items()]
     )

@@ -106,16 +106,17 @@ def load_dims(spark: SparkSession, source, names: list[str], target: str) -> dic
 def load_by_period(df: DataFrame, path: str, period: Column, name: str = "year") -> None:
     """Append rows under one folder per period, all periods in one job.
 
-    Rows of a period are spread by a hash of the whole row, so neither a large
-    period nor many small ones make a task write everything.
+    Rows are rebalanced by period: adaptive execution splits a large period
+    over as many tasks as its size asks for and merges small ones.
     """
     rows = df.withColumn(name, period)
-    rows.repartition(name, F.pmod(F.xxhash64(*df.columns), F.lit(8))).write.mode("append").partitionBy(name).parquet(path)
+    rows.hint("rebalance", F.col(name)).write.mode("append").partitionBy(name).parquet(path)
 
 
 def write_period(df: DataFrame, path: str, columns: list[str]) -> None:
     """Replace exactly the partitions that `df` holds and leave all others."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*columns).parquet(path)
+    rows = df.hint("rebalance", *[F.col(c) for c in columns])
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*columns).parquet(path)
 
 
 @cache
