@@ -13,6 +13,7 @@ from loanbook.functions import metrics as M
 from loanbook.functions import rules as R
 from loanbook.operators.entity import attach_cluster
 from loanbook.operators.vintage import retail_rows, with_terms
+from loanbook.plans.skew import small_lookup
 
 AUTHORISED_USER = "O04"
 
@@ -39,7 +40,7 @@ def card_base(
         clusters,
     ).drop("consumer_key")
     limits = caps.where(F.col("active") == 1).select("account_type", F.col("balance_cap").alias("cap"))
-    capped = rows.join(limits, "account_type", "left").where(
+    capped = rows.join(small_lookup(limits), "account_type", "left").where(
         F.col("cap").isNull() | (F.col("current_balance") <= F.col("cap"))
     )
     return capped.drop("cap").join(owners, "account_key")

@@ -12,6 +12,7 @@ from loanbook.functions import metrics as M
 from loanbook.functions import rules as R
 from loanbook.operators.entity import attach_inner
 from loanbook.operators.snapshot import derive_account_rows, open_closed_union
+from loanbook.plans.skew import small_lookup
 
 # fixed values: lender mix of a cluster
 ONLY_SELF = "ONLY SELF"
@@ -75,7 +76,7 @@ def threshold_flags(rows: DataFrame, overall: DataFrame, per_type: DataFrame) ->
     caps = per_type.where(F.col("active") == 1).select(
         "account_type", F.col("balance_cap").alias("type_balance"), F.col("amount_cap").alias("type_amount")
     )
-    out = rows.join(caps, "account_type", "left")
+    out = rows.join(small_lookup(caps), "account_type", "left")
     under_type = F.col("type_balance").isNull() | (
         (balance <= F.col("type_balance")) & (amount <= F.col("type_amount"))
     )

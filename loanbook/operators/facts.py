@@ -10,7 +10,7 @@ from loanbook.functions import buckets as B
 from loanbook.functions import rules as R
 from loanbook.operators.entity import attach_cluster, cluster_min_disbursal, latest_consumer
 from loanbook.operators.par import BANDS, METRICS
-from loanbook.plans.skew import pick_first
+from loanbook.plans.skew import pick_first, small_lookup
 
 PERSON = ("consumer_key", "gender", "age", "age_as_on_dt", "birth_dt", "occupation", "monthly_income", "state",
           "district", "pin_code")
@@ -59,7 +59,7 @@ def geo_key_join(rows: DataFrame, geo: DataFrame) -> DataFrame:
         F.col("state").eqNullSafe(F.col("g_state")) & F.col("district").eqNullSafe(F.col("g_district"))
         & pin.eqNullSafe(F.col("g_pin_code"))
     )
-    return rows.join(places, on).drop("g_state", "g_district", "g_pin_code")
+    return rows.join(small_lookup(places), on).drop("g_state", "g_district", "g_pin_code")
 
 
 def mfi_step2(
@@ -78,8 +78,8 @@ def mfi_step2(
     keyed = geo_key_join(shared, geo)
     active_lenders = lenders.where(F.col("active") == 1).select("lender_id", "contri_key")
     joined = keyed.join(F.broadcast(active_lenders), "lender_id", "left").join(
-        purposes, ["lender_id", "loan_purpose"], "left"
-    ).join(occupations, ["lender_id", "occupation"], "left")
+        small_lookup(purposes), ["lender_id", "loan_purpose"], "left"
+    ).join(small_lookup(occupations), ["lender_id", "occupation"], "left")
     cleaned = joined.select(
         "as_of", "account_key", "account_nbr", "lender_id", "sdp_key", "contri_key", "clst_id", "min_disb_dt",
         R.active_lender(F.col("mfi_das"), closed, day, F.col("lender_id")).alias("active_lender"),

@@ -10,6 +10,7 @@ from loanbook.functions import buckets as B
 from loanbook.functions import rules as R
 from loanbook.operators.cards import AUTHORISED_USER, eligible_accounts
 from loanbook.operators.vintage import retail_rows, with_terms
+from loanbook.plans.skew import small_lookup
 
 
 def _live() -> Column:
@@ -33,7 +34,7 @@ def flow_base(trend: DataFrame, prod: DataFrame, unique_rows: DataFrame, caps: D
     limits = caps.where(F.col("active") == 1).select("account_type", "balance_cap", "amount_cap")
     return rows.join(owners, "account_key", "left").where(
         ~((F.col("account_type") == P.CARD_TYPE) & (F.col("ownership_ind") == AUTHORISED_USER))
-    ).join(limits, "account_type").where(
+    ).join(small_lookup(limits), "account_type").where(
         (F.col("current_balance") <= F.col("balance_cap")) & (F.col("sanctioned_amount") <= F.col("amount_cap"))
     )
 

@@ -10,6 +10,21 @@ from pyspark.sql import Window
 # can never be HOT_KEY_LIMIT hot keys: the broadcast below has a proven bound.
 HOT_KEY_LIMIT = 200
 SALTS = 32
+# Lookups up to this many rows are broadcast; the size is checked, not assumed.
+LOOKUP_LIMIT = 100_000
+
+
+def small_lookup(df: DataFrame, limit: int = LOOKUP_LIMIT) -> DataFrame:
+    """A lookup table of checked size, computed once and broadcast.
+
+    Joining facts to a few codes by hash would send all rows of a code to one
+    task. At most `limit` + 1 rows are fetched for the check; a larger table is
+    returned as it is and joins by shuffle, with adaptive skew handling.
+    """
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
 def pick_last(df: DataFrame, keys: list[str], order: list[Column], columns: list[str] | None = None) -> DataFrame:

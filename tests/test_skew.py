@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from loanbook.functions import metrics as M
-from loanbook.plans.skew import SALTS, hot_keys, percentile_exact, pick_first, pick_last, skew_join
+from loanbook.plans.skew import SALTS, hot_keys, percentile_exact, pick_first, pick_last, skew_join, small_lookup
 
 
 def skewed(spark, n=6000):
@@ -83,3 +83,12 @@ def test_cents_round_trip(spark):
     got = rows.groupBy("g").agg(F.sum(M.cents(F.col("v"))).alias("s")).select("g", M.from_cents("s"))
     want = rows.groupBy("g").agg(F.sum("v").alias("s"))
     assert sorted(got.collect()) == sorted(want.select("g", "s").collect())
+
+
+def test_small_lookup_checks_the_size(spark):
+    rows, codes = skewed(spark), spark.range(50).selectExpr("id as g", "concat('g', id) as name")
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    small = rows.join(small_lookup(codes), "g")
+    large = rows.join(small_lookup(codes, limit=10), "g")
+    assert "strategy=broadcast" in plan(small) and "strategy=broadcast" not in plan(large)
+    assert small.exceptAll(large).count() == 0 and small.count() == large.count() == rows.count()
