@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loanbook.llm import language
+from loanbook.llm.bpe import encode_documents
 from loanbook.llm.common import read
+from loanbook.llm.packing import pack
 from loanbook.llm.radix_dedup import radix_dedup
 from loanbook.llm.shards import shard
 from loanbook.llm.url_filter import filter_urls
@@ -69,9 +73,34 @@ from tree t join d on substr(d.bits, 1, t.depth) = t.shard
 where t.shard_bytes <= 1048576 or t.shard_rows = 1
 """
 
+def _crc_of_id(parts: int) -> Column:
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(parts))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    held_out = F.coalesce(_crc_of_id(3) == 1, F.lit(False))
+    model = language.train(docs, where=~held_out)
+    found = language.identify(docs.withColumn("held_out", held_out), model, columns=["doc_id", "held_out"])
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level tokens: a row is as long as its UTF-8 bytes."""
+    return pack(read(spark, sf_dir, "documents"), F.octet_length("text"))
+
+
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return encode_documents(read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_url_filter": op3_url_filter,
+    "op5_language_id": op5_language_id,
     "op7_sharding": op7_sharding,
+    "op8_packing": op8_packing,
+    "op10_bpe": op10_bpe,
 }
 LLM_SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op3_url_filter": OP3_SQL, "op7_sharding": OP7_SQL}

@@ -36,9 +36,13 @@ def _head(text: Column, width: int) -> Column:
 
 
 def _count_groups(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Groups of two rows and more, each with its size and a number of its own."""
+    """Groups of two rows and more, each with its size and a number of its own.
+
+    They are written first: a join with a table, unlike one with an aggregate on
+    the same key, lets adaptive execution split the rows of a large group.
+    """
     groups = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    return groups.withColumn("next_group", F.monotonically_increasing_id())
+    return staged(groups.withColumn("next_group", F.monotonically_increasing_id()), "radix-groups")
 
 
 def radix_dedup(
@@ -104,7 +108,7 @@ def _decide(left: list[DataFrame], rest: list[str]) -> DataFrame:
     )
     equal = rows.where("size is not null").withColumnRenamed("group", "group_no")
     key = ["round", "group_no"]
-    best = equal.groupBy(*key).agg(F.max(F.struct("doc_id", "tag")).alias("best"))
+    best = staged(equal.groupBy(*key).agg(F.max(F.struct("doc_id", "tag")).alias("best")), "radix-kept")
     copies = equal.join(best, key).select(
         "doc_id", F.col("best.doc_id").alias("keep_id"), F.col("size").alias("group_size"),
         (F.col("tag") == F.col("best.tag")).alias("kept"), "text_sha256", *rest,

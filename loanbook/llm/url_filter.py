@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loanbook.llm.common import staged
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 PREFIX_HEX = 8  # a 32-bit prefix of the digest is the join key
 DEFAULT_VERDICT = "allow"
@@ -100,7 +102,8 @@ def filter_urls(
         (F.col("rule_verdict") == "block").alias("blocks"),
         F.concat("rule_host", "rule_path").alias("rule"), F.col("rule_verdict").alias("verdict"),
     )
-    best = fits.groupBy("host", "path").agg(F.max(order).alias("best"))
+    # Written first, so that the join back can split the rows of a very common URL.
+    best = staged(fits.groupBy("host", "path").agg(F.max(order).alias("best")), "url-verdicts")
     return judged.join(best, ["host", "path"], "left").select(
         id_col, "host", "path", F.col("best.rule").alias("rule"),
         F.coalesce("best.verdict", F.lit(default)).alias("verdict"),
