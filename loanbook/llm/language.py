@@ -24,17 +24,22 @@ ROUNDS = 12
 PENALTY = 4.0  # per language, in units of log(number of trigrams)
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
+OTHERS = regex.compile(r"[^\p{L}\p{M}]+")
+SLICE = 1 << 20  # characters hashed at a time
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 
 
-def trigram_buckets(text: str) -> np.ndarray:
-    """Buckets of the trigrams of a lower-cased text with at least one letter; runs of other characters are one space."""
-    words = regex.sub(r"[^\p{L}\p{M}]+", " ", text.lower())
-    codes = np.frombuffer(f" {words.strip()} ".encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
-    if len(codes) < 3:
-        return np.zeros(0, dtype=np.int64)
-    mixed = codes[:-2] * MIX[0] + codes[1:-1] * MIX[1] + codes[2:] * MIX[2]
-    return ((mixed ^ (mixed >> np.uint64(29))) * MIX[0] >> np.uint64(49)).astype(np.int64)
+def trigram_counts(text: str) -> np.ndarray:
+    """How often each bucket of trigrams occurs in a lower-cased text; runs of characters other than letters are a space."""
+    words = OTHERS.sub(" ", text.lower())
+    codes = np.frombuffer(f" {words.strip()} ".encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    counts = np.zeros(BUCKETS, np.int64)
+    for at in range(0, len(codes) - 2, SLICE):
+        part = codes[at : at + SLICE + 2].astype(np.uint64)
+        mixed = part[:-2] * MIX[0] + part[1:-1] * MIX[1] + part[2:] * MIX[2]
+        bucket = (mixed ^ (mixed >> np.uint64(29))) * MIX[0] >> np.uint64(49)
+        counts += np.bincount(bucket.astype(np.int64), minlength=BUCKETS)
+    return counts
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -42,7 +47,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     found: dict[str, np.ndarray] = {}
     for batch in batches:
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text"), strict=True):
-            counts = np.bincount(trigram_buckets(text.as_py()), minlength=BUCKETS)
+            counts = trigram_counts(text.as_py())
             if lang in found:
                 found[lang] += counts
             else:
@@ -68,7 +73,7 @@ class Model:
         share = np.zeros(len(self.langs))
         if not self.langs or not LETTER.search(text):
             return share
-        counts = np.bincount(trigram_buckets(text), minlength=BUCKETS)
+        counts = trigram_counts(text)
         at = np.flatnonzero(counts)
         if not len(at):
             return share

@@ -8,10 +8,12 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanbook.llm import language
+from loanbook.llm import language, line_quality
 from loanbook.llm.bpe import encode_documents
 from loanbook.llm.common import read
+from loanbook.llm.fingerprint import fingerprint_documents
 from loanbook.llm.packing import pack
+from loanbook.llm.page_text import extract
 from loanbook.llm.radix_dedup import radix_dedup
 from loanbook.llm.shards import shard
 from loanbook.llm.url_filter import filter_urls
@@ -77,6 +79,14 @@ def _crc_of_id(parts: int) -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(parts))
 
 
+def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    held_out = F.coalesce(_crc_of_id(4) == 2, F.lit(False))
+    model = line_quality.train(docs, read(spark, sf_dir, "labels"), where=~held_out)
+    found = line_quality.score_documents(docs.withColumn("held_out", held_out), model, columns=["doc_id", "held_out"])
+    return found.withColumn("predicted", (F.col("score") >= line_quality.THRESHOLD).cast("int"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     held_out = F.coalesce(_crc_of_id(3) == 1, F.lit(False))
@@ -85,11 +95,19 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op6_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(read(spark, sf_dir, "pages"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level tokens: a row is as long as its UTF-8 bytes."""
     return pack(read(spark, sf_dir, "documents"), F.octet_length("text"))
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(read(spark, sf_dir, "documents"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return encode_documents(read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -97,10 +115,13 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_line_quality": op2_line_quality,
     "op3_url_filter": op3_url_filter,
     "op5_language_id": op5_language_id,
+    "op6_page_text": op6_page_text,
     "op7_sharding": op7_sharding,
     "op8_packing": op8_packing,
+    "op9_fingerprints": op9_fingerprints,
     "op10_bpe": op10_bpe,
 }
 LLM_SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op3_url_filter": OP3_SQL, "op7_sharding": OP7_SQL}
