@@ -16,6 +16,7 @@ from loanbook.llm.packing import pack
 from loanbook.llm.page_text import extract
 from loanbook.llm.radix_dedup import radix_dedup
 from loanbook.llm.shards import shard
+from loanbook.llm.similarity import near_duplicates
 from loanbook.llm.url_filter import filter_urls
 
 URL_RULES = """
@@ -87,6 +88,10 @@ def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("predicted", (F.col("score") >= line_quality.THRESHOLD).cast("int"))
 
 
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     held_out = F.coalesce(_crc_of_id(3) == 1, F.lit(False))
@@ -117,6 +122,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_line_quality": op2_line_quality,
     "op3_url_filter": op3_url_filter,
+    "op4_ngram_jaccard": op4_ngram_jaccard,
     "op5_language_id": op5_language_id,
     "op6_page_text": op6_page_text,
     "op7_sharding": op7_sharding,
