@@ -33,7 +33,6 @@ SLICE = 1 << 18  # code points hashed at a time
 BASE = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
 MIX = np.uint64(0xD6E8FEB86659FD93)
-OUT = "fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
 class Fingerprint:
@@ -70,10 +69,9 @@ class Fingerprint:
     def delete(self, paragraph: str) -> Fingerprint:
         return self - Fingerprint.of([paragraph])
 
-    def text_form(self) -> str:
-        """Lowercase hex of the first part and of a digest of the second, which follows from the paragraphs as well."""
-        sketch = hashlib.blake2b(self.sketch.astype("<i4").tobytes(), digest_size=16).hexdigest()
-        return self.equal.astype("<u8").tobytes().hex() + sketch
+    def digest(self) -> bytes:
+        """The first part and a digest of the second, which follows from the paragraphs as well."""
+        return self.equal.astype("<u8").tobytes() + hashlib.blake2b(self.sketch.astype("<i4").tobytes(), digest_size=16).digest()
 
     def likeness(self, other: Fingerprint) -> float:
         """Share of runs two documents have in common, 0 to 1; 1 exactly if the paragraphs are the same."""
@@ -135,13 +133,14 @@ class Walked:
         new = edited(self.text, following.text)
         changed = self.head + Fingerprint.of_text(new[self.cut :])
         return (
-            len(self.text), hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest(), self.whole.text_form(),
-            changed.text_form(), self.whole.likeness(changed), self.whole.likeness(following.whole),
+            len(self.text), hashlib.sha256(new.encode("utf-8", "surrogatepass")).digest(), self.whole.digest(),
+            changed.digest(), self.whole.likeness(changed), self.whole.likeness(following.whole),
         )
 
 
 NAMES = ["n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-TYPES = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+TYPES = [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.float64(), pa.float64()]
+FIELDS = "n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
 
 
 def _batch(ids: list, flags: list, rows: list[tuple | None], texts: list, id_type: pa.DataType) -> pa.RecordBatch:
@@ -169,7 +168,6 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     order = [F.col("doc_id").desc_nulls_last(), F.col("text").desc()]
     ranged = rows.repartitionByRange(order[0]).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
     kind = rows.schema["doc_id"].dataType.simpleString()
-    fields = "place string, text string, n_chars long, edited_sha256 string, " + OUT
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None  # the row before
@@ -187,7 +185,7 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
         if last is not None:
             yield _batch([last.doc_id], [f"last {part}"], [None], [last.text], batch.schema.field("doc_id").type)
 
-    walked = staged(ranged.mapInArrow(walk, f"doc_id {kind}, {fields}"), "fingerprints")
+    walked = staged(ranged.mapInArrow(walk, f"doc_id {kind}, place string, text string, {FIELDS}"), "fingerprints")
     done = walked.where("place is null").select("doc_id", *NAMES)
     ends = walked.where("place is not null").withColumn("side", F.substring_index("place", " ", 1)).withColumn(
         "part", F.substring_index("place", " ", -1).cast("int")
@@ -196,7 +194,7 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     parts = sorted(row["part"] for row in ends.where("side = 'first'").select("part").collect())
     following = dict(zip(parts, parts[1:] + parts[:1], strict=True))
     if not parts:
-        return done
+        return _in_hex(done)
     after = F.create_map(*[F.lit(x) for pair in following.items() for x in pair])
     firsts = ends.where("side = 'first'").select(F.col("part").alias("next_part"), F.col("text").alias("next_text"))
     lasts = ends.where("side = 'last'").select("doc_id", "text", after[F.col("part")].alias("next_part"))
@@ -210,6 +208,11 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=["doc_id", *NAMES])
 
     closed = lasts.join(firsts, "next_part").select("doc_id", "text", "next_text").mapInArrow(
-        close, f"doc_id {kind}, n_chars long, edited_sha256 string, {OUT}"
+        close, f"doc_id {kind}, {FIELDS}"
     )
-    return done.unionByName(closed)
+    return _in_hex(done.unionByName(closed))
+
+
+def _in_hex(found: DataFrame) -> DataFrame:
+    """Digests travel as bytes and are written as lowercase hex at the end."""
+    return found.withColumns({c: F.lower(F.hex(c)) for c in ("edited_sha256", "fingerprint", "edited_fingerprint")})
