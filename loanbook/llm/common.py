@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+JUDGED_ROWS = 2000  # rows of an Arrow batch judged at a time
 
 
 @cache
@@ -33,12 +36,30 @@ def shared_folder(spark: SparkSession) -> str:
     return _test_folder()
 
 
+_scratch: list[list[str]] = []
+
+
+@contextmanager
+def scratch_dropped(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end of the block, the tables that `staged` wrote in it; for work whose result is written by then."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for name in _scratch.pop():
+            path(name).getFileSystem(conf).delete(path(name), True)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write `df` once to the shared folder and return the written table.
 
     Later steps start from files that outlive any executor.
     """
     path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    if _scratch:
+        _scratch[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -47,15 +68,30 @@ def rows_exist(df: DataFrame) -> bool:
     return not df.isEmpty()
 
 
-def whole_text(name: str = "text") -> Column:
-    """The text; null counts as empty."""
-    return F.coalesce(F.col(name), F.lit(""))
-
-
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def judged(docs: DataFrame, text_col: str, columns: list[str], judge: Callable[[pa.Array], list[pa.Array]], found: str) -> DataFrame:
+    """Struct `row` of the given columns beside the columns `found` that `judge` makes of the texts of a batch."""
+    chosen = columns if text_col in columns else [*columns, text_col]
+    rows = docs.select(F.struct(*[F.col(c) for c in chosen]).alias("row"))
+    kind = rows.schema["row"].dataType
+    names = [part.split()[0] for part in found.split(", ")]
+    place = chosen.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, JUDGED_ROWS):
+                row = whole.slice(at, JUDGED_ROWS).column("row")
+                texts = row.flatten()[place]
+                kept = pa.StructArray.from_arrays(row.flatten()[: len(columns)], fields=list(row.type)[: len(columns)])
+                yield pa.RecordBatch.from_arrays([kept, *judge(texts)], names=["row", *names])
+
+    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kind.fields[: len(columns)])
+    return rows.mapInArrow(run, f"row struct<{out.replace('` ', '`: ')}>, {found}")
+
+
 def runs_by_size(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
     """Cut positions into consecutive (start, end) runs of at most `limit` in total; a larger item stands alone."""
     start = total = 0

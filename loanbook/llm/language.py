@@ -18,6 +18,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loanbook.llm.common import judged
+
 BUCKETS = 1 << 15  # hashed trigrams; with the number of languages this bounds the model
 SMOOTHING = 0.5
 ROUNDS = 12
@@ -61,12 +63,16 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Model:
-    """Languages and the log-probabilities of the buckets in each."""
+    """Languages and the probabilities of the buckets in each."""
+
+    def __init__(self, langs: list[str], prob: np.ndarray) -> None:
+        self.langs, self.prob = langs, prob
 
-    def __init__(self, langs: list[str], counts: np.ndarray) -> None:
-        self.langs = langs
+    @staticmethod
+    def of_counts(langs: list[str], counts: np.ndarray) -> Model:
+        """From the counts of each language's buckets, smoothed."""
         smooth = counts.astype(np.float64) + SMOOTHING
-        self.prob = (smooth / smooth.sum(axis=1, keepdims=True)).T.astype(np.float32) if langs else np.zeros((BUCKETS, 0), np.float32)
+        return Model(langs, (smooth / smooth.sum(axis=1, keepdims=True)).T.astype(np.float32))
 
     def mixture(self, text: str) -> np.ndarray:
         """Proportions of all languages in a text; zeros if it has no letter or nothing was learned."""
@@ -129,29 +135,22 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", where
     langs, place = np.unique(np.array(table.column("lang").to_pylist(), dtype=object).astype(str), return_inverse=True)
     dense = np.zeros((len(langs), BUCKETS), np.int64)
     dense[place, table.column("bucket").to_numpy()] = table.column("n").to_numpy()
-    return Model(langs.tolist(), dense)
+    return Model.of_counts(langs.tolist(), dense)
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text", columns: list[str] | None = None) -> DataFrame:
-    """The given `columns` of every row, and lang_pred and score.
+    """Per row: struct `row` of the given `columns` (all by default), lang_pred and score.
 
     `score` is the share of the predicted language in the text. A null text or
     one without a letter is `und` with score 0, and so is every text if nothing
     was learned. Repeated rows and nulls in the columns stay as they are; an
     empty table gives an empty result.
     """
-    chosen = columns or ["doc_id"]
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(F.struct(*[F.col(c) for c in chosen]).alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        for batch in batches:
-            found = [model.predict(text.as_py()) for text in batch.column("text")]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
-                names=["row", "lang_pred", "score"],
-            )
-
-    kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(run, f"row {kind}, lang_pred string, score double").select("row.*", "lang_pred", "score")
+    shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.prob))
+
+    def judge(texts: pa.Array) -> list[pa.Array]:
+        model = Model(*shared.value)
+        found = [model.predict(text.as_py() or "") for text in texts]
+        return [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
+
+    return judged(docs, text_col, columns or docs.columns, judge, "lang_pred string, score double")

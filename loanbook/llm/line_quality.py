@@ -16,7 +16,6 @@ consecutive lines of each. Scoring reads whole texts.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanbook.llm.common import runs_by_size
+from loanbook.llm.common import judged, runs_by_size
 
 SAMPLE_DOCS = 4000
 SAMPLE_LINES = 100
@@ -43,9 +42,13 @@ BINNED = ("upper", "digit", "symbol", "same_as_last", "symbol_end", "bare_symbol
 CUTS = (0.05, 0.25)
 
 
-@cache
+_TABLES: list[np.ndarray] = []
+
+
 def _classes() -> np.ndarray:
-    """Class of each code point of the basic plane; what lies beyond counts as a symbol."""
+    """Class of each code point of the basic plane; what lies beyond counts as a symbol. Made once."""
+    if _TABLES:
+        return _TABLES[0]
     table = np.full(65536, SYMBOL, np.uint8)
     for code in range(65536):
         char = chr(code)
@@ -59,6 +62,7 @@ def _classes() -> np.ndarray:
             table[code] = DIGIT
         elif char in ".,;:!?'\"()-":
             table[code] = POINT
+    _TABLES.append(table)
     return table
 
 
@@ -253,28 +257,24 @@ def train(docs: DataFrame, labels: DataFrame, where: Column | None = None, id_co
 
 
 def score_documents(docs: DataFrame, model: LineModel | None, text_col: str = "text", columns: list[str] | None = None) -> DataFrame:
-    """The given `columns` of every row, and `score`, the quality from 0 to 1.
+    """Per row: struct `row` of the given `columns` (all by default), and `score`, the quality from 0 to 1.
 
     Null counts as empty; an empty text is one empty line. Without a model every
     score is 0.5. Repeated rows and nulls in the columns stay as they are; an
     empty table gives an empty result.
     """
-    chosen = columns or ["doc_id"]
-    rows = docs.select(F.struct(*[F.col(c) for c in chosen]).alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    chosen = columns or docs.columns
     if model is None:
-        return rows.select("row.*", F.lit(0.5).alias("score"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        for batch in batches:
-            texts = batch.column("text")
-            scores = []
-            for start, end in runs_by_size(pc.binary_length(texts).to_pylist(), CHUNK_CHARS):
-                scores.append(model.score(texts.slice(start, end - start).to_pylist()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array(np.concatenate(scores) if scores else np.zeros(0))], names=["row", "score"]
-            )
-
-    kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(run, f"row {kind}, score double").select("row.*", "score")
+        return docs.select(F.struct(*[F.col(c) for c in chosen]).alias("row"), F.lit(0.5).alias("score"))
+    shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.step))
+
+    def judge(texts: pa.Array) -> list[pa.Array]:
+        model = LineModel(*shared.value)
+        sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+        scores = [
+            model.score([text or "" for text in texts.slice(start, end - start).to_pylist()])
+            for start, end in runs_by_size(sizes, CHUNK_CHARS)
+        ]
+        return [pa.array(np.concatenate(scores) if scores else np.zeros(0))]
+
+    return judged(docs, text_col, chosen, judge, "score double")

@@ -14,7 +14,7 @@ and only the last bins of a group can be worse filled than in one global run.
 from __future__ import annotations
 
 import bisect
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -27,9 +27,12 @@ GROUP_ROWS = 4096
 SCHEMA = "row_no long, piece int, length int, offset int, bin int, capacity int"
 
 
-def linear_cost(overhead: int = 256) -> Callable[[int], float]:
-    """Cost of a bin: its length, since padding is paid for, and a fixed overhead for each sequence."""
-    return lambda capacity: capacity + overhead
+def sequence_cost(overhead: int, attention: int) -> Callable[[int], float]:
+    """Cost of a bin: its length, since padding is paid for, attention over it, and a fixed overhead per sequence.
+
+    Attention grows with the square of the length; at `attention` tokens it costs as much as the rest.
+    """
+    return lambda capacity: overhead + capacity + capacity * capacity / attention
 
 
 class OpenBins:
@@ -96,7 +99,7 @@ def cut_pieces(length: int, most: int) -> list[int]:
     return [most] * whole + [last] * (last > 0)
 
 
-def _pack_group(rows: pd.DataFrame, capacities: tuple[int, ...], overhead: int) -> Iterator[pd.DataFrame]:
+def _pack_group(rows: pd.DataFrame, capacities: tuple[int, ...], cost: Callable[[int], float]) -> pd.DataFrame:
     rows = rows.sort_values(["length", "row_no"], ascending=[False, True])
     owner, piece, lengths = [], [], []
     for row_no, length in zip(rows["row_no"].tolist(), rows["length"].tolist(), strict=True):
@@ -104,7 +107,7 @@ def _pack_group(rows: pd.DataFrame, capacities: tuple[int, ...], overhead: int)
             owner.append(row_no)
             piece.append(k)
             lengths.append(part)
-    bins, offsets, sizes = best_fit(lengths, capacities, linear_cost(overhead))
+    bins, offsets, sizes = best_fit(lengths, capacities, cost)
     return pd.DataFrame({
         "row_no": owner, "piece": piece, "length": lengths, "offset": offsets, "bin": bins,
         "capacity": [sizes[b] for b in bins],
@@ -113,7 +116,7 @@ def _pack_group(rows: pd.DataFrame, capacities: tuple[int, ...], overhead: int)
 
 def pack(
     docs: DataFrame, length: Column, id_col: str = "doc_id", capacities: Sequence[int] = CAPACITIES,
-    overhead: int = 256, group_rows: int = GROUP_ROWS,
+    overhead: int = 256, attention: int = 32768, group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """One row per piece: doc_id, piece, n_pieces, length, start, bin_id, offset, bin_capacity, bin_filled.
 
@@ -136,8 +139,10 @@ def pack(
     whole = F.when(long_rows, F.floor(F.col("length") / sizes[-1])).otherwise(0)
     work = work.withColumn("whole", whole.cast("long")).withColumn("rest", F.col("length") - F.col("whole") * sizes[-1])
 
+    cost = sequence_cost(overhead, attention)
+
     def packed(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        out = _pack_group(part.rename(columns={"rest": "length"}), sizes, overhead)
+        out = _pack_group(part.rename(columns={"rest": "length"}), sizes, cost)
         return out.assign(pack_group=key[0])
 
     placed = (

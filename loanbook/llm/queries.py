@@ -76,16 +76,16 @@ from tree t join d on substr(d.bits, 1, t.depth) = t.shard
 where t.shard_bytes <= 1048576 or t.shard_rows = 1
 """
 
-def _crc_of_id(parts: int) -> Column:
+def crc_of_id(parts: int) -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(parts))
 
 
 def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    held_out = F.coalesce(_crc_of_id(4) == 2, F.lit(False))
+    held_out = F.coalesce(crc_of_id(4) == 2, F.lit(False))
     model = line_quality.train(docs, read(spark, sf_dir, "labels"), where=~held_out)
     found = line_quality.score_documents(docs.withColumn("held_out", held_out), model, columns=["doc_id", "held_out"])
-    return found.withColumn("predicted", (F.col("score") >= line_quality.THRESHOLD).cast("int"))
+    return found.select("row.*", "score").withColumn("predicted", (F.col("score") >= line_quality.THRESHOLD).cast("int"))
 
 
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,10 +94,10 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    held_out = F.coalesce(_crc_of_id(3) == 1, F.lit(False))
+    held_out = F.coalesce(crc_of_id(3) == 1, F.lit(False))
     model = language.train(docs, where=~held_out)
     found = language.identify(docs.withColumn("held_out", held_out), model, columns=["doc_id", "held_out"])
-    return found.select("doc_id", "held_out", "lang_pred", "score")
+    return found.select("row.*", "lang_pred", "score")
 
 
 def op6_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:

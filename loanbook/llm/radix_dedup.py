@@ -14,6 +14,8 @@ in one task: adaptive execution splits the rows' side of that join.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,34 +60,45 @@ def radix_dedup(
     empty table gives an empty result; other columns, whatever their names, are
     read only when listed in `carry`.
     """
-    rows = docs.select(
-        F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-        F.struct(*([F.col(c) for c in carry] if carry else [F.lit(0).alias("none")])).alias("row"),
-    )
-    normal = ascii_lower(F.col("text"))
+    others = [F.col(c) for c in carry or [] if c != text_col] or [F.lit(0).alias("none")]
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.struct(*others).alias("row"))
+    rest = ["text", "row"] if carry else []
+    normal = ascii_lower(F.coalesce("text", F.lit("")))
     width, depth = first_width, 0
-    keyed = rows.withColumn("chunk", _head(F.col("text"), width))
-    groups = _count_groups(rows.select(_head(F.col("text"), width).alias("chunk")), ["chunk"])
-    state = keyed.join(groups, "chunk", "left").select(
-        "doc_id", "row", F.monotonically_increasing_id().alias("tag"), F.sha2(normal, 256).alias("text_sha256"),
-        *_fate(width), F.when(_goes_on(width), normal.cast("binary")).alias("bytes"), *(["text"] if carry else []),
+    keyed = rows.withColumn("chunk", _head(F.coalesce("text", F.lit("")), width))
+    keyed = keyed.withColumn("text_sha256", F.sha2(normal, 256))
+    groups = _count_groups(keyed.select("chunk"), ["chunk"])
+    left = [_alone(keyed.join(groups, "chunk", "left"), rest)]
+    shared = keyed.join(groups, "chunk").select(
+        "doc_id", F.monotonically_increasing_id().alias("tag"), "text_sha256", *rest, *_fate(width),
+        F.when(_goes_on(width), normal.cast("binary")).alias("bytes"),
     )
-    left = []
+    ended = []
     while True:
-        state = staged(state, "radix-rows")
-        left.append(state.where("not live").withColumn("round", F.lit(len(left))).drop("bytes", "live"))
-        live = state.where("live")
+        shared = staged(shared, "radix-rows")
+        left.append(_alone(shared, rest))
+        ended.append(shared.where("size is not null and not live").withColumn("round", F.lit(len(ended))).drop("bytes", "live"))
+        live = shared.where("live")
         if not rows_exist(live):
             break
         depth, width = depth + width, width * growth
         chunk = F.substring(F.col("bytes"), depth + 1, width).alias("chunk")
-        groups = _count_groups(live.select("group", chunk), ["group", "chunk"])
-        found = live.drop("size").withColumn("chunk", chunk).join(groups, ["group", "chunk"], "left")
-        state = found.select(
-            "doc_id", "row", "tag", "text_sha256", *_fate(width),
-            F.when(_goes_on(width), F.col("bytes")).alias("bytes"), *(["text"] if carry else []),
+        groups = _count_groups(live.select("group_no", chunk), ["group_no", "chunk"])
+        found = live.drop("size", "live").withColumn("chunk", chunk).join(groups, ["group_no", "chunk"], "left")
+        shared = found.select(
+            "doc_id", "tag", "text_sha256", *rest, *_fate(width), F.when(_goes_on(width), F.col("bytes")).alias("bytes")
         )
-    return _decide(left, ["text", "row"] if carry else [])
+    result = reduce(DataFrame.unionByName, [*left, _copies(reduce(DataFrame.unionByName, ended), rest)])
+    if not carry:
+        return result
+    whole = F.struct(*[F.col("text").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in carry])
+    return result.withColumn("row", whole).drop("text")
+
+
+def _alone(rows: DataFrame, rest: list[str]) -> DataFrame:
+    """Rows without an equal stay."""
+    size = F.lit(1).cast("long").alias("group_size")
+    return rows.where("size is null").select("doc_id", F.col("doc_id").alias("keep_id"), size, F.lit(True).alias("kept"), "text_sha256", *rest)
 
 
 def _goes_on(width: int) -> Column:
@@ -94,23 +107,14 @@ def _goes_on(width: int) -> Column:
 
 
 def _fate(width: int) -> list[Column]:
-    return [F.col("next_group").alias("group"), F.col("size"), _goes_on(width).alias("live")]
+    return [F.col("next_group").alias("group_no"), F.col("size"), _goes_on(width).alias("live")]
 
 
-def _decide(left: list[DataFrame], rest: list[str]) -> DataFrame:
-    """Of each ended group the row with the largest (id, tag) stays; singletons stay."""
-    rows = left[0]
-    for more in left[1:]:
-        rows = rows.unionByName(more)
-    alone = rows.where("size is null").select(
-        "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
-        F.lit(True).alias("kept"), "text_sha256", *rest,
-    )
-    equal = rows.where("size is not null").withColumnRenamed("group", "group_no")
+def _copies(ended: DataFrame, rest: list[str]) -> DataFrame:
+    """Of each ended group the row with the largest (id, tag) stays."""
     key = ["round", "group_no"]
-    best = staged(equal.groupBy(*key).agg(F.max(F.struct("doc_id", "tag")).alias("best")), "radix-kept")
-    copies = equal.join(best, key).select(
+    best = staged(ended.groupBy(*key).agg(F.max(F.struct("doc_id", "tag")).alias("best")), "radix-kept")
+    return ended.join(best, key).select(
         "doc_id", F.col("best.doc_id").alias("keep_id"), F.col("size").alias("group_size"),
         (F.col("tag") == F.col("best.tag")).alias("kept"), "text_sha256", *rest,
     )
-    return alone.unionByName(copies)

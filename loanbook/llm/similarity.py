@@ -38,6 +38,8 @@ BLOCK_CLASSES = 512
 BLOCK_GRAMS = 200_000
 CHUNK_GRAMS = 1 << 17  # n-grams whose MinHash values are computed at a time
 CHUNK_COLUMNS = 4096
+BATCH_ROWS = 2000
+NAMES = ("doc_id", "text", "row")
 SEED = 20_240_601
 WORD = re.compile(r"\w+")
 GRAM_MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -99,33 +101,36 @@ def band_hashes(values: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return mixed.view(np.int64)
 
 
-def _signatures(docs: DataFrame, n: int, bands: int, rows: int, columns: list[str]) -> DataFrame:
-    """Per row: its text, the digest and size of its n-gram set, and its band hashes, written once and numbered."""
+def _signatures(source: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
+    """Rows (doc_id, text, row) with the digest and size of their n-gram set and their band hashes, written once and numbered."""
     factors, shifts = hash_parameters(bands * rows)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column("text")
-            sets = [gram_set(text.as_py(), n) for text in texts]
-            digests, offsets, values = [], [0], []
-            for text, grams in zip(texts, sets, strict=True):
-                data = grams.tobytes() if len(grams) else b"\x00" + text.as_py().encode("utf-8", "surrogatepass")
-                digests.append(xxhash.xxh3_128_digest(data))
-            filled = [g for g in sets if len(g)]
-            for start, end in runs_by_size([len(g) for g in filled], CHUNK_GRAMS):
-                values.append(band_hashes(minhashes(filled[start:end], factors, shifts), bands, rows))
-            for grams in sets:
-                offsets.append(offsets[-1] + bands * (len(grams) > 0))
-            flat = np.concatenate(values).ravel() if values else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), texts, pa.array(digests, pa.binary()), pa.array([len(g) for g in sets], pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))],
-                names=["row", "text", "digest", "n_grams", "bands"],
-            )
+    def signatures(texts: list[str]) -> list[pa.Array]:
+        sets = [gram_set(text, n) for text in texts]
+        digests = [
+            xxhash.xxh3_128_digest(grams.tobytes() if len(grams) else b"\x00" + text.encode("utf-8", "surrogatepass"))
+            for text, grams in zip(texts, sets, strict=True)
+        ]
+        filled = [g for g in sets if len(g)]
+        hashed = [
+            band_hashes(minhashes(filled[start:end], factors, shifts), bands, rows)
+            for start, end in runs_by_size([len(g) for g in filled], CHUNK_GRAMS)
+        ]
+        flat = np.concatenate(hashed).ravel() if hashed else np.zeros(0, np.int64)
+        offsets = np.cumsum([0] + [bands * (len(g) > 0) for g in sets]).astype(np.int32)
+        sizes = pa.array([len(g) for g in sets], pa.int64())
+        return [pa.array(digests, pa.binary()), sizes, pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))]
 
-    source = docs.select(F.struct(*[F.col(c) for c in columns]).alias("row"), F.col("_text").alias("text"))
-    kind = source.schema["row"].dataType.simpleString()
-    signed = source.mapInArrow(run, f"row {kind}, text string, digest binary, n_grams long, bands array<long>")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, BATCH_ROWS):
+                batch = whole.slice(at, BATCH_ROWS)
+                found = signatures([text or "" for text in batch.column("text").to_pylist()])
+                yield pa.RecordBatch.from_arrays([*batch.columns, *found], names=[*NAMES, "digest", "n_grams", "bands"])
+
+    kinds = [source.schema[name].dataType.simpleString() for name in NAMES]
+    fields = ", ".join(f"{name} {kind}" for name, kind in zip(NAMES, kinds, strict=True))
+    signed = source.mapInArrow(run, f"{fields}, digest binary, n_grams long, bands array<long>")
     return staged(signed.withColumn("row_no", F.monotonically_increasing_id()), "signatures")
 
 
@@ -207,12 +212,9 @@ def near_duplicates(
     empty result; other columns are read only when listed in `carry`.
     """
     bands, rows = choose_bands(threshold, recall, most_hashes)
-    source = docs.select(
-        F.struct(F.col(id_col).alias("doc_id")).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"),
-        *([F.struct(*[F.col(c) for c in carry]).alias("_row")] if carry else []),
-    )
-    signed = _signatures(source, n, bands, rows, ["_id"] + ["_row"] * bool(carry))
-    signed = signed.withColumn("doc_id", F.col("row._id.doc_id"))
+    others = [F.col(c) for c in carry or [] if c != text_col] or [F.lit(0).alias("none")]
+    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.struct(*others).alias("row"))
+    signed = _signatures(source, n, bands, rows)
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_no")
     classes = signed.groupBy("digest").agg(
         F.min(first).alias("rep"), F.count(F.lit(1)).alias("copies"), F.max("n_grams").alias("n_grams")
@@ -227,10 +229,11 @@ def near_duplicates(
     full = staged(full, "class-links")
     keepers = staged(full.groupBy("root").agg(F.min("rep").alias("keeper")), "keepers")
     named = staged(full.join(keepers, "root"), "named-classes")
-    return signed.select("doc_id", "digest", "row_no", *(["row._row"] if carry else [])).join(named, "digest").select(
+    whole = F.struct(*[F.col("text").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in carry or []])
+    return signed.select("doc_id", "digest", "row_no", *(["text", "row"] if carry else [])).join(named, "digest").select(
         "doc_id", F.col("keeper.doc_id").alias("class_id"), F.col("rep.doc_id").alias("set_id"),
         F.col("copies").alias("n_copies"), "n_links", "n_linked_docs", (F.col("row_no") == F.col("keeper.row_no")).alias("kept"),
-        *([F.col("_row").alias("row")] if carry else []),
+        *([whole.alias("row")] if carry else []),
     )
 
 
@@ -252,7 +255,7 @@ def _verified_links(signed: DataFrame, classes: DataFrame, n: int, threshold: fl
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            grams = [gram_set(text.as_py(), n).tobytes() for text in batch.column("text")]
+            grams = [gram_set(text.as_py() or "", n).tobytes() for text in batch.column("text")]
             kept = [batch.column(c) for c in ("cid", "copies", "candidates", "blocks", "block")]
             yield pa.RecordBatch.from_arrays(
                 [*kept, pa.array(grams, pa.binary())], names=["cid", "copies", "candidates", "blocks", "block", "grams"]
