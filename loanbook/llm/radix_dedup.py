@@ -41,10 +41,11 @@ def _count_groups(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Groups of two rows and more, each with its size and a number of its own.
 
     They are written first: a join with a table, unlike one with an aggregate on
-    the same key, lets adaptive execution split the rows of a large group.
+    the same key, lets adaptive execution split the rows of a large group. The
+    join is by merge at every size, since groups grow with the rows.
     """
     groups = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    return staged(groups.withColumn("next_group", F.monotonically_increasing_id()), "radix-groups")
+    return staged(groups.withColumn("next_group", F.monotonically_increasing_id()), "radix-groups").hint("merge")
 
 
 def radix_dedup(
@@ -63,6 +64,7 @@ def radix_dedup(
     others = [F.col(c) for c in carry or [] if c != text_col] or [F.lit(0).alias("none")]
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.struct(*others).alias("row"))
     rest = ["text", "row"] if carry else []
+    wanted = F.lit(bool(carry))
     normal = ascii_lower(F.coalesce("text", F.lit("")))
     width, depth = first_width, 0
     keyed = rows.withColumn("chunk", _head(F.coalesce("text", F.lit("")), width))
@@ -70,23 +72,22 @@ def radix_dedup(
     groups = _count_groups(keyed.select("chunk"), ["chunk"])
     left = [_alone(keyed.join(groups, "chunk", "left"), rest)]
     shared = keyed.join(groups, "chunk").select(
-        "doc_id", F.monotonically_increasing_id().alias("tag"), "text_sha256", *rest, *_fate(width),
-        F.when(_goes_on(width), normal.cast("binary")).alias("bytes"),
+        "doc_id", F.monotonically_increasing_id().alias("tag"), "text_sha256", "text", "row", *_fate(width)
     )
     ended = []
     while True:
         shared = staged(shared, "radix-rows")
         left.append(_alone(shared, rest))
-        ended.append(shared.where("size is not null and not live").withColumn("round", F.lit(len(ended))).drop("bytes", "live"))
+        ended.append(shared.where("size is not null and not live").withColumn("round", F.lit(len(ended))))
         live = shared.where("live")
         if not rows_exist(live):
             break
         depth, width = depth + width, width * growth
-        chunk = F.substring(F.col("bytes"), depth + 1, width).alias("chunk")
+        chunk = F.substring(normal.cast("binary"), depth + 1, width).alias("chunk")
         groups = _count_groups(live.select("group_no", chunk), ["group_no", "chunk"])
         found = live.drop("size", "live").withColumn("chunk", chunk).join(groups, ["group_no", "chunk"], "left")
         shared = found.select(
-            "doc_id", "tag", "text_sha256", *rest, *_fate(width), F.when(_goes_on(width), F.col("bytes")).alias("bytes")
+            "doc_id", "tag", "text_sha256", F.when(wanted | _goes_on(width), F.col("text")).alias("text"), "row", *_fate(width)
         )
     result = reduce(DataFrame.unionByName, [*left, _copies(reduce(DataFrame.unionByName, ended), rest)])
     if not carry:
@@ -113,7 +114,7 @@ def _fate(width: int) -> list[Column]:
 def _copies(ended: DataFrame, rest: list[str]) -> DataFrame:
     """Of each ended group the row with the largest (id, tag) stays."""
     key = ["round", "group_no"]
-    best = staged(ended.groupBy(*key).agg(F.max(F.struct("doc_id", "tag")).alias("best")), "radix-kept")
+    best = staged(ended.groupBy(*key).agg(F.max(F.struct("doc_id", "tag")).alias("best")), "radix-kept").hint("merge")
     return ended.join(best, key).select(
         "doc_id", F.col("best.doc_id").alias("keep_id"), F.col("size").alias("group_size"),
         (F.col("tag") == F.col("best.tag")).alias("kept"), "text_sha256", *rest,

@@ -228,7 +228,7 @@ def near_duplicates(
     )
     full = staged(full, "class-links")
     keepers = staged(full.groupBy("root").agg(F.min("rep").alias("keeper")), "keepers")
-    named = staged(full.join(keepers, "root"), "named-classes")
+    named = staged(full.join(keepers, "root"), "named-classes").hint("merge")  # classes grow with the rows
     whole = F.struct(*[F.col("text").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in carry or []])
     return signed.select("doc_id", "digest", "row_no", *(["text", "row"] if carry else [])).join(named, "digest").select(
         "doc_id", F.col("keeper.doc_id").alias("class_id"), F.col("rep.doc_id").alias("set_id"),
@@ -251,7 +251,8 @@ def _verified_links(signed: DataFrame, classes: DataFrame, n: int, threshold: fl
     blocks = F.greatest(F.ceil(F.col("classes") / BLOCK_CLASSES), F.ceil(F.col("grams") / BLOCK_GRAMS), F.lit(1)).cast("int")
     sizes = staged(sizes.select("candidates", F.least(blocks, F.col("classes")).cast("int").alias("blocks")), "candidate-sizes")
     near = near.join(sizes, "candidates").withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
-    texts = signed.select("row_no", "text").join(near.select("row_no", "cid", "copies", "candidates", "blocks", "block"), "row_no")
+    chosen = near.select("row_no", "cid", "copies", "candidates", "blocks", "block").hint("merge")
+    texts = signed.select("row_no", "text").join(chosen, "row_no")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
