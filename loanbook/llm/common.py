@@ -11,6 +11,7 @@ from functools import cache
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 JUDGED_ROWS = 2000  # rows of an Arrow batch judged at a time
@@ -76,20 +77,19 @@ def judged(docs: DataFrame, text_col: str, columns: list[str], judge: Callable[[
     """Struct `row` of the given columns beside the columns `found` that `judge` makes of the texts of a batch."""
     chosen = columns if text_col in columns else [*columns, text_col]
     rows = docs.select(F.struct(*[F.col(c) for c in chosen]).alias("row"))
-    kind = rows.schema["row"].dataType
-    names = [part.split()[0] for part in found.split(", ")]
+    kept = StructType(rows.schema["row"].dataType.fields[: len(columns)])
+    added = StructType.fromDDL(found)
     place = chosen.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, JUDGED_ROWS):
                 row = whole.slice(at, JUDGED_ROWS).column("row")
-                texts = row.flatten()[place]
-                kept = pa.StructArray.from_arrays(row.flatten()[: len(columns)], fields=list(row.type)[: len(columns)])
-                yield pa.RecordBatch.from_arrays([kept, *judge(texts)], names=["row", *names])
+                parts = row.flatten()
+                same = pa.StructArray.from_arrays(parts[: len(columns)], fields=list(row.type)[: len(columns)])
+                yield pa.RecordBatch.from_arrays([same, *judge(parts[place])], names=["row", *added.names])
 
-    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kind.fields[: len(columns)])
-    return rows.mapInArrow(run, f"row struct<{out.replace('` ', '`: ')}>, {found}")
+    return rows.mapInArrow(run, StructType([StructField("row", kept), *added.fields]))
 
 
 def runs_by_size(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:

@@ -26,6 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from loanbook.llm.common import runs_by_size, staged
 from loanbook.llm.components import connected_components
@@ -128,9 +129,8 @@ def _signatures(source: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
                 found = signatures([text or "" for text in batch.column("text").to_pylist()])
                 yield pa.RecordBatch.from_arrays([*batch.columns, *found], names=[*NAMES, "digest", "n_grams", "bands"])
 
-    kinds = [source.schema[name].dataType.simpleString() for name in NAMES]
-    fields = ", ".join(f"{name} {kind}" for name, kind in zip(NAMES, kinds, strict=True))
-    signed = source.mapInArrow(run, f"{fields}, digest binary, n_grams long, bands array<long>")
+    added = StructType.fromDDL("digest binary, n_grams long, bands array<long>")
+    signed = source.mapInArrow(run, StructType([*source.schema.fields, *added.fields]))
     return staged(signed.withColumn("row_no", F.monotonically_increasing_id()), "signatures")
 
 
