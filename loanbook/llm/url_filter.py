@@ -103,7 +103,7 @@ def filter_urls(
         F.concat("rule_host", "rule_path").alias("rule"), F.col("rule_verdict").alias("verdict"),
     )
     # Written first, so that the join back can split the rows of a very common URL.
-    best = staged(fits.groupBy("host", "path").agg(F.max(order).alias("best")), "url-verdicts")
+    best = staged(fits.groupBy("host", "path").agg(F.max(order).alias("best")), "url-verdicts").hint("merge")
     return judged.join(best, ["host", "path"], "left").select(
         id_col, "host", "path", F.col("best.rule").alias("rule"),
         F.coalesce("best.verdict", F.lit(default)).alias("verdict"),
