@@ -49,23 +49,14 @@ def _range_test(col: Column, low: Bound, high: Bound) -> Column:
     return col.between(F.lit(low), F.lit(high))
 
 
-def bucket(col: Column, spec: BucketSpec, contiguous: bool = False) -> Column:
-    """Label of the range holding `col`.
-
-    With `contiguous=True` fractional values between two integer ranges go to
-    the higher range instead of the ELSE label.
-    """
+def bucket(col: Column, spec: BucketSpec) -> Column:
+    """Label of the range holding `col`."""
     arms = None
     if spec.null_label is not None:
         arms = F.when(col.isNull(), F.lit(spec.null_label))
-    low_seen = None
     for low, high, label in spec.ranges:
-        if contiguous and high is not None and low_seen is not None:
-            test = (col > F.lit(low_seen)) & (col <= F.lit(high))
-        else:
-            test = _range_test(col, low, high)
+        test = _range_test(col, low, high)
         arms = F.when(test, F.lit(label)) if arms is None else arms.when(test, F.lit(label))
-        low_seen = high
     return arms.otherwise(F.lit(spec.else_label).cast("string"))
 
 
@@ -97,31 +88,50 @@ AMOUNT10 = BucketSpec(
 )
 
 
-def _ticket_label(low: int, high: int) -> str:
-    def short(n: int) -> str:
-        return f"{n // 1000}K" if n < 100000 else f"{n / 100000:g}LAC"
-
-    left = str(low // 1000) if low == 0 else short(low)
-    return f"{left}_{short(high)}"
-
-
-def _ticket_edges() -> list[int]:
-    """5K steps to 80K, 10K to 1 lac, 50K to 5 lac, then 7 and 10 lac."""
-    return (
-        list(range(5000, 80001, 5000)) + [90000, 100000] + list(range(150000, 500001, 50000)) + [700000, 1000000]
-    )
-
-
-TICKET30 = steps(
-    *[(high, _ticket_label(low, high)) for low, high in zip([0] + _ticket_edges()[:-1], _ticket_edges())],
-    last="GRTR_10LAC", null="BLANK", other="NA",
-)
+TICKET30 = BucketSpec((
+    (0, 5000, "0_5K"),
+    (5001, 10000, "5K_10K"),
+    (10001, 15000, "10K_15K"),
+    (15001, 20000, "15K_20K"),
+    (20001, 25000, "20K_25K"),
+    (25001, 30000, "25K_30K"),
+    (30001, 35000, "30K_35K"),
+    (35001, 40000, "35K_40K"),
+    (40001, 45000, "40K_45K"),
+    (45001, 50000, "45K_50K"),
+    (50001, 55000, "50K_55K"),
+    (55001, 60000, "55K_60K"),
+    (60001, 65000, "60K_65K"),
+    (65001, 70000, "65K_70K"),
+    (70001, 75000, "70K_75K"),
+    (75001, 80000, "75K_80K"),
+    (80001, 90000, "80K_90K"),
+    (90001, 100000, "90K_1LAC"),
+    (100001, 150000, "1LAC_1.5LAC"),
+    (150001, 200000, "1.5LAC_2LAC"),
+    (200001, 250000, "2LAC_2.5LAC"),
+    (250001, 300000, "2.5LAC_3LAC"),
+    (300001, 350000, "3LAC_3.5LAC"),
+    (350001, 400000, "3.5LAC_4LAC"),
+    (400001, 450000, "4LAC_4.5LAC"),
+    (450001, 500000, "4.5LAC_5LAC"),
+    (500001, 700000, "5LAC_7LAC"),
+    (700001, 1000000, "7LAC_10LAC"),
+    (1000000, None, "GRTR_10LAC"),
+), null_label="BLANK", else_label="NA")
 EXPOSURE12 = steps(
     (10000, "0_10K"), (15000, "10K_15K"), (20000, "15K_20K"), (25000, "20K_25K"), (30000, "25K_30K"),
     (40000, "30K_40K"), (60000, "40K_60K"), (80000, "60K_80K"), (100000, "80K_100K"), (150000, "100K_150K"),
     last=">150K", null="BLANK", other="NA",
 )
-LOAN_COUNT6 = BucketSpec(tuple((n, n, str(n)) for n in range(1, 6)) + ((5, None, ">5"),))
+LOAN_COUNT6 = BucketSpec((
+    (1, 1, "1"),
+    (2, 2, "2"),
+    (3, 3, "3"),
+    (4, 4, "4"),
+    (5, 5, "5"),
+    (5, None, ">5"),
+))
 VINTAGE9 = steps(
     (3, "0-3"), (6, "3-6"), (12, "6-12"), (24, "12-24"), (36, "24-36"), (48, "36-48"), (60, "48-60"),
     (120, "60-120"), last=">120",
@@ -130,7 +140,21 @@ VINTAGE9_MONTHS = steps(
     (2, "0-3M"), (5, "3-6M"), (11, "6-12M"), (23, "12-24M"), (35, "24-36M"), (47, "36-48M"), (59, "48-60M"),
     (119, "60-120M"), last=">120M",
 )
-MOB13 = steps(*[(n + 2, f"{n + 1}_{n + 3}") for n in range(0, 36, 3)], last=">36")
+MOB13 = BucketSpec((
+    (0, 2, "1_3"),
+    (3, 5, "4_6"),
+    (6, 8, "7_9"),
+    (9, 11, "10_12"),
+    (12, 14, "13_15"),
+    (15, 17, "16_18"),
+    (18, 20, "19_21"),
+    (21, 23, "22_24"),
+    (24, 26, "25_27"),
+    (27, 29, "28_30"),
+    (30, 32, "31_33"),
+    (33, 35, "34_36"),
+    (35, None, ">36"),
+))
 INSTAL4 = steps((6, "0_6"), (12, "7_12"), (24, "13_24"), last="GRTR24", null="0_6", other="NA")
 INCOME7 = steps(
     (5000, "0_5K"), (10000, "5K_10K"), (15000, "10K_15K"), (50000, "15K_50K"), (100000, "50K_1LACS"),
@@ -157,7 +181,13 @@ MIN_DUE_RATIO10 = BucketSpec((
     (0, 2, "0-2"), (3, 5, "3-5"), (5, 7, "5-7"), (8, 10, "8-10"), (11, 15, "10-15"), (16, 20, "15-20"),
     (21, 30, "20-30"), (31, 50, "31-50"), (51, 100, "51-100"), (100, None, ">100"),
 ))
-LENDER_COUNT5 = BucketSpec(tuple((n, n, str(n)) for n in range(1, 5)) + ((4, None, ">=5"),), "NA", "NA")
+LENDER_COUNT5 = BucketSpec((
+    (1, 1, "1"),
+    (2, 2, "2"),
+    (3, 3, "3"),
+    (4, 4, "4"),
+    (4, None, ">=5"),
+), null_label="NA", else_label="NA")
 LENDER_COUNT8 = BucketSpec(
     ((None, 3, "<=3"),)
     + steps((6, "4-6"), (10, "7-10"), (15, "11-15"), (20, "16-20"), (30, "21-30"), (40, "31-40"),

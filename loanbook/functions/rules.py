@@ -199,9 +199,9 @@ def _over_one_percent(overdue: Column, amount: Column) -> Column:
     return zero_if_null(overdue) > F.lit(ONE_PERCENT) * zero_if_null(amount)
 
 
-def storable(amount: Column) -> Column:
-    """False for magnitudes no ledger field can hold; NULL passes."""
-    return F.coalesce(F.abs(amount) < F.lit(10**11), F.lit(True))
+def storable(amount: Column, largest: int = P.LARGEST_AMOUNT) -> Column:
+    """False for magnitudes no ledger field can hold, a rule of the fact report; NULL passes."""
+    return F.coalesce(F.abs(amount) < F.lit(largest), F.lit(True))
 
 
 # --- status ---------------------------------------------------------------------

@@ -12,7 +12,6 @@ from loanbook.functions import metrics as M
 from loanbook.functions import rules as R
 from loanbook.operators.entity import attach_inner
 from loanbook.operators.snapshot import derive_account_rows, open_closed_union
-from loanbook.plans.skew import small_lookup
 
 # fixed values: lender mix of a cluster
 ONLY_SELF = "ONLY SELF"
@@ -64,7 +63,7 @@ def mix_label(total: Column, own: Column) -> Column:
 
 
 def threshold_flags(rows: DataFrame, overall: DataFrame, per_type: DataFrame) -> DataFrame:
-    """1 where balance, amount and minimum due stay under their caps, else 0.
+    """1 where balance, amount and minimum due stay under their caps, else 0; without a cap 1.
 
     The one row of overall caps enters as scalar subqueries; the caps per
     account type join by type and only while active.
@@ -76,14 +75,16 @@ def threshold_flags(rows: DataFrame, overall: DataFrame, per_type: DataFrame) ->
     caps = per_type.where(F.col("active") == 1).select(
         "account_type", F.col("balance_cap").alias("type_balance"), F.col("amount_cap").alias("type_amount")
     )
-    out = rows.join(small_lookup(caps), "account_type", "left")
+    out = rows.join(caps, "account_type", "left")
     under_type = F.col("type_balance").isNull() | (
         (balance <= F.col("type_balance")) & (amount <= F.col("type_amount"))
     )
     return out.select(
         *rows.columns,
-        M.flag(due <= caps_row["min_due_cap"]).alias("min_amt_threshold"),
-        M.flag((balance <= caps_row["balance_cap"]) & (amount <= caps_row["amount_cap"])).alias("threshold_flag_overall"),
+        M.flag(caps_row["min_due_cap"].isNull() | (due <= caps_row["min_due_cap"])).alias("min_amt_threshold"),
+        M.flag(
+            caps_row["balance_cap"].isNull() | ((balance <= caps_row["balance_cap"]) & (amount <= caps_row["amount_cap"]))
+        ).alias("threshold_flag_overall"),
         M.flag(under_type).alias("threshold_acnt_type"),
     )
 

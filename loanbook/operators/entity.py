@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanbook.functions import rules as R
-from loanbook.plans.skew import pick_first, pick_last, skew_join
+from loanbook.plans.skew import hot_among, pick_first, pick_last, skew_join
 
 SURVIVING = ("monthly_income", "annual_income", "birth_dt", "gender", "occupation")
 
@@ -113,8 +113,14 @@ def _survivor_aggs() -> list[Column]:
 
 def golden_address(members: DataFrame) -> DataFrame:
     """Every member row with the best address of its cluster and the cluster's commercial flag."""
-    best = members.groupBy("clst_id").agg(*_golden_aggs(members)).select("clst_id", "address.*", "is_commercial")
-    return skew_join(members.select(*MEMBER_KEYS), best, ["clst_id"], "left", "account_key", keys_like=members)
+    best = members.groupBy("clst_id").agg(*_golden_aggs(members), F.count(F.lit(1)).alias("n_members"))
+    return _with_best(members, best, "address.*", "is_commercial")
+
+
+def _with_best(members: DataFrame, best: DataFrame, *columns: str) -> DataFrame:
+    """Member rows with columns of their cluster's one row, which counts its members and so names the hot clusters."""
+    hot = hot_among(best, ["clst_id"], "n_members")
+    return skew_join(members.select(*MEMBER_KEYS), best.select("clst_id", *columns), ["clst_id"], "left", "account_key", hot=hot)
 
 
 def survivorship(members: DataFrame) -> DataFrame:
@@ -124,13 +130,12 @@ def survivorship(members: DataFrame) -> DataFrame:
 
 def one_view(members: DataFrame) -> DataFrame:
     """Member rows with best address, commercial flag and surviving attributes: one aggregate, one join."""
-    best = members.groupBy("clst_id").agg(*_golden_aggs(members), *_survivor_aggs())
-    best = best.select("clst_id", "address.*", "is_commercial", *SURVIVING)
-    return skew_join(members.select(*MEMBER_KEYS), best, ["clst_id"], "left", "account_key", keys_like=members)
+    best = members.groupBy("clst_id").agg(*_golden_aggs(members), *_survivor_aggs(), F.count(F.lit(1)).alias("n_members"))
+    return _with_best(members, best, "address.*", "is_commercial", *SURVIVING)
 
 
-def market_entry(rows: DataFrame) -> DataFrame:
-    """Rows disbursed on the first disbursal date of their cluster, with a year label.
+def market_entry(rows: DataFrame, years: tuple[int, ...]) -> DataFrame:
+    """Rows disbursed on the first disbursal date of their cluster, labelled with its year if it is one of `years`.
 
     The join runs on (cluster, date), so a large cluster spreads over its dates.
     """
@@ -138,7 +143,7 @@ def market_entry(rows: DataFrame) -> DataFrame:
     year = F.year("disbursed_dt")
     return rows.join(first, ["clst_id", "disbursed_dt"], "left_semi").withColumn(
         "entry_year",
-        F.when(year.isin(1998, 1999, 2000), year.cast("string")).otherwise(F.lit("Others")),
+        F.when(year.isin(*years), year.cast("string")).otherwise(F.lit("Others")),
     )
 
 

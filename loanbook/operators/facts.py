@@ -10,7 +10,7 @@ from loanbook.functions import buckets as B
 from loanbook.functions import rules as R
 from loanbook.operators.entity import attach_cluster, cluster_min_disbursal, latest_consumer
 from loanbook.operators.par import BANDS, METRICS
-from loanbook.plans.skew import pick_first, small_lookup
+from loanbook.plans.skew import pick_first
 
 PERSON = ("consumer_key", "gender", "age", "age_as_on_dt", "birth_dt", "occupation", "monthly_income", "state",
           "district", "pin_code")
@@ -27,9 +27,9 @@ def mfi_step1(snapshot: DataFrame, clusters: DataFrame, consumer: DataFrame) ->
     return rows.join(first, "consumer_key", "left")
 
 
-def reportable(rows: DataFrame) -> DataFrame:
+def reportable(rows: DataFrame, largest: int) -> DataFrame:
     """Rows with a reported status and an amount a ledger can hold."""
-    return rows.where(~F.col("account_status").isin(*P.NOT_REPORTED) & R.storable(F.col("disbursed_amount")))
+    return rows.where(~F.col("account_status").isin(*P.NOT_REPORTED) & R.storable(F.col("disbursed_amount"), largest))
 
 
 def group_share(rows: DataFrame, lender: str, category: str) -> DataFrame:
@@ -59,7 +59,7 @@ def geo_key_join(rows: DataFrame, geo: DataFrame) -> DataFrame:
         F.col("state").eqNullSafe(F.col("g_state")) & F.col("district").eqNullSafe(F.col("g_district"))
         & pin.eqNullSafe(F.col("g_pin_code"))
     )
-    return rows.join(small_lookup(places), on).drop("g_state", "g_district", "g_pin_code")
+    return rows.join(places, on).drop("g_state", "g_district", "g_pin_code")
 
 
 def mfi_step2(
@@ -67,7 +67,7 @@ def mfi_step2(
     p: P.RunParams,
 ) -> DataFrame:
     """Cleaned account grain: one row per account and date with dimension keys and row rules."""
-    raw = reportable(step1).withColumn("dpd", R.clean_digits(F.col("days_past_due")).try_cast("int"))
+    raw = reportable(step1, p.largest_amount).withColumn("dpd", R.clean_digits(F.col("days_past_due")).try_cast("int"))
     day, closed = F.col("as_of"), F.col("closed_dt")
     raw = raw.withColumn(
         "mfi_das",
@@ -78,8 +78,8 @@ def mfi_step2(
     keyed = geo_key_join(shared, geo)
     active_lenders = lenders.where(F.col("active") == 1).select("lender_id", "contri_key")
     joined = keyed.join(F.broadcast(active_lenders), "lender_id", "left").join(
-        small_lookup(purposes), ["lender_id", "loan_purpose"], "left"
-    ).join(small_lookup(occupations), ["lender_id", "occupation"], "left")
+        purposes, ["lender_id", "loan_purpose"], "left"
+    ).join(occupations, ["lender_id", "occupation"], "left")
     cleaned = joined.select(
         "as_of", "account_key", "account_nbr", "lender_id", "sdp_key", "contri_key", "clst_id", "min_disb_dt",
         R.active_lender(F.col("mfi_das"), closed, day, F.col("lender_id")).alias("active_lender"),

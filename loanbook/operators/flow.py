@@ -10,7 +10,7 @@ from loanbook.functions import buckets as B
 from loanbook.functions import rules as R
 from loanbook.operators.cards import AUTHORISED_USER, eligible_accounts
 from loanbook.operators.vintage import retail_rows, with_terms
-from loanbook.plans.skew import small_lookup
+from loanbook.plans.skew import pick_last
 
 
 def _live() -> Column:
@@ -18,15 +18,17 @@ def _live() -> Column:
 
 
 def flow_base(trend: DataFrame, prod: DataFrame, unique_rows: DataFrame, caps: DataFrame, p: P.RunParams) -> DataFrame:
-    """Rows of the observation and the later month, with state, under the caps of their type.
+    """The newest row of each account in the observation and the later month, with state, under the caps of their type.
 
     A card whose ownership is unknown is dropped together with cards of
     authorised users; other products keep every ownership.
     """
     later = P.shift_months(p.as_of, p.time_lapse_months)
     accounts = eligible_accounts(prod).where(F.col("account_type").isin(*p.flow_account_types))
-    month = F.last_day("act_reported_dt")
-    seen = trend.where(month.isin(p.as_of, later))
+    day = F.col("act_reported_dt")
+    in_month = [day.between(F.lit(end.replace(day=1)), F.lit(end)) for end in (p.as_of, later)]
+    seen = trend.where(in_month[0] | in_month[1]).withColumn("month", F.last_day(day))
+    seen = pick_last(seen, ["account_key", "month"], [day], trend.columns).withColumn("act_reported_dt", F.col("month"))
     rows = retail_rows(with_terms(seen, accounts), "T").where(
         (F.col("act_reported_dt") == F.lit(later)) | (F.col("disbursed_on") <= F.lit(p.as_of))
     )
@@ -34,7 +36,7 @@ def flow_base(trend: DataFrame, prod: DataFrame, unique_rows: DataFrame, caps: D
     limits = caps.where(F.col("active") == 1).select("account_type", "balance_cap", "amount_cap")
     return rows.join(owners, "account_key", "left").where(
         ~((F.col("account_type") == P.CARD_TYPE) & (F.col("ownership_ind") == AUTHORISED_USER))
-    ).join(small_lookup(limits), "account_type").where(
+    ).join(limits, "account_type").where(
         (F.col("current_balance") <= F.col("balance_cap")) & (F.col("sanctioned_amount") <= F.col("amount_cap"))
     )
 

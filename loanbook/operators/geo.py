@@ -11,7 +11,6 @@ from loanbook import params as P
 from loanbook.functions import buckets as B
 from loanbook.functions import metrics as M
 from loanbook.functions import rules as R
-from loanbook.plans.skew import small_lookup
 
 PLACE = ["rev_state", "rev_district"]
 
@@ -31,7 +30,7 @@ def _active(statuses) -> Column:
 def district_active_base(step2: DataFrame, geo: DataFrame) -> DataFrame:
     """Open or written-off accounts that are not suppressed, with their revised geography."""
     rows = _shown(step2).where(_active(P.ACTIVE_STRICT) | (F.col("mfi_das") == "S06"))
-    return rows.join(small_lookup(_places(geo).drop("pin_code")), "sdp_key")
+    return rows.join(_places(geo).drop("pin_code"), "sdp_key")
 
 
 def district_cluster_profile(step2: DataFrame, geo: DataFrame, need_pin: bool = True) -> DataFrame:
@@ -43,7 +42,7 @@ def district_cluster_profile(step2: DataFrame, geo: DataFrame, need_pin: bool =
     places = _places(geo).where(F.col("rev_state").isNotNull() & F.col("rev_district").isNotNull())
     if need_pin:
         places = places.where(F.col("pin_code").isNotNull())
-    rows = _shown(step2).join(small_lookup(places.drop("pin_code")), "sdp_key").withColumn("live", _active(P.ACTIVE_BOOK))
+    rows = _shown(step2).join(places.drop("pin_code"), "sdp_key").withColumn("live", _active(P.ACTIVE_BOOK))
     keys = [*PLACE, "clst_id"]
     per_lender = rows.groupBy(*keys, "lender_id").agg(*[F.expr(e) for e in (
         "count_if(live) as active_accounts", "max(int(live)) as live", "sum(cur_bal) as total_outstanding_amount",
@@ -177,15 +176,15 @@ def geo_product_cube(
 ) -> DataFrame:
     """Fact rows by place, lender density, vintage, lender group, product, ticket, period, frequency and tenure.
 
-    RPT1 and RPT2 differ only in the lender groups. Density, lenders, quarters
-    and categories are small; all other work is one aggregate over the fact.
+    RPT1 and RPT2 differ only in the lender groups. Lenders, quarters
+    and categories come from configuration; all other work is one aggregate over the fact.
     """
     rows = fact.where(
         (F.col("load_yyyymm") == load_yyyymm) & ~F.col("contri_key").isin(*p.excluded_lender_keys)
     )
     density = active_lender_density(fact, geo, load_yyyymm).where(F.col("rev_state").isNotNull())
     joined = (
-        rows.join(small_lookup(density), "sdp_key")
+        rows.join(density, "sdp_key")
         .join(F.broadcast(lenders.where(F.col("active") == 1).drop("active")), "contri_key")
         .join(F.broadcast(quarters.withColumnRenamed("yyyymm", "disb_yyyymm")), "disb_yyyymm", "left")
         .join(F.broadcast(categories.where(F.col("active") == 1).select(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import calendar
 from dataclasses import dataclass, field
-from datetime import date, timedelta
+from datetime import date
 
 # --- fixed values: account status codes -------------------------------------
 ACTIVE_PORTFOLIO = ("S04", "S05", "S20", "S25", "S18")
@@ -51,6 +51,10 @@ def shift_months(d: date, n: int) -> date:
     return date(year, month + 1, day)
 
 
+# Amounts from this magnitude on are not reported: no ledger field holds them.
+LARGEST_AMOUNT = 10**11
+
+
 @dataclass(frozen=True)
 class RunParams:
     """Dates and lender choices of one run; defaults fit the test tables."""
@@ -59,7 +63,7 @@ class RunParams:
     report_cut: date = date(2000, 8, 8)
     self_lender: str = "NBF004"
     group_lender: str = "PRB003"
-    group_category: str = "T01"
+    group_category: str = "T04"
     vintage_disbursed_from: date = date(1996, 4, 1)
     vintage_reported_from: date = date(1998, 4, 1)
     look_back_months: int = 24
@@ -69,6 +73,9 @@ class RunParams:
     roll_back_months: int = 60
     roll_months: tuple[int, ...] = (3, 6, 9, 12)
     low_balance: int = 1000
+    calendar: tuple[date, date] = (date(1990, 1, 1), date(2039, 12, 1))
+    entry_years: tuple[int, ...] = (1998, 1999, 2000)
+    largest_amount: int = LARGEST_AMOUNT
     top_cities: int = 50
     period_cutoff: date = date(1998, 4, 30)
     old_disbursal_yyyymm: int = 199603
@@ -110,9 +117,5 @@ class RunParams:
         steps = range(0, self.look_back_months + 1, 3)
         return tuple(shift_months(self.look_back_start, n) for n in steps)
 
-    @property
-    def far_future(self) -> date:
-        return self.as_of + timedelta(days=100)
-
 
 DEFAULT_PARAMS = RunParams()

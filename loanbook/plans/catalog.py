@@ -6,6 +6,7 @@ import dataclasses
 import functools
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -223,7 +224,7 @@ def bucket_amount(book: Book, p: P.RunParams) -> DataFrame:
 
 @query
 def bucket_term(book: Book, p: P.RunParams) -> DataFrame:
-    quarters = F.broadcast(dims.date_dim(book.spark))
+    quarters = F.broadcast(dims.date_dim(book.spark, p.calendar))
     rows = book.account().withColumn("m", R.months_on_book(p.as_of, F.col("disbursed_dt")))
     rows = rows.withColumn("yyyymm", R.yyyymm(F.col("disbursed_dt"))).join(quarters, "yyyymm", "left")
     m, cycle = F.col("m"), F.trim("loan_cycle_id")
@@ -373,7 +374,7 @@ def one_view(book: Book, p: P.RunParams) -> DataFrame:
 @query
 def market_entry(book: Book, p: P.RunParams) -> DataFrame:
     rows = book.cluster_member().select("account_key", "consumer_key", "clst_id", "disbursed_dt")
-    return entity.market_entry(rows)
+    return entity.market_entry(rows, p.entry_years)
 
 
 @query
@@ -393,9 +394,6 @@ def income_extra_cols(book: Book, p: P.RunParams) -> DataFrame:
 
 
 # --- cluster profile and dashboards ------------------------------------------------
-PRIOR_MONTH = P.shift_months(P.DEFAULT_PARAMS.dashboard_dates[0], -2)
-
-
 def _cluster_base(book: Book, dates) -> DataFrame:
     return clusters.cluster_base(
         book.macro_open(), book.macro_closed(), book.clusters(), book.extra_columns(), dates
@@ -406,15 +404,14 @@ def _flagged(book: Book, dates) -> DataFrame:
     return clusters.threshold_flags(_cluster_base(book, dates), book.overall_threshold(), book.threshold())
 
 
-def _staged(book: Book, label: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """A frame that several steps of one run read: written once per book."""
-    if label not in book.staged:
-        book.staged[label] = io.stage(build(), label)
-    return book.staged[label]
+def _shared(df: DataFrame) -> DataFrame:
+    """A frame that several steps of a query read: kept on the executors' disks from its first use on.
 
-
-def _staged_flagged(book: Book, dates) -> DataFrame:
-    return _staged(book, f"flagged-{len(dates)}", lambda: _flagged(book, dates))
+    Nothing runs while the plan is built. What is kept is known by its plan, so
+    other dates or parameters never find it, and what a lost executor held is
+    computed again. `spark.catalog.clearCache()` lets go of all.
+    """
+    return df.persist(StorageLevel.DISK_ONLY)
 
 
 def _profile(book: Book, p: P.RunParams, dates) -> DataFrame:
@@ -484,7 +481,7 @@ def account_count_dashboard(book: Book, p: P.RunParams) -> DataFrame:
 
 @query
 def account_dashboard(book: Book, p: P.RunParams) -> DataFrame:
-    flagged = _staged_flagged(book, p.dashboard_dates)
+    flagged = _shared(_flagged(book, p.dashboard_dates))
     return dashboard.account_dashboard(
         clusters.income_row_rank(flagged), clusters.cluster_profile(flagged, p.self_lender), p.self_lender
     )
@@ -492,8 +489,9 @@ def account_dashboard(book: Book, p: P.RunParams) -> DataFrame:
 
 @query
 def income_backfill(book: Book, p: P.RunParams) -> DataFrame:
-    profile = _staged(book, "profile", lambda: _profile(book, p, (PRIOR_MONTH, *p.dashboard_dates)))
-    earlier = F.col("as_of") == F.lit(PRIOR_MONTH)
+    prior = P.shift_months(p.dashboard_dates[0], -2)
+    profile = _shared(_profile(book, p, (prior, *p.dashboard_dates)))
+    earlier = F.col("as_of") == F.lit(prior)
     return dashboard.income_backfill(profile.where(~earlier), profile.where(earlier))
 
 
@@ -563,7 +561,7 @@ def share_filter(book: Book, p: P.RunParams) -> DataFrame:
 
 @query
 def report_outliers(book: Book, p: P.RunParams) -> DataFrame:
-    report = _staged(book, "report", lambda: report_dedupe(book, p))
+    report = _shared(report_dedupe(book, p))
     return par.report_outliers(par.month_over_month(report, p.as_of), par.share_filter(report))
 
 
@@ -580,12 +578,12 @@ def vintage_cube_commercial(book: Book, p: P.RunParams) -> DataFrame:
 
 # --- fact table ---------------------------------------------------------------------
 def _step1(book: Book, p: P.RunParams) -> DataFrame:
-    snapshot_rows = _staged(book, "snapshot", lambda: as_of_snapshot(book, p))
+    snapshot_rows = _shared(as_of_snapshot(book, p))
     return facts.mfi_step1(snapshot_rows, book.clusters(), book.account_party())
 
 
 def _step2(book: Book, p: P.RunParams) -> DataFrame:
-    step1 = _staged(book, "step1", lambda: _step1(book, p))
+    step1 = _shared(_step1(book, p))
     return facts.mfi_step2(
         step1, dims.lender_dim(book.spark), book.purpose_dim(), book.occupation_dim(), book.geo_dim(), p
     )
@@ -595,8 +593,8 @@ def _fact(book: Book, p: P.RunParams) -> DataFrame:
     return facts.fact_keys(fact_rollup(book, p), dims.bucket_dims(book.spark))
 
 
-def _staged_step2(book: Book, p: P.RunParams) -> DataFrame:
-    return _staged(book, "step2", lambda: _step2(book, p))
+def _shared_step2(book: Book, p: P.RunParams) -> DataFrame:
+    return _shared(_step2(book, p))
 
 
 def _yyyymm(p: P.RunParams) -> int:
@@ -660,12 +658,12 @@ def district_cluster_profile(book: Book, p: P.RunParams) -> DataFrame:
 
 @query
 def district_exposure(book: Book, p: P.RunParams) -> DataFrame:
-    return geo.district_exposure(_staged_step2(book, p), book.geo_dim(), p.period_cutoff)
+    return geo.district_exposure(_shared_step2(book, p), book.geo_dim(), p.period_cutoff)
 
 
 @query
 def district_exposure_self(book: Book, p: P.RunParams) -> DataFrame:
-    return geo.district_exposure_self(_staged_step2(book, p), book.geo_dim(), p.period_cutoff, p.self_lender)
+    return geo.district_exposure_self(_shared_step2(book, p), book.geo_dim(), p.period_cutoff, p.self_lender)
 
 
 @query
@@ -686,8 +684,8 @@ def active_lender_density(book: Book, p: P.RunParams) -> DataFrame:
 def _geo_cube(book: Book, p: P.RunParams, variant: str) -> DataFrame:
     spark = book.spark
     return geo.geo_product_cube(
-        _staged(book, "fact", lambda: _fact(book, p)), book.geo_dim(), dims.lender_dim(spark),
-        dims.date_dim(spark), dims.category_dim(spark), p,
+        _shared(_fact(book, p)), book.geo_dim(), dims.lender_dim(spark),
+        dims.date_dim(spark, p.calendar), dims.category_dim(spark), p,
         _yyyymm(p), variant,
     )
 
@@ -740,7 +738,7 @@ def cc_acquisitions_rank(book: Book, p: P.RunParams) -> DataFrame:
 
 @query
 def cc_early_delinquency(book: Book, p: P.RunParams) -> DataFrame:
-    return cards.cc_early_delinquency(_spine(book, p), dims.date_dim(book.spark), p)
+    return cards.cc_early_delinquency(_spine(book, p), dims.date_dim(book.spark, p.calendar), p)
 
 
 @query
@@ -775,6 +773,11 @@ def roll_params(p: P.RunParams) -> P.RunParams:
 
 @query
 def roll_rate(book: Book, p: P.RunParams) -> DataFrame:
+    return cards.roll_rate(_cards(book, p), p)
+
+
+@query
+def roll_rate_all_products(book: Book, p: P.RunParams) -> DataFrame:
     wide = roll_params(p)
     return cards.roll_rate(_cards(book, wide), wide)
 
@@ -803,7 +806,7 @@ def new_vs_known(book: Book, p: P.RunParams) -> DataFrame:
 def flow_rate(book: Book, p: P.RunParams) -> DataFrame:
     return flow.flow_rate(
         book.account_trend(), book.account(), unique_account_row(book, p), book.threshold(),
-        dims.account_type_dim(book.spark), dims.date_dim(book.spark), p,
+        dims.account_type_dim(book.spark), dims.date_dim(book.spark, p.calendar), p,
     )
 
 
@@ -862,7 +865,22 @@ def write_period(book: Book, p: P.RunParams) -> DataFrame:
 @query
 def export_single_csv(book: Book, p: P.RunParams) -> DataFrame:
     """The risk report as one named file, read back."""
-    report = as_output(par_report(book, p))
-    folder = io.new_table_path(book.spark, "export")
-    path = io.export_single_csv(report, folder, f"par_{p.as_of:%Y%m}.csv", ["lender_id", "account_type"])
+    return _published(book, as_output(par_report(book, p)), f"par_{p.as_of:%Y%m}.csv", ["lender_id", "account_type"])
+
+
+def _published(book: Book, report: DataFrame, name: str, order: list[str]) -> DataFrame:
+    """A finished report as one sorted file under its name, read back."""
+    path = io.export_single_csv(report, io.new_table_path(book.spark, "export"), name, order)
     return book.spark.read.schema(report.schema).option("header", True).option("sep", "|").csv(path)
+
+
+@query
+def export_exposure_file(book: Book, p: P.RunParams) -> DataFrame:
+    report = as_output(exposure_file(book, p))
+    return _published(book, report, f"exposure_{_yyyymm(p)}.csv", report.columns[:4])
+
+
+@query
+def export_geo_report_1(book: Book, p: P.RunParams) -> DataFrame:
+    report = as_output(geo_report_1(book, p))
+    return _published(book, report, f"geo_1_{_yyyymm(p)}.csv", report.columns[:4])

@@ -10,21 +10,6 @@ from pyspark.sql import Window
 # can never be HOT_KEY_LIMIT hot keys: the broadcast below has a proven bound.
 HOT_KEY_LIMIT = 200
 SALTS = 32
-# Lookups up to this many rows are broadcast; the size is checked, not assumed.
-LOOKUP_LIMIT = 100_000
-
-
-def small_lookup(df: DataFrame, limit: int = LOOKUP_LIMIT) -> DataFrame:
-    """A lookup table of checked size, computed once and broadcast.
-
-    Joining facts to a few codes by hash would send all rows of a code to one
-    task. At most `limit` + 1 rows are fetched for the check; a larger table is
-    returned as it is and joins by shuffle, with adaptive skew handling.
-    """
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
 def pick_last(df: DataFrame, keys: list[str], order: list[Column], columns: list[str] | None = None) -> DataFrame:
@@ -54,22 +39,31 @@ def hot_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return counts.where(F.col("rows_of_key") * HOT_KEY_LIMIT > total).select(*keys)
 
 
+def hot_among(counts: DataFrame, keys: list[str], count: str) -> DataFrame:
+    """Hot keys of rows that were counted per key already."""
+    total = counts.select(F.sum(count)).scalar()
+    return counts.where(F.col(count) * HOT_KEY_LIMIT > total).select(*keys)
+
+
 def skew_join(
-    rows: DataFrame, lookup: DataFrame, keys: list[str], how: str, spread: str, keys_like: DataFrame | None
+    rows: DataFrame, lookup: DataFrame, keys: list[str], how: str, spread: str, keys_like: DataFrame | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Join many `rows` to a `lookup` with few rows per key.
 
     `keys_like` is a frame with the same key distribution that is cheap to
     read, such as the stored table the rows come from. Rows of its hot keys are
     salted by a hash of `spread`, and the lookup rows of those keys are copied
-    once per salt. Without it the join is left to adaptive execution, which
-    splits oversized partitions of the rows at run time.
+    once per salt. `hot` gives these keys directly. Without either the join is
+    left to adaptive execution, which splits oversized partitions of the rows
+    at run time.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"cannot salt a {how} join")
-    if keys_like is None:
+    if keys_like is None and hot is None:
         return rows.join(lookup, keys, how)
-    hot = F.broadcast(hot_keys(keys_like.select(*keys), keys).withColumn("is_hot", F.lit(True)))
+    found = hot_keys(keys_like.select(*keys), keys) if hot is None else hot
+    hot = F.broadcast(found.withColumn("is_hot", F.lit(True)))
     salted_rows = rows.join(hot, keys, "left").withColumn(
         "salt", F.when(F.col("is_hot"), F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,8 +64,8 @@ def bucket_dims(spark: SparkSession) -> dict[str, DataFrame]:
 
 
 def category_dim(spark: SparkSession) -> DataFrame:
-    """Known loan categories; T04 is left out so that unknown ones occur."""
-    rows = [(1, "T01", "Group loan", 1), (2, "T02", "Individual loan", 1), (3, "T03", "Housing loan", 1)]
+    """Loan categories."""
+    rows = [(1, "T01", "Group loan", 1), (2, "T02", "Individual loan", 1), (3, "T03", "Housing loan", 1), (4, "T04", "Other loan", 1)]
     return spark.createDataFrame(rows, "category_key int, loan_category string, category_name string, active int")
 
 
@@ -74,14 +76,17 @@ def lender_dim(spark: SparkSession) -> DataFrame:
 
 
 def account_type_dim(spark: SparkSession) -> DataFrame:
-    """Known account types; A22 is left out so that unknown types occur."""
-    rows = [(n, code, f"Product {code}", 1) for n, code in enumerate(ACCOUNT_TYPES[:-1], start=1)]
+    """Account types."""
+    rows = [(n, code, f"Product {code}", 1) for n, code in enumerate(ACCOUNT_TYPES, start=1)]
     return spark.createDataFrame(rows, "account_type_key int, account_type string, account_name string, active int")
 
 
-def date_dim(spark: SparkSession) -> DataFrame:
-    """One row per month 1995-01..2002-12 with its April-based fiscal quarter."""
-    months = spark.range(96).select(F.add_months(F.lit("1995-01-01").cast("date"), F.col("id").cast("int")).alias("d"))
+def date_dim(spark: SparkSession, calendar: tuple[date, date]) -> DataFrame:
+    """One row per month of the calendar, from its first to its last, with its April-based fiscal quarter."""
+    first, last = calendar
+    months = spark.range((last.year - first.year) * 12 + last.month - first.month + 1).select(
+        F.add_months(F.lit(first), F.col("id").cast("int")).alias("d")
+    )
     fiscal = F.add_months("d", -3)
     return months.select(
         R.yyyymm(F.col("d")).alias("yyyymm"),

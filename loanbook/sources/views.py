@@ -52,7 +52,6 @@ class Book:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
         self.table = cache(self.table)
-        self.staged: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
@@ -110,7 +109,7 @@ class Book:
 
     @cached_property
     def _trend(self) -> DataFrame:
-        """Line items shipped on or after their order date, reduced to month ends of the order.
+        """Line items reduced to month ends of the order; one shipped before its order counts at the order date.
 
         They are reduced per shipping date first, so an order with very many
         line items reaches the join as one row per date.
@@ -125,8 +124,9 @@ class Book:
         orders = self._orders.selectExpr(
             "account_key as l_orderkey", "disbursed_dt", "lender_id", "account_type", "closed_dt"
         )
-        rows = per_day.join(orders, "l_orderkey").where("shipped >= disbursed_dt").groupBy(
-            F.col("l_orderkey").alias("account_key"), F.last_day("shipped").alias("act_reported_dt"),
+        rows = per_day.join(orders, "l_orderkey").groupBy(
+            F.col("l_orderkey").alias("account_key"),
+            F.last_day(F.greatest("shipped", "disbursed_dt")).alias("act_reported_dt"),
             "lender_id", "account_type", "closed_dt",
         ).agg(F.max("balance").alias("current_balance"), F.max("qty").alias("qty"), F.max("rf").alias("rf"),
               F.max("ls").alias("ls"))
@@ -147,7 +147,7 @@ class Book:
 
     def account_update(self) -> DataFrame:
         """Restatements of static attributes by month end."""
-        rows = self.table("lineitem").where("l_linenumber <= 2").groupBy(
+        rows = self.table("lineitem").groupBy(
             F.col("l_orderkey").alias("account_key"),
             F.last_day(F.col("l_shipdate").cast("date")).alias("act_reported_dt"),
         ).agg(
@@ -188,11 +188,11 @@ class Book:
         return self._consumer
 
     def geo_fill(self) -> DataFrame:
-        """Fallback addresses, known for even consumers."""
-        return self._customers.where("c_custkey % 2 = 0").selectExpr(
-            "c_custkey as consumer_key", "r_name as state", "n_name as district",
-            "cast(100000 + c_nationkey as string) as pin_code",
-        )
+        """Fallback addresses; those of odd consumers are empty."""
+        return self._customers.selectExpr("c_custkey as consumer_key", *[
+            f"if(c_custkey % 2 = 0, {value}, null) as {name}"
+            for name, value in (("state", "r_name"), ("district", "n_name"), ("pin_code", "cast(100000 + c_nationkey as string)"))
+        ])
 
     @cached_property
     def _party(self) -> DataFrame:
@@ -208,7 +208,7 @@ class Book:
         return self._party
 
     def cluster_pair(self) -> DataFrame:
-        return self.table("customer").where("c_custkey % 5 <> 0").selectExpr(
+        return self.table("customer").selectExpr(
             "c_custkey as candidate_id",
             "explode(if(c_custkey % 5 = 1, array(c_custkey - c_custkey % 3, c_custkey - c_custkey % 6), "
             "array(c_custkey - c_custkey % 3))) as clst_id",
@@ -258,7 +258,7 @@ class Book:
     J = "cast(floor(account_key / 5) as int)"
 
     def _commercial(self, rows: DataFrame, *columns: str) -> DataFrame:
-        return rows.where("account_key % 5 = 0").selectExpr(
+        return rows.selectExpr(
             "account_key", "lender_id as contributor_id",
             f"{choose(f'{self.J} % 14', COMMERCIAL_CLASSES)} as asset_class",
             "das", "current_balance", "amount_overdue_total", "closed_dt",
@@ -298,16 +298,16 @@ class Book:
         return rows.selectExpr("*", "state as rev_state", "district as rev_district", "1 as active")
 
     def purpose_dim(self) -> DataFrame:
-        """Lender's purpose text -> category; one lender has no mapping."""
+        """Lender's purpose text -> category."""
         names = " ".join(f"when '{code}' then '{name}'" for code, name in PURPOSE_NAMES.items())
-        return self._orders.where("loan_purpose is not null and lender_id <> 'ARC008'").select(
+        return self._orders.where("loan_purpose is not null").select(
             "lender_id", "loan_purpose"
         ).distinct().selectExpr("*", f"case loan_purpose {names} end as purpose_status")
 
     def occupation_dim(self) -> DataFrame:
-        """Lender's occupation text -> category; one lender has no mapping."""
+        """Lender's occupation text -> category."""
         return self.spark.createDataFrame(
-            [(x, o, c) for x in LENDERS if x != "CCC009" for o, c in OCCUPATION_NAMES.items()],
+            [(x, o, c) for x in LENDERS for o, c in OCCUPATION_NAMES.items()],
             "lender_id string, occupation string, occupation_category string",
         )
 

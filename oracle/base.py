@@ -110,10 +110,10 @@ SELECT g.account_key, o.lender_id, o.account_type, g.act_reported_dt, g.act_repo
   CASE WHEN g.account_key % 17 = 0 AND g.ls = 'F' THEN g.balance END AS chargeoff_amt,
   CAST(g.balance * CAST(0.05 AS DECIMAL(3,2)) AS DECIMAL(18,2)) AS min_amount_due
 FROM (
-  SELECT l_orderkey AS account_key, last_day(CAST(l_shipdate AS DATE)) AS act_reported_dt,
+  SELECT l_orderkey AS account_key, last_day(greatest(CAST(l_shipdate AS DATE), CAST(o_orderdate AS DATE))) AS act_reported_dt,
     max(CAST(l_extendedprice AS DECIMAL(18,2))) AS balance, max(CAST(l_quantity AS INTEGER)) AS qty,
     max(l_returnflag) AS rf, max(l_linestatus) AS ls
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey AND CAST(l_shipdate AS DATE) >= CAST(o_orderdate AS DATE)
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
   GROUP BY 1, 2) g JOIN v_orders o USING (account_key)""",
     "account_update": """
 SELECT g.account_key, g.act_reported_dt, g.amount AS disbursed_amount, g.qty AS num_installment, o.account_nbr,
@@ -121,7 +121,7 @@ SELECT g.account_key, g.act_reported_dt, g.amount AS disbursed_amount, g.qty AS
 FROM (
   SELECT l_orderkey AS account_key, last_day(CAST(l_shipdate AS DATE)) AS act_reported_dt,
     max(CAST(l_extendedprice AS DECIMAL(18,2))) AS amount, max(CAST(l_quantity AS INTEGER)) AS qty
-  FROM lineitem WHERE l_linenumber <= 2 GROUP BY 1, 2) g JOIN v_orders o USING (account_key)""",
+  FROM lineitem GROUP BY 1, 2) g JOIN v_orders o USING (account_key)""",
     "consumer": """
 SELECT c_custkey AS consumer_key, DATE '1996-01-01' + CAST(c_custkey % 1500 AS INTEGER) AS insert_dt,
   CASE WHEN c_custkey % 10 <> 0 THEN r_name END AS state, CASE WHEN c_custkey % 7 <> 0 THEN n_name END AS district,
@@ -137,16 +137,17 @@ SELECT c_custkey AS consumer_key, DATE '1996-01-01' + CAST(c_custkey % 1500 AS I
   CASE WHEN c_custkey % 4 <> 2 THEN DATE '1999-01-01' + CAST(c_custkey % 300 AS INTEGER) END AS age_as_on_dt
 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     "geo_fill": """
-SELECT c_custkey AS consumer_key, r_name AS state, n_name AS district, CAST(100000 + c_nationkey AS VARCHAR) AS pin_code
-FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-WHERE c_custkey % 2 = 0""",
+SELECT c_custkey AS consumer_key, CASE WHEN c_custkey % 2 = 0 THEN r_name END AS state,
+  CASE WHEN c_custkey % 2 = 0 THEN n_name END AS district,
+  CASE WHEN c_custkey % 2 = 0 THEN CAST(100000 + c_nationkey AS VARCHAR) END AS pin_code
+FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     "account_party": """
 SELECT l.account_key, l.lender_id, c.* REPLACE (c.insert_dt + CAST(l.account_key % 700 AS INTEGER) AS insert_dt)
 FROM (SELECT account_key, lender_id, consumer_key FROM v_orders
   UNION ALL SELECT account_key, lender_id, consumer_key + 1 FROM v_orders WHERE account_key % 4 = 0) l
 JOIN consumer c ON l.consumer_key = c.consumer_key""",
     "cluster_pair": """
-SELECT c_custkey AS candidate_id, c_custkey - c_custkey % 3 AS clst_id FROM customer WHERE c_custkey % 5 <> 0
+SELECT c_custkey AS candidate_id, c_custkey - c_custkey % 3 AS clst_id FROM customer
 UNION ALL SELECT c_custkey, c_custkey - c_custkey % 6 FROM customer WHERE c_custkey % 5 = 1""",
     "cluster_member": """
 SELECT p.*, coalesce(m.clst_id, p.consumer_key) AS clst_id, a.disbursed_dt, a.reported_dt
@@ -173,7 +174,7 @@ SELECT account_key, lender_id AS contributor_id, consumer_key AS borrower_key,
     ELSE CAST(account_key % 500 AS VARCHAR) END AS dpd,
   disbursed_amount AS sanctioned_amount, high_credit AS drawing_power, current_balance, amount_overdue_total, closed_dt,
   CASE WHEN account_key % 9 = 0 THEN closed_dt + 30 END AS loan_expiry_dt, reported_dt
-FROM account WHERE account_key % 5 = 0""",
+FROM account""",
     "commercial_trend": f"""
 SELECT account_key, lender_id AS contributor_id,
   {pick('(account_key // 5) % 14', ['L01', '0001', '002', '0003', '005', '0010', '011', '0012', '013'])} AS asset_class,
@@ -182,7 +183,7 @@ SELECT account_key, lender_id AS contributor_id,
   CASE WHEN account_key % 2 = 0 THEN current_balance END AS drawing_power,
   current_balance, amount_overdue_total, closed_dt,
   CASE WHEN account_key % 9 = 0 THEN closed_dt + 30 END AS loan_expiry_dt, reported_dt
-FROM account_trend WHERE account_key % 5 = 0""",
+FROM account_trend""",
     "geo_dim": """
 SELECT DISTINCT state, district, pin_code,
   CAST(CASE WHEN state IS NULL THEN 0 ELSE (r_regionkey + 1) * 10000 END
@@ -195,7 +196,7 @@ JOIN region ON n_regionkey = r_regionkey""",
 SELECT DISTINCT lender_id, loan_purpose, CASE loan_purpose WHEN 'AGRI' THEN 'Income' WHEN 'BUSINESS' THEN 'INCOME'
   WHEN 'SCHOOL' THEN 'Education' WHEN 'HOME' THEN 'Housing' WHEN 'VEHICLE' THEN 'Automobile'
   WHEN 'LAND' THEN 'Real Estate' WHEN 'OTHER' THEN 'misc' END AS purpose_status
-FROM v_orders WHERE loan_purpose IS NOT NULL AND lender_id <> 'ARC008'""",
+FROM v_orders WHERE loan_purpose IS NOT NULL""",
     "lender_dim": values(
         [(n, x, f"{x} {'Bank' if x[:3] in ('PRB', 'SBI') else 'Finance'}", 1) for n, x in enumerate(LENDERS, 1)],
         "contri_key, lender_id, institution_name, active",
@@ -203,16 +204,15 @@ FROM v_orders WHERE loan_purpose IS NOT NULL AND lender_id <> 'ARC008'""",
     "occupation_dim": """
 SELECT lender_id, occupation, occupation_category FROM lender_dim CROSS JOIN (VALUES
   ('AUTOMOBILE','Employed'), ('BUILDING','Self Employed'), ('FURNITURE','Agriculture and Allied'),
-  ('HOUSEHOLD','Contract Employee'), ('MACHINERY','Others')) o(occupation, occupation_category)
-WHERE lender_id <> 'CCC009'""",
+  ('HOUSEHOLD','Contract Employee'), ('MACHINERY','Others')) o(occupation, occupation_category)""",
     "account_type_dim": values(
-        [(n, x, f"Product {x}", 1) for n, x in enumerate(TYPES[:-1], 1)],
+        [(n, x, f"Product {x}", 1) for n, x in enumerate(TYPES, 1)],
         "account_type_key, account_type, account_name, active",
     ),
     "date_dim": """
 SELECT CAST(year(d)*100 + month(d) AS INTEGER) AS yyyymm,
   'FY' || CAST(year(d - INTERVAL 3 MONTH) AS VARCHAR) || '-Q' || CAST(quarter(d - INTERVAL 3 MONTH) AS VARCHAR) AS fyq
-FROM (SELECT unnest(generate_series(DATE '1995-01-01', DATE '2002-12-01', INTERVAL 1 MONTH)) AS d)""",
+FROM (SELECT unnest(generate_series(DATE '1990-01-01', DATE '2039-12-01', INTERVAL 1 MONTH)) AS d)""",
     "threshold": """
 SELECT account_type, min(CASE WHEN rb >= (99*n + 99)//100 THEN balance END) AS balance_cap,
   min(CASE WHEN ra >= (99*n + 99)//100 THEN amount END) AS amount_cap, 1 AS active

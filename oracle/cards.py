@@ -39,6 +39,31 @@ def _mean(part: str, whole: str) -> str:
     return ratio(f"sum({share})", f"count({share})", 1, 4)
 
 
+def _roll(name: str, source: str, months: str) -> dict[str, str]:
+    v = f"v_{name}"
+    return {
+        f"{v}_base": f"""
+SELECT a.act_reported_dt AS reported_dt_from, a.account_key, a.lender_id,
+  {r.ranges('a.derived_dpd', r.B_FLOW5, 'No Due')} AS dpd_from, {r.ranges('b.derived_dpd', r.B_FLOW5, 'No Due')} AS dpd_to,
+  a.current_balance AS balance_from, b.current_balance AS balance_to
+FROM {source} a JOIN {source} b ON a.ind = 'T' AND b.ind = 'T' AND a.account_key = b.account_key
+  AND last_day(CAST(a.act_reported_dt + INTERVAL 12 MONTH AS DATE)) = b.act_reported_dt
+WHERE a.act_reported_dt BETWEEN {shift(AS_OF, -60)} AND {AS_OF} {months}
+  AND a.not_closed_ind = 'Y' AND a.das IN {BOOK} AND b.not_closed_ind = 'Y' AND b.das IN {BOOK}
+  AND a.derived_dpd <= 180 AND b.derived_dpd <= 180""",
+        f"{v}_from": _tiers(f"{v}_base", "dpd_from", "new_dpd_from"),
+        f"{v}_both": _tiers(f"{v}_from", "dpd_to", "new_dpd_to"),
+        f"{v}_sum": f"""
+SELECT *, count(account_key) OVER w AS total_dpd, sum(balance_from) OVER w AS total_cb
+FROM (SELECT *, {_PEER} AS peer_group FROM {v}_both) WINDOW w AS (PARTITION BY new_dpd_from, reported_dt_from, peer_group)""",
+        name: f"""
+SELECT reported_dt_from, peer_group, new_dpd_from, new_dpd_to, total_dpd, total_cb, count(account_key) AS active_cards,
+  sum(balance_to) AS current_balance_to, {ratio('count(account_key)', 'total_dpd', 100)} AS loans_flow_rate_percent,
+  {ratio('sum(balance_to)', 'total_cb', 100)} AS portfolio_flow_rate_percent
+FROM {v}_sum GROUP BY 1, 2, 3, 4, 5, 6""",
+    }
+
+
 _SPINE_SUMS = {
     "active_cards_dpd180": "count(CASE WHEN derived_dpd <= 180 THEN account_key END)",
     "total_active_pos_dpd180": "sum(CASE WHEN derived_dpd <= 180 THEN current_balance ELSE 0 END)",
@@ -139,25 +164,8 @@ SELECT reported_dt, {_PEER} AS peer_group,
   {', '.join(f"{_mean(f'loans_dpd_gtr_{n}', 'active_cards_dpd180')} AS loan_{n}_plus_percent" for n in (30, 60, 90))},
   {', '.join(f"{_mean(f'pos_dpd_gtr_{n}', 'total_active_pos_dpd180')} AS portfolio_{n}_plus_percent" for n in (30, 60, 90))}
 FROM quarter_spine_agg GROUP BY 1, 2""",
-    "v_roll_base": f"""
-SELECT a.act_reported_dt AS reported_dt_from, a.account_key, a.lender_id,
-  {r.ranges('a.derived_dpd', r.B_FLOW5, 'No Due')} AS dpd_from, {r.ranges('b.derived_dpd', r.B_FLOW5, 'No Due')} AS dpd_to,
-  a.current_balance AS balance_from, b.current_balance AS balance_to
-FROM v_roll_cards a JOIN v_roll_cards b ON a.ind = 'T' AND b.ind = 'T' AND a.account_key = b.account_key
-  AND last_day(CAST(a.act_reported_dt + INTERVAL 12 MONTH AS DATE)) = b.act_reported_dt
-WHERE a.act_reported_dt BETWEEN {shift(AS_OF, -60)} AND {AS_OF}
-  AND a.not_closed_ind = 'Y' AND a.das IN {BOOK} AND b.not_closed_ind = 'Y' AND b.das IN {BOOK}
-  AND a.derived_dpd <= 180 AND b.derived_dpd <= 180""",
-    "v_roll_from": _tiers("v_roll_base", "dpd_from", "new_dpd_from"),
-    "v_roll_both": _tiers("v_roll_from", "dpd_to", "new_dpd_to"),
-    "v_roll_sum": f"""
-SELECT *, count(account_key) OVER w AS total_dpd, sum(balance_from) OVER w AS total_cb
-FROM (SELECT *, {_PEER} AS peer_group FROM v_roll_both) WINDOW w AS (PARTITION BY new_dpd_from, reported_dt_from, peer_group)""",
-    "roll_rate": f"""
-SELECT reported_dt_from, peer_group, new_dpd_from, new_dpd_to, total_dpd, total_cb, count(account_key) AS active_cards,
-  sum(balance_to) AS current_balance_to, {ratio('count(account_key)', 'total_dpd', 100)} AS loans_flow_rate_percent,
-  {ratio('sum(balance_to)', 'total_cb', 100)} AS portfolio_flow_rate_percent
-FROM v_roll_sum GROUP BY 1, 2, 3, 4, 5, 6""",
+    **_roll("roll_rate", "card_base", "AND month(a.act_reported_dt) IN (3, 6, 9, 12)"),
+    **_roll("roll_rate_all_products", "v_roll_cards", ""),
     "v_wallet": f"""
 SELECT act_reported_dt AS reported_dt, lender_id, clst_id, current_balance FROM card_base
 WHERE ind = 'T' AND act_reported_dt IN ({_YEAR_AGO}, {AS_OF}) AND {_LIVE}
@@ -218,7 +226,7 @@ MONEY = {
     "quarter_spine_agg": [c for c in _SPINE_SUMS if "pos" in c or c.endswith("_sum")],
     "cc_early_delinquency": ["total_active_pos", "pos_dpd_gtr_30", "pos_dpd_gtr_90"],
     "cc_top_cities": ["total_active_pos"], "cc_portfolio": ["total_active_pos"],
-    "roll_rate": ["total_cb", "current_balance_to"],
+    "roll_rate": ["total_cb", "current_balance_to"], "roll_rate_all_products": ["total_cb", "current_balance_to"],
     "share_of_wallet": ["clst_base_cb", "bank_cb", "low_clst_base_cb", "low_bank_cb"],
     "all_product_base": _ROW_MONEY, "flow_rate": ["current_balance_tl", "total_written_off_amount"],
 }

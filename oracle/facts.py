@@ -12,7 +12,7 @@ _AGE = (f"CASE WHEN birth_dt IS NOT NULL THEN {months_between('as_of', 'birth_dt
 
 def _share(c: str) -> str:
     part = f"CAST(round(CAST(CAST(abs({c}) AS DOUBLE) / members AS DECIMAL(38,8)), 2) AS DECIMAL(18,2))"
-    return f"CASE WHEN s.lender_id = 'PRB003' AND s.loan_category = 'T01' THEN coalesce({part}, 0) ELSE abs({c}) END"
+    return f"CASE WHEN s.lender_id = 'PRB003' AND s.loan_category = 'T04' THEN coalesce({part}, 0) ELSE abs({c}) END"
 
 
 _MONEY = ["amount_overdue_total", "chargeoff_amt", "current_balance", "disbursed_amount", "min_amount_due"]
@@ -41,11 +41,14 @@ _LABELS = {
     "min_amt_due_calc": r.ranges(_CALC, r.B_MIN_DUE, "BLANK", "NA"),
     "min_amt_due_both": r.ranges(f"coalesce(min_amount_due, {_CALC})", r.B_MIN_DUE, "BLANK", "NA"),
 }
-_DPD_LABELS = (["Not Stipulated(Bad)"] + [f"{a}_{a + 29}" for a in range(1, 360, 30)] + [">360", "Not Deliquent(Good)", "NA"])
+_DPD_LABELS = [
+    "Not Stipulated(Bad)", "1_30", "31_60", "61_90", "91_120", "121_150", "151_180",
+    "181_210", "211_240", "241_270", "271_300", "301_330", "331_360", ">360", "Not Deliquent(Good)", "NA",
+]
 
 
-def _last(text: str, *more: str) -> list[str]:
-    return [line.split(None, 2)[2] for line in text.splitlines()] + list(more)
+def _last(table, *more: str) -> list[str]:
+    return [label for _, _, label in table] + list(more)
 
 
 _DIMS = {
@@ -98,11 +101,11 @@ SELECT s.*, c.gender, c.age, c.age_as_on_dt, c.birth_dt, c.occupation, c.monthly
 FROM as_of_snapshot s JOIN latest_consumer c ON s.consumer_key = c.consumer_key
 LEFT JOIN cluster_map m ON s.consumer_key = m.candidate_id
 LEFT JOIN cluster_min_disbursal d ON s.consumer_key = d.consumer_key""",
-    "v_members": "SELECT group_id, count(*) AS members FROM v_reportable WHERE lender_id = 'PRB003' AND loan_category = 'T01' GROUP BY 1",
+    "v_members": "SELECT group_id, count(*) AS members FROM v_reportable WHERE lender_id = 'PRB003' AND loan_category = 'T04' GROUP BY 1",
     "group_share": f"""
 SELECT s.account_key, s.lender_id, s.loan_category, s.group_id, {', '.join(f'{_share(c)} AS {c}' for c in _MONEY)}
 FROM as_of_snapshot s LEFT JOIN (SELECT group_id, count(*) AS members FROM as_of_snapshot
-  WHERE lender_id = 'PRB003' AND loan_category = 'T01' GROUP BY group_id) g ON s.group_id = g.group_id""",
+  WHERE lender_id = 'PRB003' AND loan_category = 'T04' GROUP BY group_id) g ON s.group_id = g.group_id""",
     "geo_key_join": """
 SELECT c.consumer_key, g.sdp_key FROM consumer c JOIN geo_dim g ON coalesce(c.state, 'A') = coalesce(g.state, 'A')
   AND coalesce(c.district, 'A') = coalesce(g.district, 'A') AND coalesce(c.pin_code, '123456') = coalesce(g.pin_code, '123456')""",
@@ -129,7 +132,8 @@ JOIN geo_dim g ON coalesce(s.state, 'A') = coalesce(g.state, 'A') AND coalesce(s
   AND coalesce(s.pin_code, '123456') = coalesce(g.pin_code, '123456')
 LEFT JOIN occupation_dim o ON s.lender_id = o.lender_id AND s.occupation = o.occupation""",
     "mfi_step2": "SELECT * REPLACE (round(age, 4) AS age) FROM v_step2",
-    "category_dim": values([(1, "T01", "Group loan", 1), (2, "T02", "Individual loan", 1), (3, "T03", "Housing loan", 1)],
+    "category_dim": values([(1, "T01", "Group loan", 1), (2, "T02", "Individual loan", 1), (3, "T03", "Housing loan", 1),
+                            (4, "T04", "Other loan", 1)],
                            "category_key, loan_category, category_name, active"),
     "fact_rollup": f"""
 SELECT {', '.join(KEYS)}, count(DISTINCT centre_id) AS total_centres, count(DISTINCT group_id) AS total_groups,

@@ -174,4 +174,5 @@ MONEY = {
     "district_active_base": ["cur_bal"], "district_cluster_profile": ["total_outstanding_amount", "portfolio_outstanding"],
     "district_exposure": _EXP, "district_exposure_self": _EXP, "exposure_file": _FILE, "exposure_file_self": _FILE,
     "geo_product_cube_1": _CUBE_MONEY, "geo_product_cube_2": _CUBE_MONEY, "geo_report_1": _REP_MONEY, "geo_report_2": _REP_MONEY,
+    "export_exposure_file": _FILE, "export_geo_report_1": _REP_MONEY,
 }

@@ -7,15 +7,28 @@ from oracle.base import AS_OF, BOOK, PORTFOLIO, SELF, mob, months_between, ratio
 _CLS = "trim(asset_class)"
 _RAW = "TRY_CAST(regexp_extract(days_past_due, '[0-9]+') AS INTEGER)"
 _CLASS_DPD = f"CASE {_CLS} WHEN 'L01' THEN 0 WHEN 'L02' THEN 91 WHEN 'L03' THEN 361 WHEN 'L04' THEN 361 WHEN 'L05' THEN 1 END"
+# Both sources known or not, the worse counts; without either only the status speaks.
 DERIVED_DPD = f"""CAST(CASE
-  WHEN days_past_due IS NOT NULL AND {_CLS} IS NULL THEN coalesce({_RAW}, 0)
-  WHEN days_past_due IS NULL AND {_CLS} IS NOT NULL THEN {_CLASS_DPD}
-  WHEN days_past_due IS NOT NULL AND {_CLS} IS NOT NULL THEN
-    CASE WHEN coalesce({_CLASS_DPD}, 0) <= coalesce({_RAW}, 0) THEN coalesce({_RAW}, 0) ELSE coalesce({_CLASS_DPD}, 0) END
-  ELSE CASE WHEN das = 'S04' THEN 0 WHEN das = 'S05' THEN 1 ELSE 0 END END AS INTEGER)"""
+  WHEN days_past_due IS NOT NULL THEN greatest(coalesce({_RAW}, 0), coalesce({_CLASS_DPD}, 0))
+  WHEN {_CLS} IS NOT NULL THEN {_CLASS_DPD}
+  WHEN das = 'S05' THEN 1 ELSE 0 END AS INTEGER)"""
+# fixed values: spellings of a commercial class
+CLASS_SPELLINGS = (
+    ("001", ("L01", "001", "0001")),
+    ("002", ("002", "0002")),
+    ("003", ("003", "0003")),
+    ("004", ("004", "0004")),
+    ("005", ("005", "0005")),
+    ("006", ("006", "0006")),
+    ("007", ("007", "0007")),
+    ("008", ("008", "0008")),
+    ("009", ("009", "0009")),
+    ("010", ("010", "0010")),
+    ("011", ("011", "0011")),
+    ("012", ("012", "0012")),
+)
 NORM_CLASS = "CASE " + " ".join(
-    f"WHEN trim(asset_class) IN ({', '.join(repr(x) for x in ((['L01'] if n == 1 else []) + [f'{n:03d}', f'{n:04d}']))})"
-    f" THEN '{n:03d}'" for n in range(1, 13)
+    f"WHEN trim(asset_class) IN ({', '.join(repr(x) for x in spelled)}) THEN '{code}'" for code, spelled in CLASS_SPELLINGS
 ) + " ELSE trim(asset_class) END"
 
 
@@ -47,24 +60,24 @@ def tenure(fn: str, freq: str = "instal_freq") -> str:
 
 
 LOAN = "abs(coalesce(high_credit, disbursed_amount, credit_limit))"
-EXPOSURE = """CASE WHEN abs(coalesce(high_credit, disbursed_amount, credit_limit, current_balance)) <= abs(current_balance)
-  THEN abs(current_balance) ELSE abs(coalesce(high_credit, disbursed_amount, credit_limit, current_balance)) END"""
+EXPOSURE = "greatest(abs(coalesce(high_credit, disbursed_amount, credit_limit, current_balance)), abs(current_balance))"
 DIGITS = "regexp_replace(days_past_due, '[^0-9]', '', 'g')"
 DIGIT_DPD = f"TRY_CAST({DIGITS} AS INTEGER)"
 
 
 def mfi_status(dpd: str, overdue: str, amount: str, as_of: str = AS_OF, status: str = "account_status",
                charge: str = "chargeoff_amt") -> str:
-    return f"""CASE WHEN coalesce({charge}, 0) > 0 THEN 'S06' WHEN coalesce(closed_dt, {as_of} + 100) <= {as_of} THEN 'S07'
-  WHEN {dpd} > 0 THEN 'S05' WHEN coalesce({overdue}, 0) > 0.01 * coalesce({amount}, 0) THEN 'S05' ELSE {status} END"""
+    late = f"{dpd} > 0 OR coalesce({overdue}, 0) > 0.01 * coalesce({amount}, 0)"
+    return (f"CASE WHEN {charge} > 0 THEN 'S06' WHEN closed_dt <= {as_of} THEN 'S07' WHEN {late} THEN 'S05'"
+            f" ELSE {status} END")
 
 
 MFI_STATUS = mfi_status(DIGIT_DPD, "amount_overdue_total", "disbursed_amount")
 
 
 def overdue(dpd: str, due: str, amount: str) -> str:
-    return f"""CASE WHEN (({dpd}) > 0 OR coalesce(abs({due}), 0) > 0.01 * coalesce({amount}, 0)) THEN 1
-  WHEN (({dpd}) = 0 OR ({dpd}) IS NULL) AND coalesce(abs({due}), 0) <= 0.01 * coalesce({amount}, 0) THEN 0 END"""
+    owed = f"coalesce(abs({due}), 0) > 0.01 * coalesce({amount}, 0)"
+    return f"CASE WHEN coalesce({dpd}, 0) > 0 OR {owed} THEN 1 WHEN coalesce({dpd}, 0) = 0 THEN 0 END"
 
 
 def lender_class(lender: str, self_id: str = SELF) -> str:
@@ -88,18 +101,22 @@ def groups(lender: str, table, default: str, self_id: str | None = None) -> str:
 CARD_GROUPS = [("FRBs", ["CCC009", "FRB011"]), ("PRBs", ["PRB000", "PRB001", "PRB002", "PRB003"])]
 
 
-def _in(codes: str) -> str:
-    return "(" + ",".join(f"'{c}'" for c in codes.split()) + ")"
+# fixed values: account types of each class
+PRODUCT_CLASSES = {
+    "profile": (
+        ("A01", "A04", "A09", "A08", "A07", "A06", "A20", "A31", "A67", "A03", "A41", "A10", "A61", "A05", "A42", "A11"),
+        ("A62", "A19", "A24", "A25", "A28", "A12", "A22", "A26", "A14", "A15", "A13", "A63", "A29", "A27", "A40", "A37"),
+    ),
+    "dashboard": (
+        ("A01", "A04", "A09", "A08", "A07", "A24", "A06", "A25", "A20", "A13", "A31", "A67", "A03", "A41", "A61", "A05", "A42", "A11"),
+        ("A15", "A62", "A19", "A28", "A12", "A22", "A63", "A29", "A27"),
+    ),
+}
 
 
 def product_class(col: str, variant: str) -> str:
-    secured, unsecured = {
-        "profile": ("A01 A04 A09 A08 A07 A06 A20 A31 A67 A03 A41 A10 A61 A05 A42 A11",
-                    "A62 A19 A24 A25 A28 A12 A22 A26 A14 A15 A13 A63 A29 A27 A40 A37"),
-        "dashboard": ("A01 A04 A09 A08 A07 A24 A06 A25 A20 A13 A31 A67 A03 A41 A61 A05 A42 A11",
-                      "A15 A62 A19 A28 A12 A22 A63 A29 A27"),
-    }[variant]
-    return f"CASE WHEN {col} IN {_in(secured)} THEN 'Secured' WHEN {col} IN {_in(unsecured)} THEN 'Unsecured' ELSE 'Others' END"
+    secured, unsecured = PRODUCT_CLASSES[variant]
+    return f"CASE WHEN {col} IN {secured} THEN 'Secured' WHEN {col} IN {unsecured} THEN 'Unsecured' ELSE 'Others' END"
 
 
 RETAIL_CATEGORY = """CASE WHEN account_type='A06' THEN 'HL' WHEN account_type='A12' THEN 'PL' WHEN account_type='A01' THEN 'AL'
@@ -144,61 +161,271 @@ def debt(min_due: str, income: str, balance: str, active: str) -> dict[str, str]
 
 
 # --- buckets ----------------------------------------------------------------------
-def ranges(col: str, text: str, null: str | None = None, other: str | None = None) -> str:
-    """CASE from 'low high label' lines; '-' is an open end (strict above, inclusive below)."""
+def ranges(col: str, table, null: str | None = None, other: str | None = None) -> str:
+    """CASE over the (low, high, label) rows of a table."""
     arms = [] if null is None else [f"WHEN {col} IS NULL THEN '{null}'"]
-    for line in text.strip().splitlines():
-        low, high, label = line.split(None, 2)
-        if low == "-":
-            arms.append(f"WHEN {col} <= {high} THEN '{label}'")
-        elif high == "-":
-            arms.append(f"WHEN {col} > {low} THEN '{label}'")
-        else:
-            arms.append(f"WHEN {col} BETWEEN {low} AND {high} THEN '{label}'")
+    for low, high, label in table:
+        test = f"<= {high}" if low is None else f"> {low}" if high is None else f"BETWEEN {low} AND {high}"
+        arms.append(f"WHEN {col} {test} THEN '{label}'")
     return f"CASE {' '.join(arms)} ELSE {'NULL' if other is None else repr(other)} END"
 
 
-B_DPD7 = "0 0 0\n1 30 1_30\n31 60 31_60\n61 90 61_90\n91 180 91_180\n181 360 181_360\n360 - >360"
-B_DPD30 = "\n".join(f"{a} {a + 29} {a}_{a + 29}" for a in range(1, 360, 30)) + "\n360 - >360"
-B_WORST = "1 30 1_30\n31 60 31_60\n61 90 61_90\n91 180 91_180\n180 - >180"
-B_FLOW9 = ("0 0 No Due\n1 30 1_30\n31 60 30_60\n61 90 60_90\n91 120 90_120\n121 150 120_150\n151 180 150_180\n"
-           "181 360 180_360\n360 - 360+")
-B_FLOW5 = "0 0 No Due\n1 30 1_30\n31 60 30_60\n61 90 60_90\n91 180 90_180"
-B_AMOUNT6 = ("0 5000 0-5K\n5001 10000 5K-10K\n10001 15000 10K-15K\n15001 20000 15K-20K\n20001 50000 20K-50K\n"
-             "50001 500000 50K-5LAC")
-B_AMOUNT10 = ("- 250000 0-2.5L\n250001 1000000 2.5L-10L\n1000001 1500000 10L-15L\n1500001 2000000 15L-20L\n"
-              "2000001 2500000 20L-25L\n2500001 4000000 25L-40L\n4000001 5000000 40L-50L\n5000001 10000000 50L-1Cr\n"
-              "10000001 50000000 1Cr-5Cr\n50000000 - >5Cr")
-B_TICKET = ("0 5000 0_5K\n5001 10000 5K_10K\n10001 15000 10K_15K\n15001 20000 15K_20K\n20001 25000 20K_25K\n"
-            "25001 30000 25K_30K\n30001 35000 30K_35K\n35001 40000 35K_40K\n40001 45000 40K_45K\n45001 50000 45K_50K\n"
-            "50001 55000 50K_55K\n55001 60000 55K_60K\n60001 65000 60K_65K\n65001 70000 65K_70K\n70001 75000 70K_75K\n"
-            "75001 80000 75K_80K\n80001 90000 80K_90K\n90001 100000 90K_1LAC\n100001 150000 1LAC_1.5LAC\n"
-            "150001 200000 1.5LAC_2LAC\n200001 250000 2LAC_2.5LAC\n250001 300000 2.5LAC_3LAC\n300001 350000 3LAC_3.5LAC\n"
-            "350001 400000 3.5LAC_4LAC\n400001 450000 4LAC_4.5LAC\n450001 500000 4.5LAC_5LAC\n500001 700000 5LAC_7LAC\n"
-            "700001 1000000 7LAC_10LAC\n1000000 - GRTR_10LAC")
-B_EXPOSURE = ("0 10000 0_10K\n10001 15000 10K_15K\n15001 20000 15K_20K\n20001 25000 20K_25K\n25001 30000 25K_30K\n"
-              "30001 40000 30K_40K\n40001 60000 40K_60K\n60001 80000 60K_80K\n80001 100000 80K_100K\n"
-              "100001 150000 100K_150K\n150000 - >150K")
-B_COUNT6 = "1 1 1\n2 2 2\n3 3 3\n4 4 4\n5 5 5\n5 - >5"
-B_VINTAGE = ("0 3 0-3\n4 6 3-6\n7 12 6-12\n13 24 12-24\n25 36 24-36\n37 48 36-48\n49 60 48-60\n61 120 60-120\n120 - >120")
-B_VINTAGE_M = ("0 2 0-3M\n3 5 3-6M\n6 11 6-12M\n12 23 12-24M\n24 35 24-36M\n36 47 36-48M\n48 59 48-60M\n60 119 60-120M\n"
-               "119 - >120M")
-B_MOB = "\n".join(f"{a} {a + 2} {a + 1}_{a + 3}" for a in range(0, 36, 3)) + "\n35 - >36"
-B_INSTAL = "0 6 0_6\n7 12 7_12\n13 24 13_24\n24 - GRTR24"
-B_INCOME = ("0 5000 0_5K\n5001 10000 5K_10K\n10001 15000 10K_15K\n15001 50000 15K_50K\n50001 100000 50K_1LACS\n"
-            "100000 - GRTR_1LACS")
-B_AGE = ("1 17 <18\n18 21 18-21\n22 25 22-25\n26 30 26-30\n31 35 31-35\n36 40 36-40\n41 45 41-45\n46 50 46-50\n"
-         "51 55 51-55\n56 60 56-60\n61 65 61-65\n65 - >65")
-B_MIN_DUE = ("- 250 <=250\n251 500 250_500\n501 750 500_750\n751 1000 750_1000\n1001 1250 1000_1250\n"
-             "1251 1500 1250_1500\n1501 2000 1500_2000\n2001 2500 2001_2500\n2501 3000 2500_3000\n3001 4000 3000_4000\n"
-             "4001 5000 4001_5000\n5000 - >5000")
-B_DTI = "0 10 0-10\n11 25 11-25\n26 50 26-50\n51 75 51-75\n76 100 76-100\n100 - >100"
-B_PTI = "0 100 0-100\n101 200 100-200\n201 500 200-500\n501 1000 500-1000\n1001 2000 1000-2000\n2000 - >2000"
-B_DUE_RATIO = ("0 2 0-2\n3 5 3-5\n5 7 5-7\n8 10 8-10\n11 15 10-15\n16 20 15-20\n21 30 20-30\n31 50 31-50\n51 100 51-100\n"
-               "100 - >100")
-B_LENDERS5 = "1 1 1\n2 2 2\n3 3 3\n4 4 4\n5 99999 >=5"
-B_LENDERS8 = "- 3 <=3\n4 6 4-6\n7 10 7-10\n11 15 11-15\n16 20 16-20\n21 30 21-30\n31 40 31-40\n40 - >40"
-B_TICKET_KEYS = ("- 2 <=10K\n3 3 10K-15K\n4 4 15K-20K\n5 5 20K-25K\n6 6 25K-30K\n7 8 30K-40K\n9 12 40K-60K\n12 - 60K+")
+# fixed values: bucket ranges as (low, high, label); an open end is None, strict above and inclusive below
+B_DPD7 = (
+    (0, 0, "0"),
+    (1, 30, "1_30"),
+    (31, 60, "31_60"),
+    (61, 90, "61_90"),
+    (91, 180, "91_180"),
+    (181, 360, "181_360"),
+    (360, None, ">360"),
+)
+B_DPD30 = (
+    (1, 30, "1_30"),
+    (31, 60, "31_60"),
+    (61, 90, "61_90"),
+    (91, 120, "91_120"),
+    (121, 150, "121_150"),
+    (151, 180, "151_180"),
+    (181, 210, "181_210"),
+    (211, 240, "211_240"),
+    (241, 270, "241_270"),
+    (271, 300, "271_300"),
+    (301, 330, "301_330"),
+    (331, 360, "331_360"),
+    (360, None, ">360"),
+)
+B_WORST = (
+    (1, 30, "1_30"),
+    (31, 60, "31_60"),
+    (61, 90, "61_90"),
+    (91, 180, "91_180"),
+    (180, None, ">180"),
+)
+B_FLOW9 = (
+    (0, 0, "No Due"),
+    (1, 30, "1_30"),
+    (31, 60, "30_60"),
+    (61, 90, "60_90"),
+    (91, 120, "90_120"),
+    (121, 150, "120_150"),
+    (151, 180, "150_180"),
+    (181, 360, "180_360"),
+    (360, None, "360+"),
+)
+B_FLOW5 = (
+    (0, 0, "No Due"),
+    (1, 30, "1_30"),
+    (31, 60, "30_60"),
+    (61, 90, "60_90"),
+    (91, 180, "90_180"),
+)
+B_AMOUNT6 = (
+    (0, 5000, "0-5K"),
+    (5001, 10000, "5K-10K"),
+    (10001, 15000, "10K-15K"),
+    (15001, 20000, "15K-20K"),
+    (20001, 50000, "20K-50K"),
+    (50001, 500000, "50K-5LAC"),
+)
+B_AMOUNT10 = (
+    (None, 250000, "0-2.5L"),
+    (250001, 1000000, "2.5L-10L"),
+    (1000001, 1500000, "10L-15L"),
+    (1500001, 2000000, "15L-20L"),
+    (2000001, 2500000, "20L-25L"),
+    (2500001, 4000000, "25L-40L"),
+    (4000001, 5000000, "40L-50L"),
+    (5000001, 10000000, "50L-1Cr"),
+    (10000001, 50000000, "1Cr-5Cr"),
+    (50000000, None, ">5Cr"),
+)
+B_TICKET = (
+    (0, 5000, "0_5K"),
+    (5001, 10000, "5K_10K"),
+    (10001, 15000, "10K_15K"),
+    (15001, 20000, "15K_20K"),
+    (20001, 25000, "20K_25K"),
+    (25001, 30000, "25K_30K"),
+    (30001, 35000, "30K_35K"),
+    (35001, 40000, "35K_40K"),
+    (40001, 45000, "40K_45K"),
+    (45001, 50000, "45K_50K"),
+    (50001, 55000, "50K_55K"),
+    (55001, 60000, "55K_60K"),
+    (60001, 65000, "60K_65K"),
+    (65001, 70000, "65K_70K"),
+    (70001, 75000, "70K_75K"),
+    (75001, 80000, "75K_80K"),
+    (80001, 90000, "80K_90K"),
+    (90001, 100000, "90K_1LAC"),
+    (100001, 150000, "1LAC_1.5LAC"),
+    (150001, 200000, "1.5LAC_2LAC"),
+    (200001, 250000, "2LAC_2.5LAC"),
+    (250001, 300000, "2.5LAC_3LAC"),
+    (300001, 350000, "3LAC_3.5LAC"),
+    (350001, 400000, "3.5LAC_4LAC"),
+    (400001, 450000, "4LAC_4.5LAC"),
+    (450001, 500000, "4.5LAC_5LAC"),
+    (500001, 700000, "5LAC_7LAC"),
+    (700001, 1000000, "7LAC_10LAC"),
+    (1000000, None, "GRTR_10LAC"),
+)
+B_EXPOSURE = (
+    (0, 10000, "0_10K"),
+    (10001, 15000, "10K_15K"),
+    (15001, 20000, "15K_20K"),
+    (20001, 25000, "20K_25K"),
+    (25001, 30000, "25K_30K"),
+    (30001, 40000, "30K_40K"),
+    (40001, 60000, "40K_60K"),
+    (60001, 80000, "60K_80K"),
+    (80001, 100000, "80K_100K"),
+    (100001, 150000, "100K_150K"),
+    (150000, None, ">150K"),
+)
+B_COUNT6 = (
+    (1, 1, "1"),
+    (2, 2, "2"),
+    (3, 3, "3"),
+    (4, 4, "4"),
+    (5, 5, "5"),
+    (5, None, ">5"),
+)
+B_VINTAGE = (
+    (0, 3, "0-3"),
+    (4, 6, "3-6"),
+    (7, 12, "6-12"),
+    (13, 24, "12-24"),
+    (25, 36, "24-36"),
+    (37, 48, "36-48"),
+    (49, 60, "48-60"),
+    (61, 120, "60-120"),
+    (120, None, ">120"),
+)
+B_VINTAGE_M = (
+    (0, 2, "0-3M"),
+    (3, 5, "3-6M"),
+    (6, 11, "6-12M"),
+    (12, 23, "12-24M"),
+    (24, 35, "24-36M"),
+    (36, 47, "36-48M"),
+    (48, 59, "48-60M"),
+    (60, 119, "60-120M"),
+    (119, None, ">120M"),
+)
+B_MOB = (
+    (0, 2, "1_3"),
+    (3, 5, "4_6"),
+    (6, 8, "7_9"),
+    (9, 11, "10_12"),
+    (12, 14, "13_15"),
+    (15, 17, "16_18"),
+    (18, 20, "19_21"),
+    (21, 23, "22_24"),
+    (24, 26, "25_27"),
+    (27, 29, "28_30"),
+    (30, 32, "31_33"),
+    (33, 35, "34_36"),
+    (35, None, ">36"),
+)
+B_INSTAL = (
+    (0, 6, "0_6"),
+    (7, 12, "7_12"),
+    (13, 24, "13_24"),
+    (24, None, "GRTR24"),
+)
+B_INCOME = (
+    (0, 5000, "0_5K"),
+    (5001, 10000, "5K_10K"),
+    (10001, 15000, "10K_15K"),
+    (15001, 50000, "15K_50K"),
+    (50001, 100000, "50K_1LACS"),
+    (100000, None, "GRTR_1LACS"),
+)
+B_AGE = (
+    (1, 17, "<18"),
+    (18, 21, "18-21"),
+    (22, 25, "22-25"),
+    (26, 30, "26-30"),
+    (31, 35, "31-35"),
+    (36, 40, "36-40"),
+    (41, 45, "41-45"),
+    (46, 50, "46-50"),
+    (51, 55, "51-55"),
+    (56, 60, "56-60"),
+    (61, 65, "61-65"),
+    (65, None, ">65"),
+)
+B_MIN_DUE = (
+    (None, 250, "<=250"),
+    (251, 500, "250_500"),
+    (501, 750, "500_750"),
+    (751, 1000, "750_1000"),
+    (1001, 1250, "1000_1250"),
+    (1251, 1500, "1250_1500"),
+    (1501, 2000, "1500_2000"),
+    (2001, 2500, "2001_2500"),
+    (2501, 3000, "2500_3000"),
+    (3001, 4000, "3000_4000"),
+    (4001, 5000, "4001_5000"),
+    (5000, None, ">5000"),
+)
+B_DTI = (
+    (0, 10, "0-10"),
+    (11, 25, "11-25"),
+    (26, 50, "26-50"),
+    (51, 75, "51-75"),
+    (76, 100, "76-100"),
+    (100, None, ">100"),
+)
+B_PTI = (
+    (0, 100, "0-100"),
+    (101, 200, "100-200"),
+    (201, 500, "200-500"),
+    (501, 1000, "500-1000"),
+    (1001, 2000, "1000-2000"),
+    (2000, None, ">2000"),
+)
+B_DUE_RATIO = (
+    (0, 2, "0-2"),
+    (3, 5, "3-5"),
+    (5, 7, "5-7"),
+    (8, 10, "8-10"),
+    (11, 15, "10-15"),
+    (16, 20, "15-20"),
+    (21, 30, "20-30"),
+    (31, 50, "31-50"),
+    (51, 100, "51-100"),
+    (100, None, ">100"),
+)
+B_LENDERS5 = (
+    (1, 1, "1"),
+    (2, 2, "2"),
+    (3, 3, "3"),
+    (4, 4, "4"),
+    (5, 99999, ">=5"),
+)
+B_LENDERS8 = (
+    (None, 3, "<=3"),
+    (4, 6, "4-6"),
+    (7, 10, "7-10"),
+    (11, 15, "11-15"),
+    (16, 20, "16-20"),
+    (21, 30, "21-30"),
+    (31, 40, "31-40"),
+    (40, None, ">40"),
+)
+B_TICKET_KEYS = (
+    (None, 2, "<=10K"),
+    (3, 3, "10K-15K"),
+    (4, 4, "15K-20K"),
+    (5, 5, "20K-25K"),
+    (6, 6, "25K-30K"),
+    (7, 8, "30K-40K"),
+    (9, 12, "40K-60K"),
+    (12, None, "60K+"),
+)
 
 
 def dpd14(dpd: str, due: str, amount: str) -> str:
@@ -209,15 +436,15 @@ def dpd14(dpd: str, due: str, amount: str) -> str:
 
 def dpd_worst(das: str, worst: str, due: str, amount: str) -> str:
     over = f"coalesce(abs({due}), 0) > 0.01 * coalesce(abs({amount}), 0)"
-    return f"""CASE WHEN {das} IN ('S04','S05') AND ({worst} = 0 OR {worst} IS NULL) AND NOT ({over}) THEN 'Not Deliquent(Good)'
-  WHEN {das} IN ('S04','S05') AND {worst} > 0 THEN {ranges(worst, B_WORST)}
-  WHEN {das} = 'S06' THEN 'WRITEOFF' WHEN {das} = 'S07' THEN 'CLOSED'
-  WHEN ({worst} = 0 OR {worst} IS NULL) AND {over} THEN 'Not Stipulated(Bad)' ELSE 'NA' END"""
+    live = f"{das} IN ('S04','S05')"
+    unpaid = f"CASE WHEN {over} THEN 'Not Stipulated(Bad)' WHEN {live} THEN 'Not Deliquent(Good)' ELSE 'NA' END"
+    late = f"CASE WHEN {live} AND {worst} > 0 THEN {ranges(worst, B_WORST)} ELSE 'NA' END"
+    return f"""CASE {das} WHEN 'S06' THEN 'WRITEOFF' WHEN 'S07' THEN 'CLOSED'
+  ELSE CASE WHEN coalesce({worst}, 0) = 0 THEN {unpaid} ELSE {late} END END"""
 
 
 def dpd_account(dpd: str, das: str) -> str:
-    rest = B_DPD7.split("\n", 1)[1]
-    return f"CASE WHEN coalesce({dpd}, 0) = 0 AND {das} IN {PORTFOLIO} THEN '0' ELSE {ranges(dpd, rest)} END"
+    return f"CASE WHEN coalesce({dpd}, 0) = 0 AND {das} IN {PORTFOLIO} THEN '0' ELSE {ranges(dpd, B_DPD7[1:])} END"
 
 
 def cycle3(c: str) -> str:

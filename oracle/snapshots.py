@@ -75,6 +75,8 @@ SELECT account_key, das, current_balance, CAST(year(act_reported_dt)*100 + month
 FROM account_trend WHERE das = 'S05' OR month(act_reported_dt) <> 12 OR act_reported_dt NOT IN (
   SELECT act_reported_dt FROM account_trend WHERE das = 'S05')""",
     "export_single_csv": "SELECT * FROM par_report",
+    "export_exposure_file": "SELECT * FROM exposure_file",
+    "export_geo_report_1": "SELECT * FROM geo_report_1",
     "open_closed_union_uncapped": """
 SELECT * FROM macro_open UNION ALL
 SELECT * FROM macro_closed WHERE reported_dt <= DATE '2000-08-08'
