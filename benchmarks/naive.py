@@ -171,5 +171,5 @@ def share_of_wallet(book: Book, p: P.RunParams) -> DataFrame:
 
 NAIVE = {
     "par_report": par_report, "cluster_profile": cluster_profile, "quarter_spine_agg": quarter_spine_agg,
-    "roll_rate": roll_rate, "share_of_wallet": share_of_wallet,
+    "roll_rate_all_products": roll_rate, "share_of_wallet": share_of_wallet,
 }

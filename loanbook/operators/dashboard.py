@@ -108,12 +108,12 @@ def account_dashboard(base: DataFrame, profile: DataFrame, self_lender: str) ->
         M.sum_if(F.col("live"), F.col("amount"), "total_act_disb_amount"),
         F.sum("due").alias("min_amount_due"), F.sum("income").alias("annual_income"),
     )
-    on = F.col("live") == 1
+    # A filter keeps both counts of an entity in one distinct group, so rows are expanded per entity, not per count.
     return reduced.groupBy(*keys).agg(
         F.count_distinct("clst_id").alias("total_clusters"),
-        F.count_distinct(F.when(on, F.col("clst_id"))).alias("active_clusters"),
+        F.expr("count(distinct clst_id) filter (where live = 1)").alias("active_clusters"),
         F.count_distinct("account_key").alias("total_loans"),
-        F.count_distinct(F.when(on, F.col("account_key"))).alias("total_active_loans"),
+        F.expr("count(distinct account_key) filter (where live = 1)").alias("total_active_loans"),
         *_sums("total_act_outstanding_amount", "total_disb_amount", "total_act_disb_amount", "min_amount_due",
                "annual_income"),
     )
