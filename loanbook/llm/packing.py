@@ -14,6 +14,7 @@ and only the last bins of a group can be worse filled than in one global run.
 from __future__ import annotations
 
 import bisect
+import heapq
 from collections.abc import Callable, Sequence
 
 import pandas as pd
@@ -48,16 +49,16 @@ class OpenBins:
         if room not in self._bins:
             bisect.insort(self._room, room)
             self._bins[room] = []
-        self._bins[room].append(bin_no)
+        heapq.heappush(self._bins[room], bin_no)
 
     def take(self, length: int) -> tuple[int, int] | None:
-        """The bin with the least sufficient room, removed from the open ones, and its room."""
+        """The bin with the least sufficient room, of equal ones the first opened, removed from the open ones, and its room."""
         at = bisect.bisect_left(self._room, length)
         if at == len(self._room):
             return None
         room = self._room[at]
         bins = self._bins[room]
-        bin_no = bins.pop()
+        bin_no = heapq.heappop(bins)
         if not bins:
             del self._bins[room]
             del self._room[at]
