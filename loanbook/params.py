@@ -68,6 +68,7 @@ class RunParams:
     vintage_reported_from: date = date(1998, 4, 1)
     look_back_months: int = 24
     time_lapse_months: int = 12
+    flow_lapses: tuple[int, ...] = (6, 12)
     flow_account_types: tuple[str, ...] = ("A01", "A06", "A07", "A12", "A13", "A15", "A22")
     card_types: tuple[str, ...] = (CARD_TYPE,)
     roll_back_months: int = 60

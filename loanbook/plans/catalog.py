@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import dataclasses
 import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -643,6 +644,25 @@ def par_report_from_fact(book: Book, p: P.RunParams) -> DataFrame:
     )
 
 
+@query
+def fact_month_over_month(book: Book, p: P.RunParams) -> DataFrame:
+    return par.month_over_month(_fact_reports(book, p), p.as_of.replace(day=1))
+
+
+@query
+def fact_report_outliers(book: Book, p: P.RunParams) -> DataFrame:
+    report = _shared(_fact_reports(book, p))
+    return par.report_outliers(par.month_over_month(report, p.as_of.replace(day=1)), par.share_filter(report))
+
+
+def _fact_reports(book: Book, p: P.RunParams) -> DataFrame:
+    """The reports from the facts of the run's month and of the three before it, dated by the first of the month."""
+    months = [P.shift_months(p.as_of, -n) for n in range(4)]
+    reports = [par_report_from_fact(book, dataclasses.replace(p, as_of=month)) for month in months]
+    runs = functools.reduce(DataFrame.unionByName, reports).withColumn("run", F.lit(1))
+    return par.report_dedupe(runs, p.as_of.replace(day=1))
+
+
 # --- geography ----------------------------------------------------------------------
 @query
 def district_active_base(book: Book, p: P.RunParams) -> DataFrame:
@@ -810,6 +830,15 @@ def flow_rate(book: Book, p: P.RunParams) -> DataFrame:
     )
 
 
+@query
+def flow_runs(book: Book, p: P.RunParams) -> DataFrame:
+    """Flow rates of several lags in one table with a partition per run; a run done again replaces its own."""
+    path = io.new_table_path(book.spark, "flow")
+    for lapse in (*p.flow_lapses, p.flow_lapses[0]):
+        io.write_period(flow_rate(book, dataclasses.replace(p, time_lapse_months=lapse)), path, ["batch_run"])
+    return book.spark.read.parquet(path)
+
+
 # --- input and output ------------------------------------------------------------------
 def _source(book: Book) -> io.FileSource:
     return io.FileSource(book.folder)
@@ -862,6 +891,20 @@ def write_period(book: Book, p: P.RunParams) -> DataFrame:
     return book.spark.read.parquet(path)
 
 
+@query
+def named_table(book: Book, p: P.RunParams) -> DataFrame:
+    """Accounts in a named table: written, replaced, appended to and inserted into by name, then read by name."""
+    name = f"account_status_{uuid.uuid4().hex}"
+    rows = book.account().select("account_key", "das", "current_balance")
+    live, closed = F.col("das").isin(*P.ACTIVE_STRICT), F.col("das") == "S06"
+    path = io.new_table_path(book.spark, "named")
+    io.save_table(rows, name, path)
+    io.save_table(rows.where(live), name, path)
+    io.save_table(rows.where(closed), name, path, mode="append")
+    io.insert_by_name(rows.where(~live & ~closed).select("current_balance", "das", "account_key"), name)
+    return io.read_table(book.spark, io.CatalogSource("default"), name)
+
+
 @query
 def export_single_csv(book: Book, p: P.RunParams) -> DataFrame:
     """The risk report as one named file, read back."""

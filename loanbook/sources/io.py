@@ -113,6 +113,16 @@ def load_by_period(df: DataFrame, path: str, period: Column, name: str = "year")
     rows.hint("rebalance", F.col(name)).write.mode("append").partitionBy(name).parquet(path)
 
 
+def save_table(df: DataFrame, name: str, path: str, mode: str = "overwrite") -> None:
+    """Write a named table with its files at `path`; mode `overwrite` replaces its rows, `append` adds to them."""
+    df.write.mode(mode).option("path", path).saveAsTable(name)
+
+
+def insert_by_name(df: DataFrame, name: str) -> None:
+    """Add rows to a named table, matching columns by name whatever their order; others of `df` are left out."""
+    df.select(*df.sparkSession.table(name).columns).write.insertInto(name)
+
+
 def write_period(df: DataFrame, path: str, columns: list[str]) -> None:
     """Replace exactly the partitions that `df` holds and leave all others."""
     rows = df.hint("rebalance", *[F.col(c) for c in columns])

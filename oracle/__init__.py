@@ -17,7 +17,15 @@ def _bodies() -> dict[str, str]:
     bodies = dict(VIEWS)
     for module in (rules, snapshots, people, clusters, reports, facts, geo, cards):
         bodies.update(module.SQL)
-    return bodies
+    report = statement("par_report_from_fact", bodies, [])
+    months = [_at_month(report, *m) for m in (("2000-03-31", "200003"), ("2000-04-30", "200004"), ("2000-05-31", "200005"))]
+    earlier = "".join(f"\nUNION ALL SELECT 1, * FROM ({month})" for month in months)
+    return bodies | {"v_fact_reports": f"SELECT 1 AS run, * FROM par_report_from_fact{earlier}"}
+
+
+def _at_month(sql: str, end: str, yyyymm: str) -> str:
+    """A statement of the run's month as one of another month."""
+    return sql.replace("2000-06-30", end).replace("200006", yyyymm).replace("2000-06-01", f"{end[:8]}01")
 
 
 def _money() -> dict[str, list[str]]:

@@ -100,6 +100,36 @@ LEFT JOIN threshold t ON t.account_type = x.account_type AND t.active = 1
 WHERE u.ownership_ind <> 'O04' AND (t.balance_cap IS NULL OR coalesce(abs(x.current_balance), 0) <= t.balance_cap)"""
 
 
+def _flow(name: str, base: str, lapse: int) -> dict[str, str]:
+    """Flow rate some months later, and the rows it reads."""
+    return {
+        base: f"""
+SELECT x.*, u.state FROM (
+  {retail_row('T1', 'a', 'b')} FROM account_trend a JOIN account b ON a.account_key = b.account_key
+  WHERE {_ELIGIBLE} AND last_day(a.act_reported_dt) = {AS_OF} AND b.disbursed_dt <= {AS_OF}
+  UNION ALL {retail_row('T2', 'a', 'b')} FROM account_trend a JOIN account b ON a.account_key = b.account_key
+  WHERE {_ELIGIBLE} AND last_day(a.act_reported_dt) = {shift(AS_OF, lapse)}) x
+LEFT JOIN unique_account_row u ON x.account_key = u.account_key JOIN threshold t ON x.account_type = t.account_type AND t.active = 1
+WHERE NOT (x.account_type = 'A15' AND u.ownership_ind = 'O04') AND x.current_balance <= t.balance_cap
+  AND x.sanctioned_amount <= t.amount_cap""",
+        name: f"""
+SELECT account_name AS product, {_PEER} AS lender_type, {r.ranges('sanctioned_amount', r.B_AMOUNT10, None, 'NA')} AS ticket_size_lbop,
+  state, loan_book_obs_prd, time_lapsed, dpd_lbop, dpd_tl,
+  CASE WHEN disbursed_dt < {shift(AS_OF, -36)} THEN '<36 Months' ELSE fyq END AS origination_period,
+  {r.ranges('mob', r.B_MOB)} AS mob_bucket, count(DISTINCT account_key) AS live_loans, sum(balance_tl) AS current_balance_tl,
+  sum(chargeoff_tl) AS total_written_off_amount, 'A01-A06-A07-A12-A13-A15-A22|NBF004|200006|{lapse}' AS batch_run
+FROM (SELECT a.*, b.time_lapsed, b.dpd_tl, b.balance_tl, b.chargeoff_tl FROM (
+    SELECT account_key, account_type, lender_id, state, disbursed_dt, mob, act_reported_dt AS loan_book_obs_prd,
+      {_FLOW_BAND} AS dpd_lbop, sanctioned_amount FROM {base} WHERE ind = 'T1') a
+  JOIN (SELECT account_key, act_reported_dt AS time_lapsed,
+      CASE WHEN {_LIVE} THEN {r.ranges('derived_dpd', r.B_FLOW9, 'No Due')} WHEN das IN ('S06','S13') THEN 'Written Off' END AS dpd_tl,
+      current_balance AS balance_tl, chargeoff_amt AS chargeoff_tl FROM {base} WHERE ind = 'T2') b
+    ON a.account_key = b.account_key) f
+JOIN account_type_dim d ON f.account_type = d.account_type AND d.active = 1
+LEFT JOIN date_dim e ON {yyyymm('disbursed_dt')} = e.yyyymm GROUP BY ALL""",
+    }
+
+
 SQL = {
     "card_base": _card_base("b.account_type = 'A15'"),
     "v_roll_cards": _card_base("b.account_type LIKE 'A%'"),
@@ -195,30 +225,9 @@ FROM (SELECT *, count(*) OVER (PARTITION BY clst_id, reported_dt) AS rw,
     count(*) OVER (PARTITION BY clst_id, reported_dt, peer_group) AS rw_peer,
     count(*) OVER (PARTITION BY clst_id, reported_dt, account_type) AS rw_product
   FROM (SELECT *, {_PEER} AS peer_group FROM all_product_base)) GROUP BY reported_dt, peer_group""",
-    "v_flow_base": f"""
-SELECT x.*, u.state FROM (
-  {retail_row('T1', 'a', 'b')} FROM account_trend a JOIN account b ON a.account_key = b.account_key
-  WHERE {_ELIGIBLE} AND last_day(a.act_reported_dt) = {AS_OF} AND b.disbursed_dt <= {AS_OF}
-  UNION ALL {retail_row('T2', 'a', 'b')} FROM account_trend a JOIN account b ON a.account_key = b.account_key
-  WHERE {_ELIGIBLE} AND last_day(a.act_reported_dt) = {shift(AS_OF, 12)}) x
-LEFT JOIN unique_account_row u ON x.account_key = u.account_key JOIN threshold t ON x.account_type = t.account_type AND t.active = 1
-WHERE NOT (x.account_type = 'A15' AND u.ownership_ind = 'O04') AND x.current_balance <= t.balance_cap
-  AND x.sanctioned_amount <= t.amount_cap""",
-    "flow_rate": f"""
-SELECT account_name AS product, {_PEER} AS lender_type, {r.ranges('sanctioned_amount', r.B_AMOUNT10, None, 'NA')} AS ticket_size_lbop,
-  state, loan_book_obs_prd, time_lapsed, dpd_lbop, dpd_tl,
-  CASE WHEN disbursed_dt < {shift(AS_OF, -36)} THEN '<36 Months' ELSE fyq END AS origination_period,
-  {r.ranges('mob', r.B_MOB)} AS mob_bucket, count(DISTINCT account_key) AS live_loans, sum(balance_tl) AS current_balance_tl,
-  sum(chargeoff_tl) AS total_written_off_amount, 'A01-A06-A07-A12-A13-A15-A22|NBF004|200006|12' AS batch_run
-FROM (SELECT a.*, b.time_lapsed, b.dpd_tl, b.balance_tl, b.chargeoff_tl FROM (
-    SELECT account_key, account_type, lender_id, state, disbursed_dt, mob, act_reported_dt AS loan_book_obs_prd,
-      {_FLOW_BAND} AS dpd_lbop, sanctioned_amount FROM v_flow_base WHERE ind = 'T1') a
-  JOIN (SELECT account_key, act_reported_dt AS time_lapsed,
-      CASE WHEN {_LIVE} THEN {r.ranges('derived_dpd', r.B_FLOW9, 'No Due')} WHEN das IN ('S06','S13') THEN 'Written Off' END AS dpd_tl,
-      current_balance AS balance_tl, chargeoff_amt AS chargeoff_tl FROM v_flow_base WHERE ind = 'T2') b
-    ON a.account_key = b.account_key) f
-JOIN account_type_dim d ON f.account_type = d.account_type AND d.active = 1
-LEFT JOIN date_dim e ON {yyyymm('disbursed_dt')} = e.yyyymm GROUP BY ALL""",
+    **_flow("flow_rate", "v_flow_base", 12),
+    **_flow("v_flow_rate_6", "v_flow_base_6", 6),
+    "flow_runs": "SELECT * FROM flow_rate UNION ALL SELECT * FROM v_flow_rate_6",
 }
 _ROW_MONEY = ["current_balance", "amount_overdue_total", "chargeoff_amt", "sanctioned_amount"]
 MONEY = {
@@ -229,4 +238,5 @@ MONEY = {
     "roll_rate": ["total_cb", "current_balance_to"], "roll_rate_all_products": ["total_cb", "current_balance_to"],
     "share_of_wallet": ["clst_base_cb", "bank_cb", "low_clst_base_cb", "low_bank_cb"],
     "all_product_base": _ROW_MONEY, "flow_rate": ["current_balance_tl", "total_written_off_amount"],
+    "flow_runs": ["current_balance_tl", "total_written_off_amount"],
 }

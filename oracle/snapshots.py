@@ -74,6 +74,7 @@ FROM account_trend WHERE year(act_reported_dt) <= 2000""",
 SELECT account_key, das, current_balance, CAST(year(act_reported_dt)*100 + month(act_reported_dt) AS INTEGER) AS period
 FROM account_trend WHERE das = 'S05' OR month(act_reported_dt) <> 12 OR act_reported_dt NOT IN (
   SELECT act_reported_dt FROM account_trend WHERE das = 'S05')""",
+    "named_table": "SELECT account_key, das, current_balance FROM account",
     "export_single_csv": "SELECT * FROM par_report",
     "export_exposure_file": "SELECT * FROM exposure_file",
     "export_geo_report_1": "SELECT * FROM geo_report_1",
@@ -93,6 +94,7 @@ MONEY = {
     "open_closed_union": _BOOK_MONEY + ["credit_limit"],
     "open_closed_union_uncapped": _BOOK_MONEY + ["credit_limit"],
     "load_by_period": ["current_balance"], "write_period": ["current_balance"],
+    "named_table": ["current_balance"],
     "export_single_csv": ["total_disb_amount", "active_disb_amount", "active_outstanding", "total_written_off_amount"]
     + [f"par_{b}" for b in ("0", "1_30", "31_60", "61_90", "91_180", "181_360", "360_plus")],
 }

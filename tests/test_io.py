@@ -32,6 +32,19 @@ def test_write_period_replaces_only_its_partitions(spark, tmp_path):
     assert sorted((r.v, r.run) for r in spark.read.parquet(path).collect()) == [(1, "a"), (3, "b")]
 
 
+def test_named_tables_are_replaced_appended_and_inserted_by_name(spark, tmp_path):
+    path, name = str(tmp_path / "named"), "named_rows"
+    rows = lambda *values: spark.createDataFrame(list(values), "v int, t string")
+    io.save_table(rows((9, "x")), name, path)
+    io.save_table(rows((1, "a")), name, path)
+    io.save_table(rows((2, "b")), name, path, mode="append")
+    io.insert_by_name(rows((3, "c")).selectExpr("t", "true as extra", "v"), name)
+    found = io.read_table(spark, io.CatalogSource("default"), name, "v > 0")
+    assert sorted((r.v, r.t) for r in found.collect()) == [(1, "a"), (2, "b"), (3, "c")]
+    assert all("/named/" in f for f in found.inputFiles())
+    spark.sql(f"drop table {name}")
+
+
 def test_load_by_period_appends(spark, tmp_path):
     path = str(tmp_path / "h")
     rows = spark.sql("select id, date_add(date'1999-12-01', cast(id as int) * 10) as d from range(20)")
