@@ -29,6 +29,7 @@ from loanbook.llm.common import staged
 EQUAL_LANES = 32
 SKETCH_LANES = 256
 GRAM = 16
+RANGE_CHARS = 64  # of a text, by which rows equal in id are spread over partitions
 SLICE = 1 << 18  # code points hashed at a time
 BASE = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
@@ -152,6 +153,17 @@ def _batch(ids: list, flags: list, rows: list[tuple | None], texts: list, id_typ
     )
 
 
+def in_order(rows: DataFrame) -> DataFrame:
+    """Rows (doc_id, text) range-partitioned and sorted by descending id and text, with their partition `part`.
+
+    The start of the text is part of the range, so the rows of a very common id,
+    or of none, are spread as well.
+    """
+    order = [F.col("doc_id").desc_nulls_last(), F.col("text").desc()]
+    ranged = rows.repartitionByRange(order[0], F.substring("text", 1, RANGE_CHARS).desc())
+    return ranged.sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
+
+
 def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
@@ -161,12 +173,10 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     zeros, and is like another empty one only. A single row is its own next. An
     empty table gives an empty result; other columns are not read.
 
-    Rows are range-partitioned by id and walked in order; only the first and
+    Rows are range-partitioned by id and the start of the text, and walked in order; only the first and
     the last row of every partition are matched across partitions afterwards.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    order = [F.col("doc_id").desc_nulls_last(), F.col("text").desc()]
-    ranged = rows.repartitionByRange(order[0]).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,7 +195,7 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
         if last is not None:
             yield _batch([last.doc_id], [f"last {part}"], [None], [last.text], batch.schema.field("doc_id").type)
 
-    walked = staged(ranged.mapInArrow(walk, f"doc_id {kind}, place string, text string, {FIELDS}"), "fingerprints")
+    walked = staged(in_order(rows).mapInArrow(walk, f"doc_id {kind}, place string, text string, {FIELDS}"), "fingerprints")
     done = walked.where("place is null").select("doc_id", *NAMES)
     ends = walked.where("place is not null").withColumn("side", F.substring_index("place", " ", 1)).withColumn(
         "part", F.substring_index("place", " ", -1).cast("int")

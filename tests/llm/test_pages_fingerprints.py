@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 
-from loanbook.llm.fingerprint import Fingerprint, edited, fingerprint_documents, paragraphs
+from loanbook.llm.fingerprint import Fingerprint, edited, fingerprint_documents, in_order, paragraphs
 from loanbook.llm.page_text import extract, main_text, stretches
 
 FULL = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head>
@@ -92,3 +92,17 @@ def test_documents_against_one_walk(spark, odd, nothing, texts):
         assert sorted((str(r.doc_id), *r[1:]) for r in got) == sorted(plain_rows(rows))
         assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in got)
     assert len(paragraphs("a\n\n b ")) == 2 and fingerprint_documents(nothing).collect() == []
+
+
+def test_rows_of_one_id_are_spread(spark):
+    rows = [(7 if k % 3 else None, f"{k:03d} " * (k % 5 + 1)) for k in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, "false")
+    try:
+        held = in_order(frame).groupBy("doc_id", "part").count().collect()
+        got = fingerprint_documents(frame).collect()
+    finally:
+        spark.conf.unset(setting)
+    assert sum(r.doc_id == 7 for r in held) > 1 and max(r["count"] for r in held) < 200
+    assert sorted((str(r.doc_id), *r[1:]) for r in got) == sorted(plain_rows(rows))
