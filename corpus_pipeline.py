@@ -24,8 +24,11 @@ ORACLE_SQL = None
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without letters and those without a main language go."""
-    found = language.identify(docs, language.train(docs))
+    """Texts without letters and those without a main language go; all stay if no row has a language to teach."""
+    model = language.train(docs, where=crc_of_id(3) != 1)
+    if not model.langs:
+        return docs
+    found = language.identify(docs, model)
     return found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SHARE)).select("row.*")
 
 
