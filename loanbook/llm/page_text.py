@@ -9,9 +9,12 @@ what stands between such points is kept. A removed element leaves a gap of empty
 lines, deep enough to make a dive point outside an article and too shallow inside
 one, so that an advert between two paragraphs does not end the text.
 
-Where a page marks its article (`article`, `main`), the lines are taken from
-there; other pages are judged by the distribution over the whole body, in which
-text of links weighs nothing.
+The distribution over the whole body chooses the text on every page; text of
+links weighs nothing. Where a page marks sections (`article`, `main`), the mark
+is a weight: lines of a kind of section gain MARK times the share of the page's
+text that the largest section of the kind holds, links included. So an article
+with most of the text stays whole and outweighs what stands beside it, and
+teaser cards in `article` beside the text gain next to nothing.
 """
 
 from __future__ import annotations
@@ -26,7 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WINDOW = 3
-SURGE = 80  # characters in a window outside a marked article
+SURGE = 80  # characters in a window
+MARK = 8  # weight that a section with all of the page's text gains
 PEAK_SHARE = 0.15  # a stretch of text needs this share of the largest window's length
 BATCH_ROWS = 500
 
@@ -58,12 +62,13 @@ TOKEN = re.compile(
 
 
 class Lines:
-    """Lines of a page, each with its text, its weight, and whether it stands in a marked article."""
+    """Lines of a page, each with its text, its unlinked length, and the marked section it stands in."""
 
     def __init__(self) -> None:
         self.text: list[str] = []
         self.weight: list[int] = []
         self.marked: list[int] = []  # 2 in an article, 1 in the main part only, else 0
+        self.section: list[int] = []  # which marked section, counted from 1; 0 outside
         self._parts: list[str] = []
         self._linked = 0
 
@@ -72,18 +77,37 @@ class Lines:
         if linked:
             self._linked += len(" ".join(html.unescape(part).split()))
 
-    def end(self, marked: int) -> None:
+    def end(self, marked: int, section: int) -> None:
         text = " ".join(html.unescape("".join(self._parts)).split())
         if text:
             self.text.append(text)
             self.weight.append(max(0, len(text) - self._linked))
             self.marked.append(marked)
+            self.section.append(section)
         self._parts, self._linked = [], 0
 
     def gap(self, lines: int) -> None:
+        """Leave at least so many empty lines here; gaps in a row do not add up."""
+        for text in reversed(self.text[-lines:]):
+            if text:
+                break
+            lines -= 1
         self.text += [""] * lines
         self.weight += [0] * lines
         self.marked += [0] * lines
+        self.section += [0] * lines
+
+    def weights(self) -> np.ndarray:
+        """Unlinked lengths, and in marked sections what the mark adds."""
+        length = np.array([len(t) for t in self.text], dtype=np.float64)
+        weight, marked, section = np.array(self.weight, dtype=np.float64), np.array(self.marked), np.array(self.section)
+        counted = np.where(marked > 0, length, weight)
+        total = max(1.0, counted.sum())
+        for kind in (1, 2):
+            here = marked == kind
+            if here.any():
+                weight[here] += MARK * np.bincount(section[here], weights=length[here]).max() / total * length[here]
+        return weight
 
 
 def _unwanted(name: str, rest: str, nested: bool) -> bool:
@@ -104,6 +128,7 @@ def page_lines(page: str) -> Lines:
     """
     lines = Lines()
     at = links = articles = mains = depth = 0
+    begun = [0, 0, 0]  # sections of each kind so far
     skipped = ""
 
     def text(part: str) -> None:
@@ -111,7 +136,8 @@ def page_lines(page: str) -> Lines:
             lines.add(part, links > 0)
 
     def end() -> None:
-        lines.end(2 if articles else 1 if mains else 0)
+        kind = 2 if articles else 1 if mains else 0
+        lines.end(kind, begun[kind])
 
     for token in TOKEN.finditer(page):
         text(page[at : token.start()])
@@ -146,9 +172,12 @@ def page_lines(page: str) -> Lines:
             end()
             links = 0
             if name in ARTICLE:
-                lines.gap(WINDOW + 1)
+                was = articles, mains
                 change = -1 if closes else 1
                 articles, mains = max(0, articles + change * (name == "article")), max(0, mains + change * (name == "main"))
+                begun[2] += articles > was[0] == 0
+                begun[1] += mains > was[1] == 0
+                lines.gap(1 if articles and was[0] else WINDOW + 1)
     text(page[at:])
     end()
     return lines
@@ -167,17 +196,10 @@ def stretches(weight: np.ndarray, surge: float) -> list[tuple[int, int]]:
 def main_text(page: str) -> str:
     """The article's blocks in page order, one line each; empty if there is none."""
     lines = page_lines(page)
-    level = max(lines.marked, default=0)
-    if level:
-        marked = [t if m == level else "" for t, m in zip(lines.text, lines.marked, strict=True)]
-        return _between(marked, np.array([len(t) for t in marked]), 1)
-    weight = np.array(lines.weight, dtype=np.int64)
+    weight = lines.weights()
     peak = np.convolve(weight, np.ones(WINDOW)).max() if len(weight) else 0
-    return _between(lines.text, weight, max(1, min(peak, max(SURGE, PEAK_SHARE * peak))))
-
-
-def _between(text: list[str], weight: np.ndarray, surge: float) -> str:
-    return "\n".join(t for a, b in stretches(weight, surge) for t in text[a:b] if t)
+    found = stretches(weight, max(1, min(peak, max(SURGE, PEAK_SHARE * peak))))
+    return "\n".join(t for a, b in found for t in lines.text[a:b] if t)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

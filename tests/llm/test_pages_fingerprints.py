@@ -28,6 +28,22 @@ def test_pages_without_an_article():
     assert text.count("\n") == 7 and text.startswith("Long sentence number 0") and "Foot" not in text and "Link" not in text
 
 
+PARAGRAPHS = [f"Sentence {i} of the body goes on for a while and says something. " * 4 for i in range(8)]
+BODY = "".join(f"<p>{p}</p>" for p in PARAGRAPHS)
+CARDS = "".join(f"<article><h3><a href=/{i}>Other story {i}</a></h3><p>Two words more.</p></article>" for i in range(5))
+
+
+def test_marks_are_only_a_weight():
+    want = "\n".join(p.strip() for p in PARAGRAPHS)
+    assert main_text(f"<body><div>{BODY}</div><div>{CARDS}</div></body>") == want
+    assert main_text(f"<body><main>{BODY}{CARDS}</main></body>") == want
+    assert main_text(f"<body><main><article>{BODY}</article><p>{'Beside the article. ' * 6}</p></main></body>") == want
+    short = "<h1>T</h1><div class=ad>x</div><form>y</form><div class=ad>z</div><p><a href=a>One</a></p><p><a href=b>Two</a></p><p><a href=c>Three</a></p><p>End.</p>"
+    assert main_text(f"<article>{BODY}{short}</article>") == want + "\nT\nOne\nTwo\nThree\nEnd."
+    both = main_text(f"<body><article>{BODY}</article><article>{BODY}</article></body>")
+    assert both == want + "\n" + want
+
+
 def test_broken_markup_never_fails():
     rng = random.Random(6)
     for page in ["", "plain text only", "<", "<p", "<p>a<div>b</p>c</div>", "<!-- open", "<script>x", "<a href='>x", "</p></p>", "a & b &amp", "<nav>n<article>kept</article>",
