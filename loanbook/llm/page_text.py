@@ -50,8 +50,22 @@ UNWANTED = re.compile(
     r"login|search|toolbar|skip)(?:$|[\s_-])",
     re.IGNORECASE,
 )
+OWN_HEADER = re.compile(r"(?:^|\s)(?:entry|post|article|story|page|content|section)[_-]?header(?=$|\s)", re.IGNORECASE)
+# Classes and ids that name, as a whole, what is never article text
+STRICT_CLASS = re.compile(
+    r"(?:^|\s)(?:ads?|adsbygoogle|ads?[_-](?:slot|box|container|unit|wrapper|banner|block|break|label)|advert|advertisement|"
+    r"sponsor|sponsored|promo|banner|cookies?|cookie[_-](?:notice|banner|bar|consent)|consent|popup|modal|overlay|"
+    r"nav|navbar|menu|breadcrumbs?|pagination|pager|sidebar|side-bar|widget|footer|masthead|topbar|toolbar|"
+    r"comments?|comments?[_-](?:list|section|area|form|body|respond)|reply|replies|disqus|respond|"
+    r"related|related[_-](?:posts|articles|stories|links)|recommended|share|sharing|share[_-](?:buttons|bar|links)|"
+    r"social|social[_-](?:share|buttons|icons|links)|subscribe|newsletter|newsletter[_-](?:signup|form|box)|signup|login)(?=$|\s)",
+    re.IGNORECASE,
+)
+STRICT_ID = re.compile(r"(?:div-gpt-|google_)?ads?(?:[_-]?\d+)*|comments|comment-\d+|disqus_thread|respond", re.IGNORECASE)
+HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
+LINKED = 0.5  # a block whose name leaves doubt is dropped if links are this share of its text
 ROLES = re.compile(r"\brole\s*=\s*[\"']?(?:navigation|banner|contentinfo|complementary|search|form|alert|dialog|menu)", re.IGNORECASE)
-NAMES = re.compile(r"\b(?:class|id)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
+NAMES = re.compile(r"(?<![\w-])(class|id)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?=$|[\s=/])|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.IGNORECASE)
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<![^>]*>?|<\?[^>]*>?"
@@ -97,6 +111,13 @@ class Lines:
         self.marked += [0] * lines
         self.section += [0] * lines
 
+    def drop_linked(self, start: int) -> None:
+        """Drop the lines from `start` on if most of their text is links."""
+        total = sum(map(len, self.text[start:]))
+        if total and total - sum(self.weight[start:]) >= LINKED * total:
+            del self.text[start:], self.weight[start:], self.marked[start:], self.section[start:]
+            self.gap(1)
+
     def weights(self) -> np.ndarray:
         """Unlinked lengths, and in marked sections what the mark adds."""
         length = np.array([len(t) for t in self.text], dtype=np.float64)
@@ -110,14 +131,35 @@ class Lines:
         return weight
 
 
-def _unwanted(name: str, rest: str, nested: bool) -> bool:
+KEPT, DOUBTED, GONE = range(3)
+
+
+def _unwanted(name: str, rest: str, inside: bool, nested: bool) -> int:
+    """Whether an element goes by its name; what is doubted is judged by its links when it ends.
+
+    Inside a marked section only whole names are trusted. Ids of headings and
+    sections are made from their words and are never trusted.
+    """
     if name in DROPPED:
-        return True
+        return DOUBTED if name == "header" and inside else GONE
     if not rest or (name in SECTIONS and not (name == "article" and nested)):
-        return False
+        return KEPT
     if HIDDEN.search(rest) or ROLES.search(rest):
-        return True
-    return any(UNWANTED.search("".join(found)) for found in NAMES.findall(rest))
+        return GONE
+    names = {"class": "", "id": ""}
+    for kind, *found in NAMES.findall(rest):
+        names[kind.lower()] = "".join(found)
+    classes, label = OWN_HEADER.sub(" ", names["class"]), OWN_HEADER.sub(" ", names["id"])
+    if STRICT_CLASS.search(classes):
+        return GONE
+    titled = name == "section" or "section" in classes.split()
+    if name in HEADINGS:
+        return GONE if not inside and UNWANTED.search(classes) else KEPT
+    if not titled and STRICT_ID.fullmatch(label):
+        return GONE
+    if not inside and (UNWANTED.search(classes) or (not titled and UNWANTED.search(label))):
+        return GONE
+    return DOUBTED if UNWANTED.search(classes) or UNWANTED.search(label) else KEPT
 
 
 def page_lines(page: str) -> Lines:
@@ -130,6 +172,8 @@ def page_lines(page: str) -> Lines:
     at = links = articles = mains = depth = 0
     begun = [0, 0, 0]  # sections of each kind so far
     skipped = ""
+    opened: dict[str, int] = {}  # open blocks by tag
+    doubted: dict[str, list[tuple[int, int]]] = {}  # of those that are doubted: how many were open, and the first line
 
     def text(part: str) -> None:
         if not skipped and part:
@@ -157,10 +201,11 @@ def page_lines(page: str) -> Lines:
             if not (ends_paragraph or opens_article or (closes and name in SECTIONS)):
                 continue
             skipped = ""
-        if not closes and name not in VOID and _unwanted(name, rest, articles > 0):
+        fate = KEPT if closes or name in VOID else _unwanted(name, rest, articles + mains > 0, articles > 0)
+        if fate == GONE:
             if name in BLOCKS or name in DROPPED:
                 end()
-                lines.gap(1 if articles else WINDOW + 1)
+                lines.gap(1 if articles or mains else WINDOW + 1)
             if not rest.rstrip().endswith("/"):
                 skipped, depth = name, 1
             continue
@@ -168,9 +213,17 @@ def page_lines(page: str) -> Lines:
             links = max(0, links + (-1 if closes else 1))
         elif name == "br":
             text(" ")
-        elif name in BLOCKS:
+        elif name in BLOCKS or name == "header":
             end()
             links = 0
+            if closes:
+                opened[name] = max(0, opened.get(name, 0) - 1)
+                if doubted.get(name) and doubted[name][-1][0] > opened[name]:
+                    lines.drop_linked(doubted[name].pop()[1])
+            elif name not in VOID:
+                opened[name] = opened.get(name, 0) + 1
+                if fate == DOUBTED:
+                    doubted.setdefault(name, []).append((opened[name], len(lines.text)))
             if name in ARTICLE:
                 was = articles, mains
                 change = -1 if closes else 1

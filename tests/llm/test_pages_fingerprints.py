@@ -44,6 +44,18 @@ def test_marks_are_only_a_weight():
     assert both == want + "\n" + want
 
 
+def test_heading_slugs_are_no_adverts():
+    slugs = ("related-work", "social-history", "navigation-systems", "market-share", "recommendations", "comments", "search", "ad-hoc-networks")
+    parts = "".join(f"<section id='{s}'><h2 id={s}><a href='#{s}'>On {s}</a></h2><p>Text of {s}.</p></section>" for s in slugs)
+    want = "\n".join(f"On {s}\nText of {s}." for s in slugs)
+    title = '<header><h1>Title</h1></header><div class="entry-header"><h2>Subtitle</h2></div><div class="social-history">Kept.</div>'
+    links = "<div class=share-links-top><a href=x>Here</a> <a href=y>There</a></div><div class='ad box'>Buy</div><div id=comments>Reader</div><p class=share>Share</p>"
+    for tag in ("article", "main"):
+        assert main_text(f"<body><{tag}>{title}{parts}{links}<p>End.</p></{tag}></body>") == f"Title\nSubtitle\nKept.\n{want}\nEnd."
+    assert main_text(f"<body><div class=entry-header><h1>Title</h1></div>{BODY}<h2 id=recommendations>Advice</h2><section id=related-work><p>Work.</p></section></body>").split("\n")[::9] == ["Title", "Advice"]
+    assert "Work." in main_text(f"<body>{BODY}<section id=related-work><p>Work.</p></section></body>")
+
+
 def test_broken_markup_never_fails():
     rng = random.Random(6)
     for page in ["", "plain text only", "<", "<p", "<p>a<div>b</p>c</div>", "<!-- open", "<script>x", "<a href='>x", "</p></p>", "a & b &amp", "<nav>n<article>kept</article>",
