@@ -6,8 +6,11 @@ element, and every block element becomes a line of its own. Over these lines the
 text lengths of sliding windows of WINDOW lines are summed. Text starts where the
 sums surge from nothing past a threshold and ends where they dive to nothing;
 what stands between such points is kept. A removed element leaves a gap of empty
-lines, deep enough to make a dive point outside an article and too shallow inside
-one, so that an advert between two paragraphs does not end the text.
+lines. The gap of a menu, a header or a footer outside a marked section is deep
+enough to make a dive point; that of an advert, a notice or anything else is too
+shallow, so that it does not end the text. A short stretch of unlinked text that
+only removed elements, none of them a header or footer, part from a kept one
+stays with it.
 
 The distribution over the whole body chooses the text on every page; text of
 links weighs nothing. Where a page marks sections (`article`, `main`), the mark
@@ -42,6 +45,7 @@ BLOCKS = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 ARTICLE = frozenset(("article", "main"))
+EDGES = frozenset(("head", "header", "footer"))
 SECTIONS = ARTICLE | {"body", "html"}
 UNWANTED = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notice|alert|popup|modal|overlay|"
@@ -61,6 +65,13 @@ STRICT_CLASS = re.compile(
     r"social|social[_-](?:share|buttons|icons|links)|subscribe|newsletter|newsletter[_-](?:signup|form|box)|signup|login)(?=$|\s)",
     re.IGNORECASE,
 )
+# Outside marked sections: removed elements that stand around the text, and those among them that end it for good
+AROUND = re.compile(
+    r"(?:^|[\s_\-\"'=])(?:nav\w*|menu|breadcrumbs?|pagination|pager|sidebar|side-?bar|toolbar|header|footer|masthead|topbar|"
+    r"contentinfo|complementary)(?=$|[\s_\-\"'/])",
+    re.IGNORECASE,
+)
+EDGE = re.compile(r"(?:^|[\s_\-\"'=])(?:header|footer|masthead|topbar|contentinfo)(?=$|[\s_\-\"'/])", re.IGNORECASE)
 STRICT_ID = re.compile(r"(?:div-gpt-|google_)?ads?(?:[_-]?\d+)*|comments|comment-\d+|disqus_thread|respond", re.IGNORECASE)
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 LINKED = 0.5  # a block whose name leaves doubt is dropped if links are this share of its text
@@ -82,7 +93,7 @@ class Lines:
         self.text: list[str] = []
         self.weight: list[int] = []
         self.marked: list[int] = []  # 2 in an article, 1 in the main part only, else 0
-        self.section: list[int] = []  # which marked section, counted from 1; 0 outside
+        self.section: list[int] = []  # which marked section, counted from 1; 0 outside, END in a gap no text reaches over
         self._parts: list[str] = []
         self._linked = 0
 
@@ -100,7 +111,7 @@ class Lines:
             self.section.append(section)
         self._parts, self._linked = [], 0
 
-    def gap(self, lines: int) -> None:
+    def gap(self, lines: int, ends: bool = False) -> None:
         """Leave at least so many empty lines here; gaps in a row do not add up."""
         for text in reversed(self.text[-lines:]):
             if text:
@@ -110,6 +121,8 @@ class Lines:
         self.weight += [0] * lines
         self.marked += [0] * lines
         self.section += [0] * lines
+        if ends:
+            self.section[-1] = END
 
     def drop_linked(self, start: int) -> None:
         """Drop the lines from `start` on if most of their text is links."""
@@ -132,6 +145,7 @@ class Lines:
 
 
 KEPT, DOUBTED, GONE = range(3)
+END = -1
 
 
 def _unwanted(name: str, rest: str, inside: bool, nested: bool) -> int:
@@ -205,7 +219,9 @@ def page_lines(page: str) -> Lines:
         if fate == GONE:
             if name in BLOCKS or name in DROPPED:
                 end()
-                lines.gap(1 if articles or mains else WINDOW + 1)
+                ends = name in EDGES or EDGE.search(rest) is not None
+                deep = not articles and not mains and (ends or name in ("nav", "menu", "aside") or AROUND.search(rest))
+                lines.gap(WINDOW + 1 if deep else 1, bool(deep and ends))
             if not rest.rstrip().endswith("/"):
                 skipped, depth = name, 1
             continue
@@ -230,7 +246,8 @@ def page_lines(page: str) -> Lines:
                 articles, mains = max(0, articles + change * (name == "article")), max(0, mains + change * (name == "main"))
                 begun[2] += articles > was[0] == 0
                 begun[1] += mains > was[1] == 0
-                lines.gap(1 if articles and was[0] else WINDOW + 1)
+                inner = articles and was[0]
+                lines.gap(1 if inner else WINDOW + 1, not inner)
     text(page[at:])
     end()
     return lines
@@ -238,12 +255,31 @@ def page_lines(page: str) -> Lines:
 
 def stretches(weight: np.ndarray, surge: float) -> list[tuple[int, int]]:
     """Line ranges between surge and dive points of the window sums."""
+    return [found[:2] for found in _held(weight) if found[2] >= surge]
+
+
+def _held(weight: np.ndarray) -> list[tuple[int, int, float]]:
+    """Line ranges whose window sums are above zero, with the largest sum of each."""
     if not len(weight):
         return []
     sums = np.convolve(weight, np.ones(WINDOW), "full")[WINDOW - 1 :]  # of WINDOW lines from each line on
     held = np.concatenate(([False], sums > 0, [False]))
     starts, ends = np.flatnonzero(held[1:] & ~held[:-1]), np.flatnonzero(~held[1:] & held[:-1])
-    return [(a, b) for a, b in zip(starts.tolist(), ends.tolist(), strict=True) if sums[a:b].max() >= surge]
+    return [(a, b, sums[a:b].max()) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+
+
+def _adjoin(lines: Lines, first: tuple[int, int], second: tuple[int, int]) -> bool:
+    """Whether only removed elements, none of which ends the text, stand between two stretches."""
+    for at in range(first[1], second[1]):
+        if lines.text[at]:
+            return at >= second[0]
+        if lines.section[at] == END:
+            return False
+    return True
+
+
+def _unlinked(lines: Lines, a: int, b: int) -> bool:
+    return 2 * sum(lines.weight[a:b]) >= sum(map(len, lines.text[a:b]))
 
 
 def main_text(page: str) -> str:
@@ -251,8 +287,15 @@ def main_text(page: str) -> str:
     lines = page_lines(page)
     weight = lines.weights()
     peak = np.convolve(weight, np.ones(WINDOW)).max() if len(weight) else 0
-    found = stretches(weight, max(1, min(peak, max(SURGE, PEAK_SHARE * peak))))
-    return "\n".join(t for a, b in found for t in lines.text[a:b] if t)
+    surge = max(1, min(peak, max(SURGE, PEAK_SHARE * peak)))
+    found = _held(weight)
+    kept = [top >= surge for _, _, top in found]
+    forth = [(k - 1, k) for k in range(1, len(found))]
+    for near, k in forth + [(k, near) for near, k in reversed(forth)]:
+        if kept[near] and not kept[k] and _unlinked(lines, *found[k][:2]):
+            a, b = found[min(near, k)], found[max(near, k)]
+            kept[k] = _adjoin(lines, a[:2], b[:2])
+    return "\n".join(t for (a, b, _), stays in zip(found, kept, strict=True) if stays for t in lines.text[a:b] if t)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -44,6 +44,17 @@ def test_marks_are_only_a_weight():
     assert both == want + "\n" + want
 
 
+def test_removed_blocks_do_not_end_an_unmarked_text():
+    long = "".join(f"<p>{p * 4}</p>" for p in PARAGRAPHS)
+    want = main_text(f"<article>{long}</article>")
+    end = ("Closing words of the text. " * 10).strip()
+    for block in ("<div class=ad>Buy</div>", "<div id=cookie-notice>We use them</div>", "<ul class=menu><li><a href=a>Menu</a></li></ul>", "<form><p>Mail</p></form><div class=sponsor>By</div><div class=ad>Buy</div>"):
+        page = f"<body><nav>Site</nav><div><h1>Title</h1>{block}{long}{block}<p>{end}</p></div><div class=footer>Foot</div><p>Legal.</p></body>"
+        assert main_text(page) == f"Title\n{want}\n{end}", block
+    assert main_text(f"<body><p>Slogan</p><header>Site</header>{long}</body>") == want
+    assert main_text(f"<body><p><a href=a>One</a></p><ul class=menu><li>M</li></ul>{long}<ul class=menu><li>M</li></ul><p><a href=b>Two</a></p></body>") == want
+
+
 def test_heading_slugs_are_no_adverts():
     slugs = ("related-work", "social-history", "navigation-systems", "market-share", "recommendations", "comments", "search", "ad-hoc-networks")
     parts = "".join(f"<section id='{s}'><h2 id={s}><a href='#{s}'>On {s}</a></h2><p>Text of {s}.</p></section>" for s in slugs)
