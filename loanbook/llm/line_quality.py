@@ -8,9 +8,10 @@ whole document, and the mean of these, weighted by line length, is the quality
 of the document.
 
 Training labels are per document: every line of a training document carries the
-document's label. The fit uses a bounded sample: at most SAMPLE_DOCS labelled
-documents, those with the smallest hash of their id, and at most SAMPLE_LINES
-consecutive lines of each. Scoring reads whole texts.
+document's label. The fit uses a bounded sample: at most SAMPLE_DOCS rows that
+have a label, those with the smallest hash of id, text and number among equal
+rows, and at most SAMPLE_LINES consecutive lines of each. Scoring reads whole
+texts.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from loanbook.llm.common import judged, runs_by_size
 
 SAMPLE_DOCS = 4000
 SAMPLE_LINES = 100
+COPIES = 1 << 16  # equal rows numbered at a time
 CHUNK_CHARS = 1 << 19  # characters whose features are computed at a time; a longer text stands alone
 ROUNDS = 200
 RATE = 0.1
@@ -223,16 +225,34 @@ def fit(text_of_line: np.ndarray, base: np.ndarray, label_of_text: np.ndarray) -
 
 
 def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Base features of at most SAMPLE_LINES consecutive lines of each text, from a place fixed by its length."""
+    """Base features of at most SAMPLE_LINES consecutive lines of each text, from a place fixed by its length; equal rows once."""
+    seen: set[int] = set()
     for batch in batches:
-        rows = []
-        for text in batch.column("text"):
+        new, rows = [], []
+        for at, (place, text) in enumerate(zip(batch.column("place").to_pylist(), batch.column("text"), strict=True)):
+            if place in seen:
+                continue
+            seen.add(place)
             _, _, base = line_features([text.as_py()])
             start = (len(text.as_py()) * 2654435761) % max(1, len(base) - SAMPLE_LINES + 1)
+            new.append(at)
             rows.append(base[start : start + SAMPLE_LINES].tobytes())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("quality"), pa.array(rows, pa.binary())], names=["quality", "lines"]
-        )
+        kept = batch.select(["place", "quality", "times"]).take(pa.array(new, pa.int64()))
+        yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(rows, pa.binary())], names=[*kept.schema.names, "lines"])
+
+
+def _chosen(docs: DataFrame, named: DataFrame) -> DataFrame:
+    """The sample's texts by id and hash, how often each is in it, and a place in its order; at most SAMPLE_DOCS rows.
+
+    Rows meet their labels before the sample is drawn, and without their texts.
+    """
+    equal = docs.groupBy("labelled", "text_hash").agg(F.count("*").alias("copies")).join(named, "labelled")
+    runs = equal.withColumn("first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(COPIES).cast("long"))))
+    last = F.least(F.col("first") + (COPIES - 1), F.col("copies") - 1)
+    rows = runs.select("labelled", "text_hash", "quality", F.explode(F.sequence("first", last)).alias("copy"))
+    rows = rows.withColumn("place", F.xxhash64("labelled", "text_hash", "copy"))
+    drawn = rows.orderBy("place", "labelled", "text_hash", "copy").limit(SAMPLE_DOCS)
+    return drawn.groupBy("labelled", "text_hash", "quality").agg(F.min("place").alias("place"), F.count("*").cast("int").alias("times"))
 
 
 def train(docs: DataFrame, labels: DataFrame, where: Column | None = None, id_col: str = "doc_id", text_col: str = "text") -> LineModel | None:
@@ -244,10 +264,13 @@ def train(docs: DataFrame, labels: DataFrame, where: Column | None = None, id_co
     usable = labels.where(F.col("quality").isNotNull() & F.col(id_col).isNotNull())
     usable = usable if where is None else usable.where(where)
     named = usable.groupBy(F.col(id_col).alias("labelled")).agg((F.avg("quality") >= 0.5).cast("int").alias("quality"))
-    texts = docs.select(F.col(id_col).alias("labelled"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    chosen = F.broadcast(named.orderBy(F.xxhash64("labelled"), "labelled").limit(SAMPLE_DOCS))  # at most SAMPLE_DOCS rows
-    sample = texts.join(chosen, "labelled").select("quality", "text")
-    found = sample.mapInArrow(_sample_features, "quality int, lines binary").toArrow()
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("labelled"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    chosen = F.broadcast(_chosen(texts.select("labelled", "text_hash"), named))  # at most SAMPLE_DOCS rows
+    sample = texts.join(chosen, ["labelled", "text_hash"]).select("place", "quality", "times", "text")
+    once = sample.mapInArrow(_sample_features, "place long, quality int, times int, lines binary")
+    found = once.groupBy("place", "quality", "times").agg(F.min("lines").alias("lines")).toArrow().sort_by("place")
+    found = found.take(np.repeat(np.arange(found.num_rows), found.column("times").to_numpy()))
     label = np.array(found.column("quality").to_pylist(), dtype=np.int64)
     if len(set(label.tolist())) < 2:
         return None

@@ -97,6 +97,23 @@ def test_quality_of_odd_rows(spark, odd, nothing):
     assert line_quality.score_documents(nothing, model).collect() == []
 
 
+def test_quality_sample_is_of_labelled_rows(spark, monkeypatch):
+    sizes = []
+    fit = line_quality.fit
+    monkeypatch.setattr(line_quality, "SAMPLE_DOCS", 60)
+    monkeypatch.setattr(line_quality, "COPIES", 7)
+    monkeypatch.setattr(line_quality, "fit", lambda lines, base, label: sizes.append(label.tolist()) or fit(lines, base, label))
+    rows = [(i, f"Text number {i}.") for i in range(20)] + [(100, f"Row {i} of one id") for i in range(300)] + [(101, "equal rows")] * 300
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    labels = spark.createDataFrame([(i, i % 2) for i in [*range(20), 100, 101, *range(1000, 3000)]], "doc_id long, quality int")
+    models = [line_quality.train(docs.repartition(n), labels) for n in (2, 5)]
+    assert [len(s) for s in sizes] == [60, 60] and sizes[0] == sizes[1] and np.array_equal(models[0].weights, models[1].weights)
+    few = docs.where("doc_id < 20")
+    assert line_quality.train(few, labels) is not None and sorted(sizes[-1]) == [0] * 10 + [1] * 10
+    line_quality.train(docs.where("doc_id <> 100"), labels)
+    assert len(sizes) == 4 and len(sizes[-1]) == 60
+
+
 def test_held_out_quality(spark):
     rows = LLM_QUERIES["op2_line_quality"](spark, "/root/testdata/sf0.1")
     truth = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
