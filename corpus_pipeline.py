@@ -20,16 +20,19 @@ from loanbook.llm.radix_dedup import radix_dedup
 from loanbook.llm.similarity import near_duplicates
 
 LEAST_SHARE = 0.5  # of a text in its main language
+LEAST_FIT = -10  # standard deviations of a text's fit from the mean of those learned from
 ORACLE_SQL = None
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without letters and those without a main language go; all stay if no row has a language to teach."""
-    model = language.train(docs, where=crc_of_id(3) != 1)
+    """Texts without letters, without a main language, or that fit no language go; all stay if no row has a language to teach."""
+    learned = crc_of_id(3) != 1
+    model = language.train(docs, where=learned)
     if not model.langs:
         return docs
-    found = language.identify(docs, model)
-    return found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SHARE)).select("row.*")
+    found = language.identify(docs, model, fit=language.learn_fit(docs, model, where=learned))
+    named = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SHARE)
+    return found.where(named & (F.col("deviation") >= LEAST_FIT)).select("row.*")
 
 
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

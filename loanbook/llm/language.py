@@ -6,11 +6,18 @@ mixture of languages: expectation-maximisation finds the proportions that make
 its trigrams likeliest. The set of languages grows in the order of their
 proportions as long as the likelihood, less a penalty per language, rises; the
 proportions within that set give the prediction.
+
+A proportion says nothing of how well a text fits: gibberish also has a likeliest
+language. The fit of a text is its mean log-likelihood per trigram under its
+mixture; `learn_fit` takes the distribution of fits over the rows the model
+learned from, and a text is judged by how far it lies below their mean, in
+standard deviations of a text of its length.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -76,39 +83,66 @@ class Model:
 
     def mixture(self, text: str) -> np.ndarray:
         """Proportions of all languages in a text; zeros if it has no letter or nothing was learned."""
+        return self.measured(text)[0]
+
+    def measured(self, text: str) -> tuple[np.ndarray, float, float, float]:
+        """The proportions; mean and variance of the log-likelihood of a trigram; number of trigrams."""
         share = np.zeros(len(self.langs))
         if not self.langs or not LETTER.search(text):
-            return share
+            return share, 0.0, 0.0, 0.0
         counts = trigram_counts(text)
         at = np.flatnonzero(counts)
         if not len(at):
-            return share
+            return share, 0.0, 0.0, 0.0
         n, prob = counts[at].astype(np.float32), self.prob[at]
         total = float(n.sum())
         if len(self.langs) == 1:
-            return np.ones(1)
-        full, _ = fit_mixture(prob, n, np.full(len(self.langs), 1 / len(self.langs), np.float32))
-        order = np.argsort(-full, kind="stable")
-        best = None
-        for size in range(1, len(order) + 1):
-            chosen = order[:size]
-            start = full[chosen] / max(full[chosen].sum(), 1e-12) if size > 1 else np.ones(1, np.float32)
-            part, likelihood = fit_mixture(prob[:, chosen], n, start.astype(np.float32), 1 if size == 1 else ROUNDS)
-            scored = likelihood - PENALTY * size * np.log(total + 1)
-            if best is not None and scored <= best[0]:
-                break
-            best = scored, chosen, part
-        share[best[1]] = best[2]
-        return share
+            share[0] = 1
+        else:
+            full, _ = fit_mixture(prob, n, np.full(len(self.langs), 1 / len(self.langs), np.float32))
+            order = np.argsort(-full, kind="stable")
+            best = None
+            for size in range(1, len(order) + 1):
+                chosen = order[:size]
+                start = full[chosen] / max(full[chosen].sum(), 1e-12) if size > 1 else np.ones(1, np.float32)
+                part, likelihood = fit_mixture(prob[:, chosen], n, start.astype(np.float32), 1 if size == 1 else ROUNDS)
+                scored = likelihood - PENALTY * size * np.log(total + 1)
+                if best is not None and scored <= best[0]:
+                    break
+                best = scored, chosen, part
+            share[best[1]] = best[2]
+        logs = np.log(np.maximum(prob @ share, 1e-12))
+        mean = float(n @ logs) / total
+        return share, mean, float(n @ (logs - mean) ** 2) / total, total
 
     def predict(self, text: str) -> tuple[str, float]:
-        share = self.mixture(text)
+        return self.named(self.mixture(text))
+
+    def named(self, share: np.ndarray) -> tuple[str, float]:
         if not share.any():
             return UNKNOWN, 0.0
         top = int(share.argmax())
         return self.langs[top], float(min(1.0, share[top]))
 
 
+class Fit(NamedTuple):
+    """Distribution of fits: their mean, the variance between texts and that of one trigram within a text.
+
+    `langs` are the languages with enough learned text, BUCKETS trigrams; the fit
+    of a text in another language says nothing.
+    """
+
+    langs: frozenset[str]
+    mean: float
+    between: float
+    within: float
+
+    def deviation(self, lang: str, mean: float, total: float) -> float:
+        """Standard deviations of a text of so many trigrams above the mean; 0 where the fit says nothing."""
+        variance = self.between + self.within / max(total, 1)
+        return (mean - self.mean) / variance**0.5 if lang in self.langs and total and variance else 0.0
+
+
 def fit_mixture(prob: np.ndarray, n: np.ndarray, start: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
     """Expectation-maximisation of mixture proportions, and the log-likelihood reached."""
     share = start
@@ -122,14 +156,18 @@ def fit_mixture(prob: np.ndarray, n: np.ndarray, start: np.ndarray, rounds: int
     return share, float((n * np.log(prob @ share)).sum())
 
 
+def _taught(docs: DataFrame, text_col: str, lang_col: str, where: Column | None) -> DataFrame:
+    rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), (F.lit(True) if where is None else where).alias("use"))
+    return rows.where("use and text is not null and lang is not null").select("text", "lang")
+
+
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", where: Column | None = None) -> Model:
     """Count trigrams over all rows with a language; the driver gets at most BUCKETS counts per language.
 
     Rows with a null text or language teach nothing. There are as many
     languages as distinct labels, a few hundred for real language codes.
     """
-    rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), (F.lit(True) if where is None else where).alias("use"))
-    rows = rows.where("use and text is not null and lang is not null").select("text", "lang")
+    rows = _taught(docs, text_col, lang_col, where)
     counts = rows.mapInArrow(_counts, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     table = counts.toArrow()
     langs, place = np.unique(np.array(table.column("lang").to_pylist(), dtype=object).astype(str), return_inverse=True)
@@ -138,10 +176,37 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", where
     return Model.of_counts(langs.tolist(), dense)
 
 
-def identify(docs: DataFrame, model: Model, text_col: str = "text", columns: list[str] | None = None) -> DataFrame:
-    """Per row: struct `row` of the given `columns` (all by default), lang_pred and score.
+def learn_fit(docs: DataFrame, model: Model, text_col: str = "text", lang_col: str = "lang", where: Column | None = None) -> Fit:
+    """Distribution of the fits of all rows that `train` learns from; the driver gets a row per partition and language."""
+    shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.prob))
+    names = ["texts", "fits", "squares", "inverse", "spread", "trigrams"]
 
-    `score` is the share of the predicted language in the text. A null text or
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model(*shared.value)
+        found: dict[str, np.ndarray] = {}
+        for batch in batches:
+            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text"), strict=True):
+                _, mean, variance, total = model.measured(text.as_py())
+                if total:
+                    add = np.array((1, mean, mean * mean, 1 / total, total * variance, total))
+                    found[lang] = found.get(lang, 0) + add
+        for lang, values in found.items():
+            yield pa.RecordBatch.from_arrays([pa.array([lang]), *[pa.array([v]) for v in values]], names=["lang", *names])
+
+    rows = _taught(docs, text_col, lang_col, where).mapInArrow(sums, "lang string, " + ", ".join(f"{n} double" for n in names))
+    table = rows.groupBy("lang").agg(*[F.sum(n).alias(n) for n in names]).where(F.col("trigrams") >= BUCKETS).toArrow().sort_by("lang")
+    if not table.num_rows:
+        return Fit(frozenset(), 0.0, 0.0, 0.0)
+    texts, fits, squares, inverse, spread, trigrams = (sum(table.column(n).to_pylist()) for n in names)
+    mean, within = fits / texts, spread / trigrams
+    between = max(0.0, squares / texts - mean * mean - within * inverse / texts)
+    return Fit(frozenset(table.column("lang").to_pylist()), mean, between, within)
+
+
+def identify(docs: DataFrame, model: Model, text_col: str = "text", columns: list[str] | None = None, fit: Fit | None = None) -> DataFrame:
+    """Per row: struct `row` of the given `columns` (all by default), lang_pred and score, with `fit` also deviation.
+
+    `deviation` is that of the text's fit from the distribution `fit`. `score` is the share of the predicted language in the text. A null text or
     one without a letter is `und` with score 0, and so is every text if nothing
     was learned. Repeated rows and nulls in the columns stay as they are; an
     empty table gives an empty result.
@@ -150,7 +215,12 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", columns: lis
 
     def judge(texts: pa.Array) -> list[pa.Array]:
         model = Model(*shared.value)
-        found = [model.predict(text.as_py() or "") for text in texts]
-        return [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
-
-    return judged(docs, text_col, columns or docs.columns, judge, "lang_pred string, score double")
+        measured = [model.measured(text.as_py() or "") for text in texts]
+        found = [model.named(m[0]) for m in measured]
+        out = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
+        if fit is not None:
+            out.append(pa.array([fit.deviation(lang, mean, total) for (lang, _), (_, mean, _, total) in zip(found, measured, strict=True)], pa.float64()))
+        return out
+
+    added = "lang_pred string, score double" + (", deviation double" if fit is not None else "")
+    return judged(docs, text_col, columns or docs.columns, judge, added)

@@ -136,6 +136,20 @@ def test_pipeline_is_the_plain_one(spark, small):
     assert got.groupby("doc_id").length.sum().to_dict() == plain_pipeline(spark, small)
 
 
+def test_language_stage_rejects_what_fits_no_language(spark):
+    folder = "/root/testdata/sf0.01"
+    rng = random.Random(12)
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    gibberish = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz  ") for _ in range(300))
+    own = docs.where("lang = 'fr' and length(text) > 300").first().text[:300]
+    texts = {-1: gibberish, -2: "Tämä on suomenkielinen teksti joka kertoo metsistä ja järvistä. " * 3, -3: "Это русский текст о лесах и озёрах. " * 5, -4: own}
+    more = spark.createDataFrame([(i, t, None, "s", len(t)) for i, t in texts.items()], docs.schema)
+    kept = {r.doc_id for r in corpus_pipeline.identify_language(spark, docs.unionByName(more), folder).select("doc_id").collect()}
+    assert {i for i in texts if i in kept} == {-4}
+    few = spark.read.parquet(f"{folder}/documents.parquet").limit(3)
+    assert language.learn_fit(few, language.train(few)).deviation("en", -20, 100) == 0
+
+
 def test_stages_take_odd_rows(spark, odd, nothing, small):
     for frame in (odd, nothing):
         for name, stage in corpus_pipeline.STAGES[:-1]:
