@@ -93,8 +93,9 @@ def income_row_rank(rows: DataFrame) -> DataFrame:
     """Rank of each row among its cluster's rows with a known income, newest first; NULL without income.
 
     Ranks are built from a local rank per (cluster, dates) and the number of
-    known incomes at later dates, so a very large cluster is never sorted in
-    one task. Both ranks share one shuffle of the rows.
+    known incomes at later dates, so a very large cluster is sorted in one task
+    only as far as its rows share both dates. Both ranks share one shuffle of
+    the rows.
     """
     incomes = {"annual_income": "rw", "monthly_income": "rw_month"}
     dates = ["reported_dt", "disbursed_dt"]
