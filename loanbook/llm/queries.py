@@ -18,6 +18,7 @@ from loanbook.llm.radix_dedup import radix_dedup
 from loanbook.llm.shards import shard
 from loanbook.llm.similarity import near_duplicates
 from loanbook.llm.url_filter import filter_urls
+from loanbook.llm.vector_codes import compress
 
 URL_RULES = """
 select * from values
@@ -118,6 +119,45 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compress(read(spark, sf_dir, "embeddings"))
+
+
+def _round_sql(r: int) -> str:
+    """Assign parts to the codebook c{r}; c{r + 1} has the floored means."""
+    return f"""
+a{r} as materialized (
+  select vec_id, x.p, any_value(x.v) as v,
+         min(list_sum(list_transform(list_zip(x.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::hugeint * 16 + c.k) as best
+  from parts x join c{r} c on c.p = x.p group by vec_id, x.p),
+c{r + 1} as materialized (
+  select c.p, c.k, coalesce(n.v, c.v) as v
+  from c{r} c left join (
+    select p, k, list((s - (s % n + n) % n) // n order by i) as v
+    from (select p, best % 16 as k, i, sum(v[i])::hugeint as s, count(*) as n
+          from a{r}, (select unnest(range(1, 1 + (select max(len(v)) from parts))) as i) group by all)
+    group by p, k) n on n.p = c.p and n.k = c.k)"""
+
+
+OP12_SQL = f"""
+with kept as materialized (
+  select vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::double)::bigint) as q from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+parts as materialized (
+  select vec_id, p, list_slice(q, p * (len(q) // 8) + 1, (p + 1) * (len(q) // 8)) as v
+  from kept, (select unnest(range(8)) as p)),
+c0 as materialized (
+  select p, k, v from (select *, row_number() over (partition by p order by vec_id) - 1 as k from parts) where k < 16),
+{",".join(_round_sql(r) for r in range(7))},
+coded as (
+  select vec_id, string_agg(printf('%02x', (best % 16)::int), '' order by p) as code, sum(best // 16)::bigint as error
+  from a6 group by vec_id),
+book as (select sha256(string_agg(array_to_string(v, ','), ',' order by p, k)) as codebooks_sha256 from c6)
+select vec_id, code, error, sum(error) over (partition by label)::bigint as label_error, codebooks_sha256
+from coded join kept using (vec_id), book
+"""
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_line_quality": op2_line_quality,
@@ -129,5 +169,6 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_fingerprints": op9_fingerprints,
     "op10_bpe": op10_bpe,
+    "op12_vector_codes": op12_vector_codes,
 }
-LLM_SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op3_url_filter": OP3_SQL, "op7_sharding": OP7_SQL}
+LLM_SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op3_url_filter": OP3_SQL, "op7_sharding": OP7_SQL, "op12_vector_codes": OP12_SQL}
