@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from loanbook.llm import language, line_quality
 from loanbook.llm.bpe import encode_documents
+from loanbook.llm.collocations import mine
 from loanbook.llm.common import read
+from loanbook.llm.decontaminate import decontaminate
 from loanbook.llm.fingerprint import fingerprint_documents
 from loanbook.llm.packing import pack
 from loanbook.llm.page_text import extract
@@ -119,6 +121,31 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op11_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                               '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+OP11_SQL = f"""
+with d as (select row_number() over () as r, doc_id, {_WORDS} as w from documents),
+b as (select item_id, {_WORDS} as w from benchmark),
+win as (select distinct item_id, least(len(w), 10) as k, array_to_string(list_slice(w, i, i + least(len(w), 10) - 1), ' ') as win
+        from (select *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as i from b where len(w) > 0)),
+ks as (select distinct k from win),
+spans as (select r, i, k, array_to_string(list_slice(w, i, i + k - 1), ' ') as win
+       from (select r, w, k, unnest(range(1, len(w) - k + 2)) as i from d, ks)),
+hit as (select r, i, k, win from spans semi join win using (k, win)),
+words as (select r, count(distinct p) as n_hit from (select r, unnest(range(i, i + k)) as p from hit) group by r),
+items as (select r, count(*) as n_items, string_agg(item, ',' order by item) as listed
+          from (select distinct r, item_id::varchar as item from hit join win using (k, win) where item_id is not null) group by r)
+select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       sha256(coalesce(listed, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join words using (r) left join items using (r)
+"""
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compress(read(spark, sf_dir, "embeddings"))
 
@@ -158,6 +185,34 @@ from coded join kept using (vec_id), book
 """
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine(read(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+with p as (select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+             translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece from documents),
+w as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from p),
+starts as (select lang, size, list_slice(w, i, i + size - 1) as ws
+           from (select lang, w, size, unnest(range(1, len(w) - size + 2)) as i from w, (select unnest(range(1, 5)) as size))),
+f as materialized (select lang, size, array_to_string(ws, ' ') as phrase, count(*) as f from starts group by all),
+n as (select lang, sum(f)::bigint as n from f where size = 1 group by lang),
+c as materialized (select lang, size, phrase, f as a, string_split(phrase, ' ') as ws from f where size > 1 and f >= 30),
+cut as (select lang, phrase, size, a, k, array_to_string(list_slice(ws, 1, k), ' ') as first, array_to_string(list_slice(ws, k + 1, size), ' ') as rest
+        from (select *, unnest(range(1, size)) as k from c)),
+scored as (select cut.lang, cut.phrase, a, k, l.f as l, r.f as r, ((2000000::hugeint * a) // (l.f + r.f))::bigint as score
+           from cut join f l on l.lang = cut.lang and l.phrase = first join f r on r.lang = cut.lang and r.phrase = rest),
+best as (select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+held as (select lang, array_to_string(list_slice(ws, i, i + m - 1), ' ') as phrase, max(a) as most
+         from (select *, unnest(range(1, size - m + 2)) as i from (select *, unnest(range(2, size)) as m from c where size > 2))
+         group by all),
+kept as (select best.* from best left join held using (lang, phrase) where most is null or 100::hugeint * most < 80::hugeint * a)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score
+from kept join n using (lang)
+qualify rank <= 2000
+"""
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_line_quality": op2_line_quality,
@@ -169,6 +224,11 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_fingerprints": op9_fingerprints,
     "op10_bpe": op10_bpe,
+    "op11_decontaminate": op11_decontaminate,
     "op12_vector_codes": op12_vector_codes,
+    "op13_collocations": op13_collocations,
+}
+LLM_SQL: dict[str, str] = {
+    "op1_exact_dedup": OP1_SQL, "op3_url_filter": OP3_SQL, "op7_sharding": OP7_SQL, "op11_decontaminate": OP11_SQL,
+    "op12_vector_codes": OP12_SQL, "op13_collocations": OP13_SQL,
 }
-LLM_SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op3_url_filter": OP3_SQL, "op7_sharding": OP7_SQL, "op12_vector_codes": OP12_SQL}
