@@ -234,36 +234,54 @@ def _cumulative(band: str) -> Column:
     return arms
 
 
-def roll_rate(cards: DataFrame, p: P.RunParams) -> DataFrame:
-    """Where cards of each DPD band at a quarter end stand twelve months later, in cumulative bands.
+def roll_pairs(cards: DataFrame, p: P.RunParams, lags: tuple[int, ...]) -> DataFrame:
+    """A live card's month beside its month a lag later, for every lag, as counted bands and balances.
 
-    Pairs are counted by plain band first; cumulative bands are spread over
-    those few counts instead of over the cards.
+    A card's months become one map from month to rows, and every lag is read
+    from it: the card base is scanned and shuffled once, by account, whatever
+    the number of lags, and is not joined with itself.
     """
     start = P.shift_months(p.as_of, -p.roll_back_months)
-    rows = cards.where((F.col("ind") == "T") & _live() & (F.col("derived_dpd") <= 180)).withColumn(
-        "band", B.bucket(F.col("derived_dpd"), B.DPD_FLOW5)
-    )
-    before = rows.where(
-        F.col("act_reported_dt").between(F.lit(start), F.lit(p.as_of))
-        & F.month("act_reported_dt").isin(*p.roll_months)
+    rows = cards.where((F.col("ind") == "T") & _live() & (F.col("derived_dpd") <= 180)).select(
+        "account_key", F.col("act_reported_dt").alias("day"), F.struct(
+            "lender_id", B.bucket(F.col("derived_dpd"), B.DPD_FLOW5).alias("band"), F.col("current_balance").alias("balance")
+        ).alias("row"),
+    ).repartition(F.col("account_key"))
+    per_day = rows.groupBy("account_key", "day").agg(F.collect_list("row").alias("rows"))
+    months = F.map_from_entries(F.collect_list(F.struct("day", "rows")))
+    book = per_day.groupBy("account_key").agg(months.alias("months")).select(F.explode("months").alias("day", "rows"), "months")
+    seen = book.where(
+        F.col("day").between(F.lit(start), F.lit(p.as_of)) & F.month("day").isin(*p.roll_months)
+    ).withColumn("lag", F.explode(F.array(*[F.lit(n) for n in lags])))
+    later = F.last_day(F.add_months("day", F.col("lag")))
+    both = seen.withColumn("later", F.col("months")[later]).where("later is not null")
+    return both.select("lag", F.col("day").alias("reported_dt_from"), F.explode("rows").alias("was"), "later").select(
+        "lag", "reported_dt_from", "was", F.explode("later").alias("now")
     ).select(
-        "account_key", "lender_id", F.col("act_reported_dt").alias("reported_dt_from"),
-        F.last_day(F.add_months("act_reported_dt", 12)).alias("reported_dt_to"), F.col("band").alias("dpd_from"),
-        F.col("current_balance").alias("balance_from"),
+        "lag", "reported_dt_from", "was.lender_id", F.col("was.band").alias("dpd_from"), F.col("was.balance").alias("balance_from"),
+        F.col("now.band").alias("dpd_to"), F.col("now.balance").alias("balance_to"),
     )
-    after = rows.select(
-        "account_key", F.col("act_reported_dt").alias("reported_dt_to"), F.col("band").alias("dpd_to"),
-        F.col("current_balance").alias("balance_to"),
-    )
-    pairs = before.join(after, ["account_key", "reported_dt_to"])
-    counted = pairs.groupBy("reported_dt_from", _peer(p).alias("peer_group"), "dpd_from", "dpd_to").agg(
+
+
+def roll_rate(cards: DataFrame, p: P.RunParams) -> DataFrame:
+    """Where cards of each DPD band at a quarter end stand twelve months later, in cumulative bands."""
+    return roll_rates(cards, p, (12,)).drop("lag")
+
+
+def roll_rates(cards: DataFrame, p: P.RunParams, lags: tuple[int, ...]) -> DataFrame:
+    """Roll rates over several lags, in months.
+
+    Pairs are counted by plain band first; cumulative bands are spread over
+    those few counts instead of over the cards.
+    """
+    pairs = roll_pairs(cards, p, lags)
+    counted = pairs.groupBy("lag", "reported_dt_from", _peer(p).alias("peer_group"), "dpd_from", "dpd_to").agg(
         F.count(F.lit(1)).alias("n"), F.sum("balance_from").alias("b_from"), F.sum("balance_to").alias("b_to")
     )
     spread = counted.withColumn("new_dpd_from", F.explode(_cumulative("dpd_from"))).withColumn(
         "new_dpd_to", F.explode(_cumulative("dpd_to"))
     )
-    keys = ["reported_dt_from", "peer_group", "new_dpd_from"]
+    keys = ["lag", "reported_dt_from", "peer_group", "new_dpd_from"]
     cells = spread.groupBy(*keys, "new_dpd_to").agg(
         F.sum("n").alias("active_cards"), F.sum("b_from").alias("balance_from"),
         F.sum("b_to").alias("current_balance_to"),

@@ -7,7 +7,6 @@ import functools
 import uuid
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,8 +14,10 @@ from pyspark.sql import types as T
 from loanbook import params as P
 from loanbook.functions import buckets as B
 from loanbook.functions import rules as R
-from loanbook.operators import cards, clusters, dashboard, entity, facts, flow, geo, par, snapshot, vintage
+from loanbook.operators import cards, clusters, dashboard, entity, facts, flow, geo, intervals, members, par, snapshot, vintage
+from loanbook.plans import scope
 from loanbook.sources import dims, io
+from loanbook.sources.periods import PeriodTable, upsert_periods
 from loanbook.sources.views import Book, choose, times
 
 Query = Callable[[Book, P.RunParams], DataFrame]
@@ -299,6 +300,26 @@ def as_of_snapshot(book: Book, p: P.RunParams) -> DataFrame:
     return snapshot.as_of_snapshot(book.account(), book.account_trend(), book.account_update(), p.as_of)
 
 
+SNAPSHOT_MONTHS = 12
+
+
+@query
+def snapshot_months(book: Book, p: P.RunParams) -> DataFrame:
+    """The portfolios of the last twelve month ends from one pass over history."""
+    dates = tuple(P.shift_months(p.as_of, -n) for n in range(SNAPSHOT_MONTHS))
+    return intervals.snapshots(book.account(), book.account_trend(), book.account_update(), dates)
+
+
+@query
+def validity_intervals(book: Book, p: P.RunParams) -> DataFrame:
+    """From when until before when every account reported the same status."""
+    found = intervals.validity(book.account_trend(), "account_key", ["das", "asset_class"])
+    return found.select(
+        "account_key", "valid_from", "valid_to", F.size("days").alias("reports"), F.col("states")[0]["das"].alias("das"),
+        F.col("states")[0]["asset_class"].alias("asset_class"),
+    )
+
+
 @query
 def prod_plus_trend(book: Book, p: P.RunParams) -> DataFrame:
     return snapshot.prod_plus_trend(book.account_trend(), book.account(), book.account_party())
@@ -312,6 +333,19 @@ def partition_upsert(book: Book, p: P.RunParams) -> DataFrame:
     return snapshot.partition_upsert(base, restated, "act_reported_dt", "account_key")
 
 
+@query
+def partition_rewrite(book: Book, p: P.RunParams) -> DataFrame:
+    """The same over a stored history with a folder per month end: only the folders the delta touches are read and written."""
+    path = io.new_table_path(book.spark, "history")
+    rows = book.account_trend()
+    io.write_period(rows, path, ["act_reported_dt"])
+    stored = book.spark.read.schema(rows.schema).parquet(path)
+    late = (F.col("das") == "S05") & (F.month("act_reported_dt") == 12)
+    restated = stored.where(late).withColumn("current_balance", F.expr(times("current_balance", "0.90")))
+    upsert_periods(stored, restated, path, "act_reported_dt", "account_key")
+    return book.spark.read.schema(rows.schema).parquet(path)
+
+
 @query
 def open_closed_union(book: Book, p: P.RunParams) -> DataFrame:
     return snapshot.open_closed_union(book.macro_open(), book.macro_closed(), p.as_of, p.report_cut)
@@ -405,16 +439,6 @@ def _flagged(book: Book, dates) -> DataFrame:
     return clusters.threshold_flags(_cluster_base(book, dates), book.overall_threshold(), book.threshold())
 
 
-def _shared(df: DataFrame) -> DataFrame:
-    """A frame that several steps of a query read: kept on the executors' disks from its first use on.
-
-    Nothing runs while the plan is built. What is kept is known by its plan, so
-    other dates or parameters never find it, and what a lost executor held is
-    computed again. `spark.catalog.clearCache()` lets go of all.
-    """
-    return df.persist(StorageLevel.DISK_ONLY)
-
-
 def _profile(book: Book, p: P.RunParams, dates) -> DataFrame:
     return clusters.cluster_profile(_flagged(book, dates), p.self_lender)
 
@@ -482,7 +506,7 @@ def account_count_dashboard(book: Book, p: P.RunParams) -> DataFrame:
 
 @query
 def account_dashboard(book: Book, p: P.RunParams) -> DataFrame:
-    flagged = _shared(_flagged(book, p.dashboard_dates))
+    flagged = book.scope.share(_flagged(book, p.dashboard_dates))
     return dashboard.account_dashboard(
         clusters.income_row_rank(flagged), clusters.cluster_profile(flagged, p.self_lender), p.self_lender
     )
@@ -491,7 +515,7 @@ def account_dashboard(book: Book, p: P.RunParams) -> DataFrame:
 @query
 def income_backfill(book: Book, p: P.RunParams) -> DataFrame:
     prior = P.shift_months(p.dashboard_dates[0], -2)
-    profile = _shared(_profile(book, p, (prior, *p.dashboard_dates)))
+    profile = book.scope.share(_profile(book, p, (prior, *p.dashboard_dates)))
     earlier = F.col("as_of") == F.lit(prior)
     return dashboard.income_backfill(profile.where(~earlier), profile.where(earlier))
 
@@ -562,7 +586,7 @@ def share_filter(book: Book, p: P.RunParams) -> DataFrame:
 
 @query
 def report_outliers(book: Book, p: P.RunParams) -> DataFrame:
-    report = _shared(report_dedupe(book, p))
+    report = book.scope.share(report_dedupe(book, p))
     return par.report_outliers(par.month_over_month(report, p.as_of), par.share_filter(report))
 
 
@@ -579,12 +603,12 @@ def vintage_cube_commercial(book: Book, p: P.RunParams) -> DataFrame:
 
 # --- fact table ---------------------------------------------------------------------
 def _step1(book: Book, p: P.RunParams) -> DataFrame:
-    snapshot_rows = _shared(as_of_snapshot(book, p))
+    snapshot_rows = book.scope.share(as_of_snapshot(book, p))
     return facts.mfi_step1(snapshot_rows, book.clusters(), book.account_party())
 
 
 def _step2(book: Book, p: P.RunParams) -> DataFrame:
-    step1 = _shared(_step1(book, p))
+    step1 = book.scope.share(_step1(book, p))
     return facts.mfi_step2(
         step1, dims.lender_dim(book.spark), book.purpose_dim(), book.occupation_dim(), book.geo_dim(), p
     )
@@ -595,7 +619,7 @@ def _fact(book: Book, p: P.RunParams) -> DataFrame:
 
 
 def _shared_step2(book: Book, p: P.RunParams) -> DataFrame:
-    return _shared(_step2(book, p))
+    return book.scope.share(_step2(book, p))
 
 
 def _yyyymm(p: P.RunParams) -> int:
@@ -644,6 +668,46 @@ def par_report_from_fact(book: Book, p: P.RunParams) -> DataFrame:
     )
 
 
+def stored_facts(book: Book, p: P.RunParams, months: int) -> PeriodTable:
+    """The facts of the run's month and of some before it, kept by month; a month that the book has stored is not built again.
+
+    The table lies in the shared folder. It is there for later runs, and whoever
+    no longer wants it calls its `drop`.
+    """
+    if book.facts is None:
+        book.facts = PeriodTable(
+            book.spark, f"loan_fact_{io.unique()}", io.new_table_path(book.spark, "fact"), "load_yyyymm"
+        )
+    for n in range(months):
+        run = dataclasses.replace(p, as_of=P.shift_months(p.as_of, -n))
+        if _yyyymm(run) not in book.facts.periods():
+            replace_facts(book, run, book.facts)
+    return book.facts
+
+
+def replace_facts(book: Book, p: P.RunParams, table: PeriodTable) -> None:
+    """Build the facts of the run's month and put them in place of what the table has of it."""
+    with scope.Scope() as own:
+        snapshot_rows = own.share(as_of_snapshot(book, p))
+        step1 = own.share(facts.mfi_step1(snapshot_rows, book.clusters(), book.account_party()))
+        step2 = facts.mfi_step2(
+            step1, dims.lender_dim(book.spark), book.purpose_dim(), book.occupation_dim(), book.geo_dim(), p
+        )
+        rollup = facts.fact_rollup(step2, dims.category_dim(book.spark))
+        table.replace(facts.fact_keys(rollup, dims.bucket_dims(book.spark)), _yyyymm(p))
+
+
+@query
+def stored_fact_months(book: Book, p: P.RunParams) -> DataFrame:
+    """Facts of two months in one named table; the later month is written twice and replaces itself."""
+    table = stored_facts(book, p, 2)
+    replace_facts(book, p, table)
+    return table.read().groupBy("load_yyyymm", "contri_key").agg(
+        F.count(F.lit(1)).alias("facts"), F.sum("total_accounts").alias("total_accounts"),
+        F.sum("total_outstanding_amount").alias("total_outstanding_amount"),
+    )
+
+
 @query
 def fact_month_over_month(book: Book, p: P.RunParams) -> DataFrame:
     return par.month_over_month(_fact_reports(book, p), p.as_of.replace(day=1))
@@ -651,18 +715,56 @@ def fact_month_over_month(book: Book, p: P.RunParams) -> DataFrame:
 
 @query
 def fact_report_outliers(book: Book, p: P.RunParams) -> DataFrame:
-    report = _shared(_fact_reports(book, p))
+    report = book.scope.share(_fact_reports(book, p))
     return par.report_outliers(par.month_over_month(report, p.as_of.replace(day=1)), par.share_filter(report))
 
 
+MONITOR_MONTHS = 4
+
+
 def _fact_reports(book: Book, p: P.RunParams) -> DataFrame:
-    """The reports from the facts of the run's month and of the three before it, dated by the first of the month."""
-    months = [P.shift_months(p.as_of, -n) for n in range(4)]
-    reports = [par_report_from_fact(book, dataclasses.replace(p, as_of=month)) for month in months]
+    """The reports from the stored facts of the run's month and of the three before it, dated by the first of the month."""
+    table = stored_facts(book, p, MONITOR_MONTHS)
+    lenders, categories = dims.lender_dim(book.spark), dims.category_dim(book.spark)
+    months = [_yyyymm(dataclasses.replace(p, as_of=P.shift_months(p.as_of, -n))) for n in range(MONITOR_MONTHS)]
+    reports = [facts.par_report_from_fact(table.read(month), lenders, categories, month) for month in months]
     runs = functools.reduce(DataFrame.unionByName, reports).withColumn("run", F.lit(1))
     return par.report_dedupe(runs, p.as_of.replace(day=1))
 
 
+MEMBER_KINDS = {"consumers": "consumer_key", "accounts": "account_key", "clusters": "clst_id"}
+MEMBER_MONTHS = 2
+
+
+def stored_members(book: Book, p: P.RunParams) -> PeriodTable:
+    """Who stands behind each (place, lender) of the run's month and the one before it, as bits, kept by month."""
+    spark = book.spark
+    numbers = {}
+    for kind, key in MEMBER_KINDS.items():
+        known = book.cluster_member().select(F.coalesce("clst_id", "consumer_key").alias("clst_id")) if key == "clst_id" else book.account()
+        numbers[kind] = key, members.numbered(known, key, io.new_table_path(spark, f"numbers-{kind}"))
+    table = PeriodTable(spark, f"fact_member_{io.unique()}", io.new_table_path(spark, "member"), "load_yyyymm")
+    for n in range(MEMBER_MONTHS):
+        run = dataclasses.replace(p, as_of=P.shift_months(p.as_of, -n))
+        with scope.Scope() as own:
+            rows = own.share(_step2(book, run).select(
+                "sdp_key", "contri_key", R.yyyymm(F.col("as_of")).alias("load_yyyymm"), *MEMBER_KINDS.values()
+            ))
+            table.replace(members.members(rows, ["sdp_key", "contri_key", "load_yyyymm"], numbers), _yyyymm(run))
+    return table
+
+
+@query
+def members_by_place(book: Book, p: P.RunParams) -> DataFrame:
+    """Distinct consumers, accounts and clusters by state and district over two months, added up from stored members.
+
+    A consumer with loans at several lenders, places of a district or months counts once.
+    """
+    stored = stored_members(book, p).read()
+    places = book.geo_dim().select("sdp_key", "rev_state", "rev_district")
+    return members.counted(stored.join(places, "sdp_key"), ["rev_state", "rev_district"], list(MEMBER_KINDS))
+
+
 # --- geography ----------------------------------------------------------------------
 @query
 def district_active_base(book: Book, p: P.RunParams) -> DataFrame:
@@ -704,7 +806,7 @@ def active_lender_density(book: Book, p: P.RunParams) -> DataFrame:
 def _geo_cube(book: Book, p: P.RunParams, variant: str) -> DataFrame:
     spark = book.spark
     return geo.geo_product_cube(
-        _shared(_fact(book, p)), book.geo_dim(), dims.lender_dim(spark),
+        stored_facts(book, p, 1).read(_yyyymm(p)), book.geo_dim(), dims.lender_dim(spark),
         dims.date_dim(spark, p.calendar), dims.category_dim(spark), p,
         _yyyymm(p), variant,
     )
@@ -802,6 +904,16 @@ def roll_rate_all_products(book: Book, p: P.RunParams) -> DataFrame:
     return cards.roll_rate(_cards(book, wide), wide)
 
 
+ROLL_LAGS = (1, 3, 6, 12)
+
+
+@query
+def roll_rate_lags(book: Book, p: P.RunParams) -> DataFrame:
+    """Roll rates of all products over one, three, six and twelve months, from one scan of the accounts."""
+    wide = roll_params(p)
+    return cards.roll_rates(_cards(book, wide), wide, ROLL_LAGS)
+
+
 @query
 def share_of_wallet(book: Book, p: P.RunParams) -> DataFrame:
     return cards.share_of_wallet(_cards(book, p), p)
@@ -822,20 +934,30 @@ def new_vs_known(book: Book, p: P.RunParams) -> DataFrame:
     return cards.new_vs_known(_all_products(book, p), p)
 
 
-@query
-def flow_rate(book: Book, p: P.RunParams) -> DataFrame:
+def _flows(book: Book, p: P.RunParams, lapses: tuple[int, ...]) -> DataFrame:
     return flow.flow_rate(
         book.account_trend(), book.account(), unique_account_row(book, p), book.threshold(),
-        dims.account_type_dim(book.spark), dims.date_dim(book.spark, p.calendar), p,
+        dims.account_type_dim(book.spark), dims.date_dim(book.spark, p.calendar), p, lapses,
     )
 
 
+@query
+def flow_rate(book: Book, p: P.RunParams) -> DataFrame:
+    return _flows(book, p, (p.time_lapse_months,))
+
+
+@query
+def flow_rate_months(book: Book, p: P.RunParams) -> DataFrame:
+    """Flow rates of several lags from one scan of history, without writing them."""
+    return _flows(book, p, p.flow_lapses)
+
+
 @query
 def flow_runs(book: Book, p: P.RunParams) -> DataFrame:
-    """Flow rates of several lags in one table with a partition per run; a run done again replaces its own."""
+    """Flow rates of several lags, from one pass, in one table with a partition per run; a run done again replaces its own."""
     path = io.new_table_path(book.spark, "flow")
-    for lapse in (*p.flow_lapses, p.flow_lapses[0]):
-        io.write_period(flow_rate(book, dataclasses.replace(p, time_lapse_months=lapse)), path, ["batch_run"])
+    for lapses in (p.flow_lapses, p.flow_lapses[:1]):
+        io.write_period(_flows(book, p, lapses), path, ["batch_run"])
     return book.spark.read.parquet(path)
 
 
@@ -913,8 +1035,11 @@ def export_single_csv(book: Book, p: P.RunParams) -> DataFrame:
 
 def _published(book: Book, report: DataFrame, name: str, order: list[str]) -> DataFrame:
     """A finished report as one sorted file under its name, read back."""
-    path = io.export_single_csv(report, io.new_table_path(book.spark, "export"), name, order)
-    return book.spark.read.schema(report.schema).option("header", True).option("sep", "|").csv(path)
+    return _read_csv(book, io.export_single_csv(report, io.new_table_path(book.spark, "export"), name, order), report.schema)
+
+
+def _read_csv(book: Book, path: str, schema: T.StructType) -> DataFrame:
+    return book.spark.read.schema(schema).option("header", True).option("sep", "|").csv(path)
 
 
 @query
@@ -927,3 +1052,34 @@ def export_exposure_file(book: Book, p: P.RunParams) -> DataFrame:
 def export_geo_report_1(book: Book, p: P.RunParams) -> DataFrame:
     report = as_output(geo_report_1(book, p))
     return _published(book, report, f"geo_1_{_yyyymm(p)}.csv", report.columns[:4])
+
+
+@query
+def export_monitor(book: Book, p: P.RunParams) -> DataFrame:
+    """The monitor's three files, written together and published together, read back as one list.
+
+    The report, its change over the month before and the outliers read one
+    shared report; each file is sorted by lender and loans.
+    """
+    folder = io.new_table_path(book.spark, "monitor")
+    month = p.as_of.replace(day=1)
+    with scope.Scope() as own:
+        report = own.share(_fact_reports(book, p))
+        change = own.share(par.month_over_month(report, month))
+        frames = {"report": report, "change": change, "outliers": par.report_outliers(change, par.share_filter(report))}
+        ready = {name: as_output(df) for name, df in frames.items()}
+        scope.publish(book.spark, {
+            f"{folder}/{name}_{_yyyymm(p)}.csv": functools.partial(_monitor_file, df) for name, df in ready.items()
+        })
+    found = [
+        _read_csv(book, f"{folder}/{name}_{_yyyymm(p)}.csv", df.schema).select(F.lit(name).alias("file"), "lender_id", "account_type")
+        for name, df in ready.items()
+    ]
+    return functools.reduce(DataFrame.unionByName, found).groupBy("file", "lender_id", "account_type").agg(
+        F.count(F.lit(1)).alias("lines")
+    )
+
+
+def _monitor_file(report: DataFrame, file: str) -> None:
+    loans = [c for c in report.columns if c.startswith("total_loans")][:1]
+    io.write_single_csv(report, file, ["lender_id", *loans, "account_type"])

@@ -10,6 +10,8 @@ from functools import cache
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loanbook.sources import files
+
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 FETCH_ROWS = 10000
 
@@ -137,48 +139,55 @@ def _local_folder() -> str:
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: the session's checkpoint folder.
 
-    Only a local session without one gets a temporary folder.
+    Only a local session of one process without one gets a temporary folder.
     """
     folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by the cluster")
     return _local_folder()
 
 
-def new_table_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-
+def unique() -> str:
+    return uuid.uuid4().hex
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write a frame that several later steps read, and return the written table.
 
-    The steps after it start from files that outlive any executor, instead of
-    each repeating the work before it.
-    """
-    path = new_table_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def new_table_path(spark: SparkSession, label: str) -> str:
+    return f"{shared_folder(spark)}/{label}-{unique()}"
 
 
 def export_single_csv(df: DataFrame, folder: str, name: str, order: list[str], sep: str = "|") -> str:
     """One sorted CSV file with header under the given name.
 
-    For finished reports: only the last sort and the write run in one task.
-    The file is put in place through the file system of the folder.
+    Rows are range-partitioned by `order` and sorted and written by as many
+    tasks as their size asks for. The parts are then joined in that order, by
+    the file system and without being held in memory, and the finished file
+    replaces an older one of that name. Rows equal in `order` come in any order.
     """
     spark = df.sparkSession
-    work = f"{folder}/.{name}-{uuid.uuid4().hex}"
-    one = df.repartition(1).sortWithinPartitions(*order)
-    one.write.option("header", True).option("sep", sep).csv(work)
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path
-    fs = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    part = fs.globStatus(path(f"{work}/part-*"))[0].getPath()
-    target = path(f"{folder}/{name}")
-    fs.delete(target, False)
-    if not fs.rename(part, target):
-        raise OSError(f"could not move the report to {folder}/{name}")
-    fs.delete(path(work), True)
-    return f"{folder}/{name}"
+    target = f"{folder}/{name}"
+    write_single_csv(df, f"{target}.new-{unique()}", order, sep, target)
+    return target
+
+
+def write_single_csv(df: DataFrame, file: str, order: list[str], sep: str = "|", target: str | None = None) -> None:
+    """The same, written to `file` and then moved to `target`, if one is given."""
+    spark = df.sparkSession
+    work = f"{file}.parts"
+    try:
+        df.orderBy(*[F.col(f"`{c}`") for c in order]).write.option("header", False).option("sep", sep).csv(work)
+        header = sep.join(_quoted(c, sep) for c in df.columns) + "\n"
+        files.join_parts(spark, header.encode(), files.parts(spark, work), file)
+    finally:
+        files.delete(spark, work)
+    if target is not None:
+        files.delete(spark, target)
+        files.move(spark, file, target)
+
+
+def _quoted(name: str, sep: str) -> str:
+    if sep not in name and '"' not in name and "\n" not in name:
+        return name
+    return '"' + name.replace("\\", "\\\\").replace('"', '\\"') + '"'

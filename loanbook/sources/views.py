@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanbook.operators.entity import cluster_map
+from loanbook.plans.scope import Scope
 from loanbook.plans.skew import percentile_exact
 from loanbook.sources.dims import ACCOUNT_TYPES, LENDERS
+from loanbook.sources.periods import PeriodTable
 
 MONEY = "decimal(18,2)"
 
@@ -51,6 +53,8 @@ class Book:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self.scope = Scope()  # what the steps of a run share
+        self.facts: PeriodTable | None = None  # monthly facts, once a run has stored them
         self.table = cache(self.table)
 
     def table(self, name: str) -> DataFrame:

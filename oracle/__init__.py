@@ -7,6 +7,7 @@ mentions in front of it as common table expressions.
 from __future__ import annotations
 
 import re
+from datetime import date, timedelta
 
 from oracle.base import VIEWS
 
@@ -20,7 +21,13 @@ def _bodies() -> dict[str, str]:
     report = statement("par_report_from_fact", bodies, [])
     months = [_at_month(report, *m) for m in (("2000-03-31", "200003"), ("2000-04-30", "200004"), ("2000-05-31", "200005"))]
     earlier = "".join(f"\nUNION ALL SELECT 1, * FROM ({month})" for month in months)
-    return bodies | {"v_fact_reports": f"SELECT 1 AS run, * FROM par_report_from_fact{earlier}"}
+    bodies["v_fact_reports"] = f"SELECT 1 AS run, * FROM par_report_from_fact{earlier}"
+    for name, source in (("v_fact_two_months", "fact_keys"), ("v_step2_two_months", "v_step2")):
+        bodies[name] = f"SELECT * FROM {source}\nUNION ALL SELECT * FROM ({_at_month(statement(source, bodies, []), '2000-05-31', '200005')})"
+    snapshot = statement("as_of_snapshot", bodies, [])
+    ends = [date(2000 + (n - 12) // 12, n % 12 + 1, 1) - timedelta(days=1) for n in range(7, 19)]  # twelve month ends, the last 2000-06-30
+    bodies["snapshot_months"] = "\nUNION ALL ".join(f"SELECT * FROM ({snapshot.replace('2000-06-30', str(end))})" for end in ends)
+    return bodies
 
 
 def _at_month(sql: str, end: str, yyyymm: str) -> str:

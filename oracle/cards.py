@@ -39,7 +39,10 @@ def _mean(part: str, whole: str) -> str:
     return ratio(f"sum({share})", f"count({share})", 1, 4)
 
 
-def _roll(name: str, source: str, months: str) -> dict[str, str]:
+_ROLL_LAGS = (1, 3, 6, 12)
+
+
+def _roll(name: str, source: str, months: str, lag: int = 12) -> dict[str, str]:
     v = f"v_{name}"
     return {
         f"{v}_base": f"""
@@ -47,7 +50,7 @@ SELECT a.act_reported_dt AS reported_dt_from, a.account_key, a.lender_id,
   {r.ranges('a.derived_dpd', r.B_FLOW5, 'No Due')} AS dpd_from, {r.ranges('b.derived_dpd', r.B_FLOW5, 'No Due')} AS dpd_to,
   a.current_balance AS balance_from, b.current_balance AS balance_to
 FROM {source} a JOIN {source} b ON a.ind = 'T' AND b.ind = 'T' AND a.account_key = b.account_key
-  AND last_day(CAST(a.act_reported_dt + INTERVAL 12 MONTH AS DATE)) = b.act_reported_dt
+  AND last_day(CAST(a.act_reported_dt + INTERVAL {lag} MONTH AS DATE)) = b.act_reported_dt
 WHERE a.act_reported_dt BETWEEN {shift(AS_OF, -60)} AND {AS_OF} {months}
   AND a.not_closed_ind = 'Y' AND a.das IN {BOOK} AND b.not_closed_ind = 'Y' AND b.das IN {BOOK}
   AND a.derived_dpd <= 180 AND b.derived_dpd <= 180""",
@@ -196,6 +199,8 @@ SELECT reported_dt, {_PEER} AS peer_group,
 FROM quarter_spine_agg GROUP BY 1, 2""",
     **_roll("roll_rate", "card_base", "AND month(a.act_reported_dt) IN (3, 6, 9, 12)"),
     **_roll("roll_rate_all_products", "v_roll_cards", ""),
+    **{k: v for n in _ROLL_LAGS for k, v in _roll(f"roll_{n}_months", "v_roll_cards", "", n).items()},
+    "roll_rate_lags": " UNION ALL ".join(f"SELECT CAST({n} AS INTEGER) AS lag, * FROM roll_{n}_months" for n in _ROLL_LAGS),
     "v_wallet": f"""
 SELECT act_reported_dt AS reported_dt, lender_id, clst_id, current_balance FROM card_base
 WHERE ind = 'T' AND act_reported_dt IN ({_YEAR_AGO}, {AS_OF}) AND {_LIVE}
@@ -228,6 +233,7 @@ FROM (SELECT *, count(*) OVER (PARTITION BY clst_id, reported_dt) AS rw,
     **_flow("flow_rate", "v_flow_base", 12),
     **_flow("v_flow_rate_6", "v_flow_base_6", 6),
     "flow_runs": "SELECT * FROM flow_rate UNION ALL SELECT * FROM v_flow_rate_6",
+    "flow_rate_months": "SELECT * FROM flow_runs",
 }
 _ROW_MONEY = ["current_balance", "amount_overdue_total", "chargeoff_amt", "sanctioned_amount"]
 MONEY = {
@@ -239,4 +245,5 @@ MONEY = {
     "share_of_wallet": ["clst_base_cb", "bank_cb", "low_clst_base_cb", "low_bank_cb"],
     "all_product_base": _ROW_MONEY, "flow_rate": ["current_balance_tl", "total_written_off_amount"],
     "flow_runs": ["current_balance_tl", "total_written_off_amount"],
+    "flow_rate_months": ["current_balance_tl", "total_written_off_amount"], "roll_rate_lags": ["total_cb", "current_balance_to"],
 }

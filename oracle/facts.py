@@ -157,11 +157,20 @@ FROM fact_keys f JOIN lender_dim l ON l.active = 1 AND f.contri_key = l.contri_k
 JOIN category_dim c ON f.loan_account_type_key = c.category_key AND c.active = 1
 WHERE f.load_yyyymm = 200006 AND f.suppress_ind_key <> 1 GROUP BY 2, 3, 4""",
 }
+SQL |= {
+    "stored_fact_months": """
+SELECT load_yyyymm, contri_key, count(*) AS facts, CAST(sum(total_accounts) AS BIGINT) AS total_accounts,
+  sum(total_outstanding_amount) AS total_outstanding_amount FROM v_fact_two_months GROUP BY 1, 2""",
+    "members_by_place": """
+SELECT g.rev_state, g.rev_district, count(DISTINCT s.consumer_key) AS consumers, count(DISTINCT s.account_key) AS accounts,
+  count(DISTINCT s.clst_id) AS clusters
+FROM v_step2_two_months s JOIN geo_dim g ON s.sdp_key = g.sdp_key GROUP BY 1, 2""",
+}
 _AMOUNTS = ["total_outstanding_amount", "total_disbursed_amount", "total_overdue_amount", "total_write_off_amount"]
 MONEY = {
     "mfi_step1": _MONEY + ["high_credit", "monthly_income"], "group_share": _MONEY,
     "mfi_step2": ["amt_due", "charge_amt", "cur_bal", "disb_amt", "high_credit", "monthly_income", "min_amount_due"],
-    "fact_rollup": _AMOUNTS, "fact_keys": _AMOUNTS,
+    "fact_rollup": _AMOUNTS, "fact_keys": _AMOUNTS, "stored_fact_months": ["total_outstanding_amount"],
     "par_report_from_fact": [m for m in _PAR if not (m.startswith("lar_") or m.endswith("loans"))],
 }
 del AS_OF, LENDERS

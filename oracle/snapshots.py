@@ -59,6 +59,19 @@ FROM account_trend WHERE das = 'S05' AND month(act_reported_dt) = 12""",
 SELECT * FROM macro_open UNION ALL
 SELECT * FROM macro_closed WHERE (closed_dt IS NULL OR closed_dt <= DATE '2000-06-30')
   AND reported_dt <= DATE '2000-08-08' AND act_insert_dt <= DATE '2000-08-08'""",
+    "partition_rewrite": """
+SELECT b.* FROM account_trend b ANTI JOIN v_restated d ON d.act_reported_dt = b.act_reported_dt AND d.account_key = b.account_key
+UNION ALL SELECT * FROM v_restated""",
+    "v_marked": """
+SELECT account_key, act_reported_dt, das, asset_class, CASE WHEN lag(act_reported_dt) OVER w IS NOT NULL
+    AND das IS NOT DISTINCT FROM lag(das) OVER w AND asset_class IS NOT DISTINCT FROM lag(asset_class) OVER w THEN 0 ELSE 1 END AS changed
+FROM account_trend WINDOW w AS (PARTITION BY account_key ORDER BY act_reported_dt)""",
+    "v_islands": """
+SELECT *, sum(changed) OVER (PARTITION BY account_key ORDER BY act_reported_dt) AS island FROM v_marked""",
+    "validity_intervals": """
+SELECT account_key, valid_from, lead(valid_from) OVER (PARTITION BY account_key ORDER BY valid_from) AS valid_to, reports, das, asset_class
+FROM (SELECT account_key, min(act_reported_dt) AS valid_from, CAST(count(*) AS INTEGER) AS reports, min(das) AS das,
+    min(asset_class) AS asset_class FROM v_islands GROUP BY account_key, island)""",
     "read_table": """
 SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders WHERE o_orderstatus = 'F'""",
     "read_split": """
@@ -90,6 +103,8 @@ MONEY = {
     "as_of_snapshot": _BOOK_MONEY + ["min_amount_due"],
     "prod_plus_trend": ["min_amount_due", "current_balance", "amount_overdue_total", "chargeoff_amt", "credit_limit",
                         "disbursed_amount"],
+    "snapshot_months": _BOOK_MONEY + ["min_amount_due"],
+    "partition_rewrite": ["current_balance", "amount_overdue_total", "chargeoff_amt", "min_amount_due"],
     "partition_upsert": ["current_balance", "amount_overdue_total", "chargeoff_amt", "min_amount_due"],
     "open_closed_union": _BOOK_MONEY + ["credit_limit"],
     "open_closed_union_uncapped": _BOOK_MONEY + ["credit_limit"],

@@ -15,7 +15,7 @@ from loanbook.sources import dims
 from loanbook.sources.views import Book
 
 STAGED_ONCE = (
-    "card_base", "threshold_flags", "flow_rate", "mfi_step1", "mfi_step2", "fact_rollup", "geo_report_1", "account_dashboard",
+    "card_base", "threshold_flags", "flow_rate", "mfi_step1", "mfi_step2", "fact_rollup", "account_dashboard",
     "income_backfill", "report_outliers", "district_exposure", "golden_address",
 )
 

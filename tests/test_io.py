@@ -53,6 +53,25 @@ def test_load_by_period_appends(spark, tmp_path):
     assert spark.read.parquet(path).count() == 20
 
 
+def test_export_equals_one_task_of_work(spark, tmp_path):
+    """Sorted and written in parts, with nulls, quotes and delimiters, the file has the bytes of a single sorted write."""
+    df = spark.range(5000).selectExpr(
+        "cast(pmod(hash(id), 700) as int) as n", "if(id % 7 = 0, null, concat('a|', id, ' ', char(34), 'q', char(34))) as `t|x`", "id"
+    ).repartition(8)
+    order = ["n", "t|x", "id"]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = open(io.export_single_csv(df, str(tmp_path), "report.csv", order), "rb").read()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    one = df.repartition(1).sortWithinPartitions(*[F.col(f"`{c}`") for c in order])
+    one.write.option("header", True).option("sep", "|").csv(str(tmp_path / "one"))
+    (part,) = (tmp_path / "one").glob("part-*")
+    assert got == part.read_bytes()
+    io.export_single_csv(df.where("false"), str(tmp_path), "report.csv", order)
+    assert open(tmp_path / "report.csv").read().count("\n") == 1
+
+
 def test_export_is_one_sorted_file(spark, tmp_path):
     df = spark.range(1000).selectExpr("1000 - id as n", "concat('x', id) as t").repartition(8)
     path = io.export_single_csv(df, str(tmp_path), "report.csv", ["n"])
@@ -80,15 +99,11 @@ def test_shared_folder_follows_the_session(spark):
     assert io.shared_folder(named) == "/shared/work"
     with pytest.raises(ValueError):
         io.shared_folder(_Session({}, "yarn"))
+    with pytest.raises(ValueError):
+        io.shared_folder(_Session({}, "local-cluster[2,1,1024]"))
     assert os.path.isdir(io.shared_folder(_Session({}, "local[2]")))
 
 
-def test_stage_returns_the_written_table(spark):
-    staged = io.stage(spark.range(5).toDF("n"), "five")
-    assert sorted(r.n for r in staged.collect()) == [0, 1, 2, 3, 4]
-    assert all("/five-" in f for f in staged.inputFiles())
-
-
 def test_catalog_source(spark, small):
     spark.read.parquet(f"{small}/nation.parquet").createOrReplaceTempView("nation_view")
     with pytest.raises(Exception):
