@@ -25,6 +25,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -65,6 +66,9 @@ STRICT_CLASS = re.compile(
     r"social|social[_-](?:share|buttons|icons|links)|subscribe|newsletter|newsletter[_-](?:signup|form|box)|signup|login)(?=$|\s)",
     re.IGNORECASE,
 )
+READERS = re.compile(r"comment|repl(?:y|ies)|respond|disqus|related|recommend", re.IGNORECASE)
+LAYOUT = re.compile(r"overlay|nav|navbar|menu|sidebar|side-bar|widget|footer|masthead|topbar|toolbar|banner", re.IGNORECASE)
+WRAPPERS = frozenset("div section center table tbody tr td ul ol".split())
 # Outside marked sections: removed elements that stand around the text, and those among them that end it for good
 AROUND = re.compile(
     r"(?:^|[\s_\-\"'=])(?:nav\w*|menu|breadcrumbs?|pagination|pager|sidebar|side-?bar|toolbar|header|footer|masthead|topbar|"
@@ -73,6 +77,8 @@ AROUND = re.compile(
 )
 EDGE = re.compile(r"(?:^|[\s_\-\"'=])(?:header|footer|masthead|topbar|contentinfo)(?=$|[\s_\-\"'/])", re.IGNORECASE)
 STRICT_ID = re.compile(r"(?:div-gpt-|google_)?ads?(?:[_-]?\d+)*|comments|comment-\d+|disqus_thread|respond", re.IGNORECASE)
+# Short lines that end a page after its text
+LEGAL = re.compile(r"(?:©|\(c\)\s|copyright\b|all rights reserved|imprint\b|impressum\b|privacy policy|terms of (?:use|service)|legal notice)", re.IGNORECASE)
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 LINKED = 0.5  # a block whose name leaves doubt is dropped if links are this share of its text
 ROLES = re.compile(r"\brole\s*=\s*[\"']?(?:navigation|banner|contentinfo|complementary|search|form|alert|dialog|menu)", re.IGNORECASE)
@@ -86,6 +92,16 @@ TOKEN = re.compile(
 )
 
 
+class Judged(NamedTuple):
+    """Lines of an element that goes unless it holds more than `share` of the page's unlinked text, and the gap it would leave."""
+
+    first: int
+    last: int
+    share: float
+    lines: int
+    ends: bool
+
+
 class Lines:
     """Lines of a page, each with its text, its unlinked length, and the marked section it stands in."""
 
@@ -94,16 +110,19 @@ class Lines:
         self.weight: list[int] = []
         self.marked: list[int] = []  # 2 in an article, 1 in the main part only, else 0
         self.section: list[int] = []  # which marked section, counted from 1; 0 outside, END in a gap no text reaches over
+        self.judged: list[Judged] = []
         self._parts: list[str] = []
         self._linked = 0
 
     def add(self, part: str, linked: bool) -> None:
+        """One piece of text between two tags; a reference never reaches over a tag."""
+        part = html.unescape(part)
         self._parts.append(part)
         if linked:
-            self._linked += len(" ".join(html.unescape(part).split()))
+            self._linked += len(" ".join(part.split()))
 
     def end(self, marked: int, section: int) -> None:
-        text = " ".join(html.unescape("".join(self._parts)).split())
+        text = " ".join("".join(self._parts).split())
         if text:
             self.text.append(text)
             self.weight.append(max(0, len(text) - self._linked))
@@ -129,8 +148,28 @@ class Lines:
         total = sum(map(len, self.text[start:]))
         if total and total - sum(self.weight[start:]) >= LINKED * total:
             del self.text[start:], self.weight[start:], self.marked[start:], self.section[start:]
+            self.judged = [j for j in self.judged if j.first < start]
             self.gap(1)
 
+    def drop_small(self) -> Lines:
+        """The lines without the elements whose names leave doubt and that hold too little of the page's unlinked text."""
+        total = sum(self.weight)
+        kept, at = Lines(), 0
+        for judged in sorted(self.judged, key=lambda j: (j.first, -j.last)):
+            if judged.first < at or sum(self.weight[judged.first : judged.last]) > judged.share * total:
+                continue
+            kept._copy(self, at, judged.first)
+            kept.gap(judged.lines, judged.ends)
+            at = judged.last
+        kept._copy(self, at, len(self.text))
+        return kept
+
+    def _copy(self, other: Lines, first: int, last: int) -> None:
+        self.text += other.text[first:last]
+        self.weight += other.weight[first:last]
+        self.marked += other.marked[first:last]
+        self.section += other.section[first:last]
+
     def weights(self) -> np.ndarray:
         """Unlinked lengths, and in marked sections what the mark adds."""
         length = np.array([len(t) for t in self.text], dtype=np.float64)
@@ -144,15 +183,20 @@ class Lines:
         return weight
 
 
-KEPT, DOUBTED, GONE = range(3)
+KEPT, DOUBTED, SMALL, MOST, GONE = range(5)
+LEAST_SHARE = {SMALL: 0.15, MOST: 0.5}  # of the page's unlinked text that an element must hold to stay
 END = -1
 
 
 def _unwanted(name: str, rest: str, inside: bool, nested: bool) -> int:
-    """Whether an element goes by its name; what is doubted is judged by its links when it ends.
+    """Whether an element goes by its name; what is doubted is judged by its links when it ends, or by its share of the page.
 
     Inside a marked section only whole names are trusted. Ids of headings and
-    sections are made from their words and are never trusted.
+    sections are made from their words and are never trusted. Outside, a
+    wrapper may be named after what stands in it (`has-sidebar`, `menu-open`):
+    it goes only if it holds a small part of the page's text. A whole name of a
+    part of the layout is trusted unless the element holds most of that text;
+    one of adverts, notices, forms or reader comments always is.
     """
     if name in DROPPED:
         return DOUBTED if name == "header" and inside else GONE
@@ -164,15 +208,18 @@ def _unwanted(name: str, rest: str, inside: bool, nested: bool) -> int:
     for kind, *found in NAMES.findall(rest):
         names[kind.lower()] = "".join(found)
     classes, label = OWN_HEADER.sub(" ", names["class"]), OWN_HEADER.sub(" ", names["id"])
+    wrapper = name in WRAPPERS and not inside
     if STRICT_CLASS.search(classes):
-        return GONE
+        return MOST if wrapper and all(LAYOUT.fullmatch(found.strip()) for found in STRICT_CLASS.findall(classes)) else GONE
     titled = name == "section" or "section" in classes.split()
     if name in HEADINGS:
         return GONE if not inside and UNWANTED.search(classes) else KEPT
     if not titled and STRICT_ID.fullmatch(label):
         return GONE
     if not inside and (UNWANTED.search(classes) or (not titled and UNWANTED.search(label))):
-        return GONE
+        if not wrapper:
+            return GONE
+        return MOST if READERS.search(classes) or READERS.search(label) else SMALL
     return DOUBTED if UNWANTED.search(classes) or UNWANTED.search(label) else KEPT
 
 
@@ -187,7 +234,8 @@ def page_lines(page: str) -> Lines:
     begun = [0, 0, 0]  # sections of each kind so far
     skipped = ""
     opened: dict[str, int] = {}  # open blocks by tag
-    doubted: dict[str, list[tuple[int, int]]] = {}  # of those that are doubted: how many were open, and the first line
+    # of those that are doubted: how many were open, the first line, and how their share of the page is judged, if it is
+    doubted: dict[str, list[tuple[int, int, tuple[float, int, bool] | None]]] = {}
 
     def text(part: str) -> None:
         if not skipped and part:
@@ -197,6 +245,12 @@ def page_lines(page: str) -> Lines:
         kind = 2 if articles else 1 if mains else 0
         lines.end(kind, begun[kind])
 
+    def gap_of(name: str, rest: str) -> tuple[int, bool]:
+        """How many empty lines a removed element leaves, and whether the text ends there for good."""
+        ends = name in EDGES or EDGE.search(rest) is not None
+        deep = not articles and not mains and (ends or name in ("nav", "menu", "aside") or AROUND.search(rest) is not None)
+        return WINDOW + 1 if deep else 1, deep and ends
+
     for token in TOKEN.finditer(page):
         text(page[at : token.start()])
         at = token.end()
@@ -219,9 +273,7 @@ def page_lines(page: str) -> Lines:
         if fate == GONE:
             if name in BLOCKS or name in DROPPED:
                 end()
-                ends = name in EDGES or EDGE.search(rest) is not None
-                deep = not articles and not mains and (ends or name in ("nav", "menu", "aside") or AROUND.search(rest))
-                lines.gap(WINDOW + 1 if deep else 1, bool(deep and ends))
+                lines.gap(*gap_of(name, rest))
             if not rest.rstrip().endswith("/"):
                 skipped, depth = name, 1
             continue
@@ -235,11 +287,16 @@ def page_lines(page: str) -> Lines:
             if closes:
                 opened[name] = max(0, opened.get(name, 0) - 1)
                 if doubted.get(name) and doubted[name][-1][0] > opened[name]:
-                    lines.drop_linked(doubted[name].pop()[1])
+                    _, first, judged = doubted[name].pop()
+                    if judged is None:
+                        lines.drop_linked(first)
+                    else:
+                        lines.judged.append(Judged(first, len(lines.text), *judged))
             elif name not in VOID:
                 opened[name] = opened.get(name, 0) + 1
-                if fate == DOUBTED:
-                    doubted.setdefault(name, []).append((opened[name], len(lines.text)))
+                if fate != KEPT:
+                    judged = (LEAST_SHARE[fate], *gap_of(name, rest)) if fate in LEAST_SHARE else None
+                    doubted.setdefault(name, []).append((opened[name], len(lines.text), judged))
             if name in ARTICLE:
                 was = articles, mains
                 change = -1 if closes else 1
@@ -250,52 +307,79 @@ def page_lines(page: str) -> Lines:
                 lines.gap(1 if inner else WINDOW + 1, not inner)
     text(page[at:])
     end()
-    return lines
-
-
-def stretches(weight: np.ndarray, surge: float) -> list[tuple[int, int]]:
-    """Line ranges between surge and dive points of the window sums."""
-    return [found[:2] for found in _held(weight) if found[2] >= surge]
+    return lines.drop_small()
 
 
-def _held(weight: np.ndarray) -> list[tuple[int, int, float]]:
-    """Line ranges whose window sums are above zero, with the largest sum of each."""
+def stretches(weight: np.ndarray) -> list[tuple[int, int, float]]:
+    """Line ranges whose window sums are above zero, with the largest sum of each; a range begins and ends with a line of weight."""
     if not len(weight):
         return []
     sums = np.convolve(weight, np.ones(WINDOW), "full")[WINDOW - 1 :]  # of WINDOW lines from each line on
     held = np.concatenate(([False], sums > 0, [False]))
     starts, ends = np.flatnonzero(held[1:] & ~held[:-1]), np.flatnonzero(~held[1:] & held[:-1])
-    return [(a, b, sums[a:b].max()) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+    heavy = np.flatnonzero(weight > 0)
+    return [
+        (int(heavy[np.searchsorted(heavy, a)]), int(heavy[np.searchsorted(heavy, b) - 1]) + 1, float(sums[a:b].max()))
+        for a, b in zip(starts.tolist(), ends.tolist(), strict=True)
+    ]
 
 
-def _adjoin(lines: Lines, first: tuple[int, int], second: tuple[int, int]) -> bool:
-    """Whether only removed elements, none of which ends the text, stand between two stretches."""
-    for at in range(first[1], second[1]):
-        if lines.text[at]:
-            return at >= second[0]
-        if lines.section[at] == END:
-            return False
-    return True
+def _open_between(lines: Lines, first: int, last: int) -> bool:
+    """Whether the text may go on over these lines: no header, footer or other end stands there."""
+    return END not in lines.section[first:last]
+
+
+def _no_text(lines: Lines, first: int, last: int) -> bool:
+    return not any(lines.text[first:last])
 
 
 def _unlinked(lines: Lines, a: int, b: int) -> bool:
     return 2 * sum(lines.weight[a:b]) >= sum(map(len, lines.text[a:b]))
 
 
-def main_text(page: str) -> str:
-    """The article's blocks in page order, one line each; empty if there is none."""
-    lines = page_lines(page)
+def _list_between(lines: Lines, first: int, last: int) -> bool:
+    """Whether only lines of links stand there, without a gap: a list inside the text."""
+    return first < last and all(lines.text[first:last])
+
+
+def chosen_lines(lines: Lines) -> list[tuple[int, int]]:
+    """Ranges of the lines of the main text, in order.
+
+    Stretches that surge past the threshold are kept. A stretch of little text
+    stays with a kept neighbour if nothing but removed elements stands between
+    them, and links between two kept stretches stay with them. Legal lines at
+    the end of a page are no text.
+    """
     weight = lines.weights()
-    peak = np.convolve(weight, np.ones(WINDOW)).max() if len(weight) else 0
+    found = stretches(weight)
+    peak = max((top for _, _, top in found), default=0)
     surge = max(1, min(peak, max(SURGE, PEAK_SHARE * peak)))
-    found = _held(weight)
     kept = [top >= surge for _, _, top in found]
     forth = [(k - 1, k) for k in range(1, len(found))]
     for near, k in forth + [(k, near) for near, k in reversed(forth)]:
+        a, b = found[min(near, k)], found[max(near, k)]
         if kept[near] and not kept[k] and _unlinked(lines, *found[k][:2]):
-            a, b = found[min(near, k)], found[max(near, k)]
-            kept[k] = _adjoin(lines, a[:2], b[:2])
-    return "\n".join(t for (a, b, _), stays in zip(found, kept, strict=True) if stays for t in lines.text[a:b] if t)
+            kept[k] = _open_between(lines, a[1], b[0]) and _no_text(lines, a[1], b[0])
+    ranges: list[tuple[int, int]] = []
+    for (a, b, _), stays in zip(found, kept, strict=True):
+        if not stays:
+            continue
+        if ranges and _list_between(lines, ranges[-1][1], a):
+            ranges[-1] = ranges[-1][0], b
+        else:
+            ranges.append((a, b))
+    while ranges:
+        a, b = ranges[-1]
+        if lines.marked[b - 1] or not (lines.text[b - 1] == "" or LEGAL.match(lines.text[b - 1])) or len(lines.text[b - 1]) > SURGE:
+            break
+        ranges[-1:] = [(a, b - 1)] if b - 1 > a else []
+    return ranges
+
+
+def main_text(page: str) -> str:
+    """The article's blocks in page order, one line each; empty if there is none."""
+    lines = page_lines(page)
+    return "\n".join(t for a, b in chosen_lines(lines) for t in lines.text[a:b] if t)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -5,8 +5,10 @@ from __future__ import annotations
 import hashlib
 import random
 
+import numpy as np
+
 from loanbook.llm.fingerprint import Fingerprint, edited, fingerprint_documents, in_order, paragraphs
-from loanbook.llm.page_text import extract, main_text, stretches
+from loanbook.llm.page_text import END, LEGAL, PEAK_SHARE, SURGE, WINDOW, extract, main_text, page_lines, stretches
 
 FULL = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head>
 <body class="page"><header><h1>Site</h1></header><nav><ul><li><a href="/a">Menu</a></li></ul></nav>
@@ -81,9 +83,117 @@ def test_broken_markup_never_fails():
         main_text(FULL[:cut] + FULL[rng.randint(0, len(FULL)) :])
 
 
-def test_stretches_lie_between_surge_and_dive():
-    assert stretches([0, 0, 0, 0, 5, 9, 0, 3, 0, 0, 0, 0, 1], 8) == [(2, 8)]
-    assert stretches([], 1) == [] and stretches([0, 0], 1) == []
+def plain_stretches(weight):
+    """By loops: runs of lines whose window sums are above zero, cut to their first and last line of weight."""
+    sums = [sum(weight[i : i + WINDOW]) for i in range(len(weight))]
+    found, i = [], 0
+    while i < len(sums):
+        if sums[i] <= 0:
+            i += 1
+            continue
+        j = i
+        while j < len(sums) and sums[j] > 0:
+            j += 1
+        heavy = [k for k in range(i, j) if weight[k] > 0]
+        found.append((heavy[0], heavy[-1] + 1, max(sums[i:j])))
+        i = j
+    return found
+
+
+def plain_text(page):
+    """The choice of lines by loops over all of them."""
+    lines = page_lines(page)
+    weight, text = [float(w) for w in lines.weights()], lines.text
+    found = plain_stretches(weight)
+    if not found:
+        return ""
+    peak = max(top for _, _, top in found)
+    surge = max(1, min(peak, max(SURGE, PEAK_SHARE * peak)))
+    kept = {k for k, (_, _, top) in enumerate(found) if top >= surge}
+    for order in (range(len(found)), reversed(range(len(found)))):
+        before = None
+        for k in order:
+            if before in kept and k not in kept:
+                a, b = sorted((before, k))
+                gap = range(found[a][1], found[b][0])
+                own = range(found[k][0], found[k][1])
+                if all(not text[i] and lines.section[i] != END for i in gap) and 2 * sum(lines.weight[i] for i in own) >= sum(len(text[i]) for i in own):
+                    kept.add(k)
+            before = k
+    stays = set()
+    last = None
+    for k in sorted(kept):
+        if last is not None and found[last][1] < found[k][0] and all(text[i] for i in range(found[last][1], found[k][0])):
+            stays.update(range(found[last][1], found[k][0]))
+        stays.update(range(found[k][0], found[k][1]))
+        last = k
+    for i in sorted(stays, reverse=True):
+        if lines.marked[i] or (text[i] and not LEGAL.match(text[i])) or len(text[i]) > SURGE:
+            break
+        stays.remove(i)
+    return "\n".join(text[i] for i in sorted(stays) if text[i])
+
+
+def test_stretches_equal_loops():
+    assert [tuple(x) for x in stretches(np.array([0, 0, 0, 0, 5, 9, 0, 3, 0, 0, 0, 0, 1.0]))] == [(4, 8, 14.0), (12, 13, 1.0)]
+    assert stretches(np.zeros(0)) == [] and stretches(np.zeros(2)) == []
+    rng = random.Random(9)
+    for _ in range(300):
+        weight = [rng.choice((0, 0, 0, 1, 40, 300)) for _ in range(rng.randint(0, 30))]
+        assert stretches(np.array(weight, float)) == plain_stretches(weight)
+
+
+def _random_page(rng):
+    parts = []
+    for _ in range(rng.randint(0, 25)):
+        words = " ".join(["word"] * rng.choice((1, 2, 8, 40, 90)))
+        parts.append(rng.choice((
+            f"<p>{words}</p>", f"<p>{words}</p>", f"<li><a href=x>{words}</a></li>", f"<div class=ad>{words}</div>", f"<div class='{rng.choice(NAMES)}'><p>{words}</p>",
+            "</div>", f"<nav>{words}</nav>", f"<article><p>{words}</p></article>", "<article>", "</article>", f"<footer>{words}</footer>", "<p>Copyright words</p>", f"<h2>{words}",
+        )))
+    return "<body>" + "".join(parts) + "</body>"
+
+
+NAMES = ("site has-sidebar", "layout-no-sidebar", "page menu-open", "elementor-widget elementor-widget-text-editor", "search-result-page", "sidebar", "site-footer", "post-comments")
+
+
+def test_chosen_lines_equal_loops_on_random_pages():
+    rng = random.Random(11)
+    filled = 0
+    for _ in range(500):
+        page = _random_page(rng)
+        assert main_text(page) == plain_text(page)
+        filled += bool(main_text(page))
+    assert filled > 300
+
+
+def test_wrappers_are_not_dropped_for_their_names():
+    want = "\n".join(p.strip() for p in PARAGRAPHS)
+    for name in NAMES[:5]:
+        assert main_text(f"<body><nav>N</nav><div class='{name}'>{BODY}</div><div class=site-footer><p>About us and more.</p></div></body>") == want, name
+        assert main_text(f"<body><div id='{name.split()[-1]}'><div class='{name}'>{BODY}</div></div></body>") == want
+        assert main_text(f"<body><div class='{name}'><article>{BODY}</article><div class='sidebar-left'><p>Side words.</p></div></div></body>") == want
+    widgets = "".join(f"<div class='{NAMES[3]}'><p>{p}</p></div>" for p in PARAGRAPHS[:4])
+    assert main_text(f"<body>{widgets}<div class='elementor-widget'><p>Short.</p></div></body>").startswith("\n".join(p.strip() for p in PARAGRAPHS[:4]))
+    for name in ("comments", "post-comments", "ad", "site-footer", "newsletter-box"):
+        assert main_text(f"<body>{BODY}<div class='{name}'><p>{'Reader words here. ' * 9}</p></div></body>") == want, name
+
+
+def test_link_lists_and_edges():
+    want = [p.strip() for p in PARAGRAPHS]
+    items = "".join(f"<li><a href=/{i}>Linked thing {i}</a></li>" for i in range(5))
+    half = [f"<p>{p}</p>" for p in PARAGRAPHS]
+    listed = main_text(f"<body>{''.join(half[:4])}<ul>{items}</ul>{''.join(half[4:])}</body>")
+    assert listed == "\n".join(want[:4] + [f"Linked thing {i}" for i in range(5)] + want[4:])
+    menu = "<ul><li><a href=a>Home</a></li><li><a href=b>World</a></li><li><a href=c>Sport</a></li><li><a href=d>Money</a></li></ul>"
+    assert main_text(f"<body>{menu}{BODY}{menu}</body>") == "\n".join(want)
+    assert main_text(f"<body>{BODY}<p>Copyright 2020 Example</p><p><a href=x>Imprint</a></p></body>") == "\n".join(want)
+    assert main_text(f"<body>{BODY}<p>Copyright 2020 Example</p><p>Imprint</p><p>All rights reserved.</p></body>") == "\n".join(want)
+    assert main_text(f"<article>{BODY}<p>Copyright law is old.</p></article>").endswith("Copyright law is old.")
+
+
+def test_references_do_not_reach_over_tags():
+    assert main_text("<p>A &<b>lt;</b> B &amp; C &#x41;</p>") == "A &lt; B & C A"
 
 
 def test_extract(spark):
