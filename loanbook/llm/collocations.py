@@ -8,10 +8,10 @@
 2. Count. Phrases are counted inside the distinct chunks, weighted by their
    frequencies. A phrase belongs to the chunk in which it begins before the
    trigger, so what lies in an overlap is counted once.
-3. Longer phrases are counted level by level. A phrase is counted only where
-   both phrases of one word less in it are frequent, since it cannot be
-   frequent otherwise. Tasks learn these from a bitmap of fixed size; a bit that
-   two phrases share costs a needless count and changes no result.
+3. Words are counted first, then pairs of frequent words, then all longer
+   phrases whose pairs are frequent, since a phrase with a rare part is rare.
+   Tasks learn what is frequent from a bitmap of fixed size; a bit that two
+   phrases share costs a needless count and changes no result.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 from itertools import count
 
 import numpy as np
@@ -82,14 +83,27 @@ class _Vocabulary:
         return np.fromiter((word_hash(w, lang) for w in self.numbers), np.uint64, len(self.numbers))
 
 
-def cuts(hashes: np.ndarray, overlap: int, spacing: int) -> np.ndarray:
-    """Where chunks begin: at 0 and wherever the hash of the next `overlap` words is a multiple of `spacing`."""
-    ends = len(hashes) - overlap + 1
-    if ends < 2 or not overlap:
-        return np.zeros(1, np.int64)
-    windows = fold([hashes[k : k + ends] for k in range(overlap)])
+class _Hashes(dict):
+    """Hash of every word of one language that a batch has met."""
+
+    def __init__(self, lang: str) -> None:
+        self.lang = lang
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = hashed = word_hash(word, self.lang)
+        return hashed
+
+
+def cuts(hashes: np.ndarray, ends: np.ndarray, overlap: int, spacing: int) -> np.ndarray:
+    """Where chunks begin in texts that end at `ends`: where a text begins, and wherever the hash of the next `overlap` words of it is a multiple of `spacing`."""
+    at = len(hashes) - overlap + 1
+    begins = np.concatenate(([0], ends[:-1]))
+    if at < 2 or not overlap:
+        return begins
+    windows = fold([hashes[k : k + at] for k in range(overlap)])
     triggers = np.flatnonzero((windows >> np.uint64(20)) % np.uint64(spacing) == 0)
-    return np.concatenate(([0], triggers[triggers > 0]))
+    inside = triggers + overlap <= ends[np.searchsorted(ends, triggers, "right")]
+    return np.union1d(begins, triggers[inside])
 
 
 def parse(docs: DataFrame, overlap: int, spacing: int = SPACING) -> DataFrame:
@@ -101,27 +115,40 @@ def parse(docs: DataFrame, overlap: int, spacing: int = SPACING) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            known: defaultdict[str, dict[bytes, int]] = defaultdict(dict)
-            langs, fresh, chunks = [], [], []
-            for lang, value in zip(batch.column("lang").to_pylist(), batch.column("text"), strict=True):
-                tokens = tokens_of(value.as_py() or b"")
-                if not tokens:
-                    continue
-                hashed = known[lang]
-                for token in set(tokens).difference(hashed):
-                    hashed[token] = word_hash(token, lang)
-                starts = cuts(np.fromiter(map(hashed.__getitem__, tokens), np.uint64, len(tokens)), overlap, spacing).tolist()
-                for start, end in zip(starts, [*starts[1:], len(tokens)], strict=True):
-                    langs.append(lang), fresh.append(end - start)
-                    chunks.append(b" ".join(tokens[start : end + overlap]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(langs, pa.string()), pa.array(fresh, pa.int32()), pa.array(chunks, pa.binary())], names=["lang", "fresh", "chunk"]
-            )
+            sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()
+            for first, last in runs_by_size(sizes, RUN_BYTES):
+                rows = batch.slice(first, last - first)
+                for lang in pc.unique(rows.column("lang")).to_pylist():
+                    texts = rows.column("text").filter(pc.equal(rows.column("lang"), lang))
+                    yield from _chunks(lang, texts.drop_null().to_pylist(), overlap, spacing)
 
     chunks = docs.mapInArrow(run, "lang string, fresh int, chunk binary")
     return staged(chunks.groupBy("lang", "fresh", "chunk").agg(F.count(F.lit(1)).alias("times")), "parse")
 
 
+def _chunks(lang: str, texts: list[bytes], overlap: int, spacing: int) -> Iterator[pa.RecordBatch]:
+    """The chunks of some texts of one language."""
+    hashed = _Hashes(lang)
+    tokens: list[bytes] = []
+    ends = []
+    for text in texts:
+        found = tokens_of(text)
+        if found:
+            tokens += found
+            ends.append(len(tokens))
+    if not ends:
+        return
+    ends = np.array(ends)
+    starts = cuts(np.fromiter(map(hashed.__getitem__, tokens), np.uint64, len(tokens)), ends, overlap, spacing)
+    stops = np.append(starts[1:], len(tokens))
+    reach = np.minimum(stops + overlap, ends[np.searchsorted(ends, starts, "right")])
+    chunks = [b" ".join(tokens[start:end]) for start, end in zip(starts.tolist(), reach.tolist(), strict=True)]
+    yield pa.RecordBatch.from_arrays(
+        [pa.repeat(pa.scalar(lang), len(chunks)), pa.array(stops - starts, pa.int32()), pa.array(chunks, pa.binary())],
+        names=["lang", "fresh", "chunk"],
+    )
+
+
 def frequent_bits(phrases: DataFrame) -> np.ndarray:
     """Bitmap of 2^MAP_BITS bits with the bit of every phrase (lang, phrase) set."""
 
@@ -150,58 +177,80 @@ def _is_set(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 def count_in_chunks(
-    lang: str, chunks: pa.Array, fresh: np.ndarray, times: np.ndarray, size: int, bits: np.ndarray | None
-) -> tuple[pa.Array, np.ndarray]:
-    """Phrases of `size` words of some distinct chunks of a language, with their weighted counts."""
+    lang: str, chunks: pa.Array, fresh: np.ndarray, times: np.ndarray, sizes: tuple[int, ...], bits: np.ndarray | None
+) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
+    """Phrases of the given numbers of words of some distinct chunks of a language, with their weighted counts.
+
+    `bits` are those of frequent phrases one word shorter than the shortest of
+    `sizes`; every phrase of that many words in a counted phrase has its bit set.
+    """
     lengths = pc.count_substring(chunks, b" ").to_numpy(zero_copy_only=False).astype(np.int64) + 1
     vocabulary = _Vocabulary()
     ids = vocabulary.encode(b" ".join(chunks.to_pylist()).split(b" "))
+    words = pa.array(list(vocabulary.numbers), pa.binary())
     ends = np.cumsum(lengths)
     at = np.arange(len(ids))
     stop = np.repeat(ends, lengths)
     if BREAK in vocabulary.numbers:
         breaks = np.where(ids == vocabulary.numbers[BREAK], at, len(ids))
         stop = np.minimum(stop, np.minimum.accumulate(breaks[::-1])[::-1])
-    begin = np.flatnonzero((at - np.repeat(ends - lengths, lengths) < np.repeat(fresh, lengths)) & (at + size <= stop))
+    begin = np.flatnonzero((at - np.repeat(ends - lengths, lengths) < np.repeat(fresh, lengths)) & (at + min(sizes) <= stop))
+    held = None
     if bits is not None and len(begin):
-        hashes = vocabulary.hashes(lang)[ids]
-        for shift in (0, 1):
-            begin = begin[_is_set(bits, fold([hashes[begin + shift + k] for k in range(size - 1)]))]
+        part = min(sizes) - 1
+        hashes = vocabulary.hashes(lang)
+        whole = np.flatnonzero(at + part <= stop)
+        held = np.zeros(len(ids) + 1, bool)
+        held[whole] = _is_set(bits, fold([hashes[ids[whole + k]] for k in range(part)]))
+        begin = begin[held[begin] & held[begin + 1]]
+    weights = np.repeat(times, lengths)
+    for size in range(min(sizes), max(sizes) + 1):
+        if size > min(sizes):
+            begin = begin[begin + size <= stop[begin]]
+            begin = begin if held is None else begin[held[begin + size - part]]
+        if size in sizes and len(begin):
+            yield size, *_summed(ids, begin, size, weights, words)
+
+
+def _summed(ids: np.ndarray, begin: np.ndarray, size: int, weights: np.ndarray, words: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The distinct phrases of `size` words that begin at the given places, and the sums of their weights."""
     code = ids[begin]
+    if size == 1 and int(weights.sum()) < 1 << 53:  # up to there float64 sums are exact
+        counts = np.bincount(code, weights[begin], len(words)).astype(np.int64)
+        return words.filter(pa.array(counts > 0)), counts[counts > 0]
     for k in range(1, size):
         code = np.unique(code, return_inverse=True)[1] if k > 1 else code
-        code = code * len(vocabulary.numbers) + ids[begin + k]
+        code = code * len(words) + ids[begin + k]
     order = np.argsort(code, kind="stable")
     first = np.flatnonzero(np.diff(code[order], prepend=-1))
-    weights = np.repeat(times, lengths)[begin][order]
-    counts = np.add.reduceat(weights, first) if len(first) else np.zeros(0, np.int64)
-    words = pa.array(list(vocabulary.numbers), pa.binary())
+    counts = np.add.reduceat(weights[begin][order], first)
     example = begin[order[first]]
     columns = [words.take(pa.array(ids[example + k])) for k in range(size)]
     return (pc.binary_join_element_wise(*columns, b" ") if size > 1 else columns[0]), counts
 
 
-def count_phrases(dictionary: DataFrame, size: int, bits: np.ndarray | None = None) -> DataFrame:
-    """lang, phrase and f of all phrases of `size` words whose shorter phrases have their bit set; of all without `bits`."""
+def count_phrases(dictionary: DataFrame, sizes: tuple[int, ...], bits: np.ndarray | None = None) -> DataFrame:
+    """lang, phrase, size and f of all phrases of so many words whose shorter phrases have their bit set; of all without `bits`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = pc.binary_length(batch.column("chunk")).to_pylist()
-            for first, last in runs_by_size(sizes, RUN_BYTES):
+            lengths = pc.binary_length(batch.column("chunk")).to_pylist()
+            for first, last in runs_by_size(lengths, RUN_BYTES):
                 rows = batch.slice(first, last - first)
                 for lang in pc.unique(rows.column("lang")).to_pylist():
                     ours = rows.filter(pc.equal(rows.column("lang"), lang))
-                    phrases, counts = count_in_chunks(
+                    for size, phrases, counts in count_in_chunks(
                         lang, ours.column("chunk"), ours.column("fresh").to_numpy().astype(np.int64),
-                        ours.column("times").to_numpy(), size, bits,
-                    )
-                    if len(counts):
+                        ours.column("times").to_numpy(), sizes, bits,
+                    ):
                         yield pa.RecordBatch.from_arrays(
-                            [pa.repeat(pa.scalar(lang), len(counts)), phrases, pa.array(counts, pa.int64())], names=["lang", "phrase", "f"]
+                            [pa.repeat(pa.scalar(lang), len(counts)), phrases, pa.repeat(pa.scalar(size, pa.int32()), len(counts)),
+                             pa.array(counts, pa.int64())],
+                            names=["lang", "phrase", "size", "f"],
                         )
 
-    found = dictionary.select("lang", "fresh", "chunk", "times").mapInArrow(run, "lang string, phrase binary, f long")
-    return found.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+    found = dictionary.select("lang", "fresh", "chunk", "times").mapInArrow(run, "lang string, phrase binary, size int, f long")
+    return found.groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f"))
 
 
 def mine(
@@ -229,15 +278,15 @@ def mine(
         F.coalesce(F.col(lang_col).cast("string"), F.lit(NO_LANGUAGE)).alias("lang"), F.col(text_col).cast("binary").alias("text")
     )
     dictionary = parse(rows, most_words - 1, spacing)
-    words = staged(count_phrases(dictionary, 1), "words")
+    words = staged(count_phrases(dictionary, (1,)), "words")
     totals = staged(words.groupBy("lang").agg(F.sum("f").alias("n")), "language-totals")
-    levels = [words.where(F.col("f") >= least_count)]
-    for size in range(2, most_words + 1):
-        counted = count_phrases(dictionary, size, frequent_bits(levels[-1]))
-        levels.append(staged(counted.where(F.col("f") >= least_count), "phrases"))
-    counts = levels[0].withColumn("size", F.lit(1))
-    for size, level in enumerate(levels[1:], 2):
-        counts = counts.unionByName(level.withColumn("size", F.lit(size)))
+    frequent = F.col("f") >= least_count
+    levels = [words.where(frequent)]
+    for sizes in ((2,), tuple(range(3, most_words + 1))):
+        if sizes:
+            counted = count_phrases(dictionary, sizes, frequent_bits(levels[-1]))
+            levels.append(staged(counted.where(frequent), "phrases"))
+    counts = reduce(DataFrame.unionByName, levels)
     counts = staged(counts.select("lang", F.col("phrase").cast("string").alias("phrase"), "f", "size"), "frequent")
     chosen = staged(rank(without_held(score(counts), held_percent), per_language), "chosen")
     return chosen.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
