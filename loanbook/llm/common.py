@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 import pyarrow as pa
@@ -37,30 +38,43 @@ def shared_folder(spark: SparkSession) -> str:
     return _test_folder()
 
 
-_scratch: list[list[str]] = []
+def delete_tables(spark: SparkSession, names: list[str]) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for name in names:
+        path(name).getFileSystem(conf).delete(path(name), True)
+
+
+_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
 
 
 @contextmanager
 def scratch_dropped(spark: SparkSession) -> Iterator[None]:
-    """Delete, at the end of the block, the tables that `staged` wrote in it; for work whose result is written by then."""
-    _scratch.append([])
+    """Delete, at the end of the block, the tables that `staged` wrote in it; for work whose result is written by then.
+
+    A block owns what its own thread stages in it, and an inner block what is
+    staged inside that; threads never see each other's tables.
+    """
+    names: list[str] = []
+    outer = _scratch.set(names)
     try:
         yield
     finally:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        for name in _scratch.pop():
-            path(name).getFileSystem(conf).delete(path(name), True)
+        _scratch.reset(outer)
+        delete_tables(spark, names)
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write `df` once to the shared folder and return the written table.
 
-    Later steps start from files that outlive any executor.
+    Later steps start from files that outlive any executor. Inside
+    `scratch_dropped` the table goes with the block; otherwise it stays in the
+    shared folder, since the caller's lazy result reads it, and goes with that.
     """
     path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    if _scratch:
-        _scratch[-1].append(path)
+    owner = _scratch.get()
+    if owner is not None:
+        owner.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

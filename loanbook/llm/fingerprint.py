@@ -205,9 +205,9 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     following = dict(zip(parts, parts[1:] + parts[:1], strict=True))
     if not parts:
         return _in_hex(done)
-    after = F.create_map(*[F.lit(x) for pair in following.items() for x in pair])
+    after = docs.sparkSession.createDataFrame(list(following.items()), "part int, next_part int")
     firsts = ends.where("side = 'first'").select(F.col("part").alias("next_part"), F.col("text").alias("next_text"))
-    lasts = ends.where("side = 'last'").select("doc_id", "text", after[F.col("part")].alias("next_part"))
+    lasts = ends.where("side = 'last'").join(after, "part").select("doc_id", "text", "next_part")
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -217,7 +217,8 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
                 columns = [pa.array(list(c), t) for c, t in zip(zip(*out, strict=True), TYPES, strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=["doc_id", *NAMES])
 
-    closed = lasts.join(firsts, "next_part").select("doc_id", "text", "next_text").mapInArrow(
+    # Both sides carry whole texts, one a partition: joined by merge at every size.
+    closed = lasts.hint("merge").join(firsts, "next_part").select("doc_id", "text", "next_text").mapInArrow(
         close, f"doc_id {kind}, {FIELDS}"
     )
     return _in_hex(done.unionByName(closed))

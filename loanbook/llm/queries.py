@@ -27,7 +27,7 @@ select * from values
   ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
   as rules(host, path, verdict)
 """
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 128 << 20
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,7 +64,7 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(read(spark, sf_dir, "documents"), SHARD_BYTES)
 
 
-OP7_SQL = """
+OP7_SQL = f"""
 with recursive d as (
   select doc_id, coalesce(strlen(text), 0)::bigint as n_bytes,
          lpad(bin(('0x' || substr(md5(doc_id::varchar), 1, 15))::bigint), 60, '0') as bits from documents),
@@ -73,10 +73,10 @@ tree as (
   union all
   (select t.depth + 1, substr(d.bits, 1, t.depth + 1), sum(d.n_bytes)::bigint, count(*)
    from tree t join d on substr(d.bits, 1, t.depth) = t.shard
-   where t.shard_bytes > 1048576 and t.shard_rows > 1 group by t.depth, substr(d.bits, 1, t.depth + 1)))
-select d.doc_id, d.n_bytes, t.shard, t.depth, t.shard_bytes, t.shard_rows, t.shard_bytes <= 1048576 as fits
+   where t.shard_bytes > {SHARD_BYTES} and t.shard_rows > 1 group by t.depth, substr(d.bits, 1, t.depth + 1)))
+select d.doc_id, d.n_bytes, t.shard, t.depth, t.shard_bytes, t.shard_rows, t.shard_bytes <= {SHARD_BYTES} as fits
 from tree t join d on substr(d.bits, 1, t.depth) = t.shard
-where t.shard_bytes <= 1048576 or t.shard_rows = 1
+where t.shard_bytes <= {SHARD_BYTES} or t.shard_rows = 1
 """
 
 def crc_of_id(parts: int) -> Column:

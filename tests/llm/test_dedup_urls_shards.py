@@ -5,12 +5,16 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import threading
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
+from loanbook.llm.common import scratch_dropped, staged
 from loanbook.llm.radix_dedup import radix_dedup
-from loanbook.llm.shards import hash_bits, shard
+from loanbook.llm.shards import hash_bits, shard, write_shards
 from loanbook.llm.url_filter import filter_urls
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -103,3 +107,38 @@ def test_shards_split_one_key_and_equal_rows(spark, odd, nothing):
     assert shard(nothing, 10).collect() == []
     with pytest.raises(ValueError):
         shard(nothing, 0)
+
+
+def test_written_shards_hold_every_row_once(spark, odd, nothing, tmp_path):
+    path = str(tmp_path / "shards")
+    write_shards(odd, path, 64)
+    back = spark.read.parquet(path)
+    names = [c for c in odd.columns if c != "shard"]
+    assert Counter(map(str, back.select(names).collect())) == Counter(map(str, odd.select(names).collect()))
+    sizes = back.groupBy("shard").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).alias("n"), F.count(F.lit(1)).alias("rows")).collect()
+    assert len(sizes) > 3 and all(r.n <= 64 or r.rows == 1 for r in sizes) and all(r.shard.startswith("b") for r in sizes)
+    write_shards(nothing, str(tmp_path / "none"), 64)
+
+
+def test_threads_do_not_drop_each_others_tables(spark):
+    """A block of one thread ends while another thread still reads what it staged in its own."""
+    ready, done = threading.Event(), threading.Event()
+    found = {}
+
+    def long_run():
+        with scratch_dropped(spark):
+            table = staged(spark.range(7).toDF("n"), "long")
+            ready.set()
+            done.wait(60)
+            found["rows"] = table.count()
+            found["file"] = table.inputFiles()[0]
+
+    worker = threading.Thread(target=long_run)
+    with scratch_dropped(spark):
+        worker.start()
+        ready.wait(60)
+        mine = staged(spark.range(3).toDF("n"), "short").inputFiles()[0]
+    done.set()
+    worker.join()
+    exists = [Path(f.removeprefix("file://")).exists() for f in (mine, found["file"])]
+    assert found["rows"] == 7 and exists == [False, False]
