@@ -37,7 +37,7 @@ HELD_PERCENT = 80
 PER_LANGUAGE = 2000
 NO_LANGUAGE = "und"
 SPACING = 24  # words between two triggers, on average
-RUN_BYTES = 6 << 20  # chunks that a task counts at a time
+RUN_BYTES = 10 << 20  # chunks that a task counts at a time
 MAP_BITS = 24
 RANK_SALTS = 256
 SCORE_SCALE = 2_000_000
@@ -155,7 +155,7 @@ def frequent_bits(phrases: DataFrame) -> np.ndarray:
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [
-                int(fold([np.array([word_hash(w, lang)], np.uint64) for w in phrase.split(b" ")])[0] >> np.uint64(64 - MAP_BITS))
+                int(fold([np.array([word_hash(w.encode(), lang)], np.uint64) for w in phrase.split(" ")])[0] >> np.uint64(64 - MAP_BITS))
                 for lang, phrase in zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist(), strict=True)
             ]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], names=["place"])
@@ -178,8 +178,8 @@ def _is_set(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 def count_in_chunks(
     lang: str, chunks: pa.Array, fresh: np.ndarray, times: np.ndarray, sizes: tuple[int, ...], bits: np.ndarray | None
-) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
-    """Phrases of the given numbers of words of some distinct chunks of a language, with their weighted counts.
+) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """Keys (language, tab, phrase) of the phrases of so many words in some distinct chunks of a language, and their weighted counts.
 
     `bits` are those of frequent phrases one word shorter than the shortest of
     `sizes`; every phrase of that many words in a counted phrase has its bit set.
@@ -188,6 +188,7 @@ def count_in_chunks(
     vocabulary = _Vocabulary()
     ids = vocabulary.encode(b" ".join(chunks.to_pylist()).split(b" "))
     words = pa.array(list(vocabulary.numbers), pa.binary())
+    keys = pc.binary_join_element_wise(pa.scalar(lang.encode()), words, b"\t")
     ends = np.cumsum(lengths)
     at = np.arange(len(ids))
     stop = np.repeat(ends, lengths)
@@ -209,15 +210,17 @@ def count_in_chunks(
             begin = begin[begin + size <= stop[begin]]
             begin = begin if held is None else begin[held[begin + size - part]]
         if size in sizes and len(begin):
-            yield size, *_summed(ids, begin, size, weights, words)
+            yield _summed(ids, begin, size, weights, words, keys)
 
 
-def _summed(ids: np.ndarray, begin: np.ndarray, size: int, weights: np.ndarray, words: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """The distinct phrases of `size` words that begin at the given places, and the sums of their weights."""
+def _summed(
+    ids: np.ndarray, begin: np.ndarray, size: int, weights: np.ndarray, words: pa.Array, keys: pa.Array
+) -> tuple[pa.Array, np.ndarray]:
+    """Keys of the distinct phrases of `size` words that begin at the given places, and the sums of their weights."""
     code = ids[begin]
     if size == 1 and int(weights.sum()) < 1 << 53:  # up to there float64 sums are exact
         counts = np.bincount(code, weights[begin], len(words)).astype(np.int64)
-        return words.filter(pa.array(counts > 0)), counts[counts > 0]
+        return keys.filter(pa.array(counts > 0)), counts[counts > 0]
     for k in range(1, size):
         code = np.unique(code, return_inverse=True)[1] if k > 1 else code
         code = code * len(words) + ids[begin + k]
@@ -225,12 +228,12 @@ def _summed(ids: np.ndarray, begin: np.ndarray, size: int, weights: np.ndarray,
     first = np.flatnonzero(np.diff(code[order], prepend=-1))
     counts = np.add.reduceat(weights[begin][order], first)
     example = begin[order[first]]
-    columns = [words.take(pa.array(ids[example + k])) for k in range(size)]
+    columns = [(words if k else keys).take(pa.array(ids[example + k])) for k in range(size)]
     return (pc.binary_join_element_wise(*columns, b" ") if size > 1 else columns[0]), counts
 
 
 def count_phrases(dictionary: DataFrame, sizes: tuple[int, ...], bits: np.ndarray | None = None) -> DataFrame:
-    """lang, phrase, size and f of all phrases of so many words whose shorter phrases have their bit set; of all without `bits`."""
+    """lang, phrase, f and size of all phrases of so many words whose shorter phrases have their bit set; of all without `bits`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -239,18 +242,19 @@ def count_phrases(dictionary: DataFrame, sizes: tuple[int, ...], bits: np.ndarra
                 rows = batch.slice(first, last - first)
                 for lang in pc.unique(rows.column("lang")).to_pylist():
                     ours = rows.filter(pc.equal(rows.column("lang"), lang))
-                    for size, phrases, counts in count_in_chunks(
+                    for keys, counts in count_in_chunks(
                         lang, ours.column("chunk"), ours.column("fresh").to_numpy().astype(np.int64),
                         ours.column("times").to_numpy(), sizes, bits,
                     ):
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.repeat(pa.scalar(lang), len(counts)), phrases, pa.repeat(pa.scalar(size, pa.int32()), len(counts)),
-                             pa.array(counts, pa.int64())],
-                            names=["lang", "phrase", "size", "f"],
-                        )
+                        yield pa.RecordBatch.from_arrays([keys, pa.array(counts, pa.int64())], names=["key", "f"])
 
-    found = dictionary.select("lang", "fresh", "chunk", "times").mapInArrow(run, "lang string, phrase binary, size int, f long")
-    return found.groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f"))
+    # Language and phrase travel as one key; a phrase holds no tab.
+    found = dictionary.select("lang", "fresh", "chunk", "times").mapInArrow(run, "key binary, f long")
+    key = F.col("key").cast("string")
+    phrase = F.substring_index(key, "\t", -1)
+    lang = F.substring(key, F.lit(1), F.char_length(key) - F.char_length(phrase) - 1)
+    size = F.char_length(phrase) - F.char_length(F.replace(phrase, F.lit(" "), F.lit(""))) + 1
+    return found.groupBy("key").agg(F.sum("f").alias("f")).select(lang.alias("lang"), phrase.alias("phrase"), "f", size.cast("int").alias("size"))
 
 
 def mine(
@@ -287,7 +291,7 @@ def mine(
             counted = count_phrases(dictionary, sizes, frequent_bits(levels[-1]))
             levels.append(staged(counted.where(frequent), "phrases"))
     counts = reduce(DataFrame.unionByName, levels)
-    counts = staged(counts.select("lang", F.col("phrase").cast("string").alias("phrase"), "f", "size"), "frequent")
+    counts = staged(counts, "frequent")
     chosen = staged(rank(without_held(score(counts), held_percent), per_language), "chosen")
     return chosen.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
