@@ -16,10 +16,9 @@
 
 from __future__ import annotations
 
-import re
 from collections import defaultdict
-from collections.abc import Iterator
-from functools import reduce
+from collections.abc import Callable, Iterator
+from functools import partial, reduce
 from itertools import count
 
 import numpy as np
@@ -36,7 +35,7 @@ LEAST_COUNT = 30
 HELD_PERCENT = 80
 PER_LANGUAGE = 2000
 NO_LANGUAGE = "und"
-SPACING = 24  # words between two triggers, on average
+SPACING = 48  # words between two triggers, on average
 RUN_BYTES = 10 << 20  # chunks that a task counts at a time
 MAP_BITS = 24
 RANK_SALTS = 256
@@ -48,16 +47,16 @@ BREAK = b"A"  # stands for the end of a piece; no word holds a capital letter
 TEXT_BYTES = bytes(
     b + 32 if 0x41 <= b <= 0x5A else 0x0A if b in b".,;:!?\n\x0b\x0c\r" else 0x20 if b == 0x09 else b for b in range(256)
 )
-BREAKS = re.compile(rb"\n[\n ]*")
 
 
 def tokens_of(text: bytes) -> list[bytes]:
-    """Words of a text in order, with BREAK between its pieces."""
-    return BREAKS.sub(b" " + BREAK + b" ", text.translate(TEXT_BYTES)).split()
+    """Words of a text in order, with BREAKs between its pieces."""
+    return text.translate(TEXT_BYTES).replace(b"\n", b" " + BREAK + b" ").split()
 
 
-def word_hash(word: bytes, lang: str) -> int:
-    return xxhash.xxh3_64_intdigest(word, seed=xxhash.xxh32_intdigest(lang))
+def hash_of(lang: str) -> Callable[[bytes], int]:
+    """The hash of the words of a language."""
+    return partial(xxhash.xxh3_64_intdigest, seed=xxhash.xxh32_intdigest(lang))
 
 
 def fold(hashes: list[np.ndarray]) -> np.ndarray:
@@ -80,18 +79,18 @@ class _Vocabulary:
         return np.fromiter(map(self.numbers.__getitem__, tokens), np.int64, len(tokens))
 
     def hashes(self, lang: str) -> np.ndarray:
-        return np.fromiter((word_hash(w, lang) for w in self.numbers), np.uint64, len(self.numbers))
+        return np.fromiter(map(hash_of(lang), self.numbers), np.uint64, len(self.numbers))
 
 
 class _Hashes(dict):
     """Hash of every word of one language that a batch has met."""
 
     def __init__(self, lang: str) -> None:
-        self.lang = lang
+        self.hashed = hash_of(lang)
 
     def __missing__(self, word: bytes) -> int:
-        self[word] = hashed = word_hash(word, self.lang)
-        return hashed
+        self[word] = value = self.hashed(word)
+        return value
 
 
 def cuts(hashes: np.ndarray, ends: np.ndarray, overlap: int, spacing: int) -> np.ndarray:
@@ -155,7 +154,7 @@ def frequent_bits(phrases: DataFrame) -> np.ndarray:
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [
-                int(fold([np.array([word_hash(w.encode(), lang)], np.uint64) for w in phrase.split(" ")])[0] >> np.uint64(64 - MAP_BITS))
+                int(fold([np.array([hash_of(lang)(w.encode())], np.uint64) for w in phrase.split(" ")])[0] >> np.uint64(64 - MAP_BITS))
                 for lang, phrase in zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist(), strict=True)
             ]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], names=["place"])
@@ -224,7 +223,7 @@ def _summed(
     for k in range(1, size):
         code = np.unique(code, return_inverse=True)[1] if k > 1 else code
         code = code * len(words) + ids[begin + k]
-    order = np.argsort(code, kind="stable")
+    order = np.argsort(code)
     first = np.flatnonzero(np.diff(code[order], prepend=-1))
     counts = np.add.reduceat(weights[begin][order], first)
     example = begin[order[first]]
