@@ -5,12 +5,17 @@
 2. The MinHash values of a class are cut into bands. The number of bands and of
    rows per band are the ones with most rows, hence fewest false candidates,
    that reach the wanted recall at the threshold with at most MOST_HASHES.
-   Classes are shuffled on the hash of each band; classes that share one are
-   candidates, and candidates are joined into candidate groups.
-3. Within a candidate group all pairs of classes are verified on their full sets.
-   A group is cut into blocks of bounded size and pairs of blocks are compared,
-   each in a task of its own; a task counts links and returns one row per class,
-   so the number of rows does not grow with the square of a group.
+   Classes are shuffled on the hash of each band; classes that share one, a
+   bucket, are candidates. Bands with the same bucket count once.
+3. Candidate pairs are verified on their full sets, bucket by bucket, and a pair
+   of several buckets in its first one only. Where the buckets of connected
+   candidates overlap so much that they hold more pairs than these candidates
+   have altogether, the candidates are compared as one bucket. So long chains of
+   buckets cost what their buckets cost, and a thick crowd of near copies no
+   more than its pairs. A bucket is cut into blocks of bounded size and pairs of
+   blocks are compared, each in a task of its own; a task counts links and
+   returns one row per class, so the number of rows does not grow with the
+   square of a bucket.
 4. Connected components over the links give the near-duplicate groups.
 """
 
@@ -170,18 +175,29 @@ def _smallest_reached(links: np.ndarray, labels: np.ndarray) -> np.ndarray:
         labels = new
 
 
-def compare_blocks(part: pd.DataFrame, lo: int, hi: int, threshold: float) -> pd.DataFrame:
-    """Verify all pairs of two blocks (or of one) of a candidate group: links, linked rows and local root per class."""
+def met_before(left: list, right: list, unit: int) -> np.ndarray:
+    """Which pairs share a bucket with a number below `unit`; each class has the sorted numbers of its buckets, or None."""
+    earlier = [np.zeros(0, np.int64) if x is None else np.asarray(x, np.int64) for x in [*left, *right]]
+    earlier = [x[x < unit] for x in earlier]
+    numbers, place = np.unique(np.concatenate(earlier), return_inverse=True)
+    table = np.zeros((len(earlier), len(numbers)), np.float32)
+    table[np.repeat(np.arange(len(earlier)), [len(x) for x in earlier]), place] = 1
+    return table[: len(left)] @ table[len(left) :].T > 0
+
+
+def compare_blocks(part: pd.DataFrame, lo: int, hi: int, threshold: float, unit: int = 0) -> pd.DataFrame:
+    """Verify the pairs of two blocks (or of one) of a bucket that no earlier bucket has: links, linked rows and local root per class."""
     a, b = part[part["block"] == lo], part[part["block"] == hi]
+    here, there = list(a["buckets"]), list(b["buckets"])
     decode = lambda column: [np.frombuffer(x, dtype=np.uint64) for x in column]
     ids, copies = a["cid"].to_numpy(np.int64), a["copies"].to_numpy(np.float64)
     if lo == hi:
-        links = count_links(decode(a["grams"]), None, threshold)
+        links = count_links(decode(a["grams"]), None, threshold) & ~met_before(here, here, unit)
         n_links, n_rows = links.sum(axis=1), links @ copies
     else:
         if a.empty or b.empty:
             return pd.DataFrame({"cid": [], "n_links": [], "n_linked_rows": [], "root": []}, dtype=np.int64)
-        cross = count_links(decode(a["grams"]), decode(b["grams"]), threshold)
+        cross = count_links(decode(a["grams"]), decode(b["grams"]), threshold) & ~met_before(here, there, unit)
         other = b["copies"].to_numpy(np.float64)
         n_links = np.concatenate((cross.sum(axis=1), cross.sum(axis=0)))
         n_rows = np.concatenate((cross @ other, cross.T @ copies))
@@ -242,34 +258,64 @@ def _verified_links(signed: DataFrame, classes: DataFrame, n: int, threshold: fl
     reps = classes.select("cid", "copies", "n_grams", F.col("rep.row_no").alias("row_no"))
     banded = signed.select("row_no", "bands").join(reps.select("cid", "row_no"), "row_no")
     members = staged(banded.select("cid", F.explode("bands").alias("band")), "bands")
-    buckets = staged(members.groupBy("band").agg(F.min("cid").alias("b"), F.max("cid").alias("other")).where("b <> other").select("band", "b"), "buckets")
-    edges = members.join(buckets, "band").select(F.col("cid").alias("a"), "b").distinct()
-    near = connected_components(edges).select(F.col("node").alias("cid"), F.col("root").alias("candidates"))
-
-    near = staged(near.join(reps, "cid"), "candidates")
-    sizes = near.groupBy("candidates").agg(F.count(F.lit(1)).alias("classes"), F.sum("n_grams").alias("grams"))
+    units = staged(comparison_units(members), "units")
+    near = staged(units.join(reps, "cid"), "candidates")
+    sizes = near.groupBy("unit").agg(F.count(F.lit(1)).alias("classes"), F.sum("n_grams").alias("grams"))
     blocks = F.greatest(F.ceil(F.col("classes") / BLOCK_CLASSES), F.ceil(F.col("grams") / BLOCK_GRAMS), F.lit(1)).cast("int")
-    sizes = staged(sizes.select("candidates", F.least(blocks, F.col("classes")).cast("int").alias("blocks")), "candidate-sizes")
-    near = near.join(sizes, "candidates").withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
-    chosen = near.select("row_no", "cid", "copies", "candidates", "blocks", "block").hint("merge")
-    texts = signed.select("row_no", "text").join(chosen, "row_no")
+    sizes = staged(sizes.select("unit", F.least(blocks, F.col("classes")).cast("int").alias("blocks")), "unit-sizes")
+    near = near.join(sizes, "unit").withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
+    chosen = near.groupBy("row_no", "cid", "copies").agg(F.collect_list(F.struct("unit", "buckets", "blocks", "block")).alias("places"))
+    # A class has as many places as bands at most; its text is read and its set made once.
+    texts = signed.select("row_no", "text").join(chosen.hint("merge"), "row_no")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             grams = [gram_set(text.as_py() or "", n).tobytes() for text in batch.column("text")]
-            kept = [batch.column(c) for c in ("cid", "copies", "candidates", "blocks", "block")]
-            yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(grams, pa.binary())], names=["cid", "copies", "candidates", "blocks", "block", "grams"]
-            )
+            columns = [batch.column(c) for c in ("cid", "copies", "places")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(grams, pa.binary())], names=["cid", "copies", "places", "grams"])
 
     def compare(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        return compare_blocks(part, key[1], key[2], threshold)
+        return compare_blocks(part, key[1], key[2], threshold, key[0])
 
-    held = texts.mapInArrow(sets, "cid long, copies long, candidates long, blocks int, block int, grams binary")
+    kind = texts.schema["places"].dataType.simpleString()
+    held = texts.mapInArrow(sets, f"cid long, copies long, places {kind}, grams binary")
+    held = held.withColumn("place", F.explode("places")).select("cid", "copies", "grams", "place.*")
     pairs = held.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "candidates", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"), "block", "cid", "copies", "grams",
+        "unit", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"), "block", "cid", "copies", "buckets", "grams",
     )
-    found = staged(pairs.groupBy("candidates", "lo", "hi").applyInPandas(
+    found = staged(pairs.groupBy("unit", "lo", "hi").applyInPandas(
         compare, "cid long, n_links long, n_linked_rows long, root long"), "links")
     links = found.groupBy("cid").agg(F.sum("n_links").alias("n_links"), F.sum("n_linked_rows").alias("n_linked_rows"))
     return links, connected_components(found.select(F.col("cid").alias("a"), F.col("root").alias("b")))
+
+
+def comparison_units(members: DataFrame) -> DataFrame:
+    """What is compared with what: cid, unit and the sorted numbers of all buckets of the class, from rows (cid, band).
+
+    A unit is a bucket of two classes or more, numbered by its first band, and
+    `buckets` tells whether a pair meets in an earlier one. Where the buckets of
+    connected candidates have more pairs than all of these candidates together,
+    the unit is the whole of them, numbered by its smallest class, without
+    `buckets`.
+    """
+    counted = members.groupBy("band").agg(
+        F.count(F.lit(1)).alias("n"), F.min("cid").alias("b"), F.max("cid").alias("last"),
+        F.bit_xor(F.xxhash64("cid")).alias("one"), F.bit_xor(F.xxhash64("cid", F.lit(1))).alias("two"),
+    ).where("n > 1")
+    buckets = staged(counted, "buckets")
+    edges = members.join(buckets.select("band", "b"), "band").select(F.col("cid").alias("a"), "b").distinct()
+    near = staged(connected_components(edges).select(F.col("node").alias("cid"), F.col("root").alias("candidates")), "near")
+    # Equal numbers, ends and two hashes of their classes: the same bucket found by several bands.
+    distinct = buckets.groupBy("n", "b", "last", "one", "two").agg(F.min("band").alias("unit"))
+    placed = staged(distinct.join(near, F.col("b") == F.col("cid")).select("unit", "n", "candidates"), "distinct-buckets")
+    crowds = placed.groupBy("candidates").agg(F.sum(F.col("n").cast("double") * F.col("n")).alias("by_bucket"))
+    sizes = near.groupBy("candidates").agg(F.count(F.lit(1)).cast("double").alias("classes"))
+    whole = (F.col("by_bucket") >= F.col("classes") * F.col("classes")).alias("whole")
+    crowds = staged(crowds.join(sizes, "candidates").select("candidates", whole), "crowds")
+    thin = staged(placed.join(crowds.where("not whole"), "candidates").select("unit"), "thin-buckets")
+    inside = staged(members.join(thin, F.col("band") == F.col("unit")).select("cid", "unit"), "bucket-members")
+    lists = inside.groupBy("cid").agg(F.array_sort(F.collect_list("unit")).alias("buckets"))  # as many as bands at most
+    thick = near.join(crowds.where("whole"), "candidates").select("cid", F.col("candidates").alias("unit"))
+    return inside.join(lists, "cid").select("cid", "unit", "buckets").unionByName(
+        thick.select("cid", "unit", F.lit(None).cast("array<long>").alias("buckets"))
+    )
