@@ -30,6 +30,7 @@ from loanbook.llm.common import judged
 BUCKETS = 1 << 15  # hashed trigrams; with the number of languages this bounds the model
 SMOOTHING = 0.5
 ROUNDS = 12
+DOUBT = 256.0  # trigrams of doubt about every language
 PENALTY = 4.0  # per language, in units of log(number of trigrams)
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
@@ -126,21 +127,26 @@ class Model:
 
 
 class Fit(NamedTuple):
-    """Distribution of fits: their mean, the variance between texts and that of one trigram within a text.
+    """Distribution of fits: their mean, the variance between texts and that of one trigram within a text, and the trigrams learned per language."""
 
-    `langs` are the languages with enough learned text, BUCKETS trigrams; the fit
-    of a text in another language says nothing.
-    """
-
-    langs: frozenset[str]
+    learned: dict[str, float]
     mean: float
     between: float
     within: float
 
-    def deviation(self, lang: str, mean: float, total: float) -> float:
-        """Standard deviations of a text of so many trigrams above the mean; 0 where the fit says nothing."""
-        variance = self.between + self.within / max(total, 1)
-        return (mean - self.mean) / variance**0.5 if lang in self.langs and total and variance else 0.0
+    def deviation(self) -> Column:
+        """Standard deviations of a measured text's fit above the mean; 0 for a text without trigrams.
+
+        What is known of a language is as uncertain as its learned text is
+        short: the variance of DOUBT trigrams over those learned is added, so
+        texts of a language that hardly taught anything deviate little.
+        """
+        if not self.learned:
+            return F.lit(0.0)
+        learned = F.create_map(*[F.lit(x) for pair in self.learned.items() for x in pair])[F.col("lang_pred")]
+        variance = F.lit(self.between) + F.lit(self.within) * (1 / F.greatest("trigrams", F.lit(1.0)) + DOUBT / learned)
+        far = (F.col("fit_mean") - self.mean) / F.sqrt(variance)
+        return F.when((F.col("trigrams") > 0) & learned.isNotNull() & (variance > 0), far).otherwise(0.0)
 
 
 def fit_mixture(prob: np.ndarray, n: np.ndarray, start: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
@@ -176,51 +182,45 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", where
     return Model.of_counts(langs.tolist(), dense)
 
 
-def learn_fit(docs: DataFrame, model: Model, text_col: str = "text", lang_col: str = "lang", where: Column | None = None) -> Fit:
-    """Distribution of the fits of all rows that `train` learns from; the driver gets a row per partition and language."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.prob))
-    names = ["texts", "fits", "squares", "inverse", "spread", "trigrams"]
-
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model(*shared.value)
-        found: dict[str, np.ndarray] = {}
-        for batch in batches:
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text"), strict=True):
-                _, mean, variance, total = model.measured(text.as_py())
-                if total:
-                    add = np.array((1, mean, mean * mean, 1 / total, total * variance, total))
-                    found[lang] = found.get(lang, 0) + add
-        for lang, values in found.items():
-            yield pa.RecordBatch.from_arrays([pa.array([lang]), *[pa.array([v]) for v in values]], names=["lang", *names])
-
-    rows = _taught(docs, text_col, lang_col, where).mapInArrow(sums, "lang string, " + ", ".join(f"{n} double" for n in names))
-    table = rows.groupBy("lang").agg(*[F.sum(n).alias(n) for n in names]).where(F.col("trigrams") >= BUCKETS).toArrow().sort_by("lang")
-    if not table.num_rows:
-        return Fit(frozenset(), 0.0, 0.0, 0.0)
-    texts, fits, squares, inverse, spread, trigrams = (sum(table.column(n).to_pylist()) for n in names)
-    mean, within = fits / texts, spread / trigrams
-    between = max(0.0, squares / texts - mean * mean - within * inverse / texts)
-    return Fit(frozenset(table.column("lang").to_pylist()), mean, between, within)
+MEASURES = "lang_pred string, score double, fit_mean double, fit_variance double, trigrams double"
 
 
-def identify(docs: DataFrame, model: Model, text_col: str = "text", columns: list[str] | None = None, fit: Fit | None = None) -> DataFrame:
-    """Per row: struct `row` of the given `columns` (all by default), lang_pred and score, with `fit` also deviation.
+def measure(docs: DataFrame, model: Model, text_col: str = "text", columns: list[str] | None = None) -> DataFrame:
+    """Per row: struct `row` of the given `columns` (all by default), lang_pred, score, fit_mean, fit_variance and trigrams.
 
-    `deviation` is that of the text's fit from the distribution `fit`. `score` is the share of the predicted language in the text. A null text or
-    one without a letter is `und` with score 0, and so is every text if nothing
-    was learned. Repeated rows and nulls in the columns stay as they are; an
-    empty table gives an empty result.
+    `score` is the share of the predicted language in the text; the fit is the
+    mean log-likelihood of its trigrams, with their variance and number. A null
+    text or one without a letter is `und` with score 0 and no trigrams, and so
+    is every text if nothing was learned. Repeated rows and nulls in the columns
+    stay as they are; an empty table gives an empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.prob))
 
     def judge(texts: pa.Array) -> list[pa.Array]:
         model = Model(*shared.value)
         measured = [model.measured(text.as_py() or "") for text in texts]
-        found = [model.named(m[0]) for m in measured]
-        out = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
-        if fit is not None:
-            out.append(pa.array([fit.deviation(lang, mean, total) for (lang, _), (_, mean, _, total) in zip(found, measured, strict=True)], pa.float64()))
-        return out
-
-    added = "lang_pred string, score double" + (", deviation double" if fit is not None else "")
-    return judged(docs, text_col, columns or docs.columns, judge, added)
+        named = [model.named(share) for share, *_ in measured]
+        numbers = [[f[1] for f in named], *[[m[k] for m in measured] for k in (1, 2, 3)]]
+        return [pa.array([f[0] for f in named], pa.string()), *[pa.array(x, pa.float64()) for x in numbers]]
+
+    return judged(docs, text_col, columns or docs.columns, judge, MEASURES)
+
+
+def identify(docs: DataFrame, model: Model, text_col: str = "text", columns: list[str] | None = None) -> DataFrame:
+    """Per row: struct `row` of the given `columns` (all by default), lang_pred and score, as `measure` has them."""
+    return measure(docs, model, text_col, columns).select("row", "lang_pred", "score")
+
+
+def learn_fit(measured: DataFrame, lang: Column, where: Column) -> Fit:
+    """Distribution of the fits of the measured rows in `where` with a language; the driver gets a row per language."""
+    mean, variance, n = F.col("fit_mean"), F.col("fit_variance"), F.col("trigrams")
+    sums = {"texts": F.lit(1.0), "fits": mean, "squares": mean * mean, "inverse": 1 / n, "spread": n * variance, "taught": n}
+    rows = measured.where(where & lang.isNotNull() & (n > 0)).groupBy(lang.alias("lang"))
+    table = rows.agg(*[F.sum(value).alias(name) for name, value in sums.items()]).toArrow().sort_by("lang")
+    if not table.num_rows:
+        return Fit({}, 0.0, 0.0, 0.0)
+    texts, fits, squares, inverse, spread, taught = (sum(table.column(name).to_pylist()) for name in sums)
+    mean, within = fits / texts, spread / taught
+    between = max(0.0, squares / texts - mean * mean - within * inverse / texts)
+    learned = dict(zip(table.column("lang").to_pylist(), table.column("taught").to_pylist(), strict=True))
+    return Fit(learned, mean, between, within)

@@ -79,8 +79,8 @@ from tree t join d on substr(d.bits, 1, t.depth) = t.shard
 where t.shard_bytes <= {SHARD_BYTES} or t.shard_rows = 1
 """
 
-def crc_of_id(parts: int) -> Column:
-    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(parts))
+def crc_of_id(parts: int, id_col: str = "doc_id") -> Column:
+    return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(parts))
 
 
 def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import random
 from collections import defaultdict
+from pathlib import Path
 
 import corpus_pipeline
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from loanbook.llm import language, line_quality, similarity
 from loanbook.llm.components import connected_components
@@ -104,6 +106,72 @@ def test_blocks_count_what_sets_count():
     assert np.array_equal(similarity.count_links(sets[:10], sets[10:], 0.5), want[:10, 10:])
 
 
+def bucket_members(buckets):
+    return [(cid, band) for band, cids in buckets.items() for cid in cids]
+
+
+def units_of(spark, buckets):
+    frame = spark.createDataFrame(bucket_members(buckets), "cid long, band long").repartition(4)
+    units, lists = defaultdict(set), {}
+    for r in similarity.comparison_units(frame).collect():
+        units[r.unit].add(r.cid)
+        lists[(r.unit, r.cid)] = r.buckets
+    return units, lists
+
+
+def pairs_compared(units, lists):
+    """Every pair that some unit verifies, by the rule of first buckets."""
+    found = defaultdict(int)
+    for unit, cids in units.items():
+        cids = sorted(cids)
+        mask = similarity.met_before([lists[(unit, c)] for c in cids], [lists[(unit, c)] for c in cids], unit)
+        for i, a in enumerate(cids):
+            for j in range(i):
+                found[(cids[j], a)] += not mask[i, j]
+    return found
+
+
+def test_a_chain_costs_what_its_buckets_cost(spark):
+    """5,000 classes of which only neighbours share a band, found by two bands each."""
+    chain = {10**6 + 2 * i + k: (i, i + 1) for i in range(4999) for k in range(2)}
+    units, lists = units_of(spark, chain)
+    assert sum(len(cids) ** 2 for cids in units.values()) == 4 * 4999
+    assert pairs_compared(units, lists) == {(i, i + 1): 1 for i in range(4999)}
+
+
+def test_a_crowd_costs_its_pairs(spark):
+    rng = random.Random(12)
+    crowd = {10**6 + band: rng.sample(range(200), 150) for band in range(29)}
+    units, lists = units_of(spark, crowd)
+    assert [len(cids) for cids in units.values()] == [len({c for cids in crowd.values() for c in cids})]
+    assert set(pairs_compared(units, lists).values()) == {1}
+
+
+def test_every_pair_of_a_bucket_is_compared_once(spark):
+    rng = random.Random(13)
+    buckets = {(1 << 40) + band: set(rng.sample(range(1500), rng.choice((1, 2, 2, 2, 3, 5)))) for band in range(1500)}
+    buckets |= {(1 << 50) + band: cids for band, cids in enumerate(list(buckets.values())[:200])}  # the same buckets by other bands
+    buckets[7] = set(range(2000, 2040))
+    units, lists = units_of(spark, buckets)
+    want = {(a, b) for cids in buckets.values() for a in cids for b in cids if a < b}
+    found = pairs_compared(units, lists)
+    assert want <= {pair for pair, n in found.items() if n} and max(found.values()) == 1
+
+
+def test_thin_and_thick_groups_give_all_links(spark, monkeypatch):
+    """Chains of texts, each like the next one only, beside a crowd."""
+    monkeypatch.setattr(similarity, "BLOCK_CLASSES", 4)
+    rng = random.Random(14)
+    words = [f"w{k}" for k in range(400)]
+    rows = [(i, " ".join(words[3 * i : 3 * i + 60])) for i in range(80)]
+    base = [f"c{rng.randrange(400)}" for _ in range(120)]
+    rows += [(1000 + i, edits(rng, base, rng.choice((0, 1)))) for i in range(25)]
+    rows += [(2000 + i, rows[rng.randrange(80)][1]) for i in range(20)]
+    got, want = result(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)), plain_join(rows)
+    assert got == want
+    assert max(r[4] for r in want[0] if int(r[0]) < 80) < 10 < len({r[0] for r in want[0] if r[1] == "0"})
+
+
 def test_components(spark):
     rng = random.Random(10)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, k) for k in range(101, 140)] + [(500, 500)] + [(rng.randrange(600, 700), rng.randrange(600, 700)) for _ in range(60)]
@@ -146,8 +214,26 @@ def test_language_stage_rejects_what_fits_no_language(spark):
     more = spark.createDataFrame([(i, t, None, "s", len(t)) for i, t in texts.items()], docs.schema)
     kept = {r.doc_id for r in corpus_pipeline.identify_language(spark, docs.unionByName(more), folder).select("doc_id").collect()}
     assert {i for i in texts if i in kept} == {-4}
-    few = spark.read.parquet(f"{folder}/documents.parquet").limit(3)
-    assert language.learn_fit(few, language.train(few)).deviation("en", -20, 100) == 0
+    only = docs.where("lang = 'en' and length(text) between 20 and 60").agg(F.min("doc_id")).first()[0]
+    model = language.train(docs, where=(F.col("lang") != "en") | (F.col("doc_id") == only))
+    seen = language.measure(docs.where("length(text) > 400"), model).cache()
+    fit = language.learn_fit(seen, F.col("row.lang"), (F.col("row.lang") != "en") | (F.col("row.doc_id") == only))
+    named = seen.where("lang_pred = 'en'").agg(F.count(F.lit(1)).alias("n"), F.min(fit.deviation()).alias("least")).first()
+    assert named.n > 0 and named.least > corpus_pipeline.LEAST_FIT  # a language that taught one short text judges nobody
+    assert language.learn_fit(seen, F.col("row.lang"), F.lit(False)).learned == {}
+
+
+def test_pipeline_of_odd_tables(spark, odd, nothing, small, tmp_path):
+    """Nulls, repeated rows and empty tables through all stages; only the last stage's table stays."""
+    for name, rows in (("odd", odd.select("doc_id", "text", "lang", "source", "n_chars")), ("none", nothing)):
+        folder = str(tmp_path / name)
+        rows.write.parquet(f"{folder}/documents.parquet")
+        spark.read.parquet(f"{small}/labels.parquet").write.parquet(f"{folder}/labels.parquet")
+        out = corpus_pipeline.run(spark, folder)
+        assert (out.count() > 0) == (name == "odd") and {"doc_id", "length"} <= set(out.columns)
+        assert out.count() == 0 or {f.rsplit("/", 2)[1] for f in out.inputFiles()} == {"packing"}
+        stages = {f.rsplit("/", 2)[0] for f in out.inputFiles()}
+        assert all([p.name for p in Path(s.removeprefix("file://")).iterdir()] == ["packing"] for s in stages)
 
 
 def test_stages_take_odd_rows(spark, odd, nothing, small):
@@ -165,7 +251,7 @@ def test_queries_equal_their_sql(spark, name):
 
     folder = "/root/testdata/sf0.01"
     con = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "benchmark", "embeddings"):
         con.sql(f"create view {table} as select * from '{folder}/{table}.parquet'")
     want = con.sql(LLM_SQL[name])
     columns = sorted(want.columns)
