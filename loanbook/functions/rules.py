@@ -36,6 +36,10 @@ def yyyymm(d: Column) -> Column:
     return (F.year(d) * 100 + F.month(d)).cast("int")
 
 
+def yyyymm_of(d: date) -> int:
+    return d.year * 100 + d.month
+
+
 def months_on_book(later: DateLike, earlier: DateLike, plus: int = 0) -> Column:
     """Whole months between two month ends; `plus=1` is the vintage variant."""
     a, b = F.last_day(_col(later)), F.last_day(_col(earlier))

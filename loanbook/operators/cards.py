@@ -13,6 +13,7 @@ from loanbook.functions import metrics as M
 from loanbook.functions import rules as R
 from loanbook.operators.entity import attach_cluster
 from loanbook.operators.vintage import retail_rows, with_terms
+from loanbook.sources.hot import UNKNOWN, HotKeys
 
 AUTHORISED_USER = "O04"
 
@@ -23,7 +24,8 @@ def eligible_accounts(prod: DataFrame) -> DataFrame:
 
 
 def card_base(
-    trend: DataFrame, prod: DataFrame, unique_rows: DataFrame, clusters: DataFrame, caps: DataFrame, p: P.RunParams
+    trend: DataFrame, prod: DataFrame, unique_rows: DataFrame, clusters: DataFrame, caps: DataFrame, p: P.RunParams,
+    hot: HotKeys = UNKNOWN,
 ) -> DataFrame:
     """Card rows from history (T) and current state (P) with rule columns, city and cluster.
 
@@ -36,7 +38,7 @@ def card_base(
     rows = retail_rows(with_terms(history, cards), "T").unionByName(retail_rows(cards, "P"))
     owners = attach_cluster(
         unique_rows.where(F.col("ownership_ind") != AUTHORISED_USER).select("account_key", "consumer_key", "city"),
-        clusters,
+        clusters, known=hot.consumers,
     ).drop("consumer_key")
     limits = caps.where(F.col("active") == 1).select("account_type", F.col("balance_cap").alias("cap"))
     capped = rows.join(limits, "account_type", "left").where(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanbook import params as P
@@ -12,6 +12,8 @@ from loanbook.functions import metrics as M
 from loanbook.functions import rules as R
 from loanbook.operators.entity import attach_inner
 from loanbook.operators.snapshot import derive_account_rows, open_closed_union
+from loanbook.plans.rank import descending_rank
+from loanbook.sources.hot import UNKNOWN, HotKeys
 
 # fixed values: lender mix of a cluster
 ONLY_SELF = "ONLY SELF"
@@ -31,7 +33,8 @@ def active(day: Column | None = None) -> Column:
 
 
 def cluster_base(
-    macro_open: DataFrame, macro_closed: DataFrame, clusters: DataFrame, extra: DataFrame, dates: tuple[date, ...]
+    macro_open: DataFrame, macro_closed: DataFrame, clusters: DataFrame, extra: DataFrame, dates: tuple[date, ...],
+    hot: HotKeys = UNKNOWN,
 ) -> DataFrame:
     """Derived account rows with cluster and income columns, for several as-of dates in one scan.
 
@@ -44,7 +47,7 @@ def cluster_base(
     closed = macro_closed.select("*", day)
     rows = open_closed_union(opened, closed, F.col("as_of"), F.date_add("as_of", REPORT_LAG_DAYS))
     derived = derive_account_rows(rows, F.col("as_of"))
-    return attach_inner(derived, clusters).join(extra, ["account_key", "consumer_key"], "left")
+    return attach_inner(derived, clusters, known=hot.consumers).join(extra, ["account_key", "consumer_key"], "left")
 
 
 def cluster_mix(rows: DataFrame, self_lender: str) -> DataFrame:
@@ -92,40 +95,13 @@ def threshold_flags(rows: DataFrame, overall: DataFrame, per_type: DataFrame) ->
 def income_row_rank(rows: DataFrame) -> DataFrame:
     """Rank of each row among its cluster's rows with a known income, newest first; NULL without income.
 
-    Ranks are built from a local rank per (cluster, dates) and the number of
-    known incomes at later dates, so a very large cluster is sorted in one task
-    only as far as its rows share both dates. Both ranks share one shuffle of
-    the rows.
+    By report and disbursal date, then income from the largest, account and
+    consumer. No cluster is sorted whole, not even the rows of one that share
+    both dates and the income: see `descending_rank`.
     """
-    incomes = {"annual_income": "rw", "monthly_income": "rw_month"}
-    dates = ["reported_dt", "disbursed_dt"]
-    counted = rows.groupBy(*KEYS, *dates).agg(*[F.count(c).alias(f"n_{c}") for c in incomes])
-    later = Window.partitionBy(*KEYS).orderBy(*[F.col(d).desc_nulls_last() for d in dates]).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    offsets = counted.select(
-        *KEYS, *[F.col(d).alias(f"o_{d}") for d in dates],
-        *[(F.sum(f"n_{c}").over(later) - F.col(f"n_{c}")).alias(f"before_{c}") for c in incomes],
-    )
-    local = rows.select("*", *[
-        F.row_number().over(
-            Window.partitionBy(*KEYS, *dates).orderBy(F.col(c).desc_nulls_last(), "account_key", "consumer_key")
-        ).alias(f"local_{c}")
-        for c in incomes
-    ])
-    same_dates = [F.col(d).eqNullSafe(F.col(f"o_{d}")) for d in dates]
-    joined = local.alias("r").join(
-        offsets.alias("o"),
-        (F.col("r.as_of") == F.col("o.as_of")) & (F.col("r.clst_id") == F.col("o.clst_id"))
-        & same_dates[0] & same_dates[1],
-    )
-    return joined.select(
-        *[F.col(f"r.{c}") for c in rows.columns],
-        *[
-            F.when(F.col(c).isNotNull(), (F.col(f"before_{c}") + F.col(f"local_{c}")).cast("int")).alias(name)
-            for c, name in incomes.items()
-        ],
-    )
+    dates, ties = ["reported_dt", "disbursed_dt"], ["account_key", "consumer_key"]
+    ranked = descending_rank(rows, KEYS, dates, "annual_income", ties, "rw")
+    return descending_rank(ranked, KEYS, dates, "monthly_income", ties, "rw_month")
 
 
 # --- metric matrix ------------------------------------------------------------------
@@ -191,9 +167,12 @@ def _complements() -> list[str]:
     return out
 
 
-def cluster_profile(rows: DataFrame, self_lender: str) -> DataFrame:
+def cluster_profile(rows: DataFrame, self_lender: str, top_row: bool = False) -> DataFrame:
     """106 metrics per cluster over the rows under all thresholds, in one pass.
 
+    With `top_row` also the account and consumer of the newest row with a known
+    annual income, the one that `income_row_rank` ranks first.
+
     Step 1 reduces rows to one per (cluster, account); step 2 sums the matrix
     {measure} x {segment} per cluster. Distinct counts are sums of per-account
     flags, so nothing is expanded per metric, and rows of a large cluster
@@ -237,7 +216,11 @@ def cluster_profile(rows: DataFrame, self_lender: str) -> DataFrame:
         "*", *[F.expr(e) for e in _complements()],
         mix_label(F.col("all_loans"), F.col("all_loans_self")).alias("clust_ind"),
     )
-    return complete.select(*KEYS, "clust_ind", *_profile_columns(self_lender))
+    first = [(-F.col(f"top_annual.{rank}")).alias(name) for rank, name in TOP_ROW.items()] if top_row else []
+    return complete.select(*KEYS, "clust_ind", *_profile_columns(self_lender), *first)
+
+
+TOP_ROW = {"account_rank": "top_account", "consumer_rank": "top_consumer"}
 
 
 def _mix_in(labels) -> str:

@@ -10,6 +10,8 @@ from loanbook.functions import buckets as B
 from loanbook.functions import metrics as M
 from loanbook.functions import rules as R
 from loanbook.operators import clusters as C
+from loanbook.plans.skew import skew_join
+from loanbook.sources.hot import UNKNOWN, HotKeys
 
 AMOUNT_SEGMENTS = ("all", "secured", "unsecured", "other_product")
 PART_SEGMENTS = (
@@ -76,17 +78,19 @@ def account_count_dashboard(profile: DataFrame) -> DataFrame:
     )
 
 
-def account_dashboard(base: DataFrame, profile: DataFrame, self_lender: str) -> DataFrame:
+def account_dashboard(base: DataFrame, profile: DataFrame, self_lender: str, hot: HotKeys = UNKNOWN) -> DataFrame:
     """Account rows joined with their cluster's profile, by eight bucket keys.
 
-    `base` carries the income ranks. Rows are reduced to one per (keys,
-    cluster, account) before the two kinds of distinct counts.
+    `profile` names the newest row with a known income of each cluster
+    (`top_row`); incomes and dues count there alone. Rows of `base` are unique
+    by account and consumer, and are reduced to one per (keys, cluster,
+    account) before the two kinds of distinct counts.
     """
     rows = base.where((F.col("threshold_flag_overall") == 1) & (F.col("threshold_acnt_type") == 1))
-    facts = profile.select("as_of", "clst_id", "clust_ind", "loans_all", "active_loans_all")
-    joined = rows.join(facts, ["as_of", "clst_id"])
+    facts = profile.select("as_of", "clst_id", "clust_ind", "loans_all", "active_loans_all", *C.TOP_ROW.values())
+    joined = skew_join(rows, facts, ["as_of", "clst_id"], "inner", "account_key", known=hot.clusters)
     status = F.col("das").isin(*P.ACTIVE_PORTFOLIO)
-    top = F.col("rw") == 1
+    top = (F.col("account_key") == F.col("top_account")) & (F.col("consumer_key") == F.col("top_consumer"))
     keyed = joined.select(
         "as_of", "clust_ind",
         B.bucket(C.loan_amount(), B.AMOUNT6).alias("ticket_size"),

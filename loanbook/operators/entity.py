@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from loanbook.functions import rules as R
 from loanbook.plans.skew import hot_among, pick_first, pick_last, skew_join
+from loanbook.sources.hot import UNKNOWN, HotKeys
 
 SURVIVING = ("monthly_income", "annual_income", "birth_dt", "gender", "occupation")
 
@@ -20,15 +21,19 @@ def _by_consumer(clusters: DataFrame) -> DataFrame:
     return clusters.select(F.col("candidate_id").alias("consumer_key"), "clst_id")
 
 
-def attach_cluster(rows: DataFrame, clusters: DataFrame, keys_like: DataFrame | None = None) -> DataFrame:
+def attach_cluster(
+    rows: DataFrame, clusters: DataFrame, keys_like: DataFrame | None = None, known: list | None = None
+) -> DataFrame:
     """Cluster of each row's consumer; consumers without one stand for themselves."""
-    joined = skew_join(rows, _by_consumer(clusters), ["consumer_key"], "left", "account_key", keys_like)
+    joined = skew_join(rows, _by_consumer(clusters), ["consumer_key"], "left", "account_key", keys_like, known=known)
     return joined.withColumn("clst_id", F.coalesce("clst_id", "consumer_key"))
 
 
-def attach_inner(rows: DataFrame, clusters: DataFrame, keys_like: DataFrame | None = None) -> DataFrame:
+def attach_inner(
+    rows: DataFrame, clusters: DataFrame, keys_like: DataFrame | None = None, known: list | None = None
+) -> DataFrame:
     """Rows whose consumer has a cluster, with that cluster."""
-    return skew_join(rows, _by_consumer(clusters), ["consumer_key"], "inner", "account_key", keys_like)
+    return skew_join(rows, _by_consumer(clusters), ["consumer_key"], "inner", "account_key", keys_like, known=known)
 
 
 def same_cluster_universe(base: DataFrame, clusters: DataFrame, accounts: DataFrame) -> DataFrame:
@@ -147,20 +152,20 @@ def market_entry(rows: DataFrame, years: tuple[int, ...]) -> DataFrame:
     )
 
 
-def cluster_min_disbursal(snapshot: DataFrame, clusters: DataFrame) -> DataFrame:
-    """First disbursal of the cluster, per consumer with a loan."""
-    per_consumer = snapshot.groupBy(F.col("consumer_key").alias("candidate_id")).agg(
+def cluster_min_disbursal(snapshot: DataFrame, clusters: DataFrame, per: tuple[str, ...] = ()) -> DataFrame:
+    """First disbursal of the cluster, per consumer with a loan; for each value of the columns `per` by itself."""
+    per_consumer = snapshot.groupBy(*per, F.col("consumer_key").alias("candidate_id")).agg(
         F.min("disbursed_dt").alias("first_dt")
     )
     linked = clusters.join(per_consumer, "candidate_id")
-    first = linked.groupBy("clst_id").agg(F.min("first_dt").alias("min_disb_dt"))
-    return linked.select("clst_id", F.col("candidate_id").alias("consumer_key")).join(first, "clst_id")
+    first = linked.groupBy(*per, "clst_id").agg(F.min("first_dt").alias("min_disb_dt"))
+    return linked.select(*per, "clst_id", F.col("candidate_id").alias("consumer_key")).join(first, [*per, "clst_id"])
 
 
-def income_extra_cols(consumers: DataFrame, clusters: DataFrame, accounts: DataFrame) -> DataFrame:
+def income_extra_cols(consumers: DataFrame, clusters: DataFrame, accounts: DataFrame, hot: HotKeys = UNKNOWN) -> DataFrame:
     """Consumer incomes with cluster and account terms, matched on the cleaned account number."""
     clean = lambda c: F.upper(F.trim(c))
-    left = attach_inner(consumers, clusters).withColumn("nbr", clean("account_nbr"))
+    left = attach_inner(consumers, clusters, known=hot.consumers).withColumn("nbr", clean("account_nbr"))
     right = accounts.select(
         "account_key", clean("account_nbr").alias("nbr"), "min_amount_due", "account_type", "disbursed_dt",
         "suppress_indicator",

@@ -10,21 +10,23 @@ from loanbook.functions import buckets as B
 from loanbook.functions import rules as R
 from loanbook.operators.entity import attach_cluster, cluster_min_disbursal, latest_consumer
 from loanbook.operators.par import BANDS, METRICS
-from loanbook.plans.skew import pick_first
+from loanbook.plans.skew import pick_first, skew_join
+from loanbook.sources.hot import UNKNOWN, HotKeys
 
 PERSON = ("consumer_key", "gender", "age", "age_as_on_dt", "birth_dt", "occupation", "monthly_income", "state",
           "district", "pin_code")
 SHARED_MONEY = ("amount_overdue_total", "chargeoff_amt", "current_balance", "disbursed_amount", "min_amount_due")
 
 
-def mfi_step1(snapshot: DataFrame, clusters: DataFrame, consumer: DataFrame) -> DataFrame:
-    """Snapshot rows with their newest consumer row, cluster and the cluster's first disbursal."""
+def mfi_step1(snapshot: DataFrame, clusters: DataFrame, consumer: DataFrame, hot: HotKeys = UNKNOWN) -> DataFrame:
+    """Snapshot rows, of one date or several, with their newest consumer row, cluster and the cluster's first disbursal by then."""
     people = latest_consumer(consumer).select(*PERSON)
-    first = cluster_min_disbursal(snapshot.select("consumer_key", "disbursed_dt"), clusters).select(
-        "consumer_key", "min_disb_dt"
+    first = cluster_min_disbursal(snapshot.select("as_of", "consumer_key", "disbursed_dt"), clusters, ("as_of",)).select(
+        "as_of", "consumer_key", "min_disb_dt"
     )
-    rows = attach_cluster(snapshot.join(people, "consumer_key"), clusters)
-    return rows.join(first, "consumer_key", "left")
+    named = skew_join(snapshot, people, ["consumer_key"], "inner", "account_key", known=hot.consumers)
+    rows = attach_cluster(named, clusters, known=hot.consumers)
+    return skew_join(rows, first, ["as_of", "consumer_key"], "left", "account_key", known=hot.consumers)
 
 
 def reportable(rows: DataFrame, largest: int) -> DataFrame:
@@ -32,14 +34,14 @@ def reportable(rows: DataFrame, largest: int) -> DataFrame:
     return rows.where(~F.col("account_status").isin(*P.NOT_REPORTED) & R.storable(F.col("disbursed_amount"), largest))
 
 
-def group_share(rows: DataFrame, lender: str, category: str) -> DataFrame:
+def group_share(rows: DataFrame, lender: str, category: str, per: tuple[str, ...] = ()) -> DataFrame:
     """Absolute amounts; loans of the group category at the group lender get 1/n of theirs.
 
-    n is the number of such loans in the group.
+    n is the number of such loans in the group, for each value of the columns `per` by itself.
     """
     grouped = (F.col("lender_id") == lender) & (F.col("loan_category") == category)
-    sizes = rows.where(grouped).groupBy("group_id").agg(F.count(F.lit(1)).alias("members"))
-    joined = rows.join(sizes, "group_id", "left")
+    sizes = rows.where(grouped).groupBy(*per, "group_id").agg(F.count(F.lit(1)).alias("members"))
+    joined = rows.join(sizes, [*per, "group_id"], "left")
 
     def share(name: str) -> Column:
         part = F.round((F.abs(name).cast("double") / F.col("members")).cast("decimal(38,8)"), 2)
@@ -74,7 +76,7 @@ def mfi_step2(
         R.mfi_status(*[F.col(c) for c in ("chargeoff_amt", "closed_dt")], day,
                      *[F.col(c) for c in ("dpd", "amount_overdue_total", "disbursed_amount", "account_status")]),
     )
-    shared = group_share(raw, p.group_lender, p.group_category)
+    shared = group_share(raw, p.group_lender, p.group_category, ("as_of",))
     keyed = geo_key_join(shared, geo)
     active_lenders = lenders.where(F.col("active") == 1).select("lender_id", "contri_key")
     joined = keyed.join(F.broadcast(active_lenders), "lender_id", "left").join(
@@ -109,8 +111,8 @@ ROLLUP_KEYS = [
 ]
 
 
-def fact_rollup(step2: DataFrame, categories: DataFrame) -> DataFrame:
-    """Sums and distinct counts by 25 labels, each label named once before grouping.
+def fact_rollup(step2: DataFrame, categories: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Sums and distinct counts by 25 labels, or by those of them in `by`, each label named once before grouping.
 
     Corrected: the disbursal month is grouped as shown, not by day. Accounts
     are one row each, so their distinct count is a row count.
@@ -141,7 +143,7 @@ def fact_rollup(step2: DataFrame, categories: DataFrame) -> DataFrame:
         "centre_id", "group_id", "account_key", "consumer_key", "cur_bal", "disb_amt", "amt_due", "charge_amt",
         "disb_dt",
     )
-    return labelled.groupBy(*ROLLUP_KEYS).agg(
+    return labelled.groupBy(*(by or ROLLUP_KEYS)).agg(
         F.count_distinct("centre_id").alias("total_centres"), F.count_distinct("group_id").alias("total_groups"),
         F.count("account_key").alias("total_accounts"), F.count_distinct("consumer_key").alias("total_consumers"),
         *[F.expr(f"coalesce(sum({c}), 0) as {name}") for c, name in (

@@ -11,6 +11,8 @@ from loanbook import params as P
 from loanbook.functions import buckets as B
 from loanbook.functions import metrics as M
 from loanbook.functions import rules as R
+from loanbook.plans.skew import skew_join
+from loanbook.sources.hot import UNKNOWN, HotKeys
 
 PLACE = ["rev_state", "rev_district"]
 
@@ -63,9 +65,9 @@ EXPOSURE_KEYS = ["load_yyyymm", "product_ind", *PLACE, "vintage", "outstanding_b
                  "disbursed_period"]
 
 
-def _exposure(base: DataFrame, profile: DataFrame, cutoff: date, label: str) -> DataFrame:
+def _exposure(base: DataFrame, profile: DataFrame, cutoff: date, label: str, hot: HotKeys) -> DataFrame:
     facts = profile.select(*PLACE, "clst_id", "max_dpd_active", "portfolio_outstanding", "active_lenders", "min_disb")
-    rows = base.join(facts, [*PLACE, "clst_id"])
+    rows = skew_join(base, facts, [*PLACE, "clst_id"], "inner", "account_key", known=hot.clusters)
     vintage = R.months_on_book(F.col("as_of"), F.col("min_disb"), plus=1)
     keyed = rows.select(
         R.yyyymm(F.col("as_of")).alias("load_yyyymm"), F.lit(label).alias("product_ind"), *PLACE,
@@ -91,17 +93,19 @@ def _exposure(base: DataFrame, profile: DataFrame, cutoff: date, label: str) ->
     )
 
 
-def district_exposure(step2: DataFrame, geo: DataFrame, cutoff: date) -> DataFrame:
+def district_exposure(step2: DataFrame, geo: DataFrame, cutoff: date, hot: HotKeys = UNKNOWN) -> DataFrame:
     """Clusters and loans by district, vintage, exposure, worst DPD, lender count and period."""
-    return _exposure(district_active_base(step2, geo), district_cluster_profile(step2, geo), cutoff, "All")
+    return _exposure(district_active_base(step2, geo), district_cluster_profile(step2, geo), cutoff, "All", hot)
 
 
-def district_exposure_self(step2: DataFrame, geo: DataFrame, cutoff: date, self_lender: str) -> DataFrame:
+def district_exposure_self(
+    step2: DataFrame, geo: DataFrame, cutoff: date, self_lender: str, hot: HotKeys = UNKNOWN
+) -> DataFrame:
     """The same for all loans of clusters that ever had a loan with the self lender."""
     own = step2.where(F.col("lender_id") == self_lender).select("clst_id").distinct()
-    rows = step2.join(own, "clst_id", "left_semi")
+    rows = skew_join(step2, own, ["clst_id"], "left_semi", "account_key", known=hot.clusters)
     base = district_active_base(rows, geo).where(F.col("rev_state").isNotNull() & F.col("rev_district").isNotNull())
-    return _exposure(base, district_cluster_profile(rows, geo, need_pin=False), cutoff, "Self")
+    return _exposure(base, district_cluster_profile(rows, geo, need_pin=False), cutoff, "Self", hot)
 
 
 def exposure_file(exposure: DataFrame, closing: str) -> DataFrame:

@@ -12,7 +12,9 @@ from loanbook.operators.snapshot import FROM_CURRENT, FROM_TREND, FROM_UPDATE
 DAY = "act_reported_dt"
 
 
-def validity(history: DataFrame, key: str, state: list[str], day: str = DAY, distinct: bool = False) -> DataFrame:
+def validity(
+    history: DataFrame, key: str, state: list[str], day: str = DAY, distinct: bool = False, placed: bool = False,
+) -> DataFrame:
     """What is known of every key, and from when until before when: key, valid_from, valid_to, days, states.
 
     `states` are the rows of the newest reported day so far, all of them where
@@ -20,10 +22,12 @@ def validity(history: DataFrame, key: str, state: list[str], day: str = DAY, dis
     days that report the same make one interval; `days` keeps their dates. The
     last interval has no `valid_to`. Rows without a day are never known.
 
-    History is shuffled once, by key. Days of a key are what one task sorts;
-    rows of one key and day are collected.
+    History is shuffled once, by key, or not at all if it is `placed` by key
+    already. Days of a key are what one task sorts; rows of one key and day are
+    collected.
     """
-    reported = history.where(F.col(day).isNotNull()).select(key, day, F.struct(*state).alias("state")).repartition(F.col(key))
+    reported = history.where(F.col(day).isNotNull()).select(key, day, F.struct(*state).alias("state"))
+    reported = reported if placed else reported.repartition(F.col(key))
     rows = F.collect_set("state") if distinct else F.collect_list("state")
     versions = reported.groupBy(key, day).agg(F.array_sort(rows).alias("states"))
     by_day = Window.partitionBy(key).orderBy(day)
@@ -59,15 +63,18 @@ def known_as_of(intervals: DataFrame, key: str, dates: tuple[date, ...], day: st
     return rows.select("as_of", key, newest, "state.*")
 
 
-def snapshots(prod: DataFrame, trend: DataFrame, updates: DataFrame, dates: tuple[date, ...]) -> DataFrame:
+def snapshots(
+    prod: DataFrame, trend: DataFrame, updates: DataFrame, dates: tuple[date, ...], placed: bool = False,
+) -> DataFrame:
     """The portfolios of several dates, each as `as_of_snapshot` has it, from one scan of history and one of the updates.
 
     Intervals of balances and of terms are joined where they overlap, by account
-    alone, so every table is shuffled once whatever the number of dates.
+    alone, so every table is shuffled once whatever the number of dates, and not
+    at all if all are `placed` by account.
     """
     last = F.col(DAY) <= F.lit(max(dates))
-    balances = validity(trend.where(last), "account_key", [c for c in FROM_TREND if c != DAY])
-    terms = validity(updates.where(last), "account_key", list(FROM_UPDATE), distinct=True).select(
+    balances = validity(trend.where(last), "account_key", [c for c in FROM_TREND if c != DAY], placed=placed)
+    terms = validity(updates.where(last), "account_key", list(FROM_UPDATE), distinct=True, placed=placed).select(
         "account_key", F.col("valid_from").alias("terms_from"), F.col("valid_to").alias("terms_to"), F.col("states").alias("terms")
     )
     first_report = F.min(DAY).over(Window.partitionBy("account_key")).alias("current_from")

@@ -6,6 +6,7 @@ import dataclasses
 import functools
 import uuid
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,10 +15,12 @@ from pyspark.sql import types as T
 from loanbook import params as P
 from loanbook.functions import buckets as B
 from loanbook.functions import rules as R
-from loanbook.operators import cards, clusters, dashboard, entity, facts, flow, geo, intervals, members, par, snapshot, vintage
+from loanbook.operators import caps, cards, clusters, dashboard, entity, facts, flow, geo, intervals, members, par, snapshot, vintage
 from loanbook.plans import scope
 from loanbook.sources import dims, io
+from loanbook.sources.bucketed import BucketedBook
 from loanbook.sources.periods import PeriodTable, upsert_periods
+from loanbook.sources.uneven import UnevenBook
 from loanbook.sources.views import Book, choose, times
 
 Query = Callable[[Book, P.RunParams], DataFrame]
@@ -306,7 +309,7 @@ SNAPSHOT_MONTHS = 12
 @query
 def snapshot_months(book: Book, p: P.RunParams) -> DataFrame:
     """The portfolios of the last twelve month ends from one pass over history."""
-    dates = tuple(P.shift_months(p.as_of, -n) for n in range(SNAPSHOT_MONTHS))
+    dates = _month_ends(p, SNAPSHOT_MONTHS)
     return intervals.snapshots(book.account(), book.account_trend(), book.account_update(), dates)
 
 
@@ -425,18 +428,37 @@ def income_extra_cols(book: Book, p: P.RunParams) -> DataFrame:
     people = book.account_party().select(
         "account_key", "consumer_key", "lender_id", "annual_income", "monthly_income"
     ).join(untidy, "account_key")
-    return entity.income_extra_cols(people, book.clusters(), accounts).drop("account_nbr")
+    return entity.income_extra_cols(people, book.clusters(), accounts, book.hot).drop("account_nbr")
 
 
 # --- cluster profile and dashboards ------------------------------------------------
 def _cluster_base(book: Book, dates) -> DataFrame:
     return clusters.cluster_base(
-        book.macro_open(), book.macro_closed(), book.clusters(), book.extra_columns(), dates
+        book.macro_open(), book.macro_closed(), book.clusters(), book.extra_columns(), dates, book.hot
     )
 
 
+def stored_caps(book: Book) -> DataFrame:
+    """Caps of every scope over all accounts, from the book's table of caps by month; built once for a book."""
+    if book.caps is None:
+        book.caps = store_caps(book, (caps.ALL_MONTHS,))
+    return book.caps.read(caps.ALL_MONTHS)
+
+
+def store_caps(book: Book, months: tuple[int, ...]) -> PeriodTable:
+    """Write the histograms of every report month, and from them the caps as known in the given months."""
+    spark = book.spark
+    rows = caps.amounts(book.account(), R.yyyymm(F.col("act_reported_dt")))
+    counts = PeriodTable(spark, f"cap_histogram_{io.unique()}", io.new_table_path(spark, "cap-histogram"), "mon_yr")
+    counts.replace_found(caps.month_histograms(rows))
+    found = PeriodTable(spark, f"account_cap_{io.unique()}", io.new_table_path(spark, "cap"), "mon_yr")
+    found.replace_found(caps.caps_at(rows, counts.read(), months))
+    return found
+
+
 def _flagged(book: Book, dates) -> DataFrame:
-    return clusters.threshold_flags(_cluster_base(book, dates), book.overall_threshold(), book.threshold())
+    found = stored_caps(book)
+    return clusters.threshold_flags(_cluster_base(book, dates), caps.overall(found), caps.per_type(found))
 
 
 def _profile(book: Book, p: P.RunParams, dates) -> DataFrame:
@@ -464,6 +486,16 @@ def threshold_flags(book: Book, p: P.RunParams) -> DataFrame:
     )
 
 
+CAP_MONTHS = 3
+
+
+@query
+def caps_by_month(book: Book, p: P.RunParams) -> DataFrame:
+    """Caps per account type and over all types as known at three month ends, from histograms merged over the months before."""
+    months = tuple(R.yyyymm_of(day) for day in _month_ends(p, CAP_MONTHS))
+    return store_caps(book, months).read().select("mon_yr", "scope", *caps.CAPS.values())
+
+
 @query
 def threshold_caps(book: Book, p: P.RunParams) -> DataFrame:
     return book.threshold()
@@ -507,9 +539,7 @@ def account_count_dashboard(book: Book, p: P.RunParams) -> DataFrame:
 @query
 def account_dashboard(book: Book, p: P.RunParams) -> DataFrame:
     flagged = book.scope.share(_flagged(book, p.dashboard_dates))
-    return dashboard.account_dashboard(
-        clusters.income_row_rank(flagged), clusters.cluster_profile(flagged, p.self_lender), p.self_lender
-    )
+    return dashboard.account_dashboard(flagged, clusters.cluster_profile(flagged, p.self_lender, top_row=True), p.self_lender, book.hot)
 
 
 @query
@@ -604,7 +634,7 @@ def vintage_cube_commercial(book: Book, p: P.RunParams) -> DataFrame:
 # --- fact table ---------------------------------------------------------------------
 def _step1(book: Book, p: P.RunParams) -> DataFrame:
     snapshot_rows = book.scope.share(as_of_snapshot(book, p))
-    return facts.mfi_step1(snapshot_rows, book.clusters(), book.account_party())
+    return facts.mfi_step1(snapshot_rows, book.clusters(), book.account_party(), book.hot)
 
 
 def _step2(book: Book, p: P.RunParams) -> DataFrame:
@@ -623,7 +653,7 @@ def _shared_step2(book: Book, p: P.RunParams) -> DataFrame:
 
 
 def _yyyymm(p: P.RunParams) -> int:
-    return p.as_of.year * 100 + p.as_of.month
+    return R.yyyymm_of(p.as_of)
 
 
 @query
@@ -656,6 +686,15 @@ def fact_rollup(book: Book, p: P.RunParams) -> DataFrame:
     return facts.fact_rollup(_step2(book, p), dims.category_dim(book.spark))
 
 
+PORTFOLIO_LABELS = ["load_yyyymm", "contri_key", "ln_cat", "loan_account_status"]
+
+
+@query
+def fact_rollup_portfolio(book: Book, p: P.RunParams) -> DataFrame:
+    """The same sums and distinct counts by lender, category and state: groups of many accounts, centres and consumers."""
+    return facts.fact_rollup(_step2(book, p), dims.category_dim(book.spark), PORTFOLIO_LABELS)
+
+
 @query
 def fact_keys(book: Book, p: P.RunParams) -> DataFrame:
     return _fact(book, p)
@@ -678,30 +717,38 @@ def stored_facts(book: Book, p: P.RunParams, months: int) -> PeriodTable:
         book.facts = PeriodTable(
             book.spark, f"loan_fact_{io.unique()}", io.new_table_path(book.spark, "fact"), "load_yyyymm"
         )
-    for n in range(months):
-        run = dataclasses.replace(p, as_of=P.shift_months(p.as_of, -n))
-        if _yyyymm(run) not in book.facts.periods():
-            replace_facts(book, run, book.facts)
+    known = book.facts.periods()
+    missing = tuple(day for day in _month_ends(p, months) if R.yyyymm_of(day) not in known)
+    if missing:
+        replace_facts(book, p, book.facts, missing)
     return book.facts
 
 
-def replace_facts(book: Book, p: P.RunParams, table: PeriodTable) -> None:
-    """Build the facts of the run's month and put them in place of what the table has of it."""
+def _month_ends(p: P.RunParams, months: int) -> tuple[date, ...]:
+    return tuple(P.shift_months(p.as_of, -n) for n in range(months))
+
+
+def _step2_of(book: Book, p: P.RunParams, dates: tuple[date, ...], own: scope.Scope) -> DataFrame:
+    """The cleaned grain of several dates from one pass over history."""
+    rows = own.share(intervals.snapshots(book.account(), book.account_trend(), book.account_update(), dates))
+    step1 = own.share(facts.mfi_step1(rows, book.clusters(), book.account_party(), book.hot))
+    return facts.mfi_step2(
+        step1, dims.lender_dim(book.spark), book.purpose_dim(), book.occupation_dim(), book.geo_dim(), p
+    )
+
+
+def replace_facts(book: Book, p: P.RunParams, table: PeriodTable, dates: tuple[date, ...]) -> None:
+    """Build the facts of the given month ends together and put them in place of what the table has of these months."""
     with scope.Scope() as own:
-        snapshot_rows = own.share(as_of_snapshot(book, p))
-        step1 = own.share(facts.mfi_step1(snapshot_rows, book.clusters(), book.account_party()))
-        step2 = facts.mfi_step2(
-            step1, dims.lender_dim(book.spark), book.purpose_dim(), book.occupation_dim(), book.geo_dim(), p
-        )
-        rollup = facts.fact_rollup(step2, dims.category_dim(book.spark))
-        table.replace(facts.fact_keys(rollup, dims.bucket_dims(book.spark)), _yyyymm(p))
+        rollup = facts.fact_rollup(_step2_of(book, p, dates, own), dims.category_dim(book.spark))
+        table.replace_found(facts.fact_keys(rollup, dims.bucket_dims(book.spark)), tuple(R.yyyymm_of(day) for day in dates))
 
 
 @query
 def stored_fact_months(book: Book, p: P.RunParams) -> DataFrame:
     """Facts of two months in one named table; the later month is written twice and replaces itself."""
     table = stored_facts(book, p, 2)
-    replace_facts(book, p, table)
+    replace_facts(book, p, table, (p.as_of,))
     return table.read().groupBy("load_yyyymm", "contri_key").agg(
         F.count(F.lit(1)).alias("facts"), F.sum("total_accounts").alias("total_accounts"),
         F.sum("total_outstanding_amount").alias("total_outstanding_amount"),
@@ -726,7 +773,7 @@ def _fact_reports(book: Book, p: P.RunParams) -> DataFrame:
     """The reports from the stored facts of the run's month and of the three before it, dated by the first of the month."""
     table = stored_facts(book, p, MONITOR_MONTHS)
     lenders, categories = dims.lender_dim(book.spark), dims.category_dim(book.spark)
-    months = [_yyyymm(dataclasses.replace(p, as_of=P.shift_months(p.as_of, -n))) for n in range(MONITOR_MONTHS)]
+    months = [R.yyyymm_of(day) for day in _month_ends(p, MONITOR_MONTHS)]
     reports = [facts.par_report_from_fact(table.read(month), lenders, categories, month) for month in months]
     runs = functools.reduce(DataFrame.unionByName, reports).withColumn("run", F.lit(1))
     return par.report_dedupe(runs, p.as_of.replace(day=1))
@@ -744,13 +791,11 @@ def stored_members(book: Book, p: P.RunParams) -> PeriodTable:
         known = book.cluster_member().select(F.coalesce("clst_id", "consumer_key").alias("clst_id")) if key == "clst_id" else book.account()
         numbers[kind] = key, members.numbered(known, key, io.new_table_path(spark, f"numbers-{kind}"))
     table = PeriodTable(spark, f"fact_member_{io.unique()}", io.new_table_path(spark, "member"), "load_yyyymm")
-    for n in range(MEMBER_MONTHS):
-        run = dataclasses.replace(p, as_of=P.shift_months(p.as_of, -n))
-        with scope.Scope() as own:
-            rows = own.share(_step2(book, run).select(
-                "sdp_key", "contri_key", R.yyyymm(F.col("as_of")).alias("load_yyyymm"), *MEMBER_KINDS.values()
-            ))
-            table.replace(members.members(rows, ["sdp_key", "contri_key", "load_yyyymm"], numbers), _yyyymm(run))
+    with scope.Scope() as own:
+        rows = own.share(_step2_of(book, p, _month_ends(p, MEMBER_MONTHS), own).select(
+            "sdp_key", "contri_key", R.yyyymm(F.col("as_of")).alias("load_yyyymm"), *MEMBER_KINDS.values()
+        ))
+        table.replace_found(members.members(rows, ["sdp_key", "contri_key", "load_yyyymm"], numbers))
     return table
 
 
@@ -780,12 +825,12 @@ def district_cluster_profile(book: Book, p: P.RunParams) -> DataFrame:
 
 @query
 def district_exposure(book: Book, p: P.RunParams) -> DataFrame:
-    return geo.district_exposure(_shared_step2(book, p), book.geo_dim(), p.period_cutoff)
+    return geo.district_exposure(_shared_step2(book, p), book.geo_dim(), p.period_cutoff, book.hot)
 
 
 @query
 def district_exposure_self(book: Book, p: P.RunParams) -> DataFrame:
-    return geo.district_exposure_self(_shared_step2(book, p), book.geo_dim(), p.period_cutoff, p.self_lender)
+    return geo.district_exposure_self(_shared_step2(book, p), book.geo_dim(), p.period_cutoff, p.self_lender, book.hot)
 
 
 @query
@@ -835,7 +880,8 @@ def geo_report_2(book: Book, p: P.RunParams) -> DataFrame:
 # --- cards and flows ----------------------------------------------------------------
 def _cards(book: Book, p: P.RunParams) -> DataFrame:
     return cards.card_base(
-        book.account_trend(), book.account(), unique_account_row(book, p), book.clusters(), book.threshold(), p
+        book.account_trend(), book.account(), unique_account_row(book, p), book.clusters(), caps.per_type(stored_caps(book)), p,
+        book.hot,
     )
 
 
@@ -936,7 +982,7 @@ def new_vs_known(book: Book, p: P.RunParams) -> DataFrame:
 
 def _flows(book: Book, p: P.RunParams, lapses: tuple[int, ...]) -> DataFrame:
     return flow.flow_rate(
-        book.account_trend(), book.account(), unique_account_row(book, p), book.threshold(),
+        book.account_trend(), book.account(), unique_account_row(book, p), caps.per_type(stored_caps(book)),
         dims.account_type_dim(book.spark), dims.date_dim(book.spark, p.calendar), p, lapses,
     )
 
@@ -952,6 +998,12 @@ def flow_rate_months(book: Book, p: P.RunParams) -> DataFrame:
     return _flows(book, p, p.flow_lapses)
 
 
+@query
+def flow_rate_next_month(book: Book, p: P.RunParams) -> DataFrame:
+    """Flow rates to the next month, where most loans of the small tables are seen again."""
+    return _flows(book, p, (1,))
+
+
 @query
 def flow_runs(book: Book, p: P.RunParams) -> DataFrame:
     """Flow rates of several lags, from one pass, in one table with a partition per run; a run done again replaces its own."""
@@ -961,6 +1013,47 @@ def flow_runs(book: Book, p: P.RunParams) -> DataFrame:
     return book.spark.read.parquet(path)
 
 
+# --- the uneven book ------------------------------------------------------------------
+UNEVEN = (
+    "open_closed_union", "open_closed_union_uncapped", "month_over_month", "share_filter", "report_outliers",
+    "fact_report_outliers",
+)
+
+
+def _on_uneven(name: str) -> Query:
+    def run(book: Book, p: P.RunParams) -> DataFrame:
+        other = UnevenBook(book.spark, book.folder)
+        other.scope = book.scope
+        return QUERIES[name](other, p)
+
+    return run
+
+
+QUERIES.update({f"uneven_{name}": _on_uneven(name) for name in UNEVEN})
+
+
+# --- tables that lie by account ---------------------------------------------------------
+def _on_bucketed(run: Query) -> Query:
+    def bucketed(book: Book, p: P.RunParams) -> DataFrame:
+        other = BucketedBook(book.spark, book.folder)
+        other.scope = book.scope
+        return run(other, p)
+
+    return bucketed
+
+
+def _placed_snapshots(book: Book, p: P.RunParams) -> DataFrame:
+    return intervals.snapshots(
+        book.account(), book.account_trend(), book.account_update(), _month_ends(p, SNAPSHOT_MONTHS), placed=True
+    )
+
+
+QUERIES.update(
+    bucketed_prod_plus_trend=_on_bucketed(prod_plus_trend), bucketed_snapshot_months=_on_bucketed(_placed_snapshots),
+    bucketed_card_base=_on_bucketed(card_base), bucketed_mfi_step1=_on_bucketed(mfi_step1),
+)
+
+
 # --- input and output ------------------------------------------------------------------
 def _source(book: Book) -> io.FileSource:
     return io.FileSource(book.folder)

@@ -38,6 +38,36 @@ class PeriodTable:
         )
         self.spark.catalog.refreshTable(self.name)
 
+    def replace_found(self, rows: DataFrame, wanted: tuple[int, ...] = ()) -> None:
+        """The rows of every period in `rows` are that period's from now on, all in one job; other periods stay as they are.
+
+        Periods in `wanted` that have no rows any more are emptied.
+        """
+        again = set(wanted) & set(self.periods())
+        if not again:
+            self._insert(rows)
+            return
+        work = f"{self.path}.new-{io.unique()}"
+        try:
+            rows.write.parquet(work)
+            new = self.spark.read.schema(rows.schema).parquet(work)
+            found = {row[0] for row in new.where(F.col(self.period).isin(*again)).select(self.period).distinct().collect()}
+            self._insert(new)
+            for period in again - found:
+                self.replace(new, period)
+        finally:
+            files.delete(self.spark, work)
+
+    def _insert(self, rows: DataFrame) -> None:
+        self._create(rows.schema)
+        io.write_period(rows, self.path, [self.period])
+        self._recover()
+
+    def _recover(self) -> None:
+        """Let the catalog, which keeps a list of folders of its own, know those at the path."""
+        self.spark.catalog.recoverPartitions(self.name)
+        self.spark.catalog.refreshTable(self.name)
+
     def periods(self) -> list[int]:
         """The periods that have been written, empty ones not among them; no data is read."""
         if not files.exists(self.spark, self.path):
@@ -47,6 +77,9 @@ class PeriodTable:
 
     def read(self, *wanted: int) -> DataFrame:
         """Rows of the wanted periods (of all without any); the scan opens no other folder."""
+        if not self.spark.catalog.tableExists(self.name):  # written by another session
+            self._create(self.spark.read.parquet(self.path).schema)
+            self._recover()
         rows = self.spark.table(self.name)
         return rows.where(F.col(self.period).isin(*wanted)) if wanted else rows
 

@@ -11,6 +11,7 @@ from loanbook.operators.entity import cluster_map
 from loanbook.plans.scope import Scope
 from loanbook.plans.skew import percentile_exact
 from loanbook.sources.dims import ACCOUNT_TYPES, LENDERS
+from loanbook.sources.hot import UNKNOWN, HotKeys
 from loanbook.sources.periods import PeriodTable
 
 MONEY = "decimal(18,2)"
@@ -55,6 +56,8 @@ class Book:
         self.spark, self.folder = spark, folder
         self.scope = Scope()  # what the steps of a run share
         self.facts: PeriodTable | None = None  # monthly facts, once a run has stored them
+        self.hot: HotKeys = UNKNOWN  # very frequent keys, where the book's tables were counted when they were stored
+        self.caps: PeriodTable | None = None  # caps by month, the same
         self.table = cache(self.table)
 
     def table(self, name: str) -> DataFrame:

@@ -10,6 +10,7 @@ import re
 from datetime import date, timedelta
 
 from oracle.base import VIEWS
+from oracle.uneven import UNEVEN, UNEVEN_VIEWS
 
 
 def _bodies() -> dict[str, str]:
@@ -18,6 +19,14 @@ def _bodies() -> dict[str, str]:
     bodies = dict(VIEWS)
     for module in (rules, snapshots, people, clusters, reports, facts, geo, cards):
         bodies.update(module.SQL)
+    uneven = _derived(bodies | UNEVEN_VIEWS)
+    found = _derived(bodies)
+    return found | {f"uneven_{name}": f"SELECT * FROM ({statement(name, uneven, [])})" for name in UNEVEN}
+
+
+def _derived(bodies: dict[str, str]) -> dict[str, str]:
+    """The bodies with those that repeat others for other dates."""
+    bodies = dict(bodies)
     report = statement("par_report_from_fact", bodies, [])
     months = [_at_month(report, *m) for m in (("2000-03-31", "200003"), ("2000-04-30", "200004"), ("2000-05-31", "200005"))]
     earlier = "".join(f"\nUNION ALL SELECT 1, * FROM ({month})" for month in months)
@@ -41,7 +50,7 @@ def _money() -> dict[str, list[str]]:
     out: dict[str, list[str]] = {}
     for module in (rules, snapshots, people, clusters, reports, facts, geo, cards):
         out.update(module.MONEY)
-    return out
+    return out | {f"uneven_{name}": out[name] for name in UNEVEN if name in out}
 
 
 def _needs(body: str, names: set[str]) -> list[str]:

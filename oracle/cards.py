@@ -135,6 +135,7 @@ LEFT JOIN date_dim e ON {yyyymm('disbursed_dt')} = e.yyyymm GROUP BY ALL""",
 
 SQL = {
     "card_base": _card_base("b.account_type = 'A15'"),
+    "bucketed_card_base": "SELECT * FROM card_base",
     "v_roll_cards": _card_base("b.account_type LIKE 'A%'"),
     "v_quarters": f"""SELECT last_day(CAST(d AS DATE)) AS q FROM (SELECT unnest(generate_series(DATE '1998-06-01', DATE '2000-06-01',
   INTERVAL 3 MONTH)) AS d)""",
@@ -232,12 +233,13 @@ FROM (SELECT *, count(*) OVER (PARTITION BY clst_id, reported_dt) AS rw,
   FROM (SELECT *, {_PEER} AS peer_group FROM all_product_base)) GROUP BY reported_dt, peer_group""",
     **_flow("flow_rate", "v_flow_base", 12),
     **_flow("v_flow_rate_6", "v_flow_base_6", 6),
+    **_flow("flow_rate_next_month", "v_flow_base_1", 1),
     "flow_runs": "SELECT * FROM flow_rate UNION ALL SELECT * FROM v_flow_rate_6",
     "flow_rate_months": "SELECT * FROM flow_runs",
 }
 _ROW_MONEY = ["current_balance", "amount_overdue_total", "chargeoff_amt", "sanctioned_amount"]
 MONEY = {
-    "card_base": _ROW_MONEY,
+    "card_base": _ROW_MONEY, "bucketed_card_base": _ROW_MONEY,
     "quarter_spine_agg": [c for c in _SPINE_SUMS if "pos" in c or c.endswith("_sum")],
     "cc_early_delinquency": ["total_active_pos", "pos_dpd_gtr_30", "pos_dpd_gtr_90"],
     "cc_top_cities": ["total_active_pos"], "cc_portfolio": ["total_active_pos"],
@@ -245,5 +247,6 @@ MONEY = {
     "share_of_wallet": ["clst_base_cb", "bank_cb", "low_clst_base_cb", "low_bank_cb"],
     "all_product_base": _ROW_MONEY, "flow_rate": ["current_balance_tl", "total_written_off_amount"],
     "flow_runs": ["current_balance_tl", "total_written_off_amount"],
+    "flow_rate_next_month": ["current_balance_tl", "total_written_off_amount"],
     "flow_rate_months": ["current_balance_tl", "total_written_off_amount"], "roll_rate_lags": ["total_cb", "current_balance_to"],
 }

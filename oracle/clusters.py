@@ -124,6 +124,18 @@ SELECT as_of, clst_id, count(DISTINCT account_key) AS total_loans,
 FROM v_cluster_rows GROUP BY as_of, clst_id""",
     "cluster_mix": f"SELECT * FROM v_mix WHERE {_IN_DATES}",
     "threshold_caps": "SELECT * FROM threshold",
+    "v_cap_rows": """
+SELECT mon_yr, unnest([account_type, 'ALL']) AS scope, abs(current_balance) AS balance, abs(disbursed_amount) AS amount,
+  abs(min_amount_due) AS due
+FROM account, (VALUES (200004), (200005), (200006)) m(mon_yr)
+WHERE year(act_reported_dt) * 100 + month(act_reported_dt) <= mon_yr""",
+    "caps_by_month": """
+SELECT CAST(mon_yr AS INTEGER) AS mon_yr, scope, min(CASE WHEN rb >= (99*nb + 99)//100 THEN balance END) AS balance_cap,
+  min(CASE WHEN ra >= (99*na + 99)//100 THEN amount END) AS amount_cap, min(CASE WHEN rd >= (99*nd + 99)//100 THEN due END) AS min_due_cap
+FROM (SELECT *, row_number() OVER (w ORDER BY balance NULLS LAST) AS rb, count(balance) OVER w AS nb,
+    row_number() OVER (w ORDER BY amount NULLS LAST) AS ra, count(amount) OVER w AS na,
+    row_number() OVER (w ORDER BY due NULLS LAST) AS rd, count(due) OVER w AS nd
+  FROM v_cap_rows WINDOW w AS (PARTITION BY mon_yr, scope)) GROUP BY 1, 2""",
     "v_flagged": f"""
 SELECT c.*, CASE WHEN coalesce(abs(min_amount_due), 0) <= o.min_due_cap THEN 1 ELSE 0 END AS min_amt_threshold,
   CASE WHEN coalesce(current_balance, 0) <= o.balance_cap AND coalesce({_LOAN}, 0) <= o.amount_cap THEN 1 ELSE 0 END
@@ -213,7 +225,7 @@ SELECT as_of, clst_id, clust_ind, min_due_all, annual_income_latest, outstanding
 MONEY = {
     "derive_account_rows": ["current_balance", "high_credit", "annual_income", "min_amount_due"],
     "cluster_mix": ["active_outstanding"],
-    "threshold_caps": ["balance_cap", "amount_cap"],
+    "threshold_caps": ["balance_cap", "amount_cap"], "caps_by_month": ["balance_cap", "amount_cap", "min_due_cap"],
     "income_row_rank": ["annual_income", "monthly_income"],
     "cluster_profile": _PROFILE_MONEY,
     "portfolio_dashboard": [f"outstanding_{s}" for s in _PARTS],

@@ -157,7 +157,17 @@ FROM fact_keys f JOIN lender_dim l ON l.active = 1 AND f.contri_key = l.contri_k
 JOIN category_dim c ON f.loan_account_type_key = c.category_key AND c.active = 1
 WHERE f.load_yyyymm = 200006 AND f.suppress_ind_key <> 1 GROUP BY 2, 3, 4""",
 }
+_FEW = ["load_yyyymm", "contri_key", "ln_cat", "loan_account_status"]
 SQL |= {
+    "fact_rollup_portfolio": f"""
+SELECT {', '.join(_FEW)}, count(DISTINCT centre_id) AS total_centres, count(DISTINCT group_id) AS total_groups,
+  count(DISTINCT account_key) AS total_accounts, count(DISTINCT consumer_key) AS total_consumers,
+  coalesce(sum(cur_bal), 0) AS total_outstanding_amount, coalesce(sum(disb_amt), 0) AS total_disbursed_amount,
+  coalesce(sum(amt_due), 0) AS total_overdue_amount, coalesce(sum(charge_amt), 0) AS total_write_off_amount,
+  min(disb_dt) AS oldest_loan
+FROM (SELECT {', '.join(f'{_LABELS[k]} AS {k}' for k in _FEW)}, centre_id, group_id, account_key, consumer_key, cur_bal,
+    disb_amt, amt_due, charge_amt, disb_dt FROM v_step2 b) GROUP BY {', '.join(_FEW)}""",
+    "bucketed_mfi_step1": "SELECT * FROM mfi_step1",
     "stored_fact_months": """
 SELECT load_yyyymm, contri_key, count(*) AS facts, CAST(sum(total_accounts) AS BIGINT) AS total_accounts,
   sum(total_outstanding_amount) AS total_outstanding_amount FROM v_fact_two_months GROUP BY 1, 2""",
@@ -168,9 +178,9 @@ FROM v_step2_two_months s JOIN geo_dim g ON s.sdp_key = g.sdp_key GROUP BY 1, 2"
 }
 _AMOUNTS = ["total_outstanding_amount", "total_disbursed_amount", "total_overdue_amount", "total_write_off_amount"]
 MONEY = {
-    "mfi_step1": _MONEY + ["high_credit", "monthly_income"], "group_share": _MONEY,
+    "mfi_step1": _MONEY + ["high_credit", "monthly_income"], "bucketed_mfi_step1": _MONEY + ["high_credit", "monthly_income"], "group_share": _MONEY,
     "mfi_step2": ["amt_due", "charge_amt", "cur_bal", "disb_amt", "high_credit", "monthly_income", "min_amount_due"],
-    "fact_rollup": _AMOUNTS, "fact_keys": _AMOUNTS, "stored_fact_months": ["total_outstanding_amount"],
+    "fact_rollup": _AMOUNTS, "fact_rollup_portfolio": _AMOUNTS, "fact_keys": _AMOUNTS, "stored_fact_months": ["total_outstanding_amount"],
     "par_report_from_fact": [m for m in _PAR if not (m.startswith("lar_") or m.endswith("loans"))],
 }
 del AS_OF, LENDERS

@@ -59,6 +59,8 @@ FROM account_trend WHERE das = 'S05' AND month(act_reported_dt) = 12""",
 SELECT * FROM macro_open UNION ALL
 SELECT * FROM macro_closed WHERE (closed_dt IS NULL OR closed_dt <= DATE '2000-06-30')
   AND reported_dt <= DATE '2000-08-08' AND act_insert_dt <= DATE '2000-08-08'""",
+    "bucketed_prod_plus_trend": "SELECT * FROM prod_plus_trend",
+    "bucketed_snapshot_months": "SELECT * FROM snapshot_months",
     "partition_rewrite": """
 SELECT b.* FROM account_trend b ANTI JOIN v_restated d ON d.act_reported_dt = b.act_reported_dt AND d.account_key = b.account_key
 UNION ALL SELECT * FROM v_restated""",
@@ -103,6 +105,9 @@ MONEY = {
     "as_of_snapshot": _BOOK_MONEY + ["min_amount_due"],
     "prod_plus_trend": ["min_amount_due", "current_balance", "amount_overdue_total", "chargeoff_amt", "credit_limit",
                         "disbursed_amount"],
+    "bucketed_snapshot_months": _BOOK_MONEY + ["min_amount_due"],
+    "bucketed_prod_plus_trend": ["min_amount_due", "current_balance", "amount_overdue_total", "chargeoff_amt", "credit_limit",
+                                 "disbursed_amount"],
     "snapshot_months": _BOOK_MONEY + ["min_amount_due"],
     "partition_rewrite": ["current_balance", "amount_overdue_total", "chargeoff_amt", "min_amount_due"],
     "partition_upsert": ["current_balance", "amount_overdue_total", "chargeoff_amt", "min_amount_due"],

@@ -15,7 +15,7 @@ from loanbook.sources import dims
 from loanbook.sources.views import Book
 
 STAGED_ONCE = (
-    "card_base", "threshold_flags", "flow_rate", "mfi_step1", "mfi_step2", "fact_rollup", "account_dashboard",
+    "card_base", "threshold_flags", "flow_rate", "mfi_step1", "mfi_step2", "fact_rollup", "geo_report_1", "account_dashboard",
     "income_backfill", "report_outliers", "district_exposure", "golden_address",
 )
 
@@ -23,7 +23,7 @@ STAGED_ONCE = (
 @pytest.mark.parametrize("name", STAGED_ONCE)
 def test_building_a_plan_runs_no_job(spark, small, name):
     book = Book(spark, small)
-    QUERIES[name](book, p)  # reads the tables' schemas
+    QUERIES[name](book, p)  # reads the tables' schemas, and stores the caps and facts of the book
     spark.sparkContext.setJobGroup(f"build {name}", name)
     QUERIES[name](book, p)
     found = spark.sparkContext.statusTracker().getJobIdsForGroup(f"build {name}")

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loanbook.functions import buckets as B
-from loanbook.operators import cards, intervals, members, snapshot
+from loanbook.operators import cards, flow, intervals, members, snapshot
 from loanbook.params import DEFAULT_PARAMS as p
 from loanbook.params import shift_months
 from loanbook.plans.catalog import QUERIES
@@ -124,6 +124,30 @@ def test_rolls_meet_without_a_join(spark):
     assert "Join" not in plan and plan.count("Exchange hashpartitioning") <= 1
 
 
+def test_flows_of_hundreds_of_loans_equal_loops(spark):
+    pick = random.Random(6)
+    lapses = (1, 6, 12)
+    ends = [p.as_of, *[shift_months(p.as_of, n) for n in lapses]]
+    rows = [
+        (loan, end, "A01", "PRB000", pick.choice(["X", None]), date(1999, 1, 31), 17, 100.0, pick.choice([0, 20, 45, 80, 150, 400]),
+         pick.choice(["S04", "S05", "S06", "S13"]), float(pick.randint(1, 9)), pick.choice([None, 5.0]), pick.choice("YYYN"))
+        for loan in range(900) for end in ends if pick.random() < 0.8
+    ]
+    base = spark.createDataFrame(rows, "account_key long, act_reported_dt date, account_type string, lender_id string, state string, disbursed_dt date, "
+                                 "mob int, sanctioned_amount double, derived_dpd int, das string, current_balance double, chargeoff_amt double, not_closed_ind string")
+    got = {(r.account_key, r.lapse): (r.time_lapsed, r.dpd_lbop, r.dpd_tl, r.balance_tl, r.chargeoff_tl) for r in flow.transitions(base.repartition(5), p, lapses).collect()}
+    band = {r.d: r.b for r in spark.createDataFrame([(d,) for d in (0, 20, 45, 80, 150, 400)], "d int").select("d", B.bucket(F.col("d"), B.DPD_FLOW9).alias("b")).collect()}
+    state = {(r[0], r[1]): (band[r[8]] if r[12] == "Y" and r[9] in ("S04", "S05") else None, r[9], r[10], r[11]) for r in rows}
+    want = {}
+    for (loan, end), (seen, *_) in state.items():
+        for lapse in lapses:
+            then = state.get((loan, shift_months(p.as_of, lapse)))
+            if end == p.as_of and then:
+                late = then[0] or ("Written Off" if then[1] in ("S06", "S13") else None)
+                want[(loan, lapse)] = (shift_months(p.as_of, lapse), seen, late, then[2], then[3])
+    assert got == want and len(want) > 1500
+
+
 def test_members_add_up(spark, tmp_path):
     pick = random.Random(2)
     rows = [(pick.choice("xyz"), pick.randint(1, 3), pick.choice([None, *range(300)]), f"c{pick.randint(0, 90)}") for _ in range(3000)]
