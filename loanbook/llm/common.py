@@ -64,8 +64,8 @@ def scratch_dropped(spark: SparkSession) -> Iterator[None]:
         delete_tables(spark, names)
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """Write `df` once to the shared folder and return the written table.
+def staged(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
+    """Write `df` once to the shared folder and return the written table; `codec` compresses it otherwise than the session does.
 
     Later steps start from files that outlive any executor. Inside
     `scratch_dropped` the table goes with the block; otherwise it stays in the
@@ -75,7 +75,7 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     owner = _scratch.get()
     if owner is not None:
         owner.append(path)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
