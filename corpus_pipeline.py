@@ -35,7 +35,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     model = language.train(docs, where=learned)
     if not model.langs:
         return docs
-    measured = staged(language.measure(docs, model), "measured")
+    measured = staged(language.measure(docs, model), "measured", codec="zstd")  # whole texts, read twice
     fit = language.learn_fit(measured, F.col("row.lang"), F.coalesce(crc_of_id(3, "row.doc_id") != 1, F.lit(False)))
     named = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SHARE)
     return measured.where(named & (fit.deviation() >= LEAST_FIT)).select("row.*")
