@@ -40,6 +40,7 @@ RUN_BYTES = 10 << 20  # chunks that a task counts at a time
 MAP_BITS = 24
 RANK_SALTS = 256
 SCORE_SCALE = 2_000_000
+SCORE_BIN = 1000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 BREAK = b"A"  # stands for the end of a piece; no word holds a capital letter
 
@@ -326,9 +327,19 @@ def without_held(scored: DataFrame, held_percent: int) -> DataFrame:
 
 
 def rank(scored: DataFrame, per_language: int) -> DataFrame:
-    """The first phrases of every language; a language is cut by hash first, so that one task ranks a bounded number."""
+    """The first phrases of every language.
+
+    Bins of scores are counted, and only the highest bins that hold the wanted
+    number go on. These are ranked in parts, cut by hash, so that one task
+    orders a bounded number at the end, also where many scores are equal.
+    """
+    binned = scored.withColumn("bin", F.floor(F.col("score") / SCORE_BIN))
+    higher = Window.partitionBy("lang").orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, -1)
+    counts = binned.groupBy("lang", "bin").agg(F.count(F.lit(1)).alias("n"))  # at most SCORE_SCALE / 2 / SCORE_BIN + 1 bins a language
+    reached = counts.withColumn("before", F.coalesce(F.sum("n").over(higher), F.lit(0))).where(F.col("before") < per_language)
+    top = binned.join(reached.select("lang", "bin"), ["lang", "bin"], "left_semi").drop("bin")
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     salt = F.pmod(F.xxhash64("phrase"), F.lit(RANK_SALTS))
     ours = Window.partitionBy("lang", "salt").orderBy(*order)
-    few = scored.withColumn("salt", salt).withColumn("rank", F.row_number().over(ours)).where(F.col("rank") <= per_language)
+    few = top.withColumn("salt", salt).withColumn("rank", F.row_number().over(ours)).where(F.col("rank") <= per_language)
     return few.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= per_language)

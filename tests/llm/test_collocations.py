@@ -127,3 +127,16 @@ def test_scores_of_very_large_counts_are_exact(spark):
     counts = spark.createDataFrame([("en", "a", big, 1), ("en", "b", big + 2, 1), ("en", "a b", big, 2)], "lang string, phrase string, f long, size int")
     row = collocations.score(counts).first()
     assert (row.score, row.l, row.r) == (2000000 * big // (2 * big + 2), big, big + 2)
+
+
+@pytest.mark.parametrize("best", (1, 7, 400))
+def test_rank_of_equal_and_crowded_scores(spark, best):
+    pick = np.random.default_rng(best)
+    rows = [(str(pick.choice(["en", "fr", "de"])), f"p{i}", int(pick.choice([5, 999, 1000, 1000, 1000, 250_000, 999_999])), int(pick.integers(30, 33))) for i in range(3000)]
+    rows += [("xx", "alone", 0, 30)]
+    got = collocations.rank(spark.createDataFrame(rows, "lang string, phrase string, score long, a long").repartition(7), best)
+    want = []
+    for lang in {r[0] for r in rows}:
+        order = sorted((r for r in rows if r[0] == lang), key=lambda r: (-r[2], -r[3], r[1]))
+        want += [(lang, k, r[1]) for k, r in enumerate(order[:best], 1)]
+    assert sorted((r.lang, r["rank"], r.phrase) for r in got.collect()) == sorted(want)
