@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanbook.functions import rules as R
@@ -26,11 +26,16 @@ def hanging_accounts(trend: DataFrame, prod: DataFrame, as_of: date) -> DataFram
     return last.join(current, "account_key", "left_anti")
 
 
+def _newest_rows(history: DataFrame, as_of: date) -> DataFrame:
+    """The rows of each account's last date up to `as_of`, all of them where several have it; one scan, one shuffle by account."""
+    day = F.col("act_reported_dt")
+    last = F.max(day).over(Window.partitionBy("account_key"))
+    return history.where(day <= F.lit(as_of)).withColumn("last", last).where(day == F.col("last")).drop("last")
+
+
 def latest_update(updates: DataFrame, as_of: date) -> DataFrame:
     """Restatement rows at each account's last date up to `as_of`; ties are kept."""
-    known = updates.where(F.col("act_reported_dt") <= F.lit(as_of))
-    last = known.groupBy("account_key").agg(F.max("act_reported_dt").alias("act_reported_dt"))
-    return known.join(last, ["account_key", "act_reported_dt"], "left_semi").distinct()
+    return _newest_rows(updates, as_of).distinct()
 
 
 FROM_TREND = (
@@ -50,11 +55,14 @@ def as_of_snapshot(prod: DataFrame, trend: DataFrame, updates: DataFrame, as_of:
     Hanging rows take balances from history, terms from the last restatement
     and ownership from the current row, whatever its date.
     """
-    hanging = hanging_accounts(trend, prod, as_of).withColumnRenamed("max_rpt_dt", "act_reported_dt")
-    old = trend.join(hanging, ["account_key", "act_reported_dt"], "left_semi").select("account_key", *FROM_TREND)
+    old = _newest_rows(trend, as_of).select("account_key", *FROM_TREND)
     terms = latest_update(updates, as_of).select("account_key", *FROM_UPDATE)
-    owner = prod.select("account_key", *FROM_CURRENT)
-    past = old.join(terms, "account_key").join(owner, "account_key", "left").withColumn("data_ind", F.lit("T"))
+    first_report = F.min("act_reported_dt").over(Window.partitionBy("account_key")).alias("current_from")
+    owner = prod.select("account_key", *FROM_CURRENT, first_report)
+    hanging = F.col("current_from").isNull() | (F.col("current_from") > F.lit(as_of))
+    past = old.join(terms, "account_key").join(owner, "account_key", "left").where(hanging).drop("current_from").withColumn(
+        "data_ind", F.lit("T")
+    )
     current = prod.where(F.col("act_reported_dt") <= F.lit(as_of)).select(
         "account_key", *FROM_TREND, *FROM_UPDATE, *FROM_CURRENT, F.lit("P").alias("data_ind")
     )

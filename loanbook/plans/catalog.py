@@ -1084,6 +1084,22 @@ def load_dims(book: Book, p: P.RunParams) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, frames)
 
 
+@query
+def load_domain_dims(book: Book, p: P.RunParams) -> DataFrame:
+    """The dimensions of the loan book, written from their source, then refreshed together from there."""
+    spark = book.spark
+    frames = {
+        "geo": book.geo_dim(), "purpose": book.purpose_dim(), "occupation": book.occupation_dim(), "lender": dims.lender_dim(spark),
+        "account_type": dims.account_type_dim(spark), "category": dims.category_dim(spark), "date": dims.date_dim(spark, p.calendar),
+    }
+    stored = io.new_table_path(spark, "dim-source")
+    io.publish_tables(spark, frames, stored)
+    source = io.FileSource(stored, suffix="")
+    loaded = io.load_dims(spark, source, list(frames), io.new_table_path(spark, "dims"))
+    counts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("dim"), "rows") for name, df in loaded.items()]
+    return functools.reduce(DataFrame.unionByName, counts)
+
+
 @query
 def load_by_period(book: Book, p: P.RunParams) -> DataFrame:
     """History written under one folder per year, read back for the years up to the as-of date."""

@@ -10,6 +10,7 @@ from functools import cache
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loanbook.plans.scope import publish
 from loanbook.sources import files
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -85,7 +86,12 @@ def read_table(spark: SparkSession, source, name: str, where: str | None = None)
 
 
 def read_split(spark: SparkSession, source, name: str, split: Split | None, where: str | None = None) -> DataFrame:
-    """One table, read in parallel. Files split themselves; databases follow `split`."""
+    """One table, read in parallel, with a partition per part of `split`.
+
+    A database runs a query per part. Files are read as they lie; with a split
+    their rows are then dealt out by it, in one shuffle, so that a caller finds
+    the same partitions. Without a split nothing is moved.
+    """
     if isinstance(source, JdbcSource):
         rows = spark.read.format("jdbc").options(**jdbc_options(source, name, split, where)).load()
         return rows.drop(SPLIT_COLUMN)
@@ -93,16 +99,21 @@ def read_split(spark: SparkSession, source, name: str, split: Split | None, wher
         rows = spark.table(f"{source.database}.{name}")
     else:
         rows = spark.read.format(source.format).load(f"{source.folder}/{name}{source.suffix}")
-    return rows.where(where) if where else rows
+    rows = rows.where(where) if where else rows
+    if split is None:
+        return rows
+    return rows.withColumn(SPLIT_COLUMN, F.expr(split.expression)).repartitionByRange(split.parts, SPLIT_COLUMN).drop(SPLIT_COLUMN)
 
 
 def load_dims(spark: SparkSession, source, names: list[str], target: str) -> dict[str, DataFrame]:
-    """Refresh dimension tables below `target` and return them."""
-    out = {}
-    for name in names:
-        read_table(spark, source, name).write.mode("overwrite").parquet(f"{target}/{name}")
-        out[name] = spark.read.parquet(f"{target}/{name}")
-    return out
+    """Refresh dimension tables of a source below `target`, together or not at all, and return them."""
+    return publish_tables(spark, {name: read_table(spark, source, name) for name in names}, target)
+
+
+def publish_tables(spark: SparkSession, frames: dict[str, DataFrame], target: str) -> dict[str, DataFrame]:
+    """Write tables below `target` at the same time, put them in place together, and return the written ones."""
+    publish(spark, {f"{target}/{name}": df.write.parquet for name, df in frames.items()})
+    return {name: spark.read.schema(df.schema).parquet(f"{target}/{name}") for name, df in frames.items()}
 
 
 def load_by_period(df: DataFrame, path: str, period: Column, name: str = "year") -> None:

@@ -43,22 +43,27 @@ FROM (SELECT b.*, {yyyymm('as_of')} AS load_yyyymm, '{label}' AS product_ind,
 GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9"""
 
 
+# fixed values: labels of the exposure file and the bands they stand for
+FILE_LENDERS = {"1 Lender": ("1",), "2 Lenders": ("2",), "3 Lenders": ("3",), "4 Lenders": ("4",), ">=5 Lenders": (">=5",)}
+FILE_EXPOSURES = {
+    "<=15": ("0_10K", "10K_15K"), "15K_30K": ("15K_20K", "20K_25K", "25K_30K"), "30K-60K": ("30K_40K", "40K_60K"),
+    "60K-80K": ("60K_80K",), "80K-100K": ("80K_100K",), "100K_150K": ("100K_150K",), ">150K": (">150K",),
+}
+FILE_DPD = {
+    "CURRENT": ("Not Deliquent(Good)",), "1-30 DPD": ("1_30",), "31-60 DPD": ("31_60",), "61-90 DPD": ("61_90",),
+    "91-180 DPD": ("91_180",), ">180 DPD": (">180",), "Not stipulated": ("Not Stipulated(Bad)",), "Written-Off": ("WRITEOFF",),
+}
+
+
 def _file(source: str) -> str:
     return f"""SELECT closing_as_of, state, district, borrower_vintage, active_lender, credit_exposure, worst_dpd, disbursed_period,
   CAST(sum(unique_clusters) AS BIGINT) AS active_customers, CAST(sum(total_loans) AS BIGINT) AS active_loans,
   sum(total_disb_amount) AS disbursed_amount_active, sum(total_outstanding_amount) AS portfolio_outstanding,
   sum(total_overdue_amount) AS overdue_amount
 FROM (SELECT *, '200006' AS closing_as_of, rev_state AS state, rev_district AS district, vintage AS borrower_vintage,
-    CASE active_lender_band WHEN '1' THEN '1 Lender' WHEN '2' THEN '2 Lenders' WHEN '3' THEN '3 Lenders'
-      WHEN '4' THEN '4 Lenders' WHEN '>=5' THEN '>=5 Lenders' ELSE 'NA' END AS active_lender,
-    CASE WHEN outstanding_band IN ('0_10K','10K_15K') THEN '<=15'
-      WHEN outstanding_band IN ('15K_20K','20K_25K','25K_30K') THEN '15K_30K'
-      WHEN outstanding_band IN ('30K_40K','40K_60K') THEN '30K-60K' WHEN outstanding_band = '60K_80K' THEN '60K-80K'
-      WHEN outstanding_band = '80K_100K' THEN '80K-100K' WHEN outstanding_band = '100K_150K' THEN '100K_150K'
-      WHEN outstanding_band = '>150K' THEN '>150K' ELSE 'NA' END AS credit_exposure,
-    CASE dpd WHEN 'Not Deliquent(Good)' THEN 'CURRENT' WHEN '1_30' THEN '1-30 DPD' WHEN '31_60' THEN '31-60 DPD'
-      WHEN '61_90' THEN '61-90 DPD' WHEN '91_180' THEN '91-180 DPD' WHEN '>180' THEN '>180 DPD'
-      WHEN 'Not Stipulated(Bad)' THEN 'Not stipulated' WHEN 'WRITEOFF' THEN 'Written-Off' ELSE 'NA' END AS worst_dpd
+    {r.relabelled('active_lender_band', FILE_LENDERS, "'NA'")} AS active_lender,
+    {r.relabelled('outstanding_band', FILE_EXPOSURES, "'NA'")} AS credit_exposure,
+    {r.relabelled('dpd', FILE_DPD, "'NA'")} AS worst_dpd
   FROM {source}) GROUP BY ALL"""
 
 

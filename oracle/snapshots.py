@@ -82,6 +82,8 @@ FROM lineitem GROUP BY 1, 2""",
     "load_dims": """
 SELECT 'region' AS dim, r_name AS name FROM region UNION ALL SELECT 'nation', n_name FROM nation
 UNION ALL SELECT 'supplier', s_name FROM supplier UNION ALL SELECT 'part', p_name FROM part""",
+    "load_domain_dims": " UNION ALL ".join(
+        f"SELECT '{d}' AS dim, count(*) AS rows FROM {d}_dim" for d in ("geo", "purpose", "occupation", "lender", "account_type", "category", "date")),
     "load_by_period": """
 SELECT account_key, act_reported_dt, das, current_balance, CAST(year(act_reported_dt) AS INTEGER) AS year
 FROM account_trend WHERE year(act_reported_dt) <= 2000""",

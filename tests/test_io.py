@@ -25,6 +25,27 @@ def test_file_filter_reaches_the_scan(spark, small):
     assert "EqualTo(o_orderstatus,F)" in plan and "ReadSchema: struct<o_orderkey:bigint,o_orderstatus:string>" in plan
 
 
+def test_a_split_deals_out_files(spark, small):
+    split = io.Split.by_key("o_orderkey", 5)
+    rows = io.read_split(spark, io.FileSource(small), "orders", split, "o_orderstatus = 'F'")
+    plain = io.read_table(spark, io.FileSource(small), "orders", "o_orderstatus = 'F'")
+    assert rows.columns == plain.columns and rows.exceptAll(plain).count() == 0 == plain.exceptAll(rows).count()
+    parts = rows.groupBy(F.spark_partition_id().alias("p")).agg(F.count_distinct(F.expr("mod(o_orderkey, 5)")).alias("n")).collect()
+    assert len(parts) == 5 and {r.n for r in parts} == {1}
+    assert "Exchange" not in plain._jdf.queryExecution().executedPlan().toString()
+
+
+def test_dims_are_loaded_together(spark, small, tmp_path):
+    target = str(tmp_path / "dims")
+    assert io.load_dims(spark, io.FileSource(small), ["region", "nation"], target)["nation"].count() == 25
+    with pytest.raises(Exception):
+        io.load_dims(spark, io.FileSource(small), ["region", "no_such_table"], target)
+    bad = spark.range(3).select(F.raise_error(F.lit("no")).cast("string").alias("x"))
+    with pytest.raises(ExceptionGroup):
+        io.publish_tables(spark, {"region": spark.range(1), "nation": bad}, target)
+    assert spark.read.parquet(f"{target}/region").count() == 5 and sorted(os.listdir(target)) == ["nation", "region"]
+
+
 def test_write_period_replaces_only_its_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
     io.write_period(spark.createDataFrame([(1, "a"), (2, "b")], "v int, run string"), path, ["run"])
