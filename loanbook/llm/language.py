@@ -211,11 +211,12 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", columns: lis
     return measure(docs, model, text_col, columns).select("row", "lang_pred", "score")
 
 
-def learn_fit(measured: DataFrame, lang: Column, where: Column) -> Fit:
-    """Distribution of the fits of the measured rows in `where` with a language; the driver gets a row per language."""
+def learn_fit(measured: DataFrame, lang: Column, where: Column | None = None) -> Fit:
+    """Distribution of the fits of the measured rows (in `where`) with a language; the driver gets a row per language."""
     mean, variance, n = F.col("fit_mean"), F.col("fit_variance"), F.col("trigrams")
     sums = {"texts": F.lit(1.0), "fits": mean, "squares": mean * mean, "inverse": 1 / n, "spread": n * variance, "taught": n}
-    rows = measured.where(where & lang.isNotNull() & (n > 0)).groupBy(lang.alias("lang"))
+    taught = lang.isNotNull() & (n > 0)
+    rows = measured.where(taught if where is None else taught & where).groupBy(lang.alias("lang"))
     table = rows.agg(*[F.sum(value).alias(name) for name, value in sums.items()]).toArrow().sort_by("lang")
     if not table.num_rows:
         return Fit({}, 0.0, 0.0, 0.0)
