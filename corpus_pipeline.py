@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanbook.llm import language, line_quality
-from loanbook.llm.common import delete_tables, read, scratch_dropped, shared_folder, staged
+from loanbook.llm.common import delete_tables, read, scratch_dropped, shared_folder
 from loanbook.llm.packing import pack
 from loanbook.llm.queries import crc_of_id
 from loanbook.llm.radix_dedup import radix_dedup
@@ -27,16 +27,18 @@ ORACLE_SQL = None
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without letters, without a main language, or that fit no language go; all stay if no row has a language to teach.
 
-    Every text is measured once; the distribution of fits is learned from what
-    was written of that. Null and empty texts have no letters and go, equal rows
+    The texts that taught a language are measured twice, for the distribution of
+    fits and to be judged: a written copy of all texts would cost more disk than
+    the stage may take. Null and empty texts have no letters and go, equal rows
     share their fate, an empty table stays empty.
     """
     learned = crc_of_id(3) != 1
     model = language.train(docs, where=learned)
     if not model.langs:
         return docs
-    measured = staged(language.measure(docs, model), "measured", codec="zstd")  # whole texts, read twice
-    fit = language.learn_fit(measured, F.col("row.lang"), F.coalesce(crc_of_id(3, "row.doc_id") != 1, F.lit(False)))
+    taught = docs.where(learned & F.col("lang").isNotNull())
+    fit = language.learn_fit(language.measure(taught, model, columns=["lang"]), F.col("row.lang"))
+    measured = language.measure(docs, model)
     named = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SHARE)
     return measured.where(named & (fit.deviation() >= LEAST_FIT)).select("row.*")
 
