@@ -207,7 +207,7 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
         return _in_hex(done)
     after = docs.sparkSession.createDataFrame(list(following.items()), "part int, next_part int")
     firsts = ends.where("side = 'first'").select(F.col("part").alias("next_part"), F.col("text").alias("next_text"))
-    lasts = ends.where("side = 'last'").join(after, "part").select("doc_id", "text", "next_part")
+    lasts = ends.where("side = 'last'").join(F.broadcast(after), "part").select("doc_id", "text", "next_part")  # two numbers a partition
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
