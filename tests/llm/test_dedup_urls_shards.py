@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loanbook.llm.common import scratch_dropped, staged
+from loanbook.llm.queries import LLM_QUERIES
 from loanbook.llm.radix_dedup import radix_dedup
 from loanbook.llm.shards import hash_bits, shard, write_shards
 from loanbook.llm.url_filter import filter_urls
@@ -109,6 +110,11 @@ def test_shards_split_one_key_and_equal_rows(spark, odd, nothing):
         shard(nothing, 0)
 
 
+def test_the_query_splits_a_table_of_some_mebibytes(spark):
+    got = LLM_QUERIES["op7_sharding"](spark, "/root/testdata/sf0.1").select("shard", "depth", "shard_bytes", "fits").distinct().collect()
+    assert len(got) > 8 and all(r.fits and r.depth > 0 and r.shard_bytes <= 1 << 20 for r in got)
+
+
 def test_written_shards_hold_every_row_once(spark, odd, nothing, tmp_path):
     path = str(tmp_path / "shards")
     write_shards(odd, path, 64)
