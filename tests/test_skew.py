@@ -5,7 +5,11 @@ import random
 from pyspark.sql import functions as F
 
 from loanbook.functions import metrics as M
+from loanbook.operators import caps
 from loanbook.plans.skew import SALTS, hot_keys, percentile_exact, pick_first, pick_last, skew_join
+from loanbook.sources import io
+from loanbook.sources.periods import PeriodTable
+from loanbook.sources.views import Book
 
 
 def skewed(spark, n=6000):
@@ -83,3 +87,17 @@ def test_cents_round_trip(spark):
     got = rows.groupBy("g").agg(F.sum(M.cents(F.col("v"))).alias("s")).select("g", M.from_cents("s"))
     want = rows.groupBy("g").agg(F.sum("v").alias("s"))
     assert sorted(got.collect()) == sorted(want.select("g", "s").collect())
+
+
+def test_rows_are_never_the_broadcast_side_of_their_caps(spark, small):
+    """Stored histograms have no known size, so the planner would take the exploded rows for the smaller side."""
+    book = Book(spark, small)
+    rows = caps.amounts(book.account(), F.lit(200001))
+    counts = PeriodTable(spark, f"histogram_{io.unique()}", io.new_table_path(spark, "histogram"), "mon_yr")
+    try:
+        counts.replace_found(caps.month_histograms(rows))
+        plan = caps.caps_at(rows, counts.read(), (200001,))._jdf.queryExecution().executedPlan().toString()
+        sides = [line for line in plan.splitlines() if "BroadcastHashJoin" in line]
+        assert sides and all("BuildRight" in line for line in sides)
+    finally:
+        counts.drop()
