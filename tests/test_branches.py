@@ -95,3 +95,26 @@ def test_entry_years_are_a_parameter(spark):
 def test_the_largest_amount_is_a_parameter(spark):
     one = spark.createDataFrame([(D("50.00"),)], "a decimal(18,2)")
     assert one.select(R.storable(F.col("a"), 40)).first()[0] is False and one.select(R.storable(F.col("a"), 60)).first()[0] is True
+
+
+def test_a_rollup_by_all_labels_moves_its_rows_once(spark, small):
+    """Rows are moved by group before they are copied per kind of member, and counts are those of a plain aggregate."""
+    step2 = QUERIES["mfi_step2"](Book(spark, small), p).localCheckpoint()
+    odd = step2.withColumn("centre_id", F.when(F.col("account_key") % 3 > 0, F.col("centre_id"))).withColumn(
+        "consumer_key", F.when(F.col("account_key") % 5 > 0, F.col("consumer_key")))
+    for rows in (step2, odd.withColumn("das", F.lit(None).cast("string")), odd.unionByName(odd)):
+        got = facts.fact_rollup(rows, dims.category_dim(spark))
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Expand" not in plan and plan.count("Exchange hashpartitioning") == 1
+        plain = facts.fact_rollup(rows, dims.category_dim(spark), facts.ROLLUP_KEYS)
+        assert got.dtypes == plain.dtypes and got.exceptAll(plain).count() == 0 == plain.exceptAll(got).count()
+
+
+def test_only_loans_of_the_group_lender_are_moved_to_share(spark):
+    columns = ["account_key", "lender_id", "loan_category", "group_id", *facts.SHARED_MONEY]
+    kinds = ", ".join(f"{c} {'long' if c == 'account_key' else 'decimal(18,2)' if c in facts.SHARED_MONEY else 'string'}" for c in columns)
+    money = [D(-90)] * len(facts.SHARED_MONEY)
+    rows = spark.createDataFrame([(1, "L", "T", None, *money), (2, None, "T", "G", *money), (3, "L", None, "G", *money), (4, "L", "T", "G", *money)], kinds)
+    got = facts.group_share(rows, "L", "T")
+    assert {r.account_key: r[facts.SHARED_MONEY[0]] for r in got.collect()} == {1: D(0), 2: D(90), 3: D(90), 4: D(90)}
+    assert got._jdf.queryExecution().optimizedPlan().toString().startswith("Union")
