@@ -17,7 +17,8 @@ class BucketedBook(Book):
     """A book whose current rows, history, restatements and parties are stored once, cut and sorted by account.
 
     All four have the same buckets, so a join or an aggregate by account reads
-    them where they lie. Consumers and clusters with very many accounts are
+    them where they lie. Rows are moved to their bucket before they are written,
+    so a bucket is one file, whatever the number of tasks. Consumers and clusters with very many accounts are
     listed beside the current rows, and the joins by them spread these without
     counting again. `drop` forgets the tables and deletes their files.
     """
@@ -28,7 +29,7 @@ class BucketedBook(Book):
         plain = {"current": super().account, "history": super().account_trend, "update": super().account_update, "party": super().account_party}
         self.names = {kind: f"account_{kind}_{io.unique()}" for kind in plain}
         for kind, rows in plain.items():
-            rows().write.bucketBy(buckets, KEY).sortBy(KEY).option("path", f"{self.path}/{kind}").saveAsTable(self.names[kind])
+            rows().repartition(buckets, KEY).write.bucketBy(buckets, KEY).sortBy(KEY).option("path", f"{self.path}/{kind}").saveAsTable(self.names[kind])
 
         counts = self.account().groupBy("consumer_key").agg(F.count(F.lit(1)).alias("n"))
         by_cluster = attach_cluster(counts, self.clusters()).groupBy("clst_id").agg(F.sum("n").alias("n"))
