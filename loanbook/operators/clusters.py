@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -12,7 +13,7 @@ from loanbook.functions import metrics as M
 from loanbook.functions import rules as R
 from loanbook.operators.entity import attach_inner
 from loanbook.operators.snapshot import derive_account_rows, open_closed_union
-from loanbook.plans.rank import descending_rank
+from loanbook.plans.rank import descending_ranks
 from loanbook.sources.hot import UNKNOWN, HotKeys
 
 # fixed values: lender mix of a cluster
@@ -92,16 +93,16 @@ def threshold_flags(rows: DataFrame, overall: DataFrame, per_type: DataFrame) ->
     )
 
 
-def income_row_rank(rows: DataFrame) -> DataFrame:
+def income_row_rank(rows: DataFrame, keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """Rank of each row among its cluster's rows with a known income, newest first; NULL without income.
 
     By report and disbursal date, then income from the largest, account and
-    consumer. No cluster is sorted whole, not even the rows of one that share
-    both dates and the income: see `descending_rank`.
+    consumer. No large cluster is sorted whole, not even the rows of one that
+    share both dates and the income: see `descending_ranks`. What is
+    read more than once goes through `keep`, such as a scope's `share`.
     """
     dates, ties = ["reported_dt", "disbursed_dt"], ["account_key", "consumer_key"]
-    ranked = descending_rank(rows, KEYS, dates, "annual_income", ties, "rw")
-    return descending_rank(ranked, KEYS, dates, "monthly_income", ties, "rw_month")
+    return descending_ranks(rows, KEYS, dates, {"annual_income": "rw", "monthly_income": "rw_month"}, ties, keep)
 
 
 # --- metric matrix ------------------------------------------------------------------

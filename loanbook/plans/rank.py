@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,6 +47,26 @@ def descending_rank(rows: DataFrame, keys: list[str], order: list[str], value: s
     return joined.select(*rows.columns, F.when(F.col(value).isNotNull(), F.col("before") + F.col("local")).cast("int").alias(name))
 
 
+def descending_ranks(rows: DataFrame, keys: list[str], order: list[str], values: dict[str, str], ties: list[str],
+                     keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """`descending_rank` for several values (value -> name of its rank): rows of most keys are moved once, for all ranks together.
+
+    Only keys with more than PART rows, which are at most one in PART of the
+    rows, are ranked cell by cell. `keep` keeps what is read more than once: the
+    `rows` and the list of these keys.
+    """
+    rows = keep(rows)
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    hot = F.broadcast(keep(counts.where(F.col("n") > PART).select(*keys).repartition(1)))
+    days = [F.col(c).desc_nulls_last() for c in order]
+    usual, large = _null_safe(rows, hot, keys, "left_anti"), _null_safe(rows, hot, keys, "left_semi")
+    for value, name in values.items():
+        first = Window.partitionBy(*keys).orderBy(F.col(value).isNull(), *days, F.col(value).desc(), *ties)
+        usual = usual.withColumn(name, F.when(F.col(value).isNotNull(), F.row_number().over(first)))
+        large = descending_rank(large, keys, order, value, ties, name)
+    return usual.unionByName(large)
+
+
 def _null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Join on keys that may be null."""
     renamed = right.select(*[F.col(c).alias(f"_{n}") for n, c in enumerate(keys)], *[c for c in right.columns if c not in keys])
