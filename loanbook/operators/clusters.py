@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from loanbook import params as P
 from loanbook.functions import metrics as M
 from loanbook.functions import rules as R
 from loanbook.operators.entity import attach_inner
-from loanbook.operators.snapshot import derive_account_rows, open_closed_union
+from loanbook.operators.snapshot import closed_known, derive_account_rows, open_closed_union
 from loanbook.plans.rank import descending_ranks
 from loanbook.sources.hot import UNKNOWN, HotKeys
 
@@ -22,6 +22,8 @@ SELF_WITH_OTHERS = "SELF WITH OTHERS"
 OTHER = "OTHER CLUSTERS"
 
 KEYS = ["as_of", "clst_id"]
+# A cluster's accounts are dealt out to this many parts, so that a large cluster is never one task's work.
+PART, CLUSTER_PARTS = "cluster_part", 8
 REPORT_LAG_DAYS = 39
 
 
@@ -35,20 +37,33 @@ def active(day: Column | None = None) -> Column:
 
 def cluster_base(
     macro_open: DataFrame, macro_closed: DataFrame, clusters: DataFrame, extra: DataFrame, dates: tuple[date, ...],
-    hot: HotKeys = UNKNOWN,
+    hot: HotKeys = UNKNOWN, by_cluster: bool = False,
 ) -> DataFrame:
     """Derived account rows with cluster and income columns, for several as-of dates in one scan.
 
     Every consumer with a cluster touches that cluster, so the same-cluster
     universe of the rows themselves is an inner join with the map. Rows are
     unique per (as_of, account_key, consumer_key).
+
+    What does not depend on the date is derived and joined once for all dates:
+    the rows known by the last of them, to be repeated per date at the end. With
+    `by_cluster` they are moved there by cluster and `PART`, so that
+    `cluster_profile` need not move the rows of every date.
     """
-    day = F.explode(F.array(*[F.lit(d) for d in dates])).alias("as_of")
-    opened = macro_open.select("*", day).where(F.col("disbursed_dt") <= F.col("as_of"))
-    closed = macro_closed.select("*", day)
-    rows = open_closed_union(opened, closed, F.col("as_of"), F.date_add("as_of", REPORT_LAG_DAYS))
-    derived = derive_account_rows(rows, F.col("as_of"))
-    return attach_inner(derived, clusters, known=hot.consumers).join(extra, ["account_key", "consumer_key"], "left")
+    last = max(dates)
+    opened = macro_open.where(F.col("disbursed_dt") <= F.lit(last)).withColumn("opened", F.lit(True))
+    closed = macro_closed.withColumn("opened", F.lit(False))
+    rows = derive_account_rows(open_closed_union(opened, closed, last, last + timedelta(REPORT_LAG_DAYS)), last)
+    joined = attach_inner(rows, clusters, known=hot.consumers).join(extra, ["account_key", "consumer_key"], "left")
+    if by_cluster:
+        part = F.pmod(F.xxhash64("account_key"), F.lit(CLUSTER_PARTS)).cast("int")
+        joined = joined.withColumn(PART, part).repartition("clst_id", PART)
+    day = F.col("as_of")
+    known = F.when(F.col("opened"), F.col("disbursed_dt") <= day).otherwise(
+        closed_known(day, F.date_add(day, REPORT_LAG_DAYS))
+    )
+    dated = joined.select("*", F.explode(F.array(*[F.lit(d) for d in dates])).alias("as_of")).where(known)
+    return dated.withColumn("age", R.age_at(day, F.col("birth_dt"))).drop("opened")
 
 
 def cluster_mix(rows: DataFrame, self_lender: str) -> DataFrame:
@@ -177,16 +192,20 @@ def cluster_profile(rows: DataFrame, self_lender: str, top_row: bool = False) ->
     Step 1 reduces rows to one per (cluster, account); step 2 sums the matrix
     {measure} x {segment} per cluster. Distinct counts are sums of per-account
     flags, so nothing is expanded per metric, and rows of a large cluster
-    combine on the map side of both steps. Lender mix, incomes and minimum due
-    come out of the same pass. An account_key identifies one account of one
-    lender and type.
+    combine on the map side of both steps. Rows that lie by cluster and `PART`
+    are reduced where they are, to one row per part, and only those are moved.
+    Lender mix, incomes and minimum due come out of the same pass. An
+    account_key identifies one account of one lender and type.
     """
     flagged = rows.withColumn(
         "kept", (F.col("threshold_flag_overall") == 1) & (F.col("threshold_acnt_type") == 1)
     )
     kept, live = F.col("kept"), F.col("kept") & active()
     balance, amount = M.cents(F.col("current_balance")), M.cents(loan_amount())
-    per_account = flagged.groupBy(*KEYS, "account_key", "lender_id", "account_type").agg(
+    # The cluster leads, since sorts compare their first key fastest and dates are few.
+    keys = [*reversed(KEYS)]
+    part = [PART] if PART in rows.columns else []
+    per_account = flagged.groupBy(*keys, *part, "account_key", "lender_id", "account_type").agg(
         M.any_if(kept, "is_kept"), M.any_if(live, "is_live"),
         F.min(F.when(kept, F.col("disbursed_dt"))).alias("min_disb"),
         F.max(F.when(kept, F.col("dpd"))).alias("max_dpd"),
@@ -210,7 +229,7 @@ def cluster_profile(rows: DataFrame, self_lender: str, top_row: bool = False) ->
     for seg, test in (("all", "true"), ("self", "in_self"), ("other", "not in_self")):
         aggs += [f"min(if({test}, min_disb, null)) as min_disb_{seg}",
                  f"max(if({test}, max_dpd, null)) as max_dpd_{seg}"]
-    per_cluster = per_account.groupBy(*KEYS).agg(*[F.expr(a) for a in aggs]).where(F.col("loans_all") > 0)
+    per_cluster = per_account.groupBy(*keys).agg(*[F.expr(a) for a in aggs]).where(F.col("loans_all") > 0)
     money = [c for c in per_cluster.columns if c.startswith(("outstanding_", "disb_", "act_disb_"))]
     per_cluster = per_cluster.withColumns({c: M.from_cents(c) for c in money})
     complete = per_cluster.select(

@@ -132,6 +132,11 @@ def income_backfill(profile: DataFrame, prior: DataFrame) -> DataFrame:
     ).drop("old_income")
 
 
+DTI_COLUMNS = (
+    "as_of", "clst_id", "clust_ind", "min_due_all", "annual_income_all", "outstanding_all", "active_loans_all",
+)
+
+
 def dti_table(profile: DataFrame) -> DataFrame:
     """Debt, portfolio and minimum-due ratios per cluster, on the back-filled income."""
     ratios = R.debt_ratios(
@@ -145,6 +150,17 @@ DPD_COLUMNS = tuple(
 )
 
 
+DTI_SUMS = (
+    "loans_all", "active_loans_all", "outstanding_all", "disb_all", "act_disb_all",
+    "min_due_all", "min_due_only_self", "min_due_with_others", "min_due_others",
+    "annual_income_all", "annual_income_only_self", "annual_income_with_others", "annual_income_mixed",
+    "annual_income_others",
+)
+DTI_DASHBOARD_COLUMNS = tuple(dict.fromkeys((
+    *DTI_COLUMNS, *DPD_COLUMNS, *DTI_SUMS, *[f"clusters_{s}" for s in ("self_lender", "other_lender", *C.BY_KIND)],
+)))
+
+
 def dti_dashboard(ratios: DataFrame) -> DataFrame:
     """Clusters and sums by seven DPD bands, five ratio bands, month and lender mix."""
     ratio_bands = {
@@ -159,9 +175,5 @@ def dti_dashboard(ratios: DataFrame) -> DataFrame:
         *[B.bucket(value, spec).alias(name) for name, (value, spec) in ratio_bands.items()],
     )
     return keyed.groupBy("as_of", *[f"{c}_bucket" for c in DPD_COLUMNS], *ratio_bands, "clust_ind").agg(
-        *_cluster_counts(),
-        *_sums("loans_all", "active_loans_all", "outstanding_all", "disb_all", "act_disb_all",
-               "min_due_all", "min_due_only_self", "min_due_with_others", "min_due_others",
-               "annual_income_all", "annual_income_only_self", "annual_income_with_others", "annual_income_mixed",
-               "annual_income_others"),
+        *_cluster_counts(), *_sums(*DTI_SUMS),
     )
