@@ -35,6 +35,17 @@ def test_a_split_deals_out_files(spark, small):
     assert "Exchange" not in plain._jdf.queryExecution().executedPlan().toString()
 
 
+def test_uneven_parts_of_a_split_stay_apart(spark, tmp_path):
+    """Parts are known by the split's range, not by a sample: rare, missing and outlying values find theirs."""
+    spark.sql("select cast(if(id < 900, 2, id % 4) as int) as v, id from range(1000) union all select null, -1 union all select 99, -2 "
+              "union all select -7, -3").write.parquet(str(tmp_path / "t.parquet"))
+    rows = io.read_split(spark, io.FileSource(str(tmp_path)), "t", io.Split("v", 0, 4, 4))
+    found = rows.groupBy(F.spark_partition_id().alias("p")).agg(F.collect_set("v").alias("vs"), F.count("*").alias("n")).collect()
+    assert {r.p: (set(r.vs), r.n) for r in found} == {0: ({0, -7}, 27), 1: ({1}, 25), 2: ({2}, 925), 3: ({3, 99}, 26)}
+    pairs = io.read_split(spark, io.FileSource(str(tmp_path)), "t", io.Split("v", 0, 4, 2))
+    assert {r.p: r.n for r in pairs.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()} == {0: 52, 1: 951}
+
+
 def test_dims_are_loaded_together(spark, small, tmp_path):
     target = str(tmp_path / "dims")
     assert io.load_dims(spark, io.FileSource(small), ["region", "nation"], target)["nation"].count() == 25
