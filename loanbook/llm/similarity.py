@@ -29,7 +29,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -244,7 +244,7 @@ def near_duplicates(
     )
     full = staged(full, "class-links")
     keepers = staged(full.groupBy("root").agg(F.min("rep").alias("keeper")), "keepers")
-    named = staged(full.join(keepers, "root"), "named-classes").hint("merge")  # classes grow with the rows
+    named = full.join(keepers, "root").hint("merge")  # classes grow with the rows
     whole = F.struct(*[F.col("text").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in carry or []])
     return signed.select("doc_id", "digest", "row_no", *(["text", "row"] if carry else [])).join(named, "digest").select(
         "doc_id", F.col("keeper.doc_id").alias("class_id"), F.col("rep.doc_id").alias("set_id"),
@@ -258,8 +258,7 @@ def _verified_links(signed: DataFrame, classes: DataFrame, n: int, threshold: fl
     reps = classes.select("cid", "copies", "n_grams", F.col("rep.row_no").alias("row_no"))
     banded = signed.select("row_no", "bands").join(reps.select("cid", "row_no"), "row_no")
     members = staged(banded.select("cid", F.explode("bands").alias("band")), "bands")
-    units = staged(comparison_units(members), "units")
-    near = staged(units.join(reps, "cid"), "candidates")
+    near = staged(comparison_units(members).join(reps, "cid"), "candidates")
     sizes = near.groupBy("unit").agg(F.count(F.lit(1)).alias("classes"), F.sum("n_grams").alias("grams"))
     blocks = F.greatest(F.ceil(F.col("classes") / BLOCK_CLASSES), F.ceil(F.col("grams") / BLOCK_GRAMS), F.lit(1)).cast("int")
     sizes = staged(sizes.select("unit", F.least(blocks, F.col("classes")).cast("int").alias("blocks")), "unit-sizes")
@@ -304,7 +303,7 @@ def comparison_units(members: DataFrame) -> DataFrame:
     ).where("n > 1")
     buckets = staged(counted, "buckets")
     edges = members.join(buckets.select("band", "b"), "band").select(F.col("cid").alias("a"), "b").distinct()
-    near = staged(connected_components(edges).select(F.col("node").alias("cid"), F.col("root").alias("candidates")), "near")
+    near = connected_components(edges).select(F.col("node").alias("cid"), F.col("root").alias("candidates"))
     # Equal numbers, ends and two hashes of their classes: the same bucket found by several bands.
     distinct = buckets.groupBy("n", "b", "last", "one", "two").agg(F.min("band").alias("unit"))
     placed = staged(distinct.join(near, F.col("b") == F.col("cid")).select("unit", "n", "candidates"), "distinct-buckets")
@@ -312,10 +311,12 @@ def comparison_units(members: DataFrame) -> DataFrame:
     sizes = near.groupBy("candidates").agg(F.count(F.lit(1)).cast("double").alias("classes"))
     whole = (F.col("by_bucket") >= F.col("classes") * F.col("classes")).alias("whole")
     crowds = staged(crowds.join(sizes, "candidates").select("candidates", whole), "crowds")
+    # Written, so that its size is known: where it is small, the rows of all bands are not moved.
     thin = staged(placed.join(crowds.where("not whole"), "candidates").select("unit"), "thin-buckets")
-    inside = staged(members.join(thin, F.col("band") == F.col("unit")).select("cid", "unit"), "bucket-members")
-    lists = inside.groupBy("cid").agg(F.array_sort(F.collect_list("unit")).alias("buckets"))  # as many as bands at most
+    inside = members.join(thin, F.col("band") == F.col("unit")).select("cid", "unit")
+    own = Window.partitionBy("cid")  # as many rows as bands at most
+    listed = inside.withColumn("buckets", F.array_sort(F.collect_list("unit").over(own)))
     thick = near.join(crowds.where("whole"), "candidates").select("cid", F.col("candidates").alias("unit"))
-    return inside.join(lists, "cid").select("cid", "unit", "buckets").unionByName(
+    return listed.unionByName(
         thick.select("cid", "unit", F.lit(None).cast("array<long>").alias("buckets"))
     )

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from loanbook.llm import language, line_quality, similarity
+from loanbook.llm import components, language, line_quality, similarity
 from loanbook.llm.components import connected_components
 from loanbook.llm.queries import LLM_QUERIES, LLM_SQL
 
@@ -180,6 +180,21 @@ def test_components(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_few_tables_are_written(spark, monkeypatch):
+    """A round of components writes its labels once, and what one step alone reads is not written."""
+    written = []
+    for module in (components, similarity):
+        monkeypatch.setattr(module, "staged", lambda df, label, inner=module.staged: written.append(label) or inner(df, label))
+    path = connected_components(spark.createDataFrame([(i, i + 1) for i in range(64)], "a long, b long"))
+    assert {r.root for r in path.collect()} == {0}
+    assert written.count("edges") == 1 and written.count("labels") <= 9 and len(written) <= 10
+    written.clear()
+    words = [f"w{k}" for k in range(120)]
+    docs = [(i, " ".join(words[3 * i : 3 * i + 60])) for i in range(20)]
+    assert similarity.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).count() == 20
+    assert len([label for label in written if label not in ("edges", "labels")]) <= 12
+
+
 def plain_pipeline(spark, folder):
     """Ids that the first four stages keep, one document at a time."""
     docs = spark.read.parquet(f"{folder}/documents.parquet")
