@@ -23,6 +23,12 @@ def spark():
     session.stop()
 
 
+@pytest.fixture(scope="module", autouse=True)
+def nothing_kept(spark):
+    """What queries of another module still keep is no part of this module's plans."""
+    spark.catalog.clearCache()
+
+
 @pytest.fixture(scope="session")
 def small():
     return SMALL
